@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["grids"]
+MODULES = ["grids", "calibration"]
 
 
 def registry() -> dict:

@@ -18,7 +18,7 @@ from (select vec_id, unnest(embedding) as x, generate_subscripts(embedding, 1) a
     "raw_pings": """
 select 'p0' as platform, 'ch' || (vec_id % 4)::varchar as channel_id, vec_id // 4 as ping,
        timestamp '2024-01-01 00:00:00' + to_seconds((vec_id // 4) * 2) as ping_time,
-       list_transform(embedding, x -> (floor(x::double * 4000) - 6000)::smallint) as samples
+       list_transform(embedding, lambda x: (floor(x::double * 4000) - 6000)::smallint) as samples
 from embeddings""",
     "raw_samples": """
 select platform, channel_id, ping, ping_time, (pos - 1)::int as range_sample, raw

@@ -97,7 +97,7 @@ def main(argv):
             r = {"name": name, "error": f"{type(e).__name__}: {str(e)[:400]}"}
         ok = "error" not in r and (r.get("oracle") is None and "hash_ok" not in r or (r.get("hash_ok") and r.get("rows") == r.get("oracle_rows")))
         bad += 0 if ok else 1
-        print(("OK  " if ok else "BAD ") + json.dumps(r, default=str), flush=True)
+        print("\n" + ("OK  " if ok else "BAD ") + json.dumps(r, default=str), flush=True)
     print(f"{bad} bad")
     return bad
 
