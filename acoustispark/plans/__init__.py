@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["grids", "calibration"]
+MODULES = ["grids", "calibration", "tracks"]
 
 
 def registry() -> dict:

@@ -44,7 +44,7 @@ select 'ch' || s_suppkey::varchar as channel_id,
        case when s_suppkey % 4 = 0 then 0.0::double else (s_suppkey % 4) * 0.01::double end as absorption_coefficient
 from supplier""",
     "nav": """
-select 'u' || user_id::varchar as platform, date_trunc('week', ts)::date as segment, event_id, ts,
+select 'u' || user_id::varchar as platform, strftime(date_trunc('week', ts), '%Y-%m-%d') as segment, event_id, ts,
        (case when event_id % 53 = 0 then 0.0::double when event_id % 101 = 0 then 95.0::double
              when event_id % 59 = 0 then null
              else 40.0::double + (epoch_us(ts) - 1704067200000000) / 3.6e11 + (value - 50) / 1e5 end)::double as lat,
@@ -102,6 +102,8 @@ def with_views(names: list[str], body: str) -> str:
         add(n)
     ctes = ",\n".join(f"{n} as ({VIEWS[n].strip()})" for n in order)
     body = body.strip()
+    if body[:15].lower() == "with recursive ":
+        return f"with recursive {ctes},\n{body[15:]}"
     if body[:5].lower() == "with ":  # merge the body's own CTEs into one WITH list
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"

@@ -124,7 +124,7 @@ def nav(spark: SparkSession, sf_dir: str) -> DataFrame:
     lon = F.when(eid % 53 == 0, F.lit(0.0)).otherwise(F.lit(-70.0) + h / F.lit(2.88e11) - (eid % 7) / F.lit(1e5))
     return ev.select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("platform"),
-        F.to_date(F.date_trunc("week", F.col("ts"))).alias("segment"),
+        F.date_format(F.date_trunc("week", F.col("ts")), "yyyy-MM-dd").alias("segment"),
         F.col("event_id"),
         F.col("ts"),
         lat.cast("double").alias("lat"),
