@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["grids", "calibration", "tracks"]
+MODULES = ["grids", "calibration", "tracks", "cleaning"]
 
 
 def registry() -> dict:
