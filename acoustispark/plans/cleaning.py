@@ -153,3 +153,88 @@ REGISTRY = {
     "denoise_attenuation": (q_denoise_attenuation, DENOISE_ATTENUATION_SQL),
     "denoise_chain": (q_denoise_chain, DENOISE_CHAIN_SQL),
 }
+
+# ---- seabed ------------------------------------------------------------------------------------------------
+
+from acoustispark.operators import seabed as sb  # noqa: E402
+
+PINGK = "platform, segment, channel, ping_time"
+TH = -60.0
+
+MAXSV_CTE = f"""maxsv as (
+  select {PINGK}, min(depth) filter (where sv = mx) as seabed_depth, max(mx) as mx from (
+    select *, max(sv) over (partition by {PINGK}) as mx from samples where sv is not null and depth <= 1000.0)
+  group by all having max(mx) > {TH!r})"""
+
+DELTASV_CTE = f"""deltasv as (
+  select {PINGK}, min(depth) as seabed_depth from (
+    select *, sv - lag(sv) over (partition by {PINGK} order by range_sample) as g
+    from samples where sv is not null and depth <= 1000.0)
+  where g > 20.0 group by all)"""
+
+
+def _line(df):
+    return rounded(df.select("platform", "segment", "channel", "ping_time", "seabed_depth"))
+
+
+def q_seabed_maxsv(spark, sf_dir):
+    return _line(sb.maxsv(_samples(spark, sf_dir), threshold=TH))
+
+
+SEABED_MAXSV_SQL = with_views(["samples"], f"""
+with {MAXSV_CTE}
+select {PINGK}, round(seabed_depth, 6) as seabed_depth from maxsv""")
+
+
+def q_seabed_deltasv(spark, sf_dir):
+    return _line(sb.deltasv(_samples(spark, sf_dir)))
+
+
+SEABED_DELTASV_SQL = with_views(["samples"], f"""
+with {DELTASV_CTE}
+select {PINGK}, round(seabed_depth, 6) as seabed_depth from deltasv""")
+
+
+def q_seabed_ariza(spark, sf_dir):
+    return _line(sb.ariza(_samples(spark, sf_dir), threshold=TH))
+
+
+SEABED_ARIZA_SQL = with_views(["samples"], f"""
+with s as (select *, coalesce((sv > {TH!r})::int, 0) as m from samples where depth <= 1000.0),
+e as (select *, min(m) over (partition by {PINGK} order by range_sample rows between 1 preceding and 1 following) as e
+      from s),
+d as (select *, max(e) over (partition by platform, segment, channel, range_sample order by ping_time
+                             rows between 1 preceding and 1 following) as d from e)
+select {PINGK}, round(min(depth), 6) as seabed_depth from d where d = 1 group by all""")
+
+
+def q_seabed_composite(spark, sf_dir):
+    return _line(sb.composite(_samples(spark, sf_dir), threshold=TH))
+
+
+SEABED_COMPOSITE_SQL = with_views(["samples"], f"""
+with {MAXSV_CTE}, {DELTASV_CTE}
+select {PINGK}, round(coalesce(least(a.seabed_depth, b.seabed_depth), a.seabed_depth, b.seabed_depth), 6) as seabed_depth
+from maxsv a full join deltasv b using (platform, segment, channel, ping_time)""")
+
+
+def q_seabed_mask(spark, sf_dir):
+    s = _samples(spark, sf_dir)
+    out = sb.mask_seabed(s, sb.maxsv(s, threshold=TH))
+    return rounded(out.select("platform", "segment", "channel", "ping", "range_sample", "sv"))
+
+
+SEABED_MASK_SQL = with_views(["samples"], f"""
+with {MAXSV_CTE}
+select s.platform, s.segment, s.channel, ping, range_sample,
+       round(case when m.seabed_depth is null or s.depth < m.seabed_depth then sv end, 6) as sv
+from samples s left join maxsv m using (platform, segment, channel, ping_time)""")
+
+
+REGISTRY.update({
+    "seabed_maxsv": (q_seabed_maxsv, SEABED_MAXSV_SQL),
+    "seabed_deltasv": (q_seabed_deltasv, SEABED_DELTASV_SQL),
+    "seabed_ariza": (q_seabed_ariza, SEABED_ARIZA_SQL),
+    "seabed_composite": (q_seabed_composite, SEABED_COMPOSITE_SQL),
+    "seabed_mask": (q_seabed_mask, SEABED_MASK_SQL),
+})
