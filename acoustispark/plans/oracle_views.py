@@ -26,7 +26,8 @@ from (select platform, channel_id, ping, ping_time, unnest(samples) as raw, gene
       from raw_pings)""",
     "samples_big": """
 select 'p0' as platform, strftime(l_shipdate, '%Y') as segment, 'ch' || l_returnflag as channel, l_orderkey as ping, l_shipdate as ping_time,
-       l_linenumber - 1 as range_sample, l_linenumber * (50.0)::double as echo_range, (-90.0)::double + l_quantity as sv
+       l_linenumber - 1 as range_sample, l_linenumber * (50.0)::double as echo_range, (-90.0)::double + l_quantity as sv,
+       (40.0)::double + l_partkey * 1e-4 as lat, (-70.0)::double + l_suppkey * 1e-3 as lon
 from lineitem""",
     "channel_cal_raw": """
 select 'ch' || s_suppkey::varchar as channel_id,
@@ -61,6 +62,7 @@ select 'u' || user_id::varchar as platform, event_id, ts from events where event
 select o_orderkey as file_id, 'f' || o_orderkey::varchar || '.raw' as source_file, o_orderdate::date as day,
        case when o_orderkey % 17 = 0 then 'error' when o_orderkey % 23 = 0 then 'skipped' else 'ok' end as status,
        case when o_orderkey % 17 = 0 then 'convert failed: order ' || o_orderkey::varchar end as error,
+       case when o_orderkey % 17 <> 0 and o_orderkey % 23 = 0 then 'no valid pings' end as reason,
        o_orderkey % 500 as n_pings,
        case when o_orderkey % 17 <> 0 and o_orderkey % 23 <> 0
             then 'processed/' || strftime(o_orderdate, '%Y-%m-%d') || '/f' || o_orderkey::varchar || '/sv' end as sv_path,
@@ -70,6 +72,9 @@ select o_orderkey as file_id, 'f' || o_orderkey::varchar || '.raw' as source_fil
        case when o_orderkey % 29 = 0 then 'error: empty grid' else 'ok' end as mvbs_status,
        case when o_orderpriority = '1-URGENT' then 'error: window' when o_orderpriority = '5-LOW' then 'skipped: no GPS'
             else 'ok' end as nasc_status,
+       case when o_orderkey % 31 = 0 then 'error: singular block' else 'ok' end as denoise_status,
+       case when o_orderkey % 37 = 0 then 'error: no bottom' else 'ok' end as seabed_status,
+       o_orderkey % 997 * 13 + 250 as processing_time_ms,
        o_custkey as campaign
 from orders""",
     "config_patches": """

@@ -81,6 +81,8 @@ def samples_big(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_linenumber") - 1).alias("range_sample"),
         (F.col("l_linenumber") * 50.0).alias("echo_range"),
         (F.lit(-90.0) + F.col("l_quantity")).alias("sv"),
+        (F.lit(40.0) + F.col("l_partkey") * F.lit(1e-4)).alias("lat"),
+        (F.lit(-70.0) + F.col("l_suppkey") * F.lit(1e-3)).alias("lon"),
     )
 
 
@@ -156,19 +158,24 @@ def file_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     nasc = (F.when(F.col("o_orderpriority") == "1-URGENT", "error: window")
             .when(F.col("o_orderpriority") == "5-LOW", "skipped: no GPS").otherwise("ok"))
     mvbs = F.when(k % 29 == 0, "error: empty grid").otherwise("ok")
+    denoise = F.when(k % 31 == 0, "error: singular block").otherwise("ok")
+    seabed = F.when(k % 37 == 0, "error: no bottom").otherwise("ok")
     return o.select(
         k.alias("file_id"),
         F.concat(F.lit("f"), k.cast("string"), F.lit(".raw")).alias("source_file"),
         F.to_date("o_orderdate").alias("day"),
         status.alias("status"),
         F.when(status == "error", F.concat(F.lit("convert failed: order "), k.cast("string"))).alias("error"),
+        F.when(status == "skipped", F.lit("no valid pings")).alias("reason"),
         (k % 500).alias("n_pings"),
         F.when(status == "ok", F.concat(F.lit("processed/"), F.date_format("o_orderdate", "yyyy-MM-dd"),
                                         F.lit("/f"), k.cast("string"), F.lit("/sv"))).alias("sv_path"),
         F.array_sort(F.array_distinct(F.array(
             F.lit(38000.0), F.when(k % 2 == 0, F.lit(120000.0)).otherwise(F.lit(70000.0)),
             F.when(k % 3 == 0, F.lit(200000.0)).otherwise(F.lit(38000.0))))).alias("frequencies"),
-        F.create_map(F.lit("mvbs"), mvbs, F.lit("nasc"), nasc).alias("stage_status"),
+        F.create_map(F.lit("mvbs"), mvbs, F.lit("nasc"), nasc, F.lit("denoise"), denoise,
+                     F.lit("seabed"), seabed).alias("stage_status"),
+        (k % 997 * 13 + 250).alias("processing_time_ms"),
         F.col("o_custkey").alias("campaign"),
     )
 
