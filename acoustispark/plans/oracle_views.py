@@ -85,6 +85,18 @@ select ts, event_id, user_id % 5 as device,
                  case event_id % 4 when 0 then 'false' when 1 then '{"value":"off"}' when 2 then 'null' else '1' end
             when event_type = 'click' then case when event_id % 3 = 0 then '"abc"' else json_extract_string(props, '$.k') end
             else '{"value":"' || json_extract_string(props, '$.k') || '"}' end as raw_json
+from events""",
+    "commands": """
+select event_id as command_id, ts,
+       case event_type when 'click' then 'process_raw_files' when 'view' then 'process_day' when 'signup' then 'get_status'
+            when 'purchase' then 'set_config' else 'reboot' end as command,
+       case when event_type = 'click' then (case when event_id % 4 = 0 then []::varchar[]
+            else ['raw/f' || event_id || '.raw', 'raw/g' || event_id || '.raw'] end) end as paths,
+       case when event_type = 'view' then (case when event_id % 11 = 0 then 'yesterday'
+            else '199' || (event_id % 7 + 2) || '-0' || (event_id % 9 + 1) || '-1' || (event_id % 10) end) end as date,
+       case when event_type = 'purchase' then (case when event_id % 5 = 0 then '{}'
+            else '{"mvbs_range_bin": "' || json_extract_string(props, '$.k') || '", "Log_Level": "DEBUG"}' end) end
+            as config_json
 from events""",
 }
 

@@ -217,3 +217,23 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  (eid % 1000 - 7000).cast("int")).alias("samples"))).alias("to_json_body"))
             .select("event_id", F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("platform"), "ts",
                     body.alias("value")))
+
+
+def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On-demand command messages: one per event; the event type picks the command (``error`` events send an
+    unknown command). Some have no paths, an invalid date or an empty configuration."""
+    ev = read_table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    et = F.col("event_type")
+    cmd = (F.when(et == "click", "process_raw_files").when(et == "view", "process_day").when(et == "signup", "get_status")
+           .when(et == "purchase", "set_config").otherwise("reboot"))
+    paths = F.when(et == "click", F.when(eid % 4 == 0, F.array().cast("array<string>")).otherwise(
+        F.array(F.concat(F.lit("raw/f"), eid.cast("string"), F.lit(".raw")),
+                F.concat(F.lit("raw/g"), eid.cast("string"), F.lit(".raw")))))
+    date = F.when(et == "view", F.when(eid % 11 == 0, F.lit("yesterday")).otherwise(
+        F.concat(F.lit("199"), (eid % 7 + 2).cast("string"), F.lit("-0"), (eid % 9 + 1).cast("string"), F.lit("-1"),
+                 (eid % 10).cast("string"))))
+    cfg = F.when(et == "purchase", F.when(eid % 5 == 0, F.lit("{}")).otherwise(
+        F.concat(F.lit('{"mvbs_range_bin": "'), F.get_json_object("props", "$.k"), F.lit('", "Log_Level": "DEBUG"}'))))
+    return ev.select(eid.alias("command_id"), F.col("ts"), cmd.alias("command"), paths.alias("paths"),
+                     date.alias("date"), cfg.alias("config_json"))

@@ -38,7 +38,7 @@ def _norm(v):
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, float):
-        return round(v, 6)
+        return int(v) if v.is_integer() and abs(v) < 2 ** 53 else round(v, 6)
     if isinstance(v, (list, tuple)):
         return [_norm(x) for x in v]
     if isinstance(v, dict):
