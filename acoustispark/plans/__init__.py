@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["grids", "calibration", "tracks", "cleaning", "summaries", "scalars", "control"]
+MODULES = ["grids", "calibration", "tracks", "cleaning", "summaries", "scalars", "control", "streams"]
 
 
 def registry() -> dict:
