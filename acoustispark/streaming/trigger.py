@@ -34,13 +34,13 @@ class TriggerParams:
 
 
 def _next_start(t_us: np.ndarray, p: TriggerParams) -> np.ndarray:
-    """For every local position i: the position after the end of a segment starting at i (len(t) if it does
-    not close inside the array)."""
+    """For every local position i: the position after the end of a segment starting at i, or -1 when that
+    segment does not close inside the array."""
     n = len(t_us)
     i = np.arange(n)
     first_time = np.searchsorted(t_us, t_us + int(round(p.buffer_seconds * 1e6)), side="left")
     end = np.minimum(i + p.buffer_pings - 1, np.maximum(i + p.min_pings - 1, first_time))
-    return np.where(end < n, end + 1, n)
+    return np.where(end < n, end + 1, -1)
 
 
 def _number(pings: DataFrame, key: str, ts: str, seq: str) -> DataFrame:
@@ -93,11 +93,11 @@ def segment_trigger(pings: DataFrame, p: TriggerParams = TriggerParams(), key: s
                     break
                 path.append(i)
                 j = int(nxt[i])
-                if j >= len(rn) or base + j > hi:   # the segment starting here is the one open at ``hi``
+                if j < 0 or base + j > hi:          # the segment starting here is the one open at ``hi``
                     ex = base + i
                     break
-                if base + j == hi:                  # a segment starts exactly at ``hi``
-                    ex = hi
+                if base + j == hi or j >= len(rn):  # a segment starts exactly at ``hi`` / the input ends
+                    ex = base + j
                     break
                 i = j
             for q in path:
@@ -136,15 +136,16 @@ def segment_trigger(pings: DataFrame, p: TriggerParams = TriggerParams(), key: s
         size = np.zeros(len(rn), dtype=np.int64)
         while 0 <= i < len(rn):
             j = int(nxt[i])
-            if j < len(rn):                 # closes inside the array
+            if j >= 0:                      # closes inside the array
                 start[i:j] = base + i
                 size[i:j] = j - i
+                i = j
             else:                           # open at the end of the input: flushed iff long enough
                 length = n_total - (base + i)
                 if length >= p.min_pings:
                     start[i:] = base + i
                     size[i:] = length
-            i = j
+                break
         sel = own & (start >= 0)
         out = pdf.loc[sel, [key, "rn"]].copy()
         out["segment_rn"] = start[sel]
