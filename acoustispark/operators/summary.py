@@ -66,7 +66,8 @@ def segment_summary(samples: DataFrame, keys=SEG, freq_col: str = "frequency_nom
         F.min(F.nullif(F.col("lon"), F.lit(0.0))).alias("lon_min"), F.max(F.nullif(F.col("lon"), F.lit(0.0))).alias("lon_max"),
         fn.round1(F.avg("sv")).alias("sv_mean_db"),
         F.array_sort(F.collect_set("channel")).alias("channels"),
-        F.array_sort(F.collect_set(freq_col)).alias("frequencies_hz"),
+        (F.array_sort(F.collect_set(freq_col)) if freq_col in samples.columns
+         else F.array().cast("array<double>")).alias("frequencies_hz"),
     )
     return agg.select(
         *keys, "n_pings", "n_channels", "start_time", "end_time",

@@ -182,3 +182,27 @@ REGISTRY = {
     "depth_axis": (q_depth_axis, DEPTH_AXIS_SQL),
     "product_select": (q_product_select, PRODUCT_SELECT_SQL),
 }
+
+
+def q_enrich_sv(spark, sf_dir):
+    from acoustispark.operators.jobs import enrich_sv
+    s = fx.samples(spark, sf_dir).drop("depth")
+    return rounded(enrich_sv(s, depth_offset=5.0).select("segment", "channel", "ping", "range_sample", "depth",
+                                                         "range_axis", "sv"))
+
+
+ENRICH_SV_SQL = with_views(["samples"], """
+with s0 as (select * exclude (depth), 5.0::double + echo_range * 1.0 as depth from samples),
+live as (select * from s0 s where exists (select 1 from s0 t where t.sv is not null and t.platform = s.platform
+         and t.segment = s.segment and t.ping_time = s.ping_time)),
+first as (select platform, segment, min(channel_index) as ci from live group by all),
+first2 as (select l.platform, l.segment, f.ci, min(l.ping_time) as t0
+           from live l join first f using (platform, segment) where l.channel_index = f.ci group by all),
+axis as (select l.platform, l.segment, range_sample, echo_range + 5.0 as range_axis
+         from live l join first2 f on l.platform = f.platform and l.segment = f.segment
+         where l.channel_index = f.ci and l.ping_time = f.t0)
+select l.segment, channel, ping, range_sample, round(depth, 6) as depth, round(range_axis, 6) as range_axis,
+       round(sv, 6) as sv
+from live l join axis a using (platform, segment, range_sample) where range_axis is not null""")
+
+REGISTRY["enrich_sv"] = (q_enrich_sv, ENRICH_SV_SQL)

@@ -90,4 +90,5 @@ def read_product(spark: SparkSession, root: str, schema: T.StructType | str, **p
         df = spark.createDataFrame([], schema)
     for k, v in partitions.items():
         df = df.where(F.col(k) == F.lit(v))
-    return nan_to_null(df)
+    order = spark.createDataFrame([], schema).columns   # partition columns come last in a scan; keep schema order
+    return nan_to_null(df.select(*order))
