@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from acoustispark.functions import scalars as fn
-from acoustispark.operators.util import fill_backward, fill_forward
+from acoustispark.operators.util import fill_backward, fill_forward, spread_groups
 
 TRACK = ("platform", "segment")
 ORDER = ("ts", "event_id")
@@ -218,24 +218,28 @@ def _haversine_np(lat1, lon1, lat2, lon2):
 
 
 def _simplify_group(pdf: pd.DataFrame, eps: float, min_distance: float | None, keys) -> pd.DataFrame:
-    pdf = pdf.sort_values(["ts", "event_id"], kind="mergesort").reset_index(drop=True)
-    pts = pdf[["lat", "lon"]].to_numpy(dtype=float)
-    idx = _rdp_indices(pts, eps)
-    thinned = pdf.iloc[idx][["lat", "lon"]].reset_index(drop=True)
-    # dt/knt looked up again by exact (lat, lon): the first matching fix wins
-    first = pdf.drop_duplicates(["lat", "lon"], keep="first")[["lat", "lon", "ts", "event_id", "knt"]]
-    thinned = thinned.merge(first, on=["lat", "lon"], how="left")
-    if min_distance is not None and len(thinned):
-        keep = [0]
-        klat, klon = thinned.at[0, "lat"], thinned.at[0, "lon"]
-        for i in range(1, len(thinned)):
-            if _haversine_np(klat, klon, thinned.at[i, "lat"], thinned.at[i, "lon"]) >= min_distance:
-                keep.append(i)
-                klat, klon = thinned.at[i, "lat"], thinned.at[i, "lon"]
-        thinned = thinned.iloc[keep]
-    for k in keys:
-        thinned[k] = pdf[k].iloc[0]
-    return thinned[list(keys) + ["event_id", "ts", "lat", "lon", "knt"]]
+    order = np.lexsort((pdf["event_id"].to_numpy(), pdf["ts"].to_numpy()))
+    lat = pdf["lat"].to_numpy(dtype=float)[order]
+    lon = pdf["lon"].to_numpy(dtype=float)[order]
+    idx = _rdp_indices(np.column_stack([lat, lon]), eps)
+    # time and speed are found again by exact (lat, lon): the first fix with that position wins
+    first: dict = {}
+    for i, pos in enumerate(zip(lat.tolist(), lon.tolist())):
+        first.setdefault(pos, i)
+    src = [first[(lat[i], lon[i])] for i in idx]
+    if min_distance is not None and src:
+        kept = [src[0]]
+        klat, klon = lat[src[0]], lon[src[0]]
+        for j in src[1:]:
+            if _haversine_np(klat, klon, lat[j], lon[j]) >= min_distance:
+                kept.append(j)
+                klat, klon = lat[j], lon[j]
+        src = kept
+    rows = order[src]
+    out = pdf.iloc[rows][list(keys) + ["event_id", "ts", "knt"]].copy()
+    out["lat"] = lat[src]
+    out["lon"] = lon[src]
+    return out[list(keys) + ["event_id", "ts", "lat", "lon", "knt"]]
 
 
 def simplify_rdp(df: DataFrame, epsilon: float = RDP_EPSILON, min_distance: float | None = None,
@@ -247,7 +251,7 @@ def simplify_rdp(df: DataFrame, epsilon: float = RDP_EPSILON, min_distance: floa
         T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType()), T.StructField("knt", T.DoubleType())])
     cols = list(keys) + ["event_id", "ts", "lat", "lon", "knt"]
     src = df.select(*cols) if "knt" in df.columns else df.withColumn("knt", F.lit(None).cast("double")).select(*cols)
-    return src.groupBy(*keys).applyInPandas(
+    return spread_groups(src, *keys).groupBy(*keys).applyInPandas(
         lambda pdf: _simplify_group(pdf, epsilon, min_distance, keys), schema=schema)
 
 

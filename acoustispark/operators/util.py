@@ -47,3 +47,16 @@ def fill_forward(df: DataFrame, keys, day: str, order, col: str, out: str) -> Da
 
 def fill_backward(df: DataFrame, keys, day: str, order, col: str, out: str) -> DataFrame:
     return _fill(df, keys, day, order, col, out, False)
+
+
+def spread_groups(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by the group keys into an explicit number of partitions before a grouped pandas step.
+
+    AQE coalesces small shuffles (right for JVM operators), which would run all Python groups in one or two
+    tasks; an explicit partition count is kept by AQE, and the following ``groupBy(keys)`` reuses this
+    partitioning (no second shuffle). The count is the larger of the session's shuffle partitions and twice
+    the cluster's default parallelism.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)

@@ -24,6 +24,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from acoustispark.operators.util import spread_groups
+
 
 @dataclass(frozen=True)
 class TriggerParams:
@@ -108,7 +110,8 @@ def segment_trigger(pings: DataFrame, p: TriggerParams = TriggerParams(), key: s
 
     tmap_schema = T.StructType([T.StructField(key, key_type), T.StructField("_chunk", T.LongType()),
                                 T.StructField("entry", T.LongType()), T.StructField("exit", T.LongType())])
-    tmaps = parts.select(key, "rn", "_t", "_chunk").groupBy(key, "_chunk").applyInPandas(transitions, tmap_schema)
+    tmaps = spread_groups(parts.select(key, "rn", "_t", "_chunk"), key, "_chunk").groupBy(key, "_chunk") \
+        .applyInPandas(transitions, tmap_schema)
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         m = {(int(a), int(b)): int(x) for a, b, x in zip(pdf["_chunk"], pdf["entry"], pdf["exit"])}
@@ -121,7 +124,7 @@ def segment_trigger(pings: DataFrame, p: TriggerParams = TriggerParams(), key: s
 
     entry_schema = T.StructType([T.StructField(key, key_type), T.StructField("_chunk", T.LongType()),
                                  T.StructField("_entry", T.LongType())])
-    entries = tmaps.groupBy(key).applyInPandas(compose, entry_schema)
+    entries = spread_groups(tmaps, key).groupBy(key).applyInPandas(compose, entry_schema)
 
     def label(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rn").reset_index(drop=True)
@@ -154,8 +157,8 @@ def segment_trigger(pings: DataFrame, p: TriggerParams = TriggerParams(), key: s
 
     label_schema = T.StructType([T.StructField(key, key_type), T.StructField("rn", T.LongType()),
                                  T.StructField("segment_rn", T.LongType()), T.StructField("n_segment_pings", T.LongType())])
-    labelled = (parts.join(entries, [key, "_chunk"])
-                .select(key, "rn", "_t", "_chunk", "_own", "_entry", "_n")
+    labelled = (spread_groups(parts.join(entries, [key, "_chunk"])
+                              .select(key, "rn", "_t", "_chunk", "_own", "_entry", "_n"), key, "_chunk")
                 .groupBy(key, "_chunk").applyInPandas(label, label_schema))
     starts = numbered.select(key, F.col("rn").alias("segment_rn"), F.col(ts).alias("segment_start"))
     return (numbered.join(labelled, [key, "rn"]).join(starts, [key, "segment_rn"])
