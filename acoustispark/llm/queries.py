@@ -6,8 +6,9 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from acoustispark.llm import bpe, order, packing, topk, urls
+from acoustispark.llm import bpe, langid, order, packing, topk, toxicity, urls
 from acoustispark.llm.common import shared_dir, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,10 +56,26 @@ def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.digests(order.write_shards(table(spark, sf_dir, "documents"), BYTE_BPE, out))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = langid.fold("doc_id", 4) == 2
+    model = langid.train(docs, ~held)
+    rows = docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "text")
+    return langid.identify(rows, model, keep=["doc_id", "held_out"])
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = langid.fold("doc_id", 5) == 0
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), ~held)
+    rows = docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "text")
+    return toxicity.score(rows, model, keep=["doc_id", "held_out"])
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(table(spark, sf_dir, "embeddings"))
 
@@ -80,7 +97,9 @@ def registry() -> dict:
     return {
         "op1_url_filters": (op1_url_filters, SQL1),
         "op2_training_order": (op2_training_order, None),
+        "op5_language_id": (op5_language_id, None),
         "op7_packing": (op7_packing, None),
+        "op8_toxicity": (op8_toxicity, None),
         "op9_exact_topk": (op9_exact_topk, SQL9),
         "op10_token_counts": (op10_token_counts, None),
     }
