@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acoustispark.llm.bpe import id_factory
+from acoustispark.llm.bpe import encoder
 from acoustispark.llm.common import dense_rank_within, shuffle_width, staged
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -24,17 +24,16 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 def pieces(docs: DataFrame, path: str, window: int, doc_id: str = "doc_id", text: str = "text",
            payload: bool = False) -> DataFrame:
     """Token ids of every document (then id 0) cut at multiples of ``window``; ``payload`` adds the ids themselves."""
-    make = id_factory(path)
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + (["ids"] if payload else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = make()
+        encode = encoder(path).encode
         for b in batches:
             keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for lo in range(0, len(texts), 128):
+            for lo in range(0, len(texts), 256):
                 rows: list[list] = [[] for _ in names]
-                for k, raw in zip(keys[lo:lo + 128], encode(texts[lo:lo + 128])):
-                    raw += b"\0\0\0\0"
+                for k, ids in zip(keys[lo:lo + 256], encode(texts[lo:lo + 256])):
+                    raw = ids.astype("<u4").tobytes() + b"\0\0\0\0"
                     n = len(raw) // 4
                     for s in range(0, n, window):
                         part = raw[4 * s:4 * (s + window)]
