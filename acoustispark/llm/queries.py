@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acoustispark.llm import bpe, langid, order, packing, topk, toxicity, urls
+from acoustispark.llm import bpe, decontam, jaccard, langid, order, packing, phrases, topk, toxicity, urls
 from acoustispark.llm.common import shared_dir, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +56,29 @@ def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.digests(order.write_shards(table(spark, sf_dir, "documents"), BYTE_BPE, out))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+SQL3 = """
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as g from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+o as (select a.doc_id as a, b.doc_id as b, count(*) as o from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+e as (select a, b from o join n x on x.doc_id = a join n y on y.doc_id = b where 100 * o >= 85 * (x.n + y.n - o)),
+r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a),
+c as (select a, min(b) as c from r group by a)
+select w.doc_id, coalesce(n.n, 0) as n_shingles, least(w.doc_id, coalesce(c.c, w.doc_id)) as component_id
+from w left join n using (doc_id) left join c on c.a = w.doc_id"""
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.find_leaks(docs, decontam.train(docs, table(spark, sf_dir, "benchmark")))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held = langid.fold("doc_id", 4) == 2
@@ -64,6 +87,24 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(rows, model, keep=["doc_id", "held_out"])
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = phrases.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL6 = """
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+p as (select doc_id, unnest(range(1, len(w) - 18)) as s, w from w where len(w) >= 20),
+h as (select doc_id, s, md5(array_to_string(w[s:s + 19], ' ')) as h from p),
+l as (select doc_id, s from h qualify row_number() over (partition by h order by doc_id, s) > 1),
+c as (select distinct doc_id, s + k as i from l, range(20) r(k)),
+x as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from w),
+k as (select x.doc_id, string_agg(case when c.i is null then word end, ' ' order by x.i) as kept, count(c.i) as n_removed
+      from x left join c on c.doc_id = x.doc_id and c.i = x.i group by x.doc_id)
+select w.doc_id, len(w.w)::bigint as n_words, coalesce(k.n_removed, 0)::bigint as n_removed, sha256(coalesce(k.kept, '')) as kept_sha256
+from w left join k using (doc_id)"""
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -97,7 +138,10 @@ def registry() -> dict:
     return {
         "op1_url_filters": (op1_url_filters, SQL1),
         "op2_training_order": (op2_training_order, None),
+        "op3_ngram_jaccard": (op3_ngram_jaccard, SQL3),
+        "op4_decontamination": (op4_decontamination, None),
         "op5_language_id": (op5_language_id, None),
+        "op6_substring_dedup": (op6_substring_dedup, SQL6),
         "op7_packing": (op7_packing, None),
         "op8_toxicity": (op8_toxicity, None),
         "op9_exact_topk": (op9_exact_topk, SQL9),
