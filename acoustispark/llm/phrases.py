@@ -73,22 +73,30 @@ def _by_fragment(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def occurrences(words: np.ndarray, phrases: np.ndarray, anchor: int) -> np.ndarray:
-    """Last places of all occurrences of the phrases that start at the places ``phrases``, by an automaton in which a
-    word is one character; words outside all phrases share a character."""
+    """Last places of all occurrences of the phrases that start at the places ``phrases``, by an automaton.
+
+    A word of a phrase is spelled with three characters, one from each of three alphabets of 64, so a state has few
+    successors and no match can start inside a word; all other words are one further character.
+    """
     if not len(phrases):
         return np.empty(0, dtype=np.int64)
-    inside = words[(phrases[:, None] + np.arange(anchor)).ravel()]
-    alphabet = np.unique(inside)
+    alphabet = np.unique(words[(phrases[:, None] + np.arange(anchor)).ravel()])
     at = np.minimum(np.searchsorted(alphabet, words), len(alphabet) - 1)
-    # beyond the code points characters are shared: then more places are found, and step 3 sorts them out
-    code = np.where(alphabet[at] == words, at % 1_000_000 + 2, 1).astype("<u4")
-    code[code >= 0xD800] += 0x800
-    text = code.tobytes().decode("utf-32-le")
+    known = alphabet[at] == words
+    at %= 64 ** 3  # beyond that, words share a spelling: more places are found, and step 3 sorts them out
+    spelled = np.stack([0x100 + (at >> 12), 0x200 + (at >> 6 & 63), 0x300 + (at & 63)], axis=1).astype("<u4")
+    spelled[~known, 0] = 0x50
+    inside = np.ones(spelled.shape, dtype=bool)
+    inside[~known, 1:] = False
+    text = spelled[inside].tobytes().decode("utf-32-le")
+    width = np.where(known, 3, 1)
+    first = np.cumsum(width) - width
     machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for p in phrases.tolist():
-        machine.add_word(text[p:p + anchor])
+    for p in first[phrases].tolist():
+        machine.add_word(text[p:p + 3 * anchor])
     machine.make_automaton()
-    return np.fromiter((end for end, _ in machine.iter(text)), dtype=np.int64)
+    ends = np.fromiter((end for end, _ in machine.iter(text)), dtype=np.int64)
+    return np.searchsorted(first, ends, side="right") - 1
 
 
 def candidate_windows(words: np.ndarray, valid: np.ndarray, ends: np.ndarray, window: int, anchor: int) -> np.ndarray:
