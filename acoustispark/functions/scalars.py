@@ -170,15 +170,18 @@ def parse_bool(j, default: bool = True) -> Column:
 
 
 def coerce_int(j) -> Column:
-    """``int(value)``: integer strings parse, ``"3.7"`` does not, 3.7 truncates to 3, booleans are 0/1;
-    NULL = the conversion fails (the caller keeps the old value)."""
+    """``int(value)`` as DECIMAL(38,0): integer strings parse, ``"3.7"`` does not, 3.7 truncates to 3, booleans are 0/1;
+    NULL = the conversion fails or has more than 38 digits (the caller keeps the old value)."""
     j = _c(j)
     k = json_kind(j)
     v = F.try_parse_json(j)
     s = json_string_value(j)
-    return (F.when(k == "number", F.try_variant_get(v, "$", "double").cast("bigint"))
-            .when(k == "boolean", F.try_variant_get(v, "$", "boolean").cast("bigint"))
-            .when((k == "string") & s.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(s).cast("bigint")))
+    d = F.try_variant_get(v, "$", "double")
+    whole = r"^\s*[+-]?[0-9]+\s*$"
+    return (F.when((k == "number") & j.rlike(whole), F.trim(j).try_cast("decimal(38,0)"))
+            .when(k == "number", (d - d % F.lit(1.0)).try_cast("decimal(38,0)"))
+            .when(k == "boolean", F.try_variant_get(v, "$", "boolean").cast("int").cast("decimal(38,0)"))
+            .when((k == "string") & s.rlike(whole), F.trim(s).try_cast("decimal(38,0)")))
 
 
 def coerce_float(j) -> Column:
@@ -190,7 +193,7 @@ def coerce_float(j) -> Column:
     num = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|inf|infinity|nan)\s*$"
     return (F.when(k == "number", F.try_variant_get(v, "$", "double"))
             .when(k == "boolean", F.try_variant_get(v, "$", "boolean").cast("double"))
-            .when((k == "string") & F.lower(s).rlike(num), F.trim(s).cast("double")))
+            .when((k == "string") & F.lower(s).rlike(num), F.trim(s).try_cast("double")))
 
 
 def coerce_str(j) -> Column:
@@ -208,7 +211,8 @@ def split_list(s) -> Column:
 
 
 def split_int_list(s) -> Column:
-    return F.transform(split_list(s), lambda x: x.cast("int"))
+    """Comma list -> integers; an item that is none gives a NULL element."""
+    return F.transform(split_list(s), lambda x: x.try_cast("int"))
 
 
 def sentinel_null(x, sentinel: float = -999.0) -> Column:
@@ -222,8 +226,8 @@ def empty_null(s) -> Column:
 
 
 def parse_bin_value(s) -> Column:
-    """``"0.5m"`` -> 0.5, ``"10s"`` -> 10.0, ``"0.5nmi"`` -> 0.5."""
-    return F.regexp_extract(_c(s), r"^\s*([0-9.]+)\s*([A-Za-z]*)\s*$", 1).cast("double")
+    """``"0.5m"`` -> 0.5, ``"10s"`` -> 10.0, ``"0.5nmi"`` -> 0.5; NULL without a number."""
+    return F.regexp_extract(_c(s), r"^\s*([0-9.]+)\s*([A-Za-z]*)\s*$", 1).try_cast("double")
 
 
 def parse_bin_unit(s) -> Column:
@@ -270,12 +274,36 @@ def thousands(n) -> Column:
     return F.format_number(_c(n), 0)
 
 
+def iso_text(ts) -> Column:
+    """ISO text of a timestamp: six decimals of a second, none when they are zero."""
+    t = _c(ts)
+    fine = F.date_format(t, "SSSSSS")
+    base = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(fine == "000000", base).otherwise(F.concat(base, F.lit("."), fine))
+
+
+def to_native(df, columns: list[str]) -> Column:
+    """JSON text of the named columns as plain values: NaN and infinities become null, timestamps ISO text, and NULL
+    fields stay as null."""
+    parts = []
+    for name in columns:
+        kind = df.schema[name].dataType.typeName()
+        c = F.col(name)
+        parts.append((finite(c) if kind in ("double", "float") else iso_text(c) if kind.startswith("timestamp") else c).alias(name))
+    return F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
+
+
+def finite(x) -> Column:
+    """NULL for NaN and infinities."""
+    c = _c(x)
+    return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
+
+
 def location_message(lat, lon, ts, knots) -> Column:
     """``{"location":{"lat":..,"lon":..},"timestamp":ISO,"speed_knots":..}`` as JSON text."""
     return F.to_json(F.struct(
         F.struct(_c(lat).alias("lat"), _c(lon).alias("lon")).alias("location"),
-        F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        _c(knots).alias("speed_knots")))
+        iso_text(ts).alias("timestamp"), _c(knots).alias("speed_knots")))
 
 
 FOUR_PI_NMI2 = 4.0 * math.pi * 1852.0 ** 2

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from acoustispark.operators.util import broadcast_if_small
+from acoustispark.operators.pings import segment_keys
 
 # Fixed values that must equal the reference's behaviour ----------------------------------------------------
 # Channel defaults used when the service sends the field missing *or zero* (Python ``x or default``).
@@ -51,20 +51,21 @@ def channel_cal(raw_cal: DataFrame) -> DataFrame:
     return out.withColumn("transducer_name", F.coalesce(F.nullif(tn, F.lit("")), F.lit(TRANSDUCER_DEFAULT)))
 
 
-def join_channel_cal(pings: DataFrame, cal: DataFrame, max_channels: int = 100_000) -> DataFrame:
+def join_channel_cal(pings: DataFrame, cal: DataFrame) -> DataFrame:
     """Attach per-channel parameters; pings of an unknown channel are dropped (inner join).
 
-    The calibration side is one row per transducer channel; it is broadcast only after its row count is
-    checked against ``max_channels`` (otherwise a shuffle join).
+    A plain join: Spark's byte threshold and AQE decide how the calibration side travels.
     """
-    return pings.join(broadcast_if_small(cal, max_channels), "channel_id", "inner")
+    return pings.join(cal, "channel_id", "inner")
 
 
 def explode_samples(pings: DataFrame, array_col: str = "samples", value_col: str = "raw") -> DataFrame:
-    """Array payload -> one row per range sample (``range_sample`` = 0-based position)."""
-    keep = [c for c in pings.columns if c != array_col]
-    return pings.select(*keep, F.posexplode(array_col).alias("range_sample", value_col)) \
-        .withColumn("range_sample", F.col("range_sample").cast("int"))
+    """Array payload -> one row per range sample (``range_sample`` = 0-based position); split-beam counts beside the
+    payload come along."""
+    along = [c for c in ("angle_along", "angle_athwart") if c in pings.columns]
+    keep = [c for c in pings.columns if c not in (array_col, *along)]
+    out = pings.select(*keep, F.posexplode(F.arrays_zip(F.col(array_col).alias(value_col), *along)).alias("range_sample", "_z"))
+    return out.select(*keep, F.col("range_sample").cast("int").alias("range_sample"), *[F.col(f"_z.{c}").alias(c) for c in (value_col, *along)])
 
 
 def sv_from_power(raw, r, c, f, pt, tau, eba, gain, sa, alpha):
@@ -87,7 +88,7 @@ def compute_sv(pings: DataFrame, cal: DataFrame) -> DataFrame:
     """``pings(platform, channel_id, ping_time, samples ARRAY<SMALLINT>, ...)`` + calibration -> long Sv table
     ``(..., channel_id, ping_time, range_sample, echo_range, sv, frequency_nominal)``.
 
-    Exploding happens after the broadcast join, so the join moves one row per ping, not per sample.
+    Exploding happens after the join, so the join moves one row per ping, not per sample. Split-beam counts stay.
     """
     j = join_channel_cal(pings, cal)
     x = explode_samples(j)
@@ -99,82 +100,84 @@ def compute_sv(pings: DataFrame, cal: DataFrame) -> DataFrame:
     base = [c for c in pings.columns if c not in ("samples",)]
     extra = [c for c in ("angle_along", "angle_athwart") if c in base]
     base = [c for c in base if c not in extra]
-    return x.select(*base, "range_sample", "echo_range", sv.alias("sv"), F.col("frequency").alias("frequency_nominal"))
+    return x.select(*base, "range_sample", "echo_range", sv.alias("sv"), F.col("frequency").alias("frequency_nominal"), *extra)
 
 
-def add_depth(samples: DataFrame, depth_offset: float = 0.0, tilt: float = 0.0, downward: bool = True,
+def add_depth(pings: DataFrame, depth_offset: float = 0.0, tilt: float = 0.0, downward: bool = True,
               range_col: str = "echo_range") -> DataFrame:
-    """``depth = depth_offset + echo_range * cos(tilt) * (+1 downward / -1 upward)`` [def]."""
-    sign = 1.0 if downward else -1.0
-    return samples.withColumn(
-        "depth", F.lit(float(depth_offset)) + F.col(range_col) * F.lit(math.cos(math.radians(tilt)) * sign))
-
-
-def add_splitbeam_angle(samples: DataFrame, angles: DataFrame | None, cal: DataFrame) -> DataFrame:
-    """Along/athwart-ship physical angles (degrees) from electrical angle counts [lit: Demer et al. 2015]:
-    ``count * 180/128 / sensitivity - offset``. ``angles`` holds ``(channel_id, ping_time, range_sample,
-    angle_along, angle_athwart)``; without it (or without the calibration columns) the input passes through."""
-    need = {"angle_sensitivity_alongship", "angle_sensitivity_athwartship", "angle_offset_alongship",
-            "angle_offset_athwartship"}
-    if angles is None or not need.issubset(set(cal.columns)):
-        return samples
-    c = broadcast_if_small(cal.select("channel_id", *sorted(need)), 100_000)
-    a = angles.join(c, "channel_id").select(
-        "channel_id", "ping_time", "range_sample",
-        (F.col("angle_along") * F.lit(ANGLE_STEP_DEG) / F.col("angle_sensitivity_alongship")
-         - F.col("angle_offset_alongship")).alias("angle_alongship"),
-        (F.col("angle_athwart") * F.lit(ANGLE_STEP_DEG) / F.col("angle_sensitivity_athwartship")
-         - F.col("angle_offset_athwartship")).alias("angle_athwartship"))
-    return samples.join(a, ["channel_id", "ping_time", "range_sample"], "left")
-
-
-def drop_empty_pings(samples: DataFrame, ping_keys=("platform", "segment", "ping_time")) -> DataFrame:
-    """Keep a ping when *any* channel has *any* non-missing sample (``dropna(how='all')`` along ping_time).
-
-    Left semi join against the distinct set of pings holding data: the set is (pings) rows, the partial
-    aggregation keeps the shuffle at one row per (task, ping).
-    """
-    live = samples.where(F.col("sv").isNotNull()).select(*ping_keys).distinct()
-    return samples.join(live, list(ping_keys), "left_semi")
+    """``depth = depth_offset + echo_range * cos(tilt) * (+1 downward / -1 upward)`` [def], on ping rows."""
+    k = F.lit(math.cos(math.radians(tilt)) * (1.0 if downward else -1.0))
+    return pings.withColumn("depth", F.transform(range_col, lambda r: F.lit(float(depth_offset)) + r * k))
+
+
+# calibration columns of the angle conversion
+ANGLE_CAL = ("angle_sensitivity_alongship", "angle_sensitivity_athwartship", "angle_offset_alongship", "angle_offset_athwartship")
+
+
+def add_splitbeam_angle(pings: DataFrame, cal: DataFrame) -> DataFrame:
+    """Along/athwart-ship physical angles (degrees) from the ping rows' electrical angle counts ``angle_along`` and
+    ``angle_athwart`` [lit: Demer et al. 2015]: ``count * 180/128 / sensitivity - offset``. Without the counts or the
+    calibration columns the input passes through; pings of an unknown channel get no angles."""
+    if not {"angle_along", "angle_athwart"} <= set(pings.columns) or not set(ANGLE_CAL) <= set(cal.columns):
+        return pings
+    key = "channel_id" if "channel_id" in pings.columns else "channel"
+    j = pings.join(cal.select(F.col("channel_id").alias(key), *ANGLE_CAL), key, "left")
+    deg = lambda c, side: F.transform(c, lambda x: x * F.lit(ANGLE_STEP_DEG) / F.col(f"angle_sensitivity_{side}") - F.col(f"angle_offset_{side}"))
+    return j.withColumn("angle_alongship", deg("angle_along", "alongship")).withColumn(
+        "angle_athwartship", deg("angle_athwart", "athwartship")).drop(*ANGLE_CAL, "angle_along", "angle_athwart")
 
 
-def correct_echo_range(samples: DataFrame, depth_offset: float | None, keys=("platform", "segment"),
-                       range_col: str = "echo_range") -> DataFrame:
+def drop_empty_pings(pings: DataFrame) -> DataFrame:
+    """Keep a ping when *any* channel has *any* non-missing sample (``dropna(how='all')`` along ping_time): a row-local
+    test, spread over the channels of a ping by a window."""
+    w = Window.partitionBy(*segment_keys(pings), "ping_time")
+    live = F.exists("sv", lambda x: x.isNotNull())
+    return pings.withColumn("_live", F.max(live).over(w)).where(F.col("_live")).drop("_live")
+
+
+def correct_echo_range(pings: DataFrame, depth_offset: float | None, range_col: str = "echo_range") -> DataFrame:
     """Range axis of the first channel (smallest ``channel_index``) at the first ping, plus ``depth_offset``,
     applied to every channel and ping of the segment; samples whose axis value is missing are removed.
 
-    Adds ``range_axis``; adds ``depth`` = ``range_axis`` when the input has no depth. Without an offset or
-    without the range column the input passes through. The axis (range samples x segments) meets the samples
-    in a join that AQE broadcasts when it is small.
+    Adds ``range_axis`` and ``range_sample`` (arrays of the samples kept); adds ``depth`` = ``range_axis`` when the input
+    has no depth. Without an offset or without the range column the input passes through. The axis comes from a window
+    over the pings of the segment; the rest is row-local.
     """
-    if depth_offset is None or range_col not in samples.columns:
-        return samples
-    first = samples.groupBy(*keys).agg(F.min(F.struct("channel_index", "ping_time")).alias("_f"))
-    axis = (samples.join(first, list(keys))
-            .where((F.col("channel_index") == F.col("_f.channel_index")) & (F.col("ping_time") == F.col("_f.ping_time")))
-            .select(*keys, "range_sample", (F.col(range_col) + F.lit(float(depth_offset))).alias("range_axis")))
-    out = samples.join(axis, [*keys, "range_sample"], "inner").where(F.col("range_axis").isNotNull())
-    if "depth" not in samples.columns:
+    if depth_offset is None or range_col not in pings.columns:
+        return pings
+    from acoustispark.operators.pings import array_columns
+    w = Window.partitionBy(*segment_keys(pings)).orderBy("channel_index", "ping_time").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    out = pings.withColumn("_axis", F.first(range_col).over(w))
+    arrays = [c for c in array_columns(pings) if c != "range_axis"]
+    z = F.transform(F.arrays_zip(*arrays), lambda x, i: F.struct(
+        *[x[c].alias(c) for c in arrays], (F.get("_axis", i) + F.lit(float(depth_offset))).alias("range_axis"), i.alias("range_sample")))
+    out = out.withColumn("_z", F.filter(z, lambda x: x["range_axis"].isNotNull()))
+    for c in (*arrays, "range_axis", "range_sample"):
+        out = out.withColumn(c, F.col("_z")[c])
+    if "depth" not in pings.columns:
         out = out.withColumn("depth", F.col("range_axis"))
-    return out
+    return out.drop("_axis", "_z")
+
+
+def _trimmed(c: Column) -> Column:
+    """Without trailing missing elements."""
+    last = F.array_max(F.transform(c, lambda x, i: F.when(x.isNotNull(), i + 1)))
+    return F.slice(c, F.lit(1), F.coalesce(last, F.lit(0)))
 
 
-def depth_axis(samples: DataFrame, keys=("platform", "segment", "channel")) -> DataFrame:
-    """1-D vertical axis per channel for plotting: ``depth`` when the channel has any, else ``echo_range``,
-    taken at the channel's first ping, trailing missing values trimmed; channels with fewer than 2 values
-    are dropped. Output: ``keys, range_sample, axis``."""
-    first = samples.groupBy(*keys).agg(F.min("ping_time").alias("_t0"),
-                                       F.max(F.col("depth").isNotNull()).alias("_has_depth"))
-    at0 = (samples.join(first, list(keys)).where(F.col("ping_time") == F.col("_t0"))
-           .select(*keys, "range_sample",
-                   F.when(F.col("_has_depth"), F.col("depth")).otherwise(F.col("echo_range")).alias("axis")))
-    w = Window.partitionBy(*keys)
-    last_valid = F.max(F.when(F.col("axis").isNotNull(), F.col("range_sample"))).over(w)
-    trimmed = at0.withColumn("_last", last_valid).where(F.col("range_sample") <= F.col("_last")).drop("_last")
-    return (trimmed.withColumn("_n", F.count(F.lit(1)).over(w)).where(F.col("_n") > 1).drop("_n"))
+def depth_axis(pings: DataFrame) -> DataFrame:
+    """1-D vertical axis per channel for plotting, taken at the channel's *first ping*: ``depth`` if it has more than one
+    value there (trailing missing ones trimmed), else ``echo_range`` by the same rule; channels with neither are
+    dropped. Output: ``keys, channel, range_sample, axis``."""
+    keys = (*segment_keys(pings), "channel")
+    first = pings.groupBy(*keys).agg(F.min_by(F.struct("depth", "echo_range"), F.col("ping_time")).alias("f"))
+    d, r = _trimmed(F.col("f.depth")), _trimmed(F.col("f.echo_range"))
+    axis = F.when(F.size(d) > 1, d).when(F.size(r) > 1, r)
+    return first.select(*keys, F.posexplode(axis).alias("range_sample", "axis"))
 
 
-def product_select(df: DataFrame, keys=("platform", "segment")) -> DataFrame:
+def product_select(pings: DataFrame) -> DataFrame:
     """Rows of the first channel (smallest ``channel_index``) of each segment."""
-    first = df.groupBy(*keys).agg(F.min("channel_index").alias("channel_index"))
-    return df.join(first, [*keys, "channel_index"], "left_semi")
+    w = Window.partitionBy(*segment_keys(pings))
+    return pings.withColumn("_c", F.min("channel_index").over(w)).where(F.col("channel_index") == F.col("_c")).drop("_c")

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from acoustispark.functions import scalars as fn
 
 # Fixed values that must equal the reference's behaviour -----------------------------------------------------------
-DEFAULT_DAY_STAGES = ["denoise", "mvbs", "nasc", "echograms"]
+# answer texts
+NO_PATHS, BAD_DATE, NO_SEGMENTS = "no paths specified", "invalid date: ", "no segments for "
+NO_CONFIG, UNKNOWN = "no config provided", "unknown command: "
 COMMANDS = ["process_raw_files", "process_day", "get_status", "set_config"]
 # ---------------------------------------------------------------------------------------------------------------------
 
@@ -30,11 +32,11 @@ def commands_dispatch(commands: DataFrame, store_days: DataFrame) -> DataFrame:
               .when(cmd == "set_config", F.when(F.coalesce(F.size(cfg_keys), F.lit(0)) <= 0, "error").otherwise("ok"))
               .otherwise("error"))
     date_txt = F.coalesce(F.col("date"), F.lit(""))
-    reason = (F.when(cmd == "process_raw_files", F.when(n_paths == 0, F.lit("no paths specified")))
-              .when(cmd == "process_day", F.when(F.col("_pd").isNull(), F.concat(F.lit("invalid date: "), date_txt))
-                    .when(F.col("_has").isNull(), F.concat(F.lit("no segments for "), date_txt)))
-              .when(cmd == "set_config", F.when(F.coalesce(F.size(cfg_keys), F.lit(0)) <= 0, F.lit("no config provided")))
-              .when(~cmd.isin(COMMANDS) | cmd.isNull(), F.concat(F.lit("unknown command: "), F.coalesce(cmd, F.lit("")))))
+    reason = (F.when(cmd == "process_raw_files", F.when(n_paths == 0, F.lit(NO_PATHS)))
+              .when(cmd == "process_day", F.when(F.col("_pd").isNull(), F.concat(F.lit(BAD_DATE), date_txt))
+                    .when(F.col("_has").isNull(), F.concat(F.lit(NO_SEGMENTS), date_txt)))
+              .when(cmd == "set_config", F.when(F.coalesce(F.size(cfg_keys), F.lit(0)) <= 0, F.lit(NO_CONFIG)))
+              .when(~cmd.isin(COMMANDS) | cmd.isNull(), F.concat(F.lit(UNKNOWN), F.coalesce(cmd, F.lit("")))))
     return c.select("command_id", "command", status.alias("status"), reason.alias("reason"),
                     F.when((cmd == "process_raw_files") & (n_paths > 0), n_paths).alias("files_queued"),
                     F.when(cmd == "set_config", F.array_join(cfg_keys, ",")).alias("updated_keys"))

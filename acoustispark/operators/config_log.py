@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from acoustispark.functions import scalars as fn
-from acoustispark.operators.util import fill_forward
+from acoustispark.operators.util import fill_forward_many
 
 # Fixed values that must equal the reference's behaviour ------------------------------------------------------------
 # (field, type, default) of the processing configuration, in declaration order
@@ -72,49 +72,42 @@ def typed_value(field: Column, j: Column) -> Column:
             .when(field.isin(by_type["str"]), fn.coerce_str(j)))
 
 
-def config_writes(patches: DataFrame) -> DataFrame:
-    """``(device, ts, event_id, key, raw_json)`` -> ``(device, ts, event_id, field, value)`` of the known fields."""
+def _wide_writes(patches: DataFrame, fields: list[str]) -> DataFrame:
+    """One row per (device, ts, event_id) with one column per field: what the event writes, else NULL."""
     field = _field_name(F.col("key"))
     j = fn.unwrap_value("raw_json")
-    return (patches.select("device", "ts", "event_id", field.alias("field"), j.alias("_j"))
-            .where(F.col("field").isin(list(FIELD_TYPES)))
-            .select("device", "ts", "event_id", "field", typed_value(F.col("field"), F.col("_j")).alias("value")))
+    typed = patches.select("device", "ts", "event_id", field.alias("_field"), typed_value(field, j).alias("_value"))
+    return typed.groupBy("device", "ts", "event_id").agg(*[F.max(F.when(F.col("_field") == f, F.col("_value"))).alias(f) for f in fields])
+
+
+def _with_defaults(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    return df.select(*keys, *[F.coalesce(F.col(f), F.lit(FIELD_DEFAULTS[f])).alias(f) for f in fields])
 
 
 def config_fold(patches: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """Effective configuration after every patch event, long form ``(device, ts, event_id, field, value)``.
+    """Effective configuration after every patch event: ``device, ts, event_id`` and one text column per field.
 
-    Each version row is expanded over the (fixed, small) field list by ``explode`` - no join - and the last
-    written value per (device, field) is carried forward with day-bounded windows.
+    An event is one row; the last written value of every field is carried forward by one window per (device, day) and
+    one over the days.
     """
     fields = fields or [n for n, _, _ in CONFIG_FIELDS]
-    writes = config_writes(patches)
-    versions = patches.select("device", "ts", "event_id").distinct()
-    grid = versions.select("*", F.explode(F.array(*[F.lit(f) for f in fields])).alias("field"))
-    g = grid.join(writes, ["device", "ts", "event_id", "field"], "left").withColumn("_day", F.to_date("ts"))
-    g = fill_forward(g, ("device", "field"), "_day", ("ts", "event_id"), "value", "_eff")
-    default = F.lit(None).cast("string")
-    for f in fields:
-        default = F.when(F.col("field") == f, F.lit(FIELD_DEFAULTS[f])).otherwise(default)
-    return g.select("device", "ts", "event_id", "field", F.coalesce(F.col("_eff"), default).alias("value"))
-
-
-def config_wide(folded: DataFrame, fields: list[str]) -> DataFrame:
-    """Long effective configuration -> one row per version with one column per field (pivot on a fixed list)."""
-    return (folded.groupBy("device", "ts", "event_id").pivot("field", fields).agg(F.first("value")))
+    g = _wide_writes(patches, fields).withColumn("_day", F.to_date("ts"))
+    return _with_defaults(fill_forward_many(g, ("device",), "_day", ("ts", "event_id"), fields), ["device", "ts", "event_id"], fields)
 
 
-def config_as_of(batches: DataFrame, patches: DataFrame, fields: list[str], ts: str = "ts") -> DataFrame:
+def config_as_of(batches: DataFrame, patches: DataFrame, fields: list[str] | None = None, ts: str = "ts") -> DataFrame:
     """The configuration each batch ran under: one snapshot per batch, the state after the last patch at or
     before the batch start (defaults when there is none). ``batches``: ``device, ts, event_id``."""
-    writes = config_writes(patches).where(F.col("field").isin(fields))
+    fields = fields or [n for n, _, _ in CONFIG_FIELDS]
+    w = _wide_writes(patches, fields).withColumnRenamed("ts", ts).withColumn("_side", F.lit(0))
     b = batches.select("device", ts, "event_id", F.lit(1).alias("_side"))
-    grid_b = b.select("*", F.explode(F.array(*[F.lit(f) for f in fields])).alias("field"))
-    w = writes.select("device", F.col("ts").alias(ts), "event_id", F.lit(0).alias("_side"), "field", "value")
-    u = grid_b.withColumn("value", F.lit(None).cast("string")).unionByName(w).withColumn("_day", F.to_date(ts))
-    u = fill_forward(u, ("device", "field"), "_day", (ts, "_side", "event_id"), "value", "_eff")
-    default = F.lit(None).cast("string")
-    for f in fields:
-        default = F.when(F.col("field") == f, F.lit(FIELD_DEFAULTS[f])).otherwise(default)
-    return (u.where(F.col("_side") == 1)
-            .select("device", ts, "event_id", "field", F.coalesce(F.col("_eff"), default).alias("value")))
+    u = w.unionByName(b, allowMissingColumns=True).withColumn("_day", F.to_date(ts))
+    u = fill_forward_many(u, ("device",), "_day", (ts, "_side", "event_id"), fields)
+    return _with_defaults(u.where(F.col("_side") == 1), ["device", ts, "event_id"], fields)
+
+
+def settings(row) -> dict:
+    """A folded configuration row (a ``Row`` or dict of texts) as typed job settings."""
+    d = row.asDict() if hasattr(row, "asDict") else dict(row)
+    kinds = {"bool": lambda x: x == "true", "int": int, "float": float, "str": str}
+    return {n: kinds[t](d[n] if d.get(n) is not None else default) for n, t, default in CONFIG_FIELDS}

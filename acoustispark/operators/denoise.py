@@ -1,11 +1,11 @@
-"""Noise removal on long Sv tables: background (De Robertis & Higginbottom 2007), transient, impulse and
-attenuated-signal (Ryan et al. 2015), and the configurable chain.
+"""Noise removal on ping rows: background (De Robertis & Higginbottom 2007), transient, impulse and attenuated signal
+(Ryan et al. 2015), and the configurable chain.
 
-Every method aggregates *before* it windows: the sample table is reduced to (ping x vertical bin) cells by a
-partial hash aggregation, the ping windows run over those cells (partitioned by segment, channel and bin, so each
-window partition is one bounded strip of a segment), and the resulting flags meet the samples again in one join.
+Every method reduces a ping to a short array of vertical cells inside its row, looks at the cells of the neighbouring
+pings through a window over ping numbers, and clears samples inside the row again. All windows are partitioned by
+(a prefix of) platform, segment and channel, so the chain reads its source once, shuffles once and joins nothing.
 
-Input columns: ``platform, segment, channel, ping_time, range_sample, echo_range, depth, sv``.
+Input: ping rows (see ``operators.pings``) with ``channel``, ``ping_time``, ``sv``, ``echo_range`` and ``depth``.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from acoustispark.functions import scalars as fn
-
-SEG = ("platform", "segment", "channel")
+from acoustispark.operators.pings import around, bin_sums, median, segment_keys, with_ping_index
 
 
 @dataclass
@@ -28,6 +27,7 @@ class DenoiseParams:
     num_side_pings: int = 25
     snr_threshold: float = 3.0
     noise_max: float | None = None      # -999 in the configuration means "none"
+    mode: str = "block"                 # "block": blocks of ping_window; "sliding": num_side_pings on either side
     # transient_*
     transient_exclude_above: float = 250.0
     transient_depth_bin: float = 5.0
@@ -45,19 +45,28 @@ class DenoiseParams:
     attenuation_side_pings: int = 15
 
 
-def with_ping_index(samples: DataFrame, keys=("platform", "segment")) -> DataFrame:
-    """0-based ping position within the segment (a window over the distinct pings of one segment)."""
-    if "ping_index" in samples.columns:
-        return samples
-    pings = samples.select(*keys, "ping_time").distinct()
-    idx = pings.withColumn("ping_index", F.row_number().over(Window.partitionBy(*keys).orderBy("ping_time")) - 1)
-    return samples.join(idx, [*keys, "ping_time"])
+#: Thresholds that a frequency table may set; window sizes are the same for all frequencies.
+FREQUENCY_PARAMS = ("snr_threshold", "noise_max", "transient_threshold_db", "impulse_threshold_db", "attenuation_threshold")
+
+
+def with_frequency_params(pings: DataFrame, table: DataFrame, pulse_length: str | None = None) -> DataFrame:
+    """Attach the parameter set of each ping's ``frequency_nominal`` (and of ``pulse_length``, if the table has that
+    column): columns ``param_<name>``, NULL where the table says nothing, so the common value holds."""
+    t = table
+    if "pulse_length" in t.columns:
+        t = t.where(F.col("pulse_length").eqNullSafe(F.lit(pulse_length))).drop("pulse_length")
+    names = [c for c in FREQUENCY_PARAMS if c in t.columns]
+    t = t.groupBy("frequency_nominal").agg(*[F.max(c).alias(f"param_{c}") for c in names])
+    return pings.join(t, "frequency_nominal", "left")
 
 
-def _alpha(samples: DataFrame, absorption) -> Column:
-    if isinstance(absorption, str):
-        return F.col(absorption)
-    return F.lit(float(absorption or 0.0))
+def _param(pings: DataFrame, name: str, value) -> Column:
+    common = F.lit(None).cast("double") if value is None else F.lit(float(value))
+    return F.coalesce(F.col(f"param_{name}"), common) if f"param_{name}" in pings.columns else common
+
+
+def _alpha(absorption) -> Column:
+    return F.col(absorption) if isinstance(absorption, str) else F.lit(float(absorption or 0.0))
 
 
 def tvg(r: Column, alpha: Column) -> Column:
@@ -65,90 +74,114 @@ def tvg(r: Column, alpha: Column) -> Column:
     return F.lit(20.0) * F.log10(F.greatest(r, F.lit(1.0))) + F.lit(2.0) * alpha * r
 
 
-def background(samples: DataFrame, p: DenoiseParams = DenoiseParams(), absorption=0.0) -> DataFrame:
-    """Background noise removal [lit: De Robertis & Higginbottom 2007], block form.
+def background(pings: DataFrame, p: DenoiseParams = DenoiseParams(), absorption=0.0) -> DataFrame:
+    """Background noise removal [lit: De Robertis & Higginbottom 2007].
 
-    ``P = sv - TVG``; mean of linear P per (ping block of ``ping_window``, range block of ``range_window``);
-    noise (dB) per ping block = the smallest block mean over range blocks, capped at ``noise_max``;
-    ``sv' = 10log10(10^(sv/10) - 10^((noise+TVG)/10))``, NULL where the difference is <= 0 or
-    ``sv' - (noise + TVG) < snr_threshold``. Adds ``noise``; replaces ``sv``.
+    ``P = sv - TVG``; mean of linear P per block of ``range_window`` samples over the pings of a block of ``ping_window``
+    (mode ``block``) or over ``num_side_pings`` pings on either side (mode ``sliding``) [def]; noise (dB) = the smallest
+    of these means over the range, capped at ``noise_max``; ``sv' = 10log10(10^(sv/10) - 10^((noise+TVG)/10))``, NULL where
+    the difference is <= 0 or ``sv' - (noise + TVG) < snr_threshold``. Adds ``noise``; replaces ``sv``.
     """
-    s = with_ping_index(samples)
-    s = s.withColumn("_tvg", tvg(F.col("echo_range"), _alpha(s, absorption))) \
-         .withColumn("_pb", F.floor(F.col("ping_index") / F.lit(p.ping_window))) \
-         .withColumn("_rb", F.floor(F.col("range_sample") / F.lit(p.range_window)))
-    blocks = (s.where(F.col("sv").isNotNull())
-              .groupBy(*SEG, "_pb", "_rb").agg(F.avg(fn.db_to_linear(F.col("sv") - F.col("_tvg"))).alias("_m")))
-    noise = blocks.groupBy(*SEG, "_pb").agg(F.min(fn.linear_to_db("_m")).alias("noise"))
-    if p.noise_max is not None:
-        noise = noise.withColumn("noise", F.least(F.col("noise"), F.lit(float(p.noise_max))))
-    j = s.join(noise, [*SEG, "_pb"], "left")
-    floor_db = F.col("noise") + F.col("_tvg")
-    diff = fn.db_to_linear("sv") - fn.db_to_linear(floor_db)
-    corr = F.when(diff > 0, F.lit(10.0) * F.log10(diff))
-    corr = F.when(corr - floor_db >= F.lit(p.snr_threshold), corr)
-    out = j.withColumn("sv", F.when(F.col("noise").isNull(), F.col("sv")).otherwise(corr))
-    return out.drop("_tvg", "_pb", "_rb")
-
-
-def _cell_means(s: DataFrame, bin_col: Column, name: str) -> DataFrame:
-    return (s.where(F.col("sv").isNotNull())
-            .groupBy(*SEG, "ping_time", "ping_index", bin_col.alias(name))
-            .agg(fn.linear_to_db(F.avg(fn.db_to_linear("sv"))).alias("_m")))
-
-
-def transient(samples: DataFrame, p: DenoiseParams = DenoiseParams(), depth_col: str = "depth") -> DataFrame:
-    """Transient noise [lit: Ryan et al. 2015, window form; edges and thresholds def]: per (channel, depth bin,
-    ping) the mean Sv (linear mean, in dB) is compared with the median of the same bin over ``n_pings`` pings on
-    either side; bins starting at or below ``exclude_above`` m depth that exceed it by more than the threshold
-    are removed."""
-    s = with_ping_index(samples)
-    b = F.floor(F.col(depth_col) / F.lit(p.transient_depth_bin))
-    cells = _cell_means(s, b, "_db")
-    w = Window.partitionBy(*SEG, "_db").orderBy("ping_index").rowsBetween(-p.transient_n_pings, p.transient_n_pings)
-    cells = cells.withColumn("_med", F.percentile(F.col("_m"), F.lit(0.5)).over(w))
-    bad = cells.where((F.col("_db") * F.lit(p.transient_depth_bin) >= F.lit(p.transient_exclude_above))
-                      & (F.col("_m") - F.col("_med") > F.lit(p.transient_threshold_db))) \
-        .select(*SEG, "ping_time", "_db", F.lit(True).alias("_bad"))
-    j = s.withColumn("_db", b).join(bad, [*SEG, "ping_time", "_db"], "left")
-    return j.withColumn("sv", F.when(F.col("_bad").isNull(), F.col("sv"))).drop("_db", "_bad")
-
-
-def impulse(samples: DataFrame, p: DenoiseParams = DenoiseParams(), depth_col: str = "depth") -> DataFrame:
-    """Impulse noise [lit: Ryan et al. 2015]: per (channel, vertical bin) the bin mean of a ping is compared with
-    the same bin ``k`` pings before and after, for every lag k of ``ping_lags`` (1..num_lags when empty); a bin
-    exceeding both neighbours by more than the threshold for any lag is removed."""
-    s = with_ping_index(samples)
-    b = F.floor(F.col(depth_col) / F.lit(p.impulse_vertical_bin))
-    cells = _cell_means(s, b, "_vb")
+    s = with_ping_index(pings)
+    a = _alpha(absorption)
+    block = F.transform(F.arrays_zip("sv", "echo_range"), lambda z, i: F.struct(
+        F.floor(i / F.lit(p.range_window)).alias("b"), fn.db_to_linear(z["sv"] - tvg(z["echo_range"], a)).alias("v")))
+    s = s.withColumn("_c", bin_sums(block))
+    if p.mode == "sliding":
+        w = around(s, p.num_side_pings, p.num_side_pings)
+    elif p.mode == "block":
+        s = s.withColumn("_pb", F.floor(F.col("ping_index") / F.lit(p.ping_window)))
+        w = Window.partitionBy(*segment_keys(s), "channel", "_pb")
+    else:
+        raise ValueError(f"unknown background mode: {p.mode}")
+    s = s.withColumn("_w", F.collect_list("_c").over(w))
+    size = F.array_max(F.transform("_w", lambda x: F.size(x)))
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("bigint").alias("n"))
+
+    def mean_db(j: Column) -> Column:
+        total = F.aggregate("_w", zero, lambda acc, x: F.struct(
+            (acc["s"] + F.coalesce(F.get(x, j)["s"], F.lit(0.0))).alias("s"), (acc["n"] + F.coalesce(F.get(x, j)["n"], F.lit(0))).alias("n")),
+            lambda acc: F.when(acc["n"] > 0, acc["s"] / acc["n"]))
+        return fn.linear_to_db(total)
+
+    noise = F.when(size > 0, F.array_min(F.transform(F.sequence(F.lit(0), size - 1), mean_db)))
+    cap = _param(s, "noise_max", p.noise_max)
+    s = s.withColumn("noise", F.when(noise.isNotNull(), F.least(noise, cap)))  # least skips NULL
+    snr = _param(s, "snr_threshold", p.snr_threshold)
+
+    def corrected(sv: Column, r: Column) -> Column:
+        floor_db = F.col("noise") + tvg(r, a)
+        diff = fn.db_to_linear(sv) - fn.db_to_linear(floor_db)
+        out = F.when(diff > 0, F.lit(10.0) * F.log10(diff))
+        return F.when(F.col("noise").isNull(), sv).when(out - floor_db >= snr, out)
+
+    return s.withColumn("sv", F.zip_with("sv", "echo_range", corrected)).drop("_c", "_w", "_pb")
+
+
+def _cells(bin_size: float, first: int, depth_col: str) -> Column:
+    """Mean Sv (linear mean, in dB) per vertical bin, from bin ``first`` on."""
+    items = F.zip_with("sv", depth_col, lambda s, d: F.struct(
+        (F.floor(d / F.lit(bin_size)) - F.lit(first)).alias("b"), fn.db_to_linear(s).alias("v")))
+    return F.transform(bin_sums(items), lambda x: fn.linear_to_db(x["s"] / x["n"]))
+
+
+def _clear(flags: str, bin_size: float, first: int, depth_col: str) -> Column:
+    """``sv`` without the samples of flagged bins."""
+    def keep(s: Column, d: Column) -> Column:
+        i = (F.floor(d / F.lit(bin_size)) - F.lit(first)).cast("int")
+        bad = F.coalesce(i >= 0, F.lit(False)) & F.coalesce(F.get(F.col(flags), i), F.lit(False))
+        return F.when(~bad, s)
+    return F.zip_with("sv", depth_col, keep)
+
+
+def transient(pings: DataFrame, p: DenoiseParams = DenoiseParams(), depth_col: str = "depth") -> DataFrame:
+    """Transient noise [lit: Ryan et al. 2015, window form; edges and thresholds def]: per (channel, depth bin, ping) the
+    mean Sv is compared with the median of the same bin over the pings numbered within ``n_pings`` on either side; bins
+    starting at or below ``exclude_above`` m depth that exceed it by more than the threshold are removed."""
+    s = with_ping_index(pings)
+    size = p.transient_depth_bin
+    first = int(-(-p.transient_exclude_above // size))
+    s = s.withColumn("_c", _cells(size, first, depth_col))
+    s = s.withColumn("_w", F.collect_list("_c").over(around(s, p.transient_n_pings, p.transient_n_pings)))
+    limit = _param(s, "transient_threshold_db", p.transient_threshold_db)
+    s = s.withColumn("_f", F.transform("_c", lambda m, j: m - median(F.transform("_w", lambda x: F.get(x, j))) > limit))
+    return s.withColumn("sv", _clear("_f", size, first, depth_col)).drop("_c", "_w", "_f")
+
+
+def impulse(pings: DataFrame, p: DenoiseParams = DenoiseParams(), depth_col: str = "depth") -> DataFrame:
+    """Impulse noise [lit: Ryan et al. 2015]: per (channel, vertical bin) the bin mean of a ping is compared with the
+    same bin of the pings numbered ``k`` before and after, for every lag k of ``ping_lags`` (1..num_lags when empty); a bin
+    exceeding both by more than the threshold for any lag is removed. A missing neighbour gives no verdict."""
+    s = with_ping_index(pings)
+    size = p.impulse_vertical_bin
+    s = s.withColumn("_c", _cells(size, 0, depth_col))
+    limit = _param(s, "impulse_threshold_db", p.impulse_threshold_db)
     lags = list(p.impulse_ping_lags) or list(range(1, p.impulse_num_lags + 1))
-    w = Window.partitionBy(*SEG, "_vb").orderBy("ping_index")
-    t = F.lit(p.impulse_threshold_db)
-    cond = None
     for k in lags:
-        c = ((F.col("_m") - F.lag("_m", k).over(w) > t) & (F.col("_m") - F.lead("_m", k).over(w) > t))
-        cond = c if cond is None else (cond | c)
-    bad = cells.withColumn("_flag", cond).where(F.col("_flag")) \
-        .select(*SEG, "ping_time", "_vb", F.lit(True).alias("_bad"))
-    j = s.withColumn("_vb", b).join(bad, [*SEG, "ping_time", "_vb"], "left")
-    return j.withColumn("sv", F.when(F.col("_bad").isNull(), F.col("sv"))).drop("_vb", "_bad")
+        s = s.withColumn(f"_b{k}", F.first("_c").over(around(s, k, -k))).withColumn(f"_n{k}", F.first("_c").over(around(s, -k, k)))
+    flag = F.lit(False)
+
+    def high(m: Column, j: Column) -> Column:
+        out = flag
+        for k in lags:
+            out = out | F.coalesce((m - F.get(F.col(f"_b{k}"), j) > limit) & (m - F.get(F.col(f"_n{k}"), j) > limit), F.lit(False))
+        return out
 
+    s = s.withColumn("_f", F.transform("_c", high))
+    return s.withColumn("sv", _clear("_f", size, 0, depth_col)).drop("_c", "_f", *[f"_{x}{k}" for k in lags for x in "bn"])
 
-def attenuation(samples: DataFrame, p: DenoiseParams = DenoiseParams(), depth_col: str = "depth") -> DataFrame:
+
+def attenuation(pings: DataFrame, p: DenoiseParams = DenoiseParams(), depth_col: str = "depth") -> DataFrame:
     """Attenuated signal [lit: Ryan et al. 2015]: the median Sv (dB) of each ping inside the
-    ``upper_limit..lower_limit`` layer is compared with the median of those ping medians over ``side_pings`` pings
-    on either side; when the block median exceeds the ping's by more than the threshold the whole ping (of that
+    ``upper_limit..lower_limit`` layer is compared with the median of those ping medians over the pings numbered within
+    ``side_pings`` on either side; when that exceeds the ping's by more than the threshold the whole ping (of that
     channel) is removed."""
-    s = with_ping_index(samples)
-    layer = s.where(F.col("sv").isNotNull()
-                    & F.col(depth_col).between(p.attenuation_upper_limit, p.attenuation_lower_limit))
-    per_ping = layer.groupBy(*SEG, "ping_time", "ping_index").agg(F.percentile(F.col("sv"), F.lit(0.5)).alias("_pm"))
-    w = Window.partitionBy(*SEG).orderBy("ping_index").rowsBetween(-p.attenuation_side_pings, p.attenuation_side_pings)
-    per_ping = per_ping.withColumn("_bm", F.percentile(F.col("_pm"), F.lit(0.5)).over(w))
-    bad = per_ping.where(F.col("_bm") - F.col("_pm") > F.lit(p.attenuation_threshold)) \
-        .select(*SEG, "ping_time", F.lit(True).alias("_bad"))
-    j = s.join(bad, [*SEG, "ping_time"], "left")
-    return j.withColumn("sv", F.when(F.col("_bad").isNull(), F.col("sv"))).drop("_bad")
+    s = with_ping_index(pings)
+    layer = F.zip_with("sv", depth_col, lambda x, d: F.when(d.between(p.attenuation_upper_limit, p.attenuation_lower_limit), x))
+    s = s.withColumn("_pm", median(layer))
+    s = s.withColumn("_bm", F.percentile("_pm", F.lit(0.5)).over(around(s, p.attenuation_side_pings, p.attenuation_side_pings)))
+    bad = F.coalesce(F.col("_bm") - F.col("_pm") > _param(s, "attenuation_threshold", p.attenuation_threshold), F.lit(False))
+    return s.withColumn("sv", F.when(bad, F.transform("sv", lambda x: F.lit(None).cast("double"))).otherwise(F.col("sv"))).drop("_pm", "_bm")
 
 
 METHODS = {
@@ -169,17 +202,19 @@ def parse_methods(text: str) -> list[str]:
     return names
 
 
-def denoise_chain(samples: DataFrame, methods: str = DEFAULT_METHODS, p: DenoiseParams = DenoiseParams(),
-                  **kw) -> tuple[DataFrame, str]:
-    """Apply the named methods in list order (``df.transform`` composition).
+def denoise(pings: DataFrame, methods: str = DEFAULT_METHODS, p: DenoiseParams = DenoiseParams(), **kw) -> DataFrame:
+    """Apply the named methods in list order; an unknown name is an error."""
+    out = with_ping_index(pings)
+    for m in parse_methods(methods):
+        out = METHODS[m](out, p, kw)
+    return out
 
-    Returns ``(frame, status)``; an unknown method name or a failing method leaves the input undenoised with
-    status ``error: ...`` (the processing goes on), as the configuration's chain does.
-    """
+
+def denoise_chain(pings: DataFrame, methods: str = DEFAULT_METHODS, p: DenoiseParams = DenoiseParams(),
+                  **kw) -> tuple[DataFrame, str]:
+    """``denoise`` with its outcome: ``(frame, "ok")``, or the undenoised input and ``error: ...`` when a name is unknown
+    or a step cannot be planned (the processing goes on, as the configuration's chain does)."""
     try:
-        out = with_ping_index(samples)
-        for m in parse_methods(methods):
-            out = METHODS[m](out, p, kw)
-        return out, "ok"
-    except Exception as e:  # plan-time failure: keep the undenoised data
-        return samples, f"error: {e}"
+        return denoise(pings, methods, p, **kw), "ok"
+    except Exception as e:
+        return pings, f"error: {e}"

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from acoustispark.functions import scalars as fn
+from acoustispark.operators.pings import segment_keys
 
 SEG = ("platform", "segment")
 
@@ -46,35 +47,44 @@ def standard_channel(freq) -> Column:
     return F.when(f.isNull(), F.lit(None)).otherwise(expr.otherwise(F.lit(STANDARD_CHANNELS[-1][1])))
 
 
-def segment_summary(samples: DataFrame, keys=SEG, freq_col: str = "frequency_nominal") -> DataFrame:
-    """One row per segment: ping and channel counts, time span, depth/lat/lon ranges, mean Sv, channels and
-    frequencies.
+def segment_summary(pings: DataFrame, freq_col: str = "frequency_nominal") -> DataFrame:
+    """One row per segment of ping rows: ping and channel counts, time span, depth/lat/lon ranges, mean Sv, channels
+    and their frequencies (paired, in channel order).
 
     ``sv_mean_db`` is the arithmetic mean of the dB values rounded half-even to 1 decimal; the depth range uses
-    ``echo_range`` when the segment has any, else ``depth``; lat/lon ranges ignore zeros, each on its own.
+    ``echo_range`` when the segment has any, else ``depth``; lat/lon ranges ignore zeros, each on its own. Pings are
+    rolled up to (segment, ping time) first, so nothing is counted distinct.
     """
-    has_range = F.max(F.col("echo_range").isNotNull())
-    s = samples
-    agg = s.groupBy(*keys).agg(
-        F.count_distinct("ping_time").alias("n_pings"),
-        F.count_distinct("channel").alias("n_channels"),
-        F.min("ping_time").alias("start_time"), F.max("ping_time").alias("end_time"),
-        has_range.alias("_hr"),
-        F.min("echo_range").alias("_r0"), F.max("echo_range").alias("_r1"),
-        F.min("depth").alias("_d0"), F.max("depth").alias("_d1"),
-        F.min(F.nullif(F.col("lat"), F.lit(0.0))).alias("lat_min"), F.max(F.nullif(F.col("lat"), F.lit(0.0))).alias("lat_max"),
-        F.min(F.nullif(F.col("lon"), F.lit(0.0))).alias("lon_min"), F.max(F.nullif(F.col("lon"), F.lit(0.0))).alias("lon_max"),
-        fn.round1(F.avg("sv")).alias("sv_mean_db"),
-        F.array_sort(F.collect_set("channel")).alias("channels"),
-        (F.array_sort(F.collect_set(freq_col)) if freq_col in samples.columns
-         else F.array().cast("array<double>")).alias("frequencies_hz"),
-    )
+    keys = segment_keys(pings)
+    arr = lambda c: F.col(c) if c in pings.columns else F.lit(None).cast("array<double>")
+    one = lambda c: F.col(c) if c in pings.columns else F.lit(None).cast("double")
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("n"))
+    sv = F.aggregate("sv", zero, lambda a, x: F.when(x.isNull(), a).otherwise(
+        F.struct((a["s"] + x).alias("s"), (a["n"] + 1).alias("n"))))
+    ch = F.struct("channel_index", "channel", one(freq_col).cast("double").alias("frequency"))
+    rows = pings.select(
+        *keys, "ping_time", sv.alias("_sv"), ch.alias("_ch"),
+        F.array_min(arr("echo_range")).alias("_r0"), F.array_max(arr("echo_range")).alias("_r1"),
+        F.array_min(arr("depth")).alias("_d0"), F.array_max(arr("depth")).alias("_d1"),
+        F.nullif(one("lat"), F.lit(0.0)).alias("_lat"), F.nullif(one("lon"), F.lit(0.0)).alias("_lon"))
+    low, high = {"_r0": "_r0", "_d0": "_d0", "_a0": "_lat", "_o0": "_lon"}, {"_r1": "_r1", "_d1": "_d1", "_a1": "_lat", "_o1": "_lon"}
+    per_time = rows.groupBy(*keys, "ping_time").agg(
+        *[F.min(c).alias(n) for n, c in low.items()], *[F.max(c).alias(n) for n, c in high.items()],
+        F.sum("_sv.s").alias("_s"), F.sum("_sv.n").alias("_n"), F.collect_set("_ch").alias("_chs"))
+    agg = per_time.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_pings"), F.min("ping_time").alias("start_time"), F.max("ping_time").alias("end_time"),
+        *[F.min(n).alias(n) for n in low], *[F.max(n).alias(n) for n in high],
+        fn.round1(F.sum("_s") / F.nullif(F.sum("_n"), F.lit(0))).alias("sv_mean_db"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array_sort("_chs"))))).alias("_chs"))
+    use_range = F.col("_r0").isNotNull()
     return agg.select(
-        *keys, "n_pings", "n_channels", "start_time", "end_time",
-        F.when(F.col("_hr"), F.col("_r0")).otherwise(F.col("_d0")).alias("depth_min"),
-        F.when(F.col("_hr"), F.col("_r1")).otherwise(F.col("_d1")).alias("depth_max"),
-        "lat_min", "lat_max", "lon_min", "lon_max", "sv_mean_db", "channels", "frequencies_hz",
-        fn.segment_day("start_time").alias("day"), fn.segment_name("start_time", "end_time").alias("segment_name"))
+        *keys, "n_pings", F.size("_chs").cast("long").alias("n_channels"), "start_time", "end_time",
+        F.when(use_range, F.col("_r0")).otherwise(F.col("_d0")).alias("depth_min"),
+        F.when(use_range, F.col("_r1")).otherwise(F.col("_d1")).alias("depth_max"),
+        F.col("_a0").alias("lat_min"), F.col("_a1").alias("lat_max"), F.col("_o0").alias("lon_min"), F.col("_o1").alias("lon_max"),
+        "sv_mean_db", F.col("_chs.channel").alias("channels"),
+        F.filter("_chs.frequency", lambda x: x.isNotNull()).alias("frequencies_hz"),
+        *([] if "day" in keys else [fn.segment_day("start_time").alias("day")]), fn.segment_name("start_time", "end_time").alias("segment_name"))
 
 
 def file_summary(samples: DataFrame, keys=("file",), freq_col: str = "frequency_nominal") -> DataFrame:
@@ -186,43 +196,57 @@ def numeric_stats(df: DataFrame, keys, col: str) -> DataFrame:
 
 
 def categorical_stats(df: DataFrame, keys, col: str) -> DataFrame:
-    """Most frequent value (ties -> smallest value [def]), its count, and all counts as ``value=count`` text
-    sorted by value."""
-    c = df.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
-    return c.groupBy(*keys).agg(
-        F.min_by(F.col(col), F.struct((-F.col("_n")).alias("n"), F.col(col).alias("v"))).alias("most_frequent"),
-        F.max("_n").alias("count"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(col).alias("k"), F.col("_n").alias("n")))),
-                                 lambda e: F.concat(e["k"].cast("string"), F.lit("="), e["n"].cast("string"))), ",")
-        .alias("unique_values"))
+    """Every value of a column per key with its count, as rows, beside the most frequent value of the key (ties ->
+    smallest value [def]) and its count."""
+    c = df.groupBy(*keys, F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    top = c.groupBy(*keys).agg(F.min_by(F.col("value"), F.struct((-F.col("n")).alias("n"), F.col("value").alias("v"))).alias("most_frequent"),
+                               F.max("n").alias("most_count"))
+    return c.join(top, list(keys))
 
 
 # ---- echogram raster ------------------------------------------------------------------------------------------------
 
-def echogram_raster(samples: DataFrame, width: int = 64, height: int = 32, db_range=ECHOGRAM_DB_RANGE,
-                    keys=SEG + ("channel",), depth_col: str = "depth") -> DataFrame:
-    """An echogram as a table of (column, row) cells per channel: time is cut into ``width`` equal bins between
-    the channel's first and last ping, depth into ``height`` equal bins between its shallowest and deepest
-    sample; a cell holds the linear-domain mean Sv (dB), clamped to ``db_range`` and scaled to 0..1 [def]."""
+def _scaled(sv: Column, db_range) -> Column:
     lo, hi = db_range
-    s = samples.where(F.col("sv").isNotNull())
-    bounds = s.groupBy(*keys).agg(F.min("ping_time").alias("_t0"), F.max("ping_time").alias("_t1"),
-                                  F.min(depth_col).alias("_d0"), F.max(depth_col).alias("_d1"))
-    t = F.unix_micros(F.col("ping_time").cast("timestamp"))
-    t0 = F.unix_micros(F.col("_t0").cast("timestamp"))
-    t1 = F.unix_micros(F.col("_t1").cast("timestamp"))
-    col = F.when(t1 == t0, F.lit(0)).otherwise(F.least(F.floor((t - t0) * F.lit(width) / (t1 - t0)), F.lit(width - 1)))
-    row = F.when(F.col("_d1") == F.col("_d0"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col(depth_col) - F.col("_d0")) * F.lit(height) / (F.col("_d1") - F.col("_d0"))), F.lit(height - 1)))
-    cells = (s.join(bounds, list(keys)).groupBy(*keys, col.alias("x"), row.alias("y"))
-             .agg(fn.linear_to_db(F.avg(fn.db_to_linear("sv"))).alias("sv")))
-    scaled = (F.least(F.greatest(F.col("sv"), F.lit(lo)), F.lit(hi)) - F.lit(lo)) / F.lit(hi - lo)
-    return cells.withColumn("value", scaled)
-
-
-def nasc_raster(nasc: DataFrame, keys=SEG + ("channel",)) -> DataFrame:
-    """NASC cells scaled to 0..1 by the 95th percentile of the channel's NASC (values above it clamp to 1)."""
-    p95 = nasc.groupBy(*keys).agg(F.percentile("nasc", F.lit(0.95)).alias("_p95"))
-    j = nasc.join(p95, list(keys))
+    return (F.least(F.greatest(sv, F.lit(lo)), F.lit(hi)) - F.lit(lo)) / F.lit(hi - lo)
+
+
+def echogram_raster(pings: DataFrame, width: int = 64, height: int = 32, depth_col: str = "depth") -> DataFrame:
+    """An echogram as a table of (column, row) cells per channel: time is cut into ``width`` equal bins between
+    the channel's first and last ping with data, depth into ``height`` equal bins between its shallowest and deepest
+    sample; a cell holds the linear-domain mean Sv (dB), clamped and scaled to 0..1 [def] by the limits of the
+    all-channel plot (``value``) and of the per-channel plot (``value_channel``). Bounds come from a window over pings.
+    """
+    keys = (*segment_keys(pings), "channel")
+    w = Window.partitionBy(*keys)
+    at = F.filter(F.zip_with("sv", depth_col, lambda s, d: F.struct(s.alias("sv"), d.alias("d"))), lambda x: x["sv"].isNotNull())
+    p = pings.select(*keys, F.unix_micros(F.col("ping_time").cast("timestamp")).alias("_t"), at.alias("_z")).where(F.size("_z") > 0)
+    p = p.withColumn("_lo", F.array_min(F.col("_z.d"))).withColumn("_hi", F.array_max(F.col("_z.d")))
+    for name, e in (("_t0", F.min("_t")), ("_t1", F.max("_t")), ("_d0", F.min("_lo")), ("_d1", F.max("_hi"))):
+        p = p.withColumn(name, e.over(w))
+    x = F.when(F.col("_t1") == F.col("_t0"), F.lit(0)).otherwise(F.least(
+        F.floor((F.col("_t") - F.col("_t0")) * F.lit(width) / (F.col("_t1") - F.col("_t0"))), F.lit(width - 1)))
+    s = p.select(*keys, x.alias("x"), "_d0", "_d1", F.explode("_z").alias("_s"))
+    y = F.when(F.col("_d1") == F.col("_d0"), F.lit(0)).otherwise(F.least(
+        F.floor((F.col("_s.d") - F.col("_d0")) * F.lit(height) / (F.col("_d1") - F.col("_d0"))), F.lit(height - 1)))
+    cells = s.groupBy(*keys, "x", y.alias("y")).agg(fn.linear_to_db(F.avg(fn.db_to_linear(F.col("_s.sv")))).alias("sv"))
+    return cells.withColumn("value", _scaled(F.col("sv"), ECHOGRAM_DB_RANGE)).withColumn("value_channel", _scaled(F.col("sv"), CHANNEL_PLOT_DB_RANGE))
+
+
+def mvbs_raster(mvbs: DataFrame, keys=SEG) -> DataFrame:
+    """MVBS cells of the first channel (smallest ``channel_index``), scaled to 0..1 by the all-channel limits."""
+    first = Window.partitionBy(*keys)
+    return (mvbs.withColumn("_c", F.min("channel_index").over(first)).where(F.col("channel_index") == F.col("_c")).drop("_c")
+            .withColumn("value", _scaled(F.col("sv"), ECHOGRAM_DB_RANGE)))
+
+
+def nasc_raster(nasc: DataFrame, keys=SEG) -> DataFrame:
+    """NASC cells of the first channel (first name where no index is known), scaled to 0..1 by the 95th percentile of
+    that channel's NASC (values above it clamp to 1)."""
+    by = "channel_index" if "channel_index" in nasc.columns else "channel"
+    first = nasc.groupBy(*keys).agg(F.min(by).alias(by))
+    one = nasc.join(first, [*keys, by], "left_semi")
+    p95 = one.groupBy(*keys).agg(F.percentile("nasc", F.lit(0.95)).alias("_p95"))
+    j = one.join(p95, list(keys))
     return j.withColumn("value", F.when(F.col("_p95") > 0, F.least(F.col("nasc") / F.col("_p95"), F.lit(1.0)))
                         .otherwise(F.lit(0.0))).drop("_p95")

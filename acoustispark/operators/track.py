@@ -7,10 +7,11 @@ segment of one platform, never a whole platform history. Ties in time are broken
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from acoustispark.functions import scalars as fn
@@ -28,6 +29,7 @@ MIN_DISTANCE_NMI = 0.01  # greedy thinning distance
 ALLCLOSE_RTOL = 1e-5    # numpy.allclose defaults used for "line end points are equal"
 ALLCLOSE_ATOL = 1e-8
 # --------------------------------------------------------------------------------------------------------------
+COORD_DIGITS = 9        # decimals of smoothed positions [def]
 
 
 def _savgol_weights(window: int = SG_WINDOW, order: int = SG_ORDER) -> list[list[Fraction]]:
@@ -159,22 +161,40 @@ def track_thin_distance(df: DataFrame, min_distance: float = MIN_DISTANCE_NMI, k
     """Greedy thinning: keep a fix when it is at least ``min_distance`` nmi from the last *kept* fix; the
     first fix is always kept.
 
-    A sequential fold per track, done JVM-side with the ``aggregate`` higher-order function over the track's
-    points in order (one segment per group, so the array is bounded by the segment length).
+    Tracks are clustered and sorted by Spark and walked once in Arrow batches; what a task remembers is the last kept
+    fix, so a long track costs no memory.
     """
-    pt = F.struct(*[F.col(c) for c in order], F.col("lat"), F.col("lon"))
-    grouped = df.groupBy(*keys).agg(F.array_sort(F.collect_list(pt)).alias("_pts"))
-    first = F.element_at("_pts", 1)
-    start = F.struct(F.array(first).alias("kept"), first["lat"].alias("klat"), first["lon"].alias("klon"))
-
-    def step(acc, p):
-        far = fn.haversine_nmi(acc["klat"], acc["klon"], p["lat"], p["lon"]) >= F.lit(min_distance)
-        return F.when(far, F.struct(F.concat(acc["kept"], F.array(p)).alias("kept"), p["lat"].alias("klat"),
-                                    p["lon"].alias("klon"))).otherwise(acc)
-
-    folded = F.aggregate(F.slice("_pts", 2, F.greatest(F.size("_pts") - 1, F.lit(0))), start, step)
-    kept = grouped.select(*keys, F.explode(folded["kept"]).alias("_p"))
-    return kept.select(*keys, *[F.col(f"_p.{c}").alias(c) for c in order], "_p.lat", "_p.lon")
+    cols = list(keys) + list(order) + ["lat", "lon"]
+    n = len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        track, klat, klon = None, 0.0, 0.0
+        for b in batches:
+            names = list(zip(*(b.column(i).to_pylist() for i in range(n))))
+            lat, lon = b.column(b.num_columns - 2).to_numpy(), b.column(b.num_columns - 1).to_numpy()
+            keep, at = [], 0
+            while at < len(names):
+                if names[at] != track:
+                    track, klat, klon = names[at], lat[at], lon[at]
+                    keep.append(at)
+                    at += 1
+                    continue
+                end = at + 1
+                while end < len(names) and names[end] == track:
+                    end += 1
+                while at < end:
+                    far = np.flatnonzero(_haversine_np(klat, klon, lat[at:end], lon[at:end]) >= min_distance)
+                    if not len(far):
+                        break
+                    at += int(far[0])
+                    keep.append(at)
+                    klat, klon = lat[at], lon[at]
+                    at += 1
+                at = end
+            yield b.take(pa.array(keep, pa.int64()))
+
+    src = df.select(*cols)
+    return spread_groups(src, *keys).sortWithinPartitions(*keys, *order).mapInArrow(run, src.schema)
 
 
 def _rdp_indices(pts: np.ndarray, eps: float) -> list[int]:
@@ -217,42 +237,77 @@ def _haversine_np(lat1, lon1, lat2, lon2):
     return 2 * fn.EARTH_RADIUS_KM / fn.KM_PER_NMI * np.arcsin(np.sqrt(a))
 
 
-def _simplify_group(pdf: pd.DataFrame, eps: float, min_distance: float | None, keys) -> pd.DataFrame:
-    order = np.lexsort((pdf["event_id"].to_numpy(), pdf["ts"].to_numpy()))
-    lat = pdf["lat"].to_numpy(dtype=float)[order]
-    lon = pdf["lon"].to_numpy(dtype=float)[order]
+def _simplify_track(lat: np.ndarray, lon: np.ndarray, eps: float, min_distance: float | None) -> list[int]:
+    """Places of the kept fixes of one ordered track. A kept position stands for the first fix with that position."""
     idx = _rdp_indices(np.column_stack([lat, lon]), eps)
-    # time and speed are found again by exact (lat, lon): the first fix with that position wins
-    first: dict = {}
-    for i, pos in enumerate(zip(lat.tolist(), lon.tolist())):
-        first.setdefault(pos, i)
-    src = [first[(lat[i], lon[i])] for i in idx]
-    if min_distance is not None and src:
-        kept = [src[0]]
-        klat, klon = lat[src[0]], lon[src[0]]
-        for j in src[1:]:
-            if _haversine_np(klat, klon, lat[j], lon[j]) >= min_distance:
-                kept.append(j)
-                klat, klon = lat[j], lon[j]
-        src = kept
-    rows = order[src]
-    out = pdf.iloc[rows][list(keys) + ["event_id", "ts", "knt"]].copy()
-    out["lat"] = lat[src]
-    out["lon"] = lon[src]
-    return out[list(keys) + ["event_id", "ts", "lat", "lon", "knt"]]
+    pos = lat + 1j * lon
+    _, first, inverse = np.unique(pos, return_index=True, return_inverse=True)
+    src = first[inverse[idx]]
+    if min_distance is None or not len(src):
+        return src.tolist()
+    kept = [int(src[0])]
+    while True:  # the next kept fix is the first one far enough from the last; distances are taken for all at once
+        at = np.flatnonzero(src == kept[-1])[-1] if len(kept) == 1 else at
+        rest = src[at + 1:]
+        far = np.flatnonzero(_haversine_np(lat[kept[-1]], lon[kept[-1]], lat[rest], lon[rest]) >= min_distance)
+        if not len(far):
+            return kept
+        at += 1 + int(far[0])
+        kept.append(int(src[at]))
 
 
 def simplify_rdp(df: DataFrame, epsilon: float = RDP_EPSILON, min_distance: float | None = None,
-                 keys=TRACK) -> DataFrame:
-    """Ramer-Douglas-Peucker per track (``applyInPandas`` grouped by the track key, i.e. one segment per
-    task group), then the (lat, lon) look-up of time and speed, then optional greedy thinning."""
+                 keys=TRACK, batch_rows: int = 1 << 16) -> DataFrame:
+    """Ramer-Douglas-Peucker per track, the (lat, lon) look-up of time and speed, then optional greedy thinning.
+
+    Tracks are clustered and sorted by Spark; a task walks its sorted Arrow batches and handles track after track (a
+    track is bounded by its key: one segment), so no call is made per group.
+    """
     schema = T.StructType([df.schema[k] for k in keys] + [
         T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
         T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType()), T.StructField("knt", T.DoubleType())])
     cols = list(keys) + ["event_id", "ts", "lat", "lon", "knt"]
     src = df.select(*cols) if "knt" in df.columns else df.withColumn("knt", F.lit(None).cast("double")).select(*cols)
-    return spread_groups(src, *keys).groupBy(*keys).applyInPandas(
-        lambda pdf: _simplify_group(pdf, epsilon, min_distance, keys), schema=schema)
+    n = len(keys)
+
+    def whole(t: pa.Table) -> pa.Table:
+        """All tracks of a table sorted by track, time and id."""
+        parts = [t.column(i).to_numpy(zero_copy_only=False) for i in range(n)]
+        change = np.zeros(t.num_rows, dtype=bool)
+        for p in parts:
+            change[1:] |= p[1:] != p[:-1]
+        edge = [0, *np.flatnonzero(change).tolist(), t.num_rows]
+        lat, lon = t.column(n + 2).to_numpy(), t.column(n + 3).to_numpy()
+        rows = [a + i for a, b in zip(edge, edge[1:]) for i in _simplify_track(lat[a:b], lon[a:b], epsilon, min_distance)]
+        return t.take(pa.array(rows, pa.int64()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(b)
+            if sum(x.num_rows for x in held) < batch_rows:
+                continue
+            t = pa.Table.from_batches(held)
+            last = [t.column(i)[t.num_rows - 1].as_py() for i in range(n)]
+            cut = t.num_rows  # the last track may go on in the next batch
+            while cut and [t.column(i)[cut - 1].as_py() for i in range(n)] == last:
+                cut -= 1
+            if cut:
+                yield from whole(t.slice(0, cut)).to_batches()
+                held = t.slice(cut).to_batches()
+        if held:
+            yield from whole(pa.Table.from_batches(held)).to_batches()
+
+    ordered = spread_groups(src, *keys).sortWithinPartitions(*keys, *ORDER)
+    return ordered.mapInArrow(run, schema)
+
+
+def settled(df: DataFrame, digits: int = COORD_DIGITS) -> DataFrame:
+    """Positions rounded to ``digits`` decimals (0.1 mm), so that a simplification does not depend on rounding noise
+    of the smoothing sums."""
+    return df.withColumn("lat", F.round("lat", digits)).withColumn("lon", F.round("lon", digits))
 
 
 def extract_track(nav: DataFrame, epsilon: float = RDP_EPSILON, min_distance: float = MIN_DISTANCE_NMI,
@@ -261,11 +316,8 @@ def extract_track(nav: DataFrame, epsilon: float = RDP_EPSILON, min_distance: fl
 
     Output ``keys, event_id, ts, lat, lon, knt``; a track with no fix left after the speed filter yields no rows.
     """
-    t = gps_valid(nav)
-    t = track_smooth(t, keys=keys)
-    t = track_distance(t, keys=keys)
-    t = track_speed(t, keys=keys)
-    t = speed_filter(t)
+    t = settled(track_smooth(gps_valid(nav), keys=keys))
+    t = speed_filter(track_speed(track_distance(t, keys=keys), keys=keys))
     return simplify_rdp(t, epsilon, min_distance, keys)
 
 

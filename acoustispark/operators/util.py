@@ -5,16 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` only after checking that it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a limit, not a full count). Beyond the bound the frame is
-    returned as is and the planner uses a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _fill(df: DataFrame, keys, day: str, order, col: str, out: str, forward: bool) -> DataFrame:
     """Nearest non-NULL ``col`` at-or-before (forward) / at-or-after (backward) each row within ``keys``.
 
@@ -49,6 +39,20 @@ def fill_backward(df: DataFrame, keys, day: str, order, col: str, out: str) -> D
     return _fill(df, keys, day, order, col, out, False)
 
 
+def fill_forward_many(df: DataFrame, keys, day: str, order, cols: list[str]) -> DataFrame:
+    """``fill_forward`` of several columns at once, in place: one window inside (keys, day), one over the days."""
+    from pyspark.sql import Window
+
+    order_s = F.struct(*[F.col(o) for o in order])
+    w = Window.partitionBy(*keys, day).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    wd = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    days = df.groupBy(*keys, day).agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_s)).alias(c) for c in cols])
+    carried = days.select(*keys, day, *[F.last(c, ignorenulls=True).over(wd).alias(f"_c_{c}") for c in cols])
+    inside = df.select(*[c for c in df.columns if c not in cols], *[F.last(c, ignorenulls=True).over(w).alias(c) for c in cols])
+    j = inside.join(carried, [*keys, day], "left")
+    return j.select(*[c for c in df.columns if c not in cols], *[F.coalesce(c, f"_c_{c}").alias(c) for c in cols])
+
+
 def spread_groups(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition by the group keys into an explicit number of partitions before a grouped pandas step.
 
@@ -60,3 +64,11 @@ def spread_groups(df: DataFrame, *keys: str) -> DataFrame:
     spark = df.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
     return df.repartition(n, *keys)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write to the shared scratch folder and read back."""
+    from acoustispark.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

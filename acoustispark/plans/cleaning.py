@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from acoustispark.operators import calibrate as cal
 from acoustispark.operators import denoise as dn
+from acoustispark.operators.pings import to_samples
 from acoustispark.plans.common import rounded
 from acoustispark.plans.oracle_views import with_views
 from acoustispark.sources import fixtures as fx
@@ -13,8 +19,12 @@ SEGC = "platform, segment, channel"
 OUT_COLS = "platform, segment, channel, ping, range_sample, round(sv, 5) as sv"
 
 
-def _samples(spark, sf_dir):
-    return fx.samples(spark, sf_dir)
+def _pings(spark, sf_dir):
+    return fx.pings(spark, sf_dir).drop("angle_along", "angle_athwart")
+
+
+def _out(pings):
+    return rounded(to_samples(pings).select("platform", "segment", "channel", "ping", "range_sample", "sv"), 5)
 
 
 def indexed_sql(src: str, name: str) -> str:
@@ -25,7 +35,7 @@ def indexed_sql(src: str, name: str) -> str:
   using (platform, segment, ping_time))"""
 
 
-def background_sql(src: str, name: str) -> str:
+def background_sql(src: str, name: str, snr: str = repr(P.snr_threshold)) -> str:
     return f"""{name}_s as (
   select *, 20.0 * log10(greatest(echo_range, 1.0)) + 2.0 * {ALPHA!r} * echo_range as tvg,
          floor(ping_index / {P.ping_window}) as pb, floor(range_sample / {P.range_window}) as rb from {src}),
@@ -36,6 +46,25 @@ def background_sql(src: str, name: str) -> str:
              from {name}_s s left join {name}_n n using (platform, segment, channel, pb)),
 {name} as (
   select * exclude (sv, tvg, pb, rb, diff),
+         case when noise is null then sv
+              when diff > 0 and 10.0 * log10(diff) - (noise + tvg) >= {snr} then 10.0 * log10(diff) end as sv
+  from {name}_j)"""
+
+
+def sliding_background_sql(src: str, name: str) -> str:
+    """Noise from the pings numbered within num_side_pings, by a range join on ping numbers."""
+    return f"""{name}_s as (
+  select *, 20.0 * log10(greatest(echo_range, 1.0)) + 2.0 * {ALPHA!r} * echo_range as tvg, floor(range_sample / {P.range_window}) as rb from {src}),
+{name}_c as (select {SEGC}, ping_index, rb, sum(pow(10.0, (sv - tvg) / 10.0)) as s, count(sv) as n from {name}_s where sv is not null group by all),
+{name}_p as (select distinct {SEGC}, ping_index from {src}),
+{name}_m as (select p.platform, p.segment, p.channel, p.ping_index, c.rb, sum(c.s) / sum(c.n) as m from {name}_p p join {name}_c c
+             on c.platform = p.platform and c.segment = p.segment and c.channel = p.channel
+             and c.ping_index between p.ping_index - {P.num_side_pings} and p.ping_index + {P.num_side_pings} group by all),
+{name}_n as (select {SEGC}, ping_index, min(case when m > 0 then 10.0 * log10(m) end) as noise from {name}_m group by all),
+{name}_j as (select s.*, n.noise, pow(10.0, s.sv / 10.0) - pow(10.0, (n.noise + s.tvg) / 10.0) as diff
+             from {name}_s s left join {name}_n n using (platform, segment, channel, ping_index)),
+{name} as (
+  select * exclude (sv, tvg, rb, diff),
          case when noise is null then sv
               when diff > 0 and 10.0 * log10(diff) - (noise + tvg) >= {P.snr_threshold!r} then 10.0 * log10(diff) end as sv
   from {name}_j)"""
@@ -51,7 +80,7 @@ def transient_sql(src: str, name: str) -> str:
     b = f"floor(depth / {P.transient_depth_bin!r})"
     return f"""{name}_c as ({_cells_sql(src, b)}),
 {name}_m as (select *, quantile_cont(m, 0.5) over (partition by {SEGC}, bn order by ping_index
-             rows between {P.transient_n_pings} preceding and {P.transient_n_pings} following) as med from {name}_c),
+             range between {P.transient_n_pings} preceding and {P.transient_n_pings} following) as med from {name}_c),
 {name}_bad as (select {SEGC}, ping_time, bn from {name}_m
                where bn * {P.transient_depth_bin!r} >= {P.transient_exclude_above!r} and m - med > {P.transient_threshold_db!r}),
 {name} as (
@@ -61,14 +90,18 @@ def transient_sql(src: str, name: str) -> str:
 
 
 def impulse_sql(src: str, name: str) -> str:
+    """Neighbours by a self join on the ping number, not by position."""
     b = f"floor(depth / {P.impulse_vertical_bin!r})"
     lags = P.impulse_ping_lags or list(range(1, P.impulse_num_lags + 1))
-    w = f"(partition by {SEGC}, bn order by ping_index)"
     t = repr(P.impulse_threshold_db)
-    cond = " or ".join(f"(m - lag(m, {k}) over {w} > {t} and m - lead(m, {k}) over {w} > {t})" for k in lags)
+    same = "x.platform = c.platform and x.segment = c.segment and x.channel = c.channel and x.bn = c.bn"
+    found = " union ".join(
+        f"""select c.platform, c.segment, c.channel, c.ping_time, c.bn from {name}_c c
+      join {name}_c p on {same.replace('x.', 'p.')} and p.ping_index = c.ping_index - {k}
+      join {name}_c n on {same.replace('x.', 'n.')} and n.ping_index = c.ping_index + {k}
+      where c.m - p.m > {t} and c.m - n.m > {t}""" for k in lags)
     return f"""{name}_c as ({_cells_sql(src, b)}),
-{name}_f as (select *, {cond} as flag from {name}_c),
-{name}_bad as (select {SEGC}, ping_time, bn from {name}_f where flag),
+{name}_bad as ({found}),
 {name} as (
   select s.* exclude (sv), case when b.bn is null then s.sv end as sv
   from {src} s left join {name}_bad b on s.platform = b.platform and s.segment = b.segment and s.channel = b.channel
@@ -80,7 +113,7 @@ def attenuation_sql(src: str, name: str) -> str:
   select {SEGC}, ping_time, ping_index, quantile_cont(sv, 0.5) as pm from {src}
   where sv is not null and depth between {P.attenuation_upper_limit!r} and {P.attenuation_lower_limit!r} group by all),
 {name}_b as (select *, quantile_cont(pm, 0.5) over (partition by {SEGC} order by ping_index
-             rows between {P.attenuation_side_pings} preceding and {P.attenuation_side_pings} following) as bm
+             range between {P.attenuation_side_pings} preceding and {P.attenuation_side_pings} following) as bm
              from {name}_p),
 {name}_bad as (select {SEGC}, ping_time from {name}_b where bm - pm > {P.attenuation_threshold!r}),
 {name} as (
@@ -89,8 +122,7 @@ def attenuation_sql(src: str, name: str) -> str:
 
 
 def q_denoise_background(spark, sf_dir):
-    out = dn.background(_samples(spark, sf_dir), P, absorption=ALPHA)
-    return rounded(out.select("platform", "segment", "channel", "ping", "range_sample", "sv"), 5)
+    return _out(dn.background(_pings(spark, sf_dir), P, absorption=ALPHA))
 
 
 DENOISE_BACKGROUND_SQL = with_views(["samples"], f"""
@@ -100,8 +132,7 @@ select {OUT_COLS} from bg""")
 
 
 def q_denoise_transient(spark, sf_dir):
-    return rounded(dn.transient(_samples(spark, sf_dir), P)
-                   .select("platform", "segment", "channel", "ping", "range_sample", "sv"), 5)
+    return _out(dn.transient(_pings(spark, sf_dir), P))
 
 
 DENOISE_TRANSIENT_SQL = with_views(["samples"], f"""
@@ -111,8 +142,7 @@ select {OUT_COLS} from tr""")
 
 
 def q_denoise_impulse(spark, sf_dir):
-    return rounded(dn.impulse(_samples(spark, sf_dir), P)
-                   .select("platform", "segment", "channel", "ping", "range_sample", "sv"), 5)
+    return _out(dn.impulse(_pings(spark, sf_dir), P))
 
 
 DENOISE_IMPULSE_SQL = with_views(["samples"], f"""
@@ -122,8 +152,7 @@ select {OUT_COLS} from im""")
 
 
 def q_denoise_attenuation(spark, sf_dir):
-    return rounded(dn.attenuation(_samples(spark, sf_dir), P)
-                   .select("platform", "segment", "channel", "ping", "range_sample", "sv"), 5)
+    return _out(dn.attenuation(_pings(spark, sf_dir), P))
 
 
 DENOISE_ATTENUATION_SQL = with_views(["samples"], f"""
@@ -133,8 +162,7 @@ select {OUT_COLS} from att""")
 
 
 def q_denoise_chain(spark, sf_dir):
-    out, status = dn.denoise_chain(_samples(spark, sf_dir), dn.DEFAULT_METHODS, P, absorption=ALPHA)
-    return rounded(out.select("platform", "segment", "channel", "ping", "range_sample", "sv"), 5)
+    return _out(dn.denoise(_pings(spark, sf_dir), dn.DEFAULT_METHODS, P, absorption=ALPHA))
 
 
 DENOISE_CHAIN_SQL = with_views(["samples"], f"""
@@ -146,12 +174,52 @@ with {indexed_sql('samples', 'si')},
 select {OUT_COLS} from att""")
 
 
+def q_denoise_background_sliding(spark, sf_dir):
+    return _out(dn.background(_pings(spark, sf_dir), replace(P, mode="sliding"), absorption=ALPHA))
+
+
+DENOISE_BACKGROUND_SLIDING_SQL = with_views(["samples"], f"""
+with {indexed_sql('samples', 'si')},
+{sliding_background_sql('si', 'bg')}
+select {OUT_COLS} from bg""")
+
+
+def _frequencies(spark, sf_dir):
+    return cal.channel_cal(fx.channel_cal_raw(spark, sf_dir)).select(
+        F.col("channel_id").alias("channel"), F.col("frequency").alias("frequency_nominal"))
+
+
+def q_denoise_freq_params(spark, sf_dir):
+    pings = _pings(spark, sf_dir).join(_frequencies(spark, sf_dir), "channel")
+    pings = dn.with_frequency_params(pings, fx.frequency_params(spark, sf_dir))
+    return _out(dn.denoise(pings, "background,impulse,attenuation", P, absorption=ALPHA))
+
+
+# thresholds of a channel's frequency; the common value where the table says nothing
+_FREQ_SRC = f"""si as (
+  select x.*, coalesce(f.snr_threshold, {P.snr_threshold!r}) as p_snr, coalesce(f.impulse_threshold_db, {P.impulse_threshold_db!r}) as p_imp,
+         coalesce(f.attenuation_threshold, {P.attenuation_threshold!r}) as p_att
+  from si0 x join (select channel_id as channel, coalesce(nullif(frequency, 0), 200000.0::double) as fr from channel_cal_raw) c using (channel)
+  left join frequency_params f on f.frequency_nominal = c.fr),
+par as (select distinct channel, p_imp, p_att from si)"""
+
+DENOISE_FREQ_PARAMS_SQL = with_views(["samples", "channel_cal_raw", "frequency_params"], f"""
+with {indexed_sql('samples', 'si0')},
+{_FREQ_SRC},
+{background_sql('si', 'bg', 'p_snr')},
+{impulse_sql('bg', 'im').replace(f'> {P.impulse_threshold_db!r}', '> (select p_imp from par where par.channel = c.channel)')},
+{attenuation_sql('im', 'att').replace(f'> {P.attenuation_threshold!r}', '> (select p_att from par where par.channel = att_b.channel)')}
+select {OUT_COLS} from att""")
+
+
 REGISTRY = {
     "denoise_background": (q_denoise_background, DENOISE_BACKGROUND_SQL),
     "denoise_transient": (q_denoise_transient, DENOISE_TRANSIENT_SQL),
     "denoise_impulse": (q_denoise_impulse, DENOISE_IMPULSE_SQL),
     "denoise_attenuation": (q_denoise_attenuation, DENOISE_ATTENUATION_SQL),
     "denoise_chain": (q_denoise_chain, DENOISE_CHAIN_SQL),
+    "denoise_background_sliding": (q_denoise_background_sliding, DENOISE_BACKGROUND_SLIDING_SQL),
+    "denoise_freq_params": (q_denoise_freq_params, DENOISE_FREQ_PARAMS_SQL),
 }
 
 # ---- seabed ------------------------------------------------------------------------------------------------
@@ -174,11 +242,11 @@ DELTASV_CTE = f"""deltasv as (
 
 
 def _line(df):
-    return rounded(df.select("platform", "segment", "channel", "ping_time", "seabed_depth"))
+    return rounded(df.where(F.col("seabed_depth").isNotNull()).select("platform", "segment", "channel", "ping_time", "seabed_depth"))
 
 
 def q_seabed_maxsv(spark, sf_dir):
-    return _line(sb.maxsv(_samples(spark, sf_dir), threshold=TH))
+    return _line(sb.maxsv(_pings(spark, sf_dir), threshold=TH))
 
 
 SEABED_MAXSV_SQL = with_views(["samples"], f"""
@@ -187,7 +255,7 @@ select {PINGK}, round(seabed_depth, 6) as seabed_depth from maxsv""")
 
 
 def q_seabed_deltasv(spark, sf_dir):
-    return _line(sb.deltasv(_samples(spark, sf_dir)))
+    return _line(sb.deltasv(_pings(spark, sf_dir)))
 
 
 SEABED_DELTASV_SQL = with_views(["samples"], f"""
@@ -196,7 +264,7 @@ select {PINGK}, round(seabed_depth, 6) as seabed_depth from deltasv""")
 
 
 def q_seabed_ariza(spark, sf_dir):
-    return _line(sb.ariza(_samples(spark, sf_dir), threshold=TH))
+    return _line(sb.ariza(_pings(spark, sf_dir), threshold=TH))
 
 
 SEABED_ARIZA_SQL = with_views(["samples"], f"""
@@ -209,7 +277,7 @@ select {PINGK}, round(min(depth), 6) as seabed_depth from d where d = 1 group by
 
 
 def q_seabed_composite(spark, sf_dir):
-    return _line(sb.composite(_samples(spark, sf_dir), threshold=TH))
+    return _line(sb.composite(_pings(spark, sf_dir), threshold=TH))
 
 
 SEABED_COMPOSITE_SQL = with_views(["samples"], f"""
@@ -219,9 +287,8 @@ from maxsv a full join deltasv b using (platform, segment, channel, ping_time)""
 
 
 def q_seabed_mask(spark, sf_dir):
-    s = _samples(spark, sf_dir)
-    out = sb.mask_seabed(s, sb.maxsv(s, threshold=TH))
-    return rounded(out.select("platform", "segment", "channel", "ping", "range_sample", "sv"))
+    return rounded(to_samples(sb.mask_seabed(sb.detect_seabed(_pings(spark, sf_dir), "maxSv", threshold=TH)).drop("seabed_depth")).select(
+        "platform", "segment", "channel", "ping", "range_sample", "sv"))
 
 
 SEABED_MASK_SQL = with_views(["samples"], f"""
@@ -231,7 +298,26 @@ select s.platform, s.segment, s.channel, ping, range_sample,
 from samples s left join maxsv m using (platform, segment, channel, ping_time)""")
 
 
+def q_seabed_blackwell(spark, sf_dir):
+    pings = cal.add_splitbeam_angle(fx.pings(spark, sf_dir), fx.angle_cal(spark, sf_dir))
+    return _line(sb.blackwell(pings, angle_threshold=ANGLE_TH))
+
+
+ANGLE_TH = 1.0
+SEABED_BLACKWELL_SQL = with_views(["samples", "angle_cal"], f"""
+with a as (select s.*, angle_along * (180.0::double / 128.0::double) / angle_sensitivity_alongship - angle_offset_alongship as al,
+                  angle_athwart * (180.0::double / 128.0::double) / angle_sensitivity_athwartship - angle_offset_athwartship as aw
+           from samples s left join angle_cal c on c.channel_id = s.channel where depth <= 1000.0),
+r as (select *, avg(al * al + aw * aw) over (partition by {PINGK} order by range_sample rows between 2 preceding and 2 following) as r from a),
+f as (select *, avg(r) over (partition by platform, segment, channel, range_sample order by ping_time
+                             rows between 2 preceding and 2 following) as f from r),
+k as (select * from f where f > {ANGLE_TH * ANGLE_TH!r}),
+m as (select {PINGK}, quantile_cont(sv, 0.5) as med from k where sv is not null group by all)
+select {PINGK}, round(min(depth), 6) as seabed_depth from k join m using ({PINGK}) where sv > med group by all""")
+
+
 REGISTRY.update({
+    "seabed_blackwell": (q_seabed_blackwell, SEABED_BLACKWELL_SQL),
     "seabed_maxsv": (q_seabed_maxsv, SEABED_MAXSV_SQL),
     "seabed_deltasv": (q_seabed_deltasv, SEABED_DELTASV_SQL),
     "seabed_ariza": (q_seabed_ariza, SEABED_ARIZA_SQL),

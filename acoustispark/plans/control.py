@@ -10,7 +10,7 @@ from acoustispark.plans.oracle_views import with_views
 from acoustispark.plans.scalars import UNWRAP_SQL, _bool_sql, _float_sql, _int_sql
 from acoustispark.sources import fixtures as fx
 
-FIELDS = ["mvbs_range_bin", "nasc_enabled", "realtime_buffer_pings", "log_level", "seabed_enabled"]
+FIELDS = [n for n, _, _ in cl.CONFIG_FIELDS]
 
 
 def _in(names):
@@ -37,39 +37,39 @@ w0 as (select device, ts, event_id, case key when 'Log_Level' then 'log_level' e
 writes as (select device, ts, event_id, field, {_typed_sql()} as value from w0
            where field in {_in(list(cl.FIELD_TYPES))})"""
 
-DEFAULT_SQL = "case field " + " ".join(f"when '{f}' then '{cl.FIELD_DEFAULTS[f]}'" for f in FIELDS) + " end"
+WIDE_CTE = WRITES_CTE + f""",
+events_of as (select distinct device, ts, event_id from config_patches),
+wide as (select e.device, e.ts, e.event_id, {', '.join(f"max(case when field = '{f}' then value end) as {f}" for f in FIELDS)}
+         from events_of e left join writes using (device, ts, event_id) group by all),
+folded as (select device, ts, event_id, {', '.join(f"coalesce(last({f} ignore nulls) over w, '{cl.FIELD_DEFAULTS[f]}') as {f}" for f in FIELDS)}
+           from wide window w as (partition by device order by ts, event_id rows between unbounded preceding and current row))"""
 
 
 def q_config_fold(spark, sf_dir):
-    return cl.config_fold(fx.config_patches(spark, sf_dir), FIELDS)
+    return cl.config_fold(fx.config_patches(spark, sf_dir))
 
 
 CONFIG_FOLD_SQL = with_views(["config_patches"], f"""
-with {WRITES_CTE},
-versions as (select distinct device, ts, event_id from config_patches),
-grid as (select v.*, f.field from versions v, (select unnest([{', '.join(repr(f) for f in FIELDS)}]) as field) f),
-g as (select grid.*, writes.value from grid left join writes using (device, ts, event_id, field))
-select device, ts, event_id, field,
-       coalesce(last(value ignore nulls) over (partition by device, field order by ts, event_id
-                                               rows between unbounded preceding and current row), {DEFAULT_SQL}) as value
-from g""")
+with {WIDE_CTE}
+select * from folded""")
 
 
 def _batches(spark, sf_dir):
-    return fx.read_table(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("device"), "ts", "event_id")
+    ev = fx.read_table(spark, sf_dir, "events")
+    return ev.select((F.col("user_id") % 6).alias("device"), "ts", "event_id")
 
 
 def q_config_as_of(spark, sf_dir):
-    return cl.config_as_of(_batches(spark, sf_dir), fx.config_patches(spark, sf_dir), FIELDS)
+    return cl.config_as_of(_batches(spark, sf_dir), fx.config_patches(spark, sf_dir))
 
 
+# the state of a device at a time is its last version of that time; device 5 has no patches
 CONFIG_AS_OF_SQL = with_views(["config_patches"], f"""
-with {WRITES_CTE},
-b as (select e.user_id % 5 as device, e.ts, e.event_id, f.field
-      from events e, (select unnest([{', '.join(repr(f) for f in FIELDS)}]) as field) f),
-ok as (select * from writes where value is not null)
-select b.device, b.ts, b.event_id, b.field, coalesce(ok.value, {DEFAULT_SQL.replace('field', 'b.field')}) as value
-from b asof left join ok on b.device = ok.device and b.field = ok.field and b.ts >= ok.ts""")
+with {WIDE_CTE},
+states as (select * from folded qualify row_number() over (partition by device, ts order by event_id desc) = 1),
+b as (select user_id % 6 as device, ts, event_id from events)
+select b.device, b.ts, b.event_id, {', '.join(f"coalesce(s.{f}, '{cl.FIELD_DEFAULTS[f]}') as {f}" for f in FIELDS)}
+from b asof left join states s on b.device = s.device and b.ts >= s.ts""")
 
 
 def _store_days(spark, sf_dir):
@@ -111,9 +111,7 @@ def q_store_status(spark, sf_dir):
     days = _store_days(spark, sf_dir)
     acks = cm.commands_dispatch(cmds, days)
     s = cm.store_status(days, cm.command_jobs(cmds, acks))
-    return s.select("processing_mode", "n_days", F.size("days_with_data").alias("n_listed"),
-                    F.element_at("days_with_data", 1).alias("first_day"),
-                    F.element_at("days_with_data", -1).alias("last_day"), "jobs_pending")
+    return s.select("processing_mode", "n_days", F.array_join("days_with_data", ",").alias("days_with_data"), "jobs_pending")
 
 
 STORE_STATUS_SQL = with_views(["commands", "file_results"], f"""
@@ -122,9 +120,7 @@ jobs as (select command_id from acks a join commands c using (command_id, comman
          where a.status = 'accepted' and command = 'process_raw_files'
          union all select command_id from acks where status = 'accepted' and command = 'process_day')
 select 'both' as processing_mode, (select count(distinct day) from days) as n_days,
-       (select count(distinct day) from days) as n_listed,
-       (select strftime(min(day), '%Y-%m-%d') from days) as first_day,
-       (select strftime(max(day), '%Y-%m-%d') from days) as last_day,
+       (select string_agg(strftime(day, '%Y-%m-%d'), ',' order by day) from days) as days_with_data,
        (select count(*) from jobs) as jobs_pending""")
 
 

@@ -5,16 +5,33 @@
 
 from __future__ import annotations
 
+from acoustispark.operators.config_log import CONFIG_FIELDS
+
 VIEWS: dict[str, str] = {
     "samples": """
-select 'p0' as platform, 's' || (vec_id // 800)::varchar as segment,
-       'ch' || (vec_id % 4)::varchar as channel, (vec_id % 4)::int as channel_index,
-       vec_id // 4 as ping, timestamp '2024-01-01 00:00:00' + to_seconds((vec_id // 4) * 2) as ping_time,
+select 'p' || (vec_id // 100 % 3)::varchar as platform, 's' || (vec_id // 600)::varchar as segment,
+       'ch' || (case when vec_id % 4 = 3 then 4 else vec_id % 4 end)::varchar as channel, (vec_id % 4)::int as channel_index,
+       vec_id // 4 as ping, timestamp '2024-01-01 23:59:30' + to_seconds((vec_id // 4) * 2) as ping_time,
        (pos - 1)::int as range_sample, ((pos - 1) * 5.0)::double as echo_range, ((pos - 1) * 5.0)::double as depth,
        case when (vec_id // 4) % 41 = 0 or (vec_id * 31 + (pos - 1) * 17) % 97 = 0 then null
-            else (-70.0)::double + (40.0)::double * x::double end as sv,
-       (40.0)::double + (vec_id // 4) * 5e-4 as lat, (-70.0)::double + (vec_id // 4) * 3e-4 as lon
+            else (-70.0)::double + (40.0)::double * x::double
+                 + (case when (vec_id // 4) % 41 = 1 and (pos - 1) % 16 = 5 then 30.0 else 0.0 end)::double end as sv,
+       (40.0)::double + (vec_id // 4) * 5e-4 as lat, (-70.0)::double + (vec_id // 4) * 3e-4 as lon,
+       floor(x::double * 60) as angle_along, floor(x::double * 40 - (pos - 1)) as angle_athwart
 from (select vec_id, unnest(embedding) as x, generate_subscripts(embedding, 1) as pos from embeddings)""",
+    "ping_fixes": """
+select 'p' || (user_id % 3)::varchar as platform, event_id, timestamp '2024-01-01 23:59:30' + to_milliseconds(event_id * 50) as ts,
+       40.0::double + value / 1e3 as lat, -70.0::double - value / 2e3 as lon from events""",
+    "frequency_params": """
+select case s_suppkey % 4 when 0 then 38000.0 when 1 then 70000.0 else 28000.0 end::double as frequency_nominal,
+       max(case when s_suppkey % 4 <> 3 then s_suppkey % 4 + 1.0 end)::double as snr_threshold,
+       max(case when s_suppkey % 4 = 1 then 4.0 end)::double as impulse_threshold_db,
+       max((s_suppkey % 4) * 0.25 + 0.5)::double as attenuation_threshold
+from supplier where s_suppkey % 4 <> 2 group by all""",
+    "angle_cal": """
+select 'ch' || s_suppkey::varchar as channel_id, 20.0::double + s_suppkey % 4 as angle_sensitivity_alongship,
+       18.0::double + s_suppkey % 4 as angle_sensitivity_athwartship, ((s_suppkey % 4) * 0.5)::double as angle_offset_alongship,
+       ((s_suppkey % 4) * -0.25)::double as angle_offset_athwartship from supplier""",
     "raw_pings": """
 select 'p0' as platform, 'ch' || (vec_id % 4)::varchar as channel_id, vec_id // 4 as ping,
        timestamp '2024-01-01 00:00:00' + to_seconds((vec_id // 4) * 2) as ping_time,
@@ -59,13 +76,19 @@ from events where event_type = 'signup'""",
     "targets": """
 select 'u' || user_id::varchar as platform, event_id, ts from events where event_type <> 'signup'""",
     "file_results": """
-select o_orderkey as file_id, 'f' || o_orderkey::varchar || '.raw' as source_file, o_orderdate::date as day,
-       case when o_orderkey % 17 = 0 then 'error' when o_orderkey % 23 = 0 then 'skipped' else 'ok' end as status,
-       case when o_orderkey % 17 = 0 then 'convert failed: order ' || o_orderkey::varchar end as error,
-       case when o_orderkey % 17 <> 0 and o_orderkey % 23 = 0 then 'no valid pings' end as reason,
-       o_orderkey % 500 as n_pings,
-       case when o_orderkey % 17 <> 0 and o_orderkey % 23 <> 0
-            then 'processed/' || strftime(o_orderdate, '%Y-%m-%d') || '/f' || o_orderkey::varchar || '/sv' end as sv_path,
+select o_orderkey as file_id, 'f' || o_orderkey::varchar || '.raw' as source_file, o_orderdate::date as day, status,
+       case when status = 'error' then 'convert failed: order ' || o_orderkey::varchar end as error,
+       case when status = 'skipped' then 'no valid pings' end as reason,
+       case when ok then 'seg' || (o_orderkey % 40)::varchar end as segment, o_orderkey % 5000 as n_pings, (o_orderkey % 3 + 1)::int as n_channels,
+       case when ok and o_orderkey % 4 <> 0 then 40.0::double + o_orderkey % 100 / 100.0::double end as lat_min,
+       case when ok and o_orderkey % 4 <> 0 then 41.0::double + o_orderkey % 100 / 100.0::double end as lat_max,
+       case when ok and o_orderkey % 6 <> 0 then -70.0::double - o_orderkey % 10 / 8.0::double end as lon_min,
+       case when ok and o_orderkey % 6 <> 0 then -69.5::double - o_orderkey % 10 / 8.0::double end as lon_max,
+       case when ok then 'processed/' || base || '/sv' end as sv_path,
+       case when ok and o_orderkey % 5 <> 0 then '/data/store/echodata/' || base || '.zarr' end as echodata_path,
+       case when ok then (case when o_orderkey % 2 = 0 then ['sv', 'mvbs'] else ['sv'] end) end as products,
+       case when ok and o_orderkey % 8 = 0 then ['echograms/' || base || '/sv_38kHz.png', 'echograms/' || base || '/mvbs_echogram.png'] end
+            as echogram_files,
        list_sort(list_distinct([38000.0::double,
             case when o_orderkey % 2 = 0 then 120000.0::double else 70000.0::double end,
             case when o_orderkey % 3 = 0 then 200000.0::double else 38000.0::double end])) as frequencies,
@@ -74,16 +97,19 @@ select o_orderkey as file_id, 'f' || o_orderkey::varchar || '.raw' as source_fil
             else 'ok' end as nasc_status,
        case when o_orderkey % 31 = 0 then 'error: singular block' else 'ok' end as denoise_status,
        case when o_orderkey % 37 = 0 then 'error: no bottom' else 'ok' end as seabed_status,
-       o_orderkey % 997 * 13 + 250 as processing_time_ms,
+       o_orderkey % 997 * 13 + 250 as processing_time_ms, o_orderkey % 997 * 13 + 900 as total_time_ms,
        o_custkey as campaign
-from orders""",
+from (select *, status = 'ok' as ok, strftime(o_orderdate, '%Y-%m-%d') || '/f' || o_orderkey::varchar as base
+      from (select *, case when o_orderkey % 17 = 0 then 'error' when o_orderkey % 23 = 0 then 'skipped' else 'ok' end as status from orders))""",
     "config_patches": """
 select ts, event_id, user_id % 5 as device,
-       case event_type when 'view' then 'mvbs_range_bin' when 'signup' then 'nasc_enabled'
-            when 'click' then 'realtime_buffer_pings' when 'error' then 'Log_Level' else '$version' end as key,
+       case when event_type = 'view' then @str[event_id % len(@str) + 1] when event_type = 'signup' then @bool[event_id % len(@bool) + 1]
+            when event_type = 'click' then @int[event_id % len(@int) + 1] when event_type = 'error' then 'Log_Level'
+            when event_id % 3 = 0 then '$version' else @float[event_id % len(@float) + 1] end as key,
        case when event_type = 'signup' then
                  case event_id % 4 when 0 then 'false' when 1 then '{"value":"off"}' when 2 then 'null' else '1' end
-            when event_type = 'click' then case when event_id % 3 = 0 then '"abc"' else json_extract_string(props, '$.k') end
+            when event_type = 'click' then case when event_id % 3 = 0 then '"abc"' when event_id % 7 = 0 then '"99999999999999999999"'
+                 when event_id % 11 = 0 then '1e22' when event_id % 13 = 0 then '1e60' else json_extract_string(props, '$.k') end
             else '{"value":"' || json_extract_string(props, '$.k') || '"}' end as raw_json
 from events""",
     "commands": """
@@ -100,6 +126,10 @@ select event_id as command_id, ts,
 from events""",
 }
 
+for _kind in ("str", "bool", "int", "float"):
+    VIEWS["config_patches"] = VIEWS["config_patches"].replace(
+        f"@{_kind}", "[" + ", ".join(f"'{n}'" for n, t, _ in CONFIG_FIELDS if t == _kind) + "]")
+
 DEPENDS: dict[str, list[str]] = {
     "raw_samples": ["raw_pings"],
 }

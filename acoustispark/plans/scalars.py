@@ -65,10 +65,11 @@ select event_id, {_bool_sql('v', 'true')} as flag, {_bool_sql('v', 'false')} as
 
 
 def _int_sql(j: str) -> str:
-    return (f"case when json_type({j}) in ('BIGINT', 'UBIGINT', 'DOUBLE') then trunc(json_extract({j}, '$')::double)::bigint "
-            f"when json_type({j}) = 'BOOLEAN' then json_extract({j}, '$')::boolean::bigint "
+    return (f"case when json_type({j}) in ('BIGINT', 'UBIGINT', 'DOUBLE') then (case when abs(json_extract({j}, '$')::double) < 1e38 "
+            f"then trunc(json_extract({j}, '$')::double)::decimal(38, 0) end) "
+            f"when json_type({j}) = 'BOOLEAN' then json_extract({j}, '$')::boolean::int::decimal(38, 0) "
             f"when json_type({j}) = 'VARCHAR' and regexp_full_match(json_extract_string({j}, '$'), '\\s*[+-]?[0-9]+\\s*') "
-            f"then trim(json_extract_string({j}, '$'))::bigint end")
+            f"then try_cast(trim(json_extract_string({j}, '$')) as decimal(38, 0)) end")
 
 
 def _float_sql(j: str) -> str:
@@ -80,13 +81,13 @@ def _float_sql(j: str) -> str:
 
 
 def q_fn_coerce_typed(spark, sf_dir):
-    return rounded(_patches(spark, sf_dir).select("event_id", fn.coerce_int("value_json").alias("as_int"),
+    return rounded(_patches(spark, sf_dir).select("event_id", fn.coerce_int("value_json").cast("string").alias("as_int"),
                                                   fn.coerce_float("value_json").alias("as_float")))
 
 
 FN_COERCE_TYPED_SQL = with_views(["config_patches"], f"""
 with u as (select event_id, {UNWRAP_SQL} as v from config_patches)
-select event_id, {_int_sql('v')} as as_int, round({_float_sql('v')}, 6) as as_float from u""")
+select event_id, ({_int_sql('v')})::varchar as as_int, round({_float_sql('v')}, 6) as as_float from u""")
 
 
 def q_fn_split_list(spark, sf_dir):
@@ -123,14 +124,15 @@ def q_fn_parse_bin(spark, sf_dir):
     p = read_table(spark, sf_dir, "part")
     txt = F.concat(F.format_string("%.1f", F.col("p_size") / F.lit(10.0)),
                    F.when(F.col("p_size") % 3 == 0, F.lit("m")).when(F.col("p_size") % 3 == 1, F.lit("nmi")).otherwise(F.lit("s")))
+    txt = F.when(F.col("p_partkey") % 13 == 0, F.lit("wide")).when(F.col("p_partkey") % 17 == 0, F.lit("1.2.3m")).otherwise(txt)
     return rounded(p.select("p_partkey", txt.alias("text"), fn.parse_bin_value(txt).alias("value"),
                             fn.parse_bin_unit(txt).alias("unit")))
 
 
 FN_PARSE_BIN_SQL = """
-with t as (select p_partkey, printf('%.1f', p_size / 10.0) ||
-                  case p_size % 3 when 0 then 'm' when 1 then 'nmi' else 's' end as text from part)
-select p_partkey, text, round(regexp_extract(text, '^\\s*([0-9.]+)\\s*([A-Za-z]*)\\s*$', 1)::double, 6) as value,
+with t as (select p_partkey, case when p_partkey % 13 = 0 then 'wide' when p_partkey % 17 = 0 then '1.2.3m' else printf('%.1f', p_size / 10.0) ||
+                  case p_size % 3 when 0 then 'm' when 1 then 'nmi' else 's' end end as text from part)
+select p_partkey, text, round(try_cast(regexp_extract(text, '^\\s*([0-9.]+)\\s*([A-Za-z]*)\\s*$', 1) as double), 6) as value,
        regexp_extract(text, '^\\s*([0-9.]+)\\s*([A-Za-z]*)\\s*$', 2) as unit from t"""
 
 
@@ -139,7 +141,7 @@ NAME_EXPR = "case when s_suppkey % 2 = 0 then 'WBT 400528-15 ES' || (s_nationkey
 
 
 def q_fn_freq_label(spark, sf_dir):
-    s = read_table(spark, sf_dir, "supplier").where(F.col("s_acctbal") >= 0)
+    s = read_table(spark, sf_dir, "supplier")
     f = F.expr(FREQ_EXPR)
     n = F.expr(NAME_EXPR)
     return s.select("s_suppkey", fn.freq_label(f, n).alias("label"),
@@ -147,7 +149,7 @@ def q_fn_freq_label(spark, sf_dir):
 
 
 FN_FREQ_LABEL_SQL = f"""
-with s as (select s_suppkey, {FREQ_EXPR} as f, {NAME_EXPR} as n from supplier where s_acctbal >= 0)
+with s as (select s_suppkey, {FREQ_EXPR} as f, {NAME_EXPR} as n from supplier)
 select s_suppkey,
        case when f is not null then (case when f >= 1000 then floor(f / 1000)::bigint::varchar || 'kHz'
                                           else trunc(f)::bigint::varchar || 'Hz' end)
@@ -296,16 +298,21 @@ FN_THOUSANDS_SQL = """select o_orderkey, format('{:,}', o_orderkey * 37) as text
 
 
 def q_fn_to_native(spark, sf_dir):
+    """Values that are NaN, infinite or missing, and times with and without a fraction."""
     ev = read_table(spark, sf_dir, "events")
-    return ev.select("event_id", F.to_json(F.struct("event_id", "ts", F.col("user_id").alias("n"),
-                                                    F.when(F.col("value") > 5, F.col("value")).alias("v")),
-                                           {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"})
-                     .alias("json"))
+    v = (F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).when(F.col("event_id") % 7 == 0, F.lit(float("inf")))
+         .when(F.col("value") > 5, F.floor("value").cast("double") + 0.5))
+    ts = F.when(F.col("event_id") % 2 == 0, F.date_trunc("second", "ts").cast("timestamp_ntz")).otherwise(F.col("ts"))
+    d = ev.select("event_id", ts.alias("ts"), F.col("user_id").alias("n"), v.alias("v"))
+    return d.select("event_id", fn.to_native(d, ["event_id", "ts", "n", "v"]).alias("json"))
 
 
 FN_TO_NATIVE_SQL = """
-select event_id, json_object('event_id', event_id, 'ts', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), 'n', user_id,
-                             'v', case when value > 5 then value end)::varchar as json from events"""
+with e as (select event_id, user_id, case when event_id % 2 = 0 then date_trunc('second', ts) else ts end as t,
+                  case when event_id % 5 <> 0 and event_id % 7 <> 0 and value > 5 then floor(value) + 0.5 end as v from events)
+select event_id, json_object('event_id', event_id,
+         'ts', case when epoch_us(t) % 1000000 = 0 then strftime(t, '%Y-%m-%dT%H:%M:%S') else strftime(t, '%Y-%m-%dT%H:%M:%S.%f') end,
+         'n', user_id, 'v', v)::varchar as json from e"""
 
 
 REGISTRY = {

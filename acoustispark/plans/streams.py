@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from acoustispark.sources.tables import read_table
 from acoustispark.streaming.trigger import TriggerParams, segment_trigger
 
-# test sizes for the event platforms (about 67 pings each at sf0.01); small chunks exercise the chunked fold
+# a trigger that fits the event platforms (about 67 pings each at sf0.01)
 P = TriggerParams(buffer_pings=20, buffer_seconds=259200.0, min_pings=5)
-CHUNK = 32
 
 
 def _pings(spark, sf_dir):
@@ -18,7 +17,7 @@ def _pings(spark, sf_dir):
 
 
 def _trigger(spark, sf_dir):
-    return segment_trigger(_pings(spark, sf_dir), P, chunk_rows=CHUNK)
+    return segment_trigger(_pings(spark, sf_dir), P)
 
 
 def q_segment_trigger(spark, sf_dir):
@@ -46,8 +45,7 @@ from walk w join seg s using (platform, srn) where s.closed or s.size >= {P.min_
 
 
 def q_segment_flush(spark, sf_dir):
-    t = _trigger(spark, sf_dir)
-    last = t.groupBy("platform").agg(F.max("segment_rn").alias("last_start"), F.count(F.lit(1)).alias("kept"))
+    last = _trigger(spark, sf_dir).groupBy("platform").agg(F.count(F.lit(1)).alias("kept"))
     total = _pings(spark, sf_dir).groupBy("platform").agg(F.count(F.lit(1)).alias("n_pings"))
     return total.join(last, "platform", "left").select(
         "platform", "n_pings", F.coalesce("kept", F.lit(0)).alias("kept"),

@@ -26,8 +26,14 @@ def _freq_list(c):
     return F.array_join(F.transform(c, lambda x: x.cast("bigint").cast("string")), ",")
 
 
+def _pings_with_freq(spark, sf_dir):
+    c = cal.channel_cal(fx.channel_cal_raw(spark, sf_dir)).select(F.col("channel_id").alias("channel"),
+                                                                   F.col("frequency").alias("frequency_nominal"))
+    return fx.pings(spark, sf_dir).drop("angle_along", "angle_athwart").join(c, "channel")
+
+
 def q_segment_summary(spark, sf_dir):
-    s = sm.segment_summary(_with_freq(spark, sf_dir))
+    s = sm.segment_summary(_pings_with_freq(spark, sf_dir))
     return rounded(s.select("platform", "segment", "n_pings", "n_channels", "start_time", "end_time", "depth_min",
                             "depth_max", "lat_min", "lat_max", "lon_min", "lon_max", "sv_mean_db",
                             F.array_join("channels", ",").alias("channels"),
@@ -35,26 +41,29 @@ def q_segment_summary(spark, sf_dir):
                             F.date_format("day", "yyyy-MM-dd").alias("day"), "segment_name"))
 
 
-SEGMENT_SUMMARY_SQL = with_views(["samples", "channel_cal_raw"], f"""
-with {CAL_FREQ_SQL},
+SEGMENT_SUMMARY_CTE = CAL_FREQ_SQL + """,
 s as (select * from samples join cal using (channel)),
-a as (select platform, segment, count(distinct ping_time) as n_pings, count(distinct channel) as n_channels,
+chs as (select platform, segment, string_agg(channel, ',' order by channel_index) as channels,
+               string_agg(frequency_nominal::bigint::varchar, ',' order by channel_index) as frequencies_hz, count(*) as n_channels
+        from (select distinct platform, segment, channel_index, channel, frequency_nominal from s) group by all),
+a as (select platform, segment, count(distinct ping_time) as n_pings,
              min(ping_time) as start_time, max(ping_time) as end_time, bool_or(echo_range is not null) as hr,
              min(echo_range) as r0, max(echo_range) as r1, min(depth) as d0, max(depth) as d1,
              min(nullif(lat, 0)) as lat_min, max(nullif(lat, 0)) as lat_max,
-             min(nullif(lon, 0)) as lon_min, max(nullif(lon, 0)) as lon_max,
-             round_even(avg(sv), 1) as sv_mean_db,
-             array_to_string(list_sort(list_distinct(list(channel))), ',') as channels,
-             array_to_string(list_transform(list_sort(list_distinct(list(frequency_nominal))),
-                                            lambda x: x::bigint::varchar), ',') as frequencies_hz
-      from s group by all)
+             min(nullif(lon, 0)) as lon_min, max(nullif(lon, 0)) as lon_max, round_even(avg(sv), 1) as sv_mean_db
+      from s group by all),
+summary as (
 select platform, segment, n_pings, n_channels, start_time, end_time,
        round(case when hr then r0 else d0 end, 6) as depth_min, round(case when hr then r1 else d1 end, 6) as depth_max,
        round(lat_min, 6) as lat_min, round(lat_max, 6) as lat_max, round(lon_min, 6) as lon_min,
        round(lon_max, 6) as lon_max, round(sv_mean_db, 6) as sv_mean_db, channels, frequencies_hz,
        strftime(start_time, '%Y-%m-%d') as day, strftime(start_time, '%H-%M-%S') || '__' || strftime(end_time, '%H-%M-%S')
        as segment_name
-from a""")
+from a join chs using (platform, segment))"""
+
+SEGMENT_SUMMARY_SQL = with_views(["samples", "channel_cal_raw"], f"""
+with {SEGMENT_SUMMARY_CTE}
+select * from summary""")
 
 
 FREQ_OF_FLAG = "case channel when 'chA' then 38000.0 when 'chN' then 70000.0 else 120000.0 end"
@@ -85,13 +94,15 @@ def q_run_summary(spark, sf_dir):
                             F.array_join(F.transform("frequencies", lambda f: fn.fmt_freq(f)), ", ").alias("frequencies")))
 
 
-RUN_SUMMARY_SQL = with_views(["file_results"], """
-with c as (select campaign, count(*) filter (where status = 'ok') as n_ok, count(*) filter (where status = 'error') as n_failed,
+RUN_SUMMARY_CTE = """c as (select campaign, count(*) filter (where status = 'ok') as n_ok, count(*) filter (where status = 'error') as n_failed,
                   count(*) filter (where status = 'skipped') as n_skipped, count(*) as n_total,
                   coalesce(sum(n_pings) filter (where status = 'ok'), 0)::bigint as total_pings
            from file_results group by all),
 f as (select campaign, list_sort(list_distinct(list(fr))) as fl
-      from (select campaign, unnest(frequencies) as fr from file_results where status = 'ok') group by all)
+      from (select campaign, unnest(frequencies) as fr from file_results where status = 'ok') group by all)"""
+
+RUN_SUMMARY_SQL = with_views(["file_results"], f"""
+with {RUN_SUMMARY_CTE}
 select c.*, array_to_string(list_transform(fl, lambda x: case when x >= 1000 then floor(x / 1000)::bigint::varchar || ' kHz'
                                                          else x::bigint::varchar || ' Hz' end), ', ') as frequencies
 from c left join f using (campaign)""")
@@ -101,8 +112,7 @@ def q_quality_notes(spark, sf_dir):
     return sm.quality_notes(fx.file_results(spark, sf_dir))
 
 
-QUALITY_NOTES_SQL = with_views(["file_results"], """
-with r as (
+QUALITY_NOTES_CTE = """r as (
   select campaign, source_file,
          case status when 'error' then 1 when 'skipped' then 2 when 'ok' then 3 end as kind,
          case when status = 'error' then 'Failed — ' || coalesce(error, 'unknown error')
@@ -113,9 +123,13 @@ with r as (
                    case when seabed_status <> 'ok' and contains(seabed_status, 'error') then 'seabed: ' || seabed_status end), '')
          end as note
   from file_results),
-g as (select campaign from file_results group by all having count(*) filter (where status in ('error', 'skipped')) > 0)
-select campaign, kind, source_file, '- **' || coalesce(source_file, '?') || '**: ' || note as note
-from r where note is not null and campaign in (select campaign from g)""")
+g as (select campaign from file_results group by all having count(*) filter (where status in ('error', 'skipped')) > 0),
+notes as (select campaign, kind, source_file, '- **' || coalesce(source_file, '?') || '**: ' || note as note
+from r where note is not null and campaign in (select campaign from g))"""
+
+QUALITY_NOTES_SQL = with_views(["file_results"], f"""
+with {QUALITY_NOTES_CTE}
+select * from notes""")
 
 
 def _variables(spark, sf_dir):
@@ -163,10 +177,12 @@ select channel, variable, n, kind, round(value, 6) as value,
 from stats""")
 
 
+STD_CTE = f"""std(f_std, name) as (values {', '.join(f"({f}, '{n}')" for f, n in sm.STANDARD_CHANNELS)})"""
+
+
 def _std_sql(f: str) -> str:
-    chs = sm.STANDARD_CHANNELS
-    parts = " ".join(f"when {f} <= {(lo + hi) / 2.0!r} then '{name}'" for (lo, name), (hi, _) in zip(chs, chs[1:]))
-    return f"case when {f} is null then null {parts} else '{chs[-1][1]}' end"
+    """The name at the smallest distance, the lower frequency on a tie."""
+    return f"(select arg_min(name, (abs({f} - f_std), f_std)) from std)"
 
 
 def q_instrument_metadata(spark, sf_dir):
@@ -180,7 +196,8 @@ with {CAL_FREQ_SQL},
 s as (select * from samples join cal using (channel)),
 pp as (select distinct channel, ping, lat, frequency_nominal from s),
 {VARS_SQL},
-ch as (select distinct channel, channel_index, {_std_sql('frequency_nominal')} as standard_channel from s),
+{STD_CTE},
+ch as (select channel, channel_index, {_std_sql('frequency_nominal')} as standard_channel from (select distinct channel, channel_index, frequency_nominal from s)),
 usable as (select * from stats where variable not in ({', '.join(repr(v) for v in sm.EXCLUDED_VARIABLES)})),
 names as (select channel, channel_index, standard_channel, unnest([{', '.join(repr(v) for v in sm.METADATA_VARIABLES)}]) as variable
           from ch
@@ -202,6 +219,7 @@ def q_standard_channel(spark, sf_dir):
 
 
 STANDARD_CHANNEL_SQL = f"""
+with {STD_CTE}
 select p_partkey, p_size * 4000.0::double as frequency, {_std_sql('p_size * 4000.0::double')} as standard_channel from part"""
 
 
@@ -220,15 +238,13 @@ def q_categorical_stats(spark, sf_dir):
 
 
 CATEGORICAL_STATS_SQL = """
-with c as (select user_id, event_type, count(*) as n from events group by all)
-select user_id, arg_min(event_type, (-n, event_type)) as most_frequent, max(n) as count,
-       array_to_string(list_transform(list_sort(list((event_type, n))), lambda e: e[1] || '=' || e[2]::varchar), ',')
-       as unique_values
-from c group by all"""
+with c as (select user_id, event_type as value, count(*) as n from events group by all)
+select user_id, value, n, first_value(value) over w as most_frequent, first_value(n) over w as most_count
+from c window w as (partition by user_id order by n desc, value rows between unbounded preceding and unbounded following)"""
 
 
 def q_echogram_raster(spark, sf_dir):
-    return rounded(sm.echogram_raster(fx.samples(spark, sf_dir)))
+    return rounded(sm.echogram_raster(fx.pings(spark, sf_dir)))
 
 
 ECHOGRAM_RASTER_SQL = with_views(["samples"], """
@@ -241,7 +257,44 @@ c as (select s.platform, s.segment, s.channel,
              case when avg(pow(10.0, sv / 10.0)) > 0 then 10.0 * log10(avg(pow(10.0, sv / 10.0))) end as sv
       from s join b using (platform, segment, channel) group by all)
 select platform, segment, channel, x::bigint as x, y::bigint as y, round(sv, 6) as sv,
-       round((least(greatest(sv, -80.0), -30.0) - -80.0) / 50.0, 6) as value from c""")
+       round((least(greatest(sv, -80.0), -30.0) - -80.0) / 50.0, 6) as value,
+       round((least(greatest(sv, -80.0), -50.0) - -80.0) / 30.0, 6) as value_channel from c""")
+
+GRID_KEYS = ("platform", "segment", "channel", "channel_index")
+
+
+def q_echogram_raster_mvbs(spark, sf_dir):
+    from acoustispark.operators import grid
+    return rounded(sm.mvbs_raster(grid.mvbs(fx.samples(spark, sf_dir), "20m", "20s", keys=GRID_KEYS)).drop("channel_index"))
+
+
+ECHOGRAM_RASTER_MVBS_SQL = with_views(["samples"], """
+with m as (select platform, segment, channel, channel_index, time_bucket(interval '20 seconds', ping_time) as ping_time,
+                  floor(echo_range / 20.0)::double * 20.0 as echo_range, 10 * log10(avg(pow(10, sv / 10))) as sv, count(sv) as n_samples
+           from samples where sv is not null and echo_range is not null group by all)
+select platform, segment, channel, ping_time, echo_range, round(sv, 6) as sv, n_samples,
+       round((least(greatest(sv, -80.0), -30.0) + 80.0) / 50.0, 6) as value
+from m where channel_index = (select min(channel_index) from m x where x.platform = m.platform and x.segment = m.segment)""")
+
+
+def q_echogram_raster_nasc(spark, sf_dir):
+    from acoustispark.operators import grid
+    return rounded(sm.nasc_raster(grid.nasc(fx.samples(spark, sf_dir), "10m", "0.05nmi")).select(
+        "platform", "segment", "channel", "distance", "echo_range", "value"))
+
+
+def _nasc_raster_sql():
+    from acoustispark.plans.grids import NASC_SQL
+    exact = NASC_SQL.strip().replace("round(4 * pi() * 1852.0 * 1852.0 * m * 10.0, 6) as nasc", "4 * pi() * 1852.0 * 1852.0 * m * 10.0 as nasc")
+    return f"""
+with n as ({exact}),
+f as (select * from n where channel = (select min(channel) from n x where x.platform = n.platform and x.segment = n.segment)),
+p as (select platform, segment, quantile_cont(nasc, 0.95) as p95 from f group by all)
+select platform, segment, channel, distance, echo_range, round(case when p95 > 0 then least(nasc / p95, 1.0) else 0.0 end, 6) as value
+from f join p using (platform, segment)"""
+
+
+ECHOGRAM_RASTER_NASC_SQL = _nasc_raster_sql()
 
 
 REGISTRY = {
@@ -255,4 +308,6 @@ REGISTRY = {
     "numeric_stats": (q_numeric_stats, NUMERIC_STATS_SQL),
     "categorical_stats": (q_categorical_stats, CATEGORICAL_STATS_SQL),
     "echogram_raster": (q_echogram_raster, ECHOGRAM_RASTER_SQL),
+    "echogram_raster_mvbs": (q_echogram_raster_mvbs, ECHOGRAM_RASTER_MVBS_SQL),
+    "echogram_raster_nasc": (q_echogram_raster_nasc, ECHOGRAM_RASTER_NASC_SQL),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,22 +44,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage and intermediate tables.
-
-    Read ``spark.checkpoint.dir`` from the session (a cluster names a shared, fault-tolerant folder there).
-    Only when it is unset - local tests - a private folder is created and registered.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """The shared folder for cut lineage and intermediate tables: ``spark.checkpoint.dir`` of the session (a cluster
+    names a shared, fault-tolerant folder there). Only on a local master, where driver and tasks share one disk, a
+    private folder stands in when it is unset; anywhere else that is an error."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="acoustispark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the checkpoint dir for written intermediate tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    """A new sub-folder of the checkpoint dir for a written table."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -10,9 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from acoustispark.functions import scalars as fn
 
-CATALOG_SCHEMA = "name string, folder string, size bigint, path string, last_modified string"
-
-
 def file_catalog(spark: SparkSession, root: str, suffix: str = ".raw", recursive: bool = True,
                  max_files: int | None = None) -> DataFrame:
     """Inventory of input files: name, folder, size, path, modification time; sorted by name; ``max_files``
@@ -48,20 +45,20 @@ DAY_RE = r"(?:^|/)([0-9]{4}-[0-9]{2}-[0-9]{2})(?:/|$)"
 
 
 def list_days(paths: DataFrame, path_col: str = "path") -> DataFrame:
-    """Sorted distinct ISO dates found as a path component of the store; components that are not valid dates
+    """Distinct ISO dates found as a path component of the store; components that are not valid dates
     are skipped."""
     d = F.to_date(F.try_to_timestamp(F.regexp_extract(path_col, DAY_RE, 1), F.lit("yyyy-MM-dd")))
-    return paths.select(d.alias("day")).where(F.col("day").isNotNull()).distinct().orderBy("day")
+    return paths.select(d.alias("day")).where(F.col("day").isNotNull()).distinct()
 
 
 def list_segments(paths: DataFrame, day: str | None = None, path_col: str = "path") -> DataFrame:
-    """Sorted distinct segment names (``.../<day>/segments/<name>/...``), of one day when ``day`` is given."""
+    """Distinct segment names (``.../<day>/segments/<name>/...``), of one day when ``day`` is given."""
     seg = F.regexp_extract(path_col, r"([0-9]{4}-[0-9]{2}-[0-9]{2})/segments/([^/]+)", 2)
     dd = F.regexp_extract(path_col, r"([0-9]{4}-[0-9]{2}-[0-9]{2})/segments/([^/]+)", 1)
     out = paths.select(dd.alias("day"), seg.alias("segment")).where(F.col("segment") != "")
     if day is not None:
         out = out.where(F.col("day") == day)
-    return out.distinct().orderBy("day", "segment")
+    return out.distinct()
 
 
 def store_exists(keys: DataFrame, paths: DataFrame, key_col: str = "day", path_col: str = "path") -> DataFrame:
@@ -75,11 +72,11 @@ def list_stores(paths: DataFrame, prefix: str = "", path_col: str = "path") -> D
     """Distinct store roots (path cut after the first ``.zarr``) under ``prefix``."""
     root = F.regexp_extract(path_col, r"^(.*?\.zarr)(/|$)", 1)
     return (paths.where(F.startswith(F.col(path_col), F.lit(prefix))).select(root.alias("store"))
-            .where(F.col("store") != "").distinct().orderBy("store"))
+            .where(F.col("store") != "").distinct())
 
 
 def read_product(spark: SparkSession, root: str, schema: T.StructType | str, **partitions) -> DataFrame:
-    """Scan a product store (Parquet partitioned by campaign/product/day/segment); partition filters prune
+    """Scan a product store (Parquet partitioned by campaign/product/day/platform/segment); partition filters prune
     directories; a missing store yields an empty frame with the schema, not an error; NaN -> NULL."""
     from acoustispark.sources.tables import nan_to_null
     try:

@@ -3,7 +3,9 @@
 Every view is a closed-form function of the given tables, so its size grows with them and the same
 view can be written in any SQL engine (the DuckDB forms live in ``acoustispark.plans.oracle_views``).
 
-samples        long Sv table, one row per (channel, ping, range_sample), from ``embeddings``
+pings          Sv ping rows, one per (channel, ping) with arrays, from ``embeddings``
+samples        the same as a long table, one row per (channel, ping, range_sample)
+ping_fixes     navigation fixes of the ping platforms, from ``events``
 raw_pings      compact wire form, one row per (channel, ping) holding ARRAY<SMALLINT> power counts
 samples_big    large long table for grid benchmarks, from ``lineitem``
 channel_cal    calibration dimension, one channel per ``supplier`` row
@@ -18,9 +20,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from acoustispark.operators.config_log import CONFIG_FIELDS
+from acoustispark.operators.pings import to_samples
 from acoustispark.sources.tables import read_table
 
 EPOCH_2024 = "2024-01-01 00:00:00"
+PINGS_START = "2024-01-01 23:59:30"
 
 
 def _ts_ntz(s: str) -> Column:
@@ -31,31 +36,58 @@ def _div(col: str, k: int) -> Column:
     return F.expr(f"{col} div {k}")
 
 
-def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long Sv samples: 4 channels, one ping per 4 embedding vectors, one sample per vector element.
+def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ping rows: 4 channels, one ping per 4 embedding vectors, one sample per vector element.
 
-    Every 41st ping is empty, other samples are missing at a scattered rule. ``lat``/``lon`` are the
-    per-ping fix attached already (a straight line), ``segment`` groups 200 pings.
+    Blocks of 25 pings cycle over three platforms, and segment names repeat between them; the first segment crosses
+    midnight; two channels (``ch0``, ``ch4``) have one frequency. Every 41st ping is empty and the one after it has
+    spikes, other samples are missing at a scattered rule. ``lat``/``lon`` are a straight line; ``angle_*`` are counts.
     """
-    e = read_table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "x"))
+    e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     ping = _div("vec_id", 4)
-    missing = ((ping % 41) == 0) | (((F.col("vec_id") * 31 + F.col("pos") * 17) % 97) == 0)
+    ci = (F.col("vec_id") % 4).cast("int")
+    missing = lambda i: ((ping % 41) == 0) | (((F.col("vec_id") * 31 + i * 17) % 97) == 0)
+    spike = lambda i: F.when(((ping % 41) == 1) & ((i % 16) == 5), F.lit(30.0)).otherwise(F.lit(0.0))
+    sv = lambda x, i: F.when(~missing(i), F.lit(-70.0) + F.lit(40.0) * x.cast("double") + spike(i))
+    steps = F.transform("embedding", lambda x, i: i * F.lit(5.0))
     return e.select(
-        F.lit("p0").alias("platform"),
-        F.concat(F.lit("s"), _div("vec_id", 800).cast("string")).alias("segment"),
-        F.concat(F.lit("ch"), (F.col("vec_id") % 4).cast("string")).alias("channel"),
-        (F.col("vec_id") % 4).cast("int").alias("channel_index"),
+        F.concat(F.lit("p"), (_div("vec_id", 100) % 3).cast("string")).alias("platform"),
+        F.concat(F.lit("s"), _div("vec_id", 600).cast("string")).alias("segment"),
+        F.concat(F.lit("ch"), F.when(ci == 3, 4).otherwise(ci).cast("string")).alias("channel"),
+        ci.alias("channel_index"),
         ping.alias("ping"),
-        (_ts_ntz(EPOCH_2024) + F.make_dt_interval(secs=(ping * 2).cast("decimal(18,6)"))).alias("ping_time"),
-        F.col("pos").cast("int").alias("range_sample"),
-        (F.col("pos") * 5.0).cast("double").alias("echo_range"),
-        (F.col("pos") * 5.0).cast("double").alias("depth"),
-        F.when(~missing, F.lit(-70.0) + F.lit(40.0) * F.col("x").cast("double")).alias("sv"),
+        (_ts_ntz(PINGS_START) + F.make_dt_interval(secs=(ping * 2).cast("decimal(18,6)"))).alias("ping_time"),
         (F.lit(40.0) + ping * F.lit(5e-4)).alias("lat"),
         (F.lit(-70.0) + ping * F.lit(3e-4)).alias("lon"),
+        F.transform("embedding", sv).alias("sv"), steps.alias("echo_range"), steps.alias("depth"),
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 60).cast("double")).alias("angle_along"),
+        F.transform("embedding", lambda x, i: F.floor(x.cast("double") * 40 - i).cast("double")).alias("angle_athwart"),
     )
 
 
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ping rows as long samples (without the angle counts)."""
+    return to_samples(pings(spark, sf_dir).drop("angle_along", "angle_athwart"))
+
+
+def ping_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Navigation fixes of the ping platforms, 50 ms apart, from ``events``."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(
+        F.concat(F.lit("p"), (F.col("user_id") % 3).cast("string")).alias("platform"), "event_id",
+        (_ts_ntz(PINGS_START) + F.make_dt_interval(secs=(F.col("event_id") * F.lit("0.05").cast("decimal(18,6)")).cast("decimal(18,6)"))).alias("ts"),
+        (F.lit(40.0) + F.col("value") / F.lit(1e3)).alias("lat"), (F.lit(-70.0) - F.col("value") / F.lit(2e3)).alias("lon"))
+
+
+def frequency_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-frequency thresholds, from ``supplier``: the largest of each frequency's rows; some say nothing."""
+    s = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey") % 4
+    return s.where(k != 2).groupBy(F.when(k == 0, 38000.0).when(k == 1, 70000.0).otherwise(28000.0).alias("frequency_nominal")).agg(
+        F.max(F.when(k != 3, k + 1.0)).cast("double").alias("snr_threshold"),
+        F.max(F.when(k == 1, 4.0)).alias("impulse_threshold_db"), F.max(k * 0.25 + 0.5).cast("double").alias("attenuation_threshold"))
+
+
 def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compact ping messages: int16 power counts per (channel, ping), same vectors as ``samples``."""
     e = read_table(spark, sf_dir, "embeddings")
@@ -111,6 +143,15 @@ def channel_cal_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def angle_cal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split-beam calibration of every channel, from ``supplier``."""
+    s = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey") % 4
+    return s.select(F.concat(F.lit("ch"), F.col("s_suppkey").cast("string")).alias("channel_id"),
+                    (F.lit(20.0) + k).alias("angle_sensitivity_alongship"), (F.lit(18.0) + k).alias("angle_sensitivity_athwartship"),
+                    (k * 0.5).cast("double").alias("angle_offset_alongship"), (k * -0.25).cast("double").alias("angle_offset_athwartship"))
+
+
 def _event_hours(ts: Column) -> Column:
     """Microseconds since 2024-01-01 (``ts`` reads as TIMESTAMP_NTZ; cast keeps the wall clock in UTC)."""
     return F.unix_micros(ts.cast("timestamp")) - F.lit(1704067200000000)
@@ -160,6 +201,8 @@ def file_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     mvbs = F.when(k % 29 == 0, "error: empty grid").otherwise("ok")
     denoise = F.when(k % 31 == 0, "error: singular block").otherwise("ok")
     seabed = F.when(k % 37 == 0, "error: no bottom").otherwise("ok")
+    ok = status == "ok"
+    base = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("/f"), k.cast("string"))
     return o.select(
         k.alias("file_id"),
         F.concat(F.lit("f"), k.cast("string"), F.lit(".raw")).alias("source_file"),
@@ -167,31 +210,45 @@ def file_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         status.alias("status"),
         F.when(status == "error", F.concat(F.lit("convert failed: order "), k.cast("string"))).alias("error"),
         F.when(status == "skipped", F.lit("no valid pings")).alias("reason"),
-        (k % 500).alias("n_pings"),
-        F.when(status == "ok", F.concat(F.lit("processed/"), F.date_format("o_orderdate", "yyyy-MM-dd"),
-                                        F.lit("/f"), k.cast("string"), F.lit("/sv"))).alias("sv_path"),
+        F.when(ok, F.concat(F.lit("seg"), (k % 40).cast("string"))).alias("segment"),
+        (k % 5000).alias("n_pings"),
+        (k % 3 + 1).cast("int").alias("n_channels"),
+        F.when(ok & (k % 4 != 0), F.lit(40.0) + k % 100 / 100.0).alias("lat_min"), F.when(ok & (k % 4 != 0), F.lit(41.0) + k % 100 / 100.0).alias("lat_max"),
+        F.when(ok & (k % 6 != 0), F.lit(-70.0) - k % 10 / 8.0).alias("lon_min"), F.when(ok & (k % 6 != 0), F.lit(-69.5) - k % 10 / 8.0).alias("lon_max"),
+        F.when(ok, F.concat(F.lit("processed/"), base, F.lit("/sv"))).alias("sv_path"),
+        F.when(ok & (k % 5 != 0), F.concat(F.lit("/data/store/echodata/"), base, F.lit(".zarr"))).alias("echodata_path"),
+        F.when(ok, F.when(k % 2 == 0, F.array(F.lit("sv"), F.lit("mvbs"))).otherwise(F.array(F.lit("sv")))).alias("products"),
+        F.when(ok & (k % 8 == 0), F.array(F.concat(F.lit("echograms/"), base, F.lit("/sv_38kHz.png")),
+                                          F.concat(F.lit("echograms/"), base, F.lit("/mvbs_echogram.png")))).alias("echogram_files"),
         F.array_sort(F.array_distinct(F.array(
             F.lit(38000.0), F.when(k % 2 == 0, F.lit(120000.0)).otherwise(F.lit(70000.0)),
             F.when(k % 3 == 0, F.lit(200000.0)).otherwise(F.lit(38000.0))))).alias("frequencies"),
         F.create_map(F.lit("mvbs"), mvbs, F.lit("nasc"), nasc, F.lit("denoise"), denoise,
                      F.lit("seabed"), seabed).alias("stage_status"),
         (k % 997 * 13 + 250).alias("processing_time_ms"),
+        (k % 997 * 13 + 900).alias("total_time_ms"),
         F.col("o_custkey").alias("campaign"),
     )
 
 
+#: Fields that the patch log writes, by type.
+PATCH_FIELDS = {k: [n for n, t, _ in CONFIG_FIELDS if t == k] for k in ("str", "bool", "int", "float")}
+
+
 def config_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twin patch log: one (key, raw JSON value) per event. Exercises unwrap, bad integers, null booleans,
     the ``Log_Level`` rename and unknown ``$`` keys."""
     ev = read_table(spark, sf_dir, "events")
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k")
-    key = (F.when(F.col("event_type") == "view", "mvbs_range_bin").when(F.col("event_type") == "signup", "nasc_enabled")
-           .when(F.col("event_type") == "click", "realtime_buffer_pings").when(F.col("event_type") == "error", "Log_Level")
-           .otherwise("$version"))
+    pick = lambda kind: F.element_at(F.array(*[F.lit(n) for n in PATCH_FIELDS[kind]]), (eid % len(PATCH_FIELDS[kind]) + 1).cast("int"))
+    key = (F.when(F.col("event_type") == "view", pick("str")).when(F.col("event_type") == "signup", pick("bool"))
+           .when(F.col("event_type") == "click", pick("int")).when(F.col("event_type") == "error", "Log_Level")
+           .when(eid % 3 == 0, "$version").otherwise(pick("float")))
     signup = (F.when(eid % 4 == 0, F.lit("false")).when(eid % 4 == 1, F.lit('{"value":"off"}'))
               .when(eid % 4 == 2, F.lit("null")).otherwise(F.lit("1")))
-    click = F.when(eid % 3 == 0, F.lit('"abc"')).otherwise(k)
+    click = (F.when(eid % 3 == 0, F.lit('"abc"')).when(eid % 7 == 0, F.lit('"99999999999999999999"'))
+             .when(eid % 11 == 0, F.lit("1e22")).when(eid % 13 == 0, F.lit("1e60")).otherwise(k))
     other = F.concat(F.lit('{"value":"'), k, F.lit('"}'))
     raw = (F.when(F.col("event_type") == "signup", signup).when(F.col("event_type") == "click", click).otherwise(other))
     return ev.select(
@@ -202,17 +259,19 @@ def config_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON ping messages: every 11th is ``info``; users divisible by 7 send from an unknown channel;
-    every 97th message is cut short (malformed)."""
+    every 97th message is cut short (malformed), every 89th has no time, every 83rd an offset, every 79th a sample
+    outside 16 bits."""
     ev = read_table(spark, sf_dir, "events")
     eid = F.col("event_id")
     typ = F.when(eid % 11 == 0, "info").otherwise("sample_data")
     ch = F.when(F.col("user_id") % 7 == 0, F.lit("chX")).otherwise(
         F.concat(F.lit("ch"), (F.col("user_id") % 5).cast("string")))
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    when = F.when(eid % 89 == 0, F.lit("not a time")).when(eid % 83 == 0, F.concat(iso, F.lit("+02:00"))).otherwise(iso)
     body = F.when(eid % 97 == 0, F.expr("substring(to_json_body, 1, length(to_json_body) - 5)")).otherwise(F.col("to_json_body"))
     return (ev.select(eid.alias("event_id"), F.col("user_id"), F.col("ts"),
-                      F.to_json(F.struct(typ.alias("type"), ch.alias("channel_id"),
-                                         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"),
-                                         F.array((F.floor(F.col("value") * 10) - 6000).cast("int"),
+                      F.to_json(F.struct(typ.alias("type"), ch.alias("channel_id"), when.alias("time"),
+                                         F.array(F.when(eid % 79 == 0, F.lit(40000)).otherwise((F.floor(F.col("value") * 10) - 6000).cast("int")),
                                                  (F.floor(F.col("value")) - 5000).cast("int"),
                                                  (eid % 1000 - 7000).cast("int")).alias("samples"))).alias("to_json_body"))
             .select("event_id", F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("platform"), "ts",

@@ -1,69 +1,119 @@
-"""Sinks: product store (partitioned Parquet, dynamic overwrite), daily append, metadata JSON, messages,
-reports and converted groups. Every writer goes through the DataFrame writer, so Spark's commit protocol makes
-task retries and lost executors safe (no partial files become visible)."""
+"""Sinks: product store, daily store, manifests, messages, reports and converted groups.
+
+A segment is one directory, keyed by campaign, product, day, platform and segment: names of segments repeat between
+platforms and between days. Rows are clustered by that key before the write, so a segment is one file, and partitions are
+overwritten dynamically, so a repeated write replaces exactly the segments it holds. Every writer goes through the
+DataFrame writer, so Spark's commit protocol makes task retries and lost executors safe.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-PRODUCT_PARTITIONS = ["campaign", "product", "day", "segment"]
-
-
-def sink_product(df: DataFrame, root: str, partitions: list[str] | None = None) -> None:
-    """Replace the written partitions of a product (``save_product``/``save_zarr(mode='w')``); partitions not in
-    ``df`` survive (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*(partitions or PRODUCT_PARTITIONS)).parquet(root))
+PRODUCT_PARTITIONS = ["campaign", "product", "day", "platform", "segment"]
+DAY_PARTITIONS = ["day", "platform", "segment"]
+#: Pings of one name further apart than this belong to different segments.
+MAX_GAP_HOURS = 12
+JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
 
 
-def with_batch_day(df: DataFrame, key: str = "segment", ts: str = "ping_time") -> DataFrame:
-    """``day`` = date of the *first* ping of the batch (segment): a batch crossing midnight stays in one day."""
-    first = df.groupBy(key).agg(F.to_date(F.min(ts)).alias("day"))
-    return df.drop("day").join(first, key)
+def _write(df: DataFrame, root: str, partitions: list[str], fmt: str = "parquet", **options) -> None:
+    """Cluster by the partition columns (copies keep the columns themselves where the format needs them) and replace."""
+    clustered = df.repartition(*partitions).sortWithinPartitions(*partitions)
+    w = clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
+    for k, v in options.items():
+        w = w.option(k, v)
+    w.format(fmt).save(root)
 
 
-def sink_day_append(df: DataFrame, root: str, key: str = "segment", ts: str = "ping_time") -> None:
-    """Daily store: every batch lands in the day of its first ping. Partitioned by (day, segment) and written
-    with dynamic overwrite, so re-running a batch (a retried micro-batch) replaces it instead of duplicating."""
-    (with_batch_day(df, key, ts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day", key).parquet(root))
-
-
-def sink_metadata_json(summary: DataFrame, root: str) -> None:
-    """One JSON manifest row per segment, partitioned by day and segment (also readable as a table)."""
-    (summary.withColumn("_day", F.date_format("day", "yyyy-MM-dd")).withColumn("_seg", F.col("segment"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").partitionBy("_day", "_seg").json(root))
+def sink_product(df: DataFrame, root: str, partitions: list[str] | None = None) -> None:
+    """Replace the written segments of a product (``save_product``/``save_zarr(mode='w')``); partitions not in ``df``
+    survive."""
+    _write(df, root, partitions or PRODUCT_PARTITIONS)
+
+
+def with_batch_day(df: DataFrame, ts: str = "ping_time") -> DataFrame:
+    """``day`` = date of the *first* ping of the row's segment: a segment crossing midnight stays in one day.
+
+    A segment is known by platform and name, and a name may come again: pings of it more than ``MAX_GAP_HOURS`` after the
+    last begin another segment. The dates of a (platform, name) are ordered, not its pings. A ``segment_start`` column,
+    where there is one, says it directly.
+    """
+    if "segment_start" in df.columns:
+        return df.withColumn("day", F.to_date("segment_start"))
+    key = ["platform", "segment"]
+    dates = df.groupBy(*key, F.to_date(ts).alias("_date")).agg(F.min(ts).alias("_t0"), F.max(ts).alias("_t1"))
+    w = Window.partitionBy(*key).orderBy("_date")
+    gap = F.unix_micros(F.col("_t0").cast("timestamp")) - F.unix_micros(F.lag("_t1").over(w).cast("timestamp"))
+    new = F.lag("_t1").over(w).isNull() | (gap > F.lit(MAX_GAP_HOURS * 3_600_000_000))
+    starts = dates.withColumn("_s", F.when(new, F.col("_date")))
+    starts = starts.withColumn("day", F.last("_s", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    out = df.drop("day").withColumn("_date", F.to_date(ts)).join(starts.select(*key, "_date", "day"), [*key, "_date"])
+    return out.drop("_date")
+
+
+def sink_day_append(df: DataFrame, root: str, ts: str = "ping_time") -> None:
+    """Daily store: every segment lands in the day of its first ping, by (day, platform, segment). Re-running a batch (a
+    retried micro-batch) replaces its segments instead of duplicating them; other segments of the day stay."""
+    _write(with_batch_day(df, ts), root, DAY_PARTITIONS)
+
+
+def manifest(summary: DataFrame, cfg: dict) -> DataFrame:
+    """The manifest row of every segment: what was processed, the products written, and the configuration."""
+    conf = F.struct(
+        F.lit(cfg.get("sonar_model", "EK80")).alias("sonar_model"), F.lit(cfg.get("waveform_mode", "CW")).alias("waveform_mode"),
+        F.lit(bool(cfg.get("denoise_enabled", True))).alias("denoise_enabled"),
+        F.lit(cfg.get("denoise_methods", "background,transient,impulse,attenuation")).alias("denoise_methods"),
+        F.lit(bool(cfg.get("mvbs_enabled", True))).alias("mvbs_enabled"), F.lit(cfg.get("mvbs_range_bin", "0.5")).alias("mvbs_range_bin"),
+        F.lit(cfg.get("mvbs_ping_time_bin", "10s")).alias("mvbs_ping_time_bin"), F.lit(bool(cfg.get("nasc_enabled", False))).alias("nasc_enabled"),
+        F.lit(cfg.get("nasc_range_bin", "10")).alias("nasc_range_bin"), F.lit(cfg.get("nasc_dist_bin", "0.5")).alias("nasc_dist_bin"),
+        F.lit(bool(cfg.get("seabed_enabled", False))).alias("seabed_enabled"), F.lit(bool(cfg.get("use_gpu", True))).alias("use_gpu"))
+    pair = lambda lo, hi: F.when(F.col(lo).isNotNull(), F.array(lo, hi))
+    has = lambda c, default: F.col(c) if c in summary.columns else default
+    label = F.coalesce(has("file_stem", F.lit(None).cast("string")), F.col("segment_name"))
+    return summary.select(
+        "platform", "day", "segment", label.alias("file"), F.col("segment_name").alias("name"), "start_time", "end_time", "n_pings", "n_channels",
+        "frequencies_hz", "channels", has("processing_time_ms", F.lit(0)).cast("long").alias("processing_time_ms"),
+        has("products", F.array(F.lit("sv"))).alias("products"),
+        has("echogram_files", F.expr("cast(array() as array<string>)")).alias("echogram_files"), conf.alias("config"),
+        pair("depth_min", "depth_max").alias("depth_range_m"), pair("lat_min", "lat_max").alias("lat_range"),
+        pair("lon_min", "lon_max").alias("lon_range"), "sv_mean_db")
+
+
+def sink_metadata_json(manifests: DataFrame, root: str) -> None:
+    """One JSON manifest per segment, by day, platform and segment (also readable as a table)."""
+    rows = manifests.withColumns({f"_{c}": F.col(c).cast("string") for c in DAY_PARTITIONS})
+    _write(rows, root, [f"_{c}" for c in DAY_PARTITIONS], "json", **JSON_OPTIONS)
 
 
 def message_rows(df: DataFrame, output: str) -> DataFrame:
     """Payload rows for a named output (``output1``, ``outputml``): ``output, message_id, body`` (JSON)."""
     return df.select(F.lit(output).alias("output"), F.expr("uuid()").alias("message_id"),
-                     F.to_json(F.struct(*df.columns), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"})
-                     .alias("body"))
+                     F.to_json(F.struct(*df.columns), JSON_OPTIONS).alias("body"))
 
 
 def sink_messages(df: DataFrame, output: str, path: str, fmt: str = "json") -> None:
     message_rows(df, output).write.mode("append").format(fmt).save(path)
 
 
-def sink_reports(lines: DataFrame, root: str, key: str = "segment") -> None:
-    """Markdown lines -> one text file per key (``segment_report.md``-like), in line order."""
-    doc = lines.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))),
-                                                           lambda x: x["text"]), "\n").alias("value"))
-    doc.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).text(root)
+def sink_reports(lines: DataFrame, root: str, keys: list[str], order: list[str]) -> None:
+    """Markdown lines -> text files by ``keys`` (a segment's, or a run's), one line a row, in ``order``: the lines are
+    clustered by key and sorted, never gathered into one value."""
+    kept = lines.select(*[F.col(k).cast("string").alias(k) for k in keys], *[o for o in order if o not in keys], "text")
+    kept = kept.repartition(*keys).sortWithinPartitions(*keys, *order)
+    kept.select(*keys, F.col("text").alias("value")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*keys).text(root)
 
 
-def sink_converted(groups: dict[str, DataFrame], root: str, partitions: list[str]) -> dict[str, str | None]:
-    """Save every group of converted data as its own partitioned table beside the products; a failed save only
-    blanks that group's path (the processing goes on)."""
-    out: dict[str, str | None] = {}
+def sink_converted(groups: dict[str, DataFrame], root: str, partitions: list[str]) -> dict[str, tuple[str, str]]:
+    """Save every group of converted data as its own partitioned table beside the products: ``name -> (path, error)``. A
+    failed save only blanks that group's path and keeps the error's text (the processing goes on)."""
+    out: dict[str, tuple[str, str]] = {}
     for name, df in groups.items():
         path = f"{root.rstrip('/')}/{name}"
         try:
-            cols = [p for p in partitions if p in df.columns]
-            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
-            out[name] = path
-        except Exception:
-            out[name] = None
+            _write(df, path, [p for p in partitions if p in df.columns])
+            out[name] = (path, "")
+        except Exception as e:
+            out[name] = ("", str(e))
     return out

@@ -1,59 +1,96 @@
-"""Structured Streaming forms: stateful segmentation and the per-micro-batch segment pipeline.
+"""Structured Streaming forms: stateful segmentation, and the per-micro-batch segment pipeline.
 
-State per platform is O(1) (start time, count): ``applyInPandasWithState`` keeps it in the state store, so it
-survives restarts through the checkpoint (the reference keeps the buffer in a local of the session).
+The open pings of a platform are the state (at most ``longest`` of them, with their payload): they leave it together when
+the trigger closes their segment, or by a timeout when the stream falls silent. So a sink only ever sees complete segments,
+however the pings are spread over micro-batches, and a restart goes on from the checkpointed state.
 """
 
 from __future__ import annotations
 
-from typing import Callable, Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from acoustispark.functions import scalars as fn
+from acoustispark.sources.sinks import sink_day_append
 from acoustispark.streaming.trigger import TriggerParams
 
 OUT_SCHEMA = ("platform string, ts timestamp_ntz, event_id bigint, segment_start timestamp_ntz, "
-              "n_in_segment bigint, closes boolean")
-STATE_SCHEMA = "start_us long, start_ts timestamp_ntz, count long"
+              "n_segment_pings bigint, payload string")
+STATE_SCHEMA = "t array<bigint>, seq array<bigint>, payload array<string>"
+_COLUMNS = ["platform", "ts", "event_id", "segment_start", "n_segment_pings", "payload"]
 
 
-def segment_stream(pings: DataFrame, p: TriggerParams = TriggerParams(), key: str = "platform",
-                   ts: str = "ts", seq: str = "event_id") -> DataFrame:
-    """Streaming dual trigger. Emits every accepted ping with the start of its segment, its position in the
-    segment and whether it closes the segment. Within a micro-batch pings are taken in (time, seq) order;
-    a ping older than the open segment joins it [def]."""
+def _end(t: np.ndarray, i: int, p: TriggerParams) -> int:
+    """Position of the ping that closes the segment starting at ``i``, or -1: the first one from the minimum count on
+    where the count or the time since the first ping is reached."""
+    low = i + p.min_pings - 1
+    if low >= len(t):
+        return -1
+    late = np.flatnonzero(t[low:] - t[i] >= p.buffer_seconds * 1e6)
+    by_time = low + int(late[0]) if len(late) else len(t)
+    end = min(i + p.longest - 1, by_time)
+    return end if end < len(t) else -1
+
+
+def segment_stream(pings: DataFrame, p: TriggerParams = TriggerParams(), key: str = "platform", ts: str = "ts",
+                   seq: str = "event_id", payload: list[str] | None = None, flush_after: str | None = None) -> DataFrame:
+    """Streaming dual trigger. Emits the pings of a segment when it closes, each with the segment's start and size and
+    the named ``payload`` columns as JSON text. Within a micro-batch pings are taken in (time, seq) order; a ping older than
+    the open segment joins it [def]. With ``flush_after`` (a duration such as ``10 minutes``), a platform that sends nothing
+    for so long is flushed: its open pings are emitted if there are at least ``min_pings``, else dropped."""
+    wait = int(pd.Timedelta(flush_after).total_seconds() * 1000) if flush_after else None
+
+    def rows(k, t: np.ndarray, s: np.ndarray, load: list) -> pd.DataFrame:
+        times = pd.to_datetime(t, unit="us")
+        return pd.DataFrame({"platform": k[0], "ts": times, "event_id": s, "segment_start": times[0] if len(t) else None,
+                             "n_segment_pings": len(t), "payload": load}, columns=_COLUMNS)
 
     def fold(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs)).sort_values([ts, seq], kind="mergesort")
-        if state.exists:
-            start_us, start_ts, count = state.get
-        else:
-            start_us, start_ts, count = None, None, 0
-        rows = []
-        for t, e in zip(pdf[ts], pdf[seq]):
-            t_us = int(pd.Timestamp(t).value // 1000)
-            if count == 0:
-                start_us, start_ts = t_us, pd.Timestamp(t)
-            count += 1
-            closes = (count >= p.buffer_pings or t_us - start_us >= p.buffer_seconds * 1e6) and count >= p.min_pings
-            rows.append((k[0], t, int(e), start_ts, count, bool(closes)))
-            if closes:
-                count = 0
-        state.update((start_us if count else 0, start_ts if count else pd.Timestamp(0), count))
-        yield pd.DataFrame(rows, columns=["platform", "ts", "event_id", "segment_start", "n_in_segment", "closes"])
-
-    src = pings.select(F.col(key).alias("platform"), F.col(ts).alias("ts"), F.col(seq).alias("event_id"))
-    return src.groupBy("platform").applyInPandasWithState(
-        fold, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        held = state.get if state.exists else ([], [], [])
+        t, s, load = np.array(held[0], dtype=np.int64), np.array(held[1], dtype=np.int64), list(held[2])
+        if state.hasTimedOut:
+            state.remove()
+            if len(t) >= p.min_pings:
+                yield rows(k, t, s, load)
+            return
+        new = pd.concat(list(pdfs)).sort_values(["ts", "event_id"], kind="mergesort")
+        t = np.concatenate([t, new["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)])
+        s = np.concatenate([s, new["event_id"].to_numpy(dtype=np.int64)])
+        load += new["payload"].tolist()
+        i = 0
+        while i < len(t) and (end := _end(t, i, p)) >= 0:
+            yield rows(k, t[i:end + 1], s[i:end + 1], load[i:end + 1])
+            i = end + 1
+        state.update((t[i:].tolist(), s[i:].tolist(), load[i:]))
+        if wait is not None:
+            state.setTimeoutDuration(wait)
+
+    carried = F.to_json(F.struct(*payload)) if payload else F.lit(None).cast("string")
+    src = pings.select(F.col(key).cast("string").alias("platform"), F.col(ts).alias("ts"), F.col(seq).cast("long").alias("event_id"),
+                       carried.alias("payload"))
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if flush_after else GroupStateTimeout.NoTimeout
+    return src.groupBy("platform").applyInPandasWithState(fold, OUT_SCHEMA, STATE_SCHEMA, "append", timeout)
+
+
+def named_segments(closed: DataFrame) -> DataFrame:
+    """Closed pings with ``ping_time`` and their segment's name (of its first and last ping)."""
+    w = Window.partitionBy("platform", "segment_start")
+    return closed.withColumn("segment", fn.segment_name("segment_start", F.max("ts").over(w))).withColumnRenamed("ts", "ping_time")
+
+
+def day_accumulate(closed: DataFrame, root: str) -> None:
+    """Add complete segments to the daily store (by day of their first ping, platform and name)."""
+    sink_day_append(named_segments(closed), root)
 
 
 def segment_pipeline(labelled: DataFrame, process: Callable[[DataFrame, int], None], checkpoint: str,
                      trigger: dict | None = None):
-    """Run ``process(batch_df, epoch_id)`` on every micro-batch of labelled pings (``foreachBatch``): the batch
-    frame holds all pings of the batch, grouped downstream by segment - no per-segment driver loop. The writer
-    inside ``process`` should use dynamic partition overwrite so a replayed epoch is idempotent."""
+    """Run ``process(batch_df, epoch_id)`` on every micro-batch of closed pings (``foreachBatch``): the batch frame holds
+    whole segments only, grouped downstream by segment - no per-segment driver loop. A replayed epoch holds the same
+    segments, so a writer with dynamic partition overwrite is idempotent."""
     w = labelled.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    return w.trigger(**(trigger or {"availableNow": True})).start()

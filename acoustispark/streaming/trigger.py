@@ -7,11 +7,12 @@ iff it holds at least ``min_pings`` pings (flush), otherwise dropped. Pings are
 
 Batch form (``segment_trigger``), exact and without any per-platform group:
   1. global ping numbers per platform from per-(platform, day) counts (prefix sums over the small day table);
-  2. the numbered pings are cut into chunks of ``chunk_rows``; every chunk also receives the ``buffer_pings - 1``
-     pings on each side of it. A segment holds at most ``buffer_pings`` pings, so the segment open at the chunk's
-     first ping started at one of ``buffer_pings`` positions: each chunk computes, for every such entry, which
+  2. the numbered pings are cut into chunks of ``chunk_rows``; every chunk also receives the ``longest - 1``
+     pings on each side of it. A segment holds at most ``longest = max(buffer_pings, min_pings)`` pings, so the segment
+     open at the chunk's first ping started at one of ``longest`` positions: each chunk computes, for every such entry, which
      segment is open at the next chunk's first ping (a transition map, ``applyInPandas`` per chunk);
-  3. the maps are composed along each platform (a fold over chunk-level rows only: chunks x entries, not pings);
+  3. the maps are composed along each platform by joins of chunk-level rows that double their reach (no platform is
+     gathered anywhere);
   4. every chunk labels its own pings from its now known entry.
 Streaming form (``segment_stream``): the same fold with O(1) state per platform in ``applyInPandasWithState``.
 """
@@ -24,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from acoustispark.operators.util import spread_groups
+from acoustispark.operators.util import spread_groups, staged
 
 
 @dataclass(frozen=True)
@@ -34,6 +35,11 @@ class TriggerParams:
     buffer_seconds: float = 1800.0
     min_pings: int = 50
 
+    @property
+    def longest(self) -> int:
+        """Most pings of a segment: the count closes it when both minimum and buffer are reached."""
+        return max(self.buffer_pings, self.min_pings)
+
 
 def _next_start(t_us: np.ndarray, p: TriggerParams) -> np.ndarray:
     """For every local position i: the position after the end of a segment starting at i, or -1 when that
@@ -41,7 +47,7 @@ def _next_start(t_us: np.ndarray, p: TriggerParams) -> np.ndarray:
     n = len(t_us)
     i = np.arange(n)
     first_time = np.searchsorted(t_us, t_us + int(round(p.buffer_seconds * 1e6)), side="left")
-    end = np.minimum(i + p.buffer_pings - 1, np.maximum(i + p.min_pings - 1, first_time))
+    end = np.minimum(i + p.longest - 1, np.maximum(i + p.min_pings - 1, first_time))
     return np.where(end < n, end + 1, -1)
 
 
@@ -67,16 +73,40 @@ def _with_halo(numbered: DataFrame, key: str, chunk_rows: int, halo: int) -> Dat
         .withColumn("_own", F.col("_chunk") == c)
 
 
+def _entries(tmaps: DataFrame, key: str) -> DataFrame:
+    """(key, _chunk, _entry): where the segment open at every chunk's first ping starts, following the transition maps
+    from chunk 0.
+
+    Maps that jump 2^k chunks come from joining a map with itself; the places reached from the start at all distances
+    come from applying the jumps from the longest to the shortest. Every step is a join of chunk-level rows, written to
+    the scratch folder so that plans do not grow.
+    """
+    tmaps = staged(tmaps, "chunk-maps")
+    last = tmaps.agg(F.max("_chunk").alias("m")).first()["m"]
+    reached = tmaps.where((F.col("_chunk") == 0) & (F.col("entry") == 0)).select(key, "_chunk", F.col("entry").alias("_entry"))
+    jumps, span = [tmaps.select(key, "_chunk", "entry", (F.col("_chunk") + 1).alias("to"), F.col("exit").alias("at"))], 1
+    while 2 * span <= (last or 0):
+        j = jumps[-1]
+        jumps.append(staged(j.join(j.select(key, F.col("_chunk").alias("to"), F.col("entry").alias("at"), F.col("to").alias("to2"), F.col("at").alias("at2")),
+                            [key, "to", "at"]).select(key, "_chunk", "entry", F.col("to2").alias("to"), F.col("at2").alias("at")), "chunk-maps"))
+        span *= 2
+    for j in reversed(jumps):
+        hop = reached.join(j.withColumnRenamed("entry", "_entry"), [key, "_chunk", "_entry"]).select(
+            key, F.col("to").alias("_chunk"), F.col("at").alias("_entry"))
+        reached = staged(reached.unionByName(hop).distinct(), "chunk-entries")
+    return reached
+
+
 def segment_trigger(pings: DataFrame, p: TriggerParams = TriggerParams(), key: str = "platform", ts: str = "ts",
                     seq: str = "event_id", chunk_rows: int = 200_000) -> DataFrame:
     """Label every ping with its segment (``segment_start`` = time of the segment's first ping,
     ``segment_rn`` = its position) and ``n_segment_pings``; pings of a dropped final segment are removed."""
-    if chunk_rows < p.buffer_pings:
-        raise ValueError("chunk_rows must be at least buffer_pings")
-    halo = p.buffer_pings - 1
+    if chunk_rows < p.longest:
+        raise ValueError("chunk_rows must be at least the longest segment")
+    halo = p.longest - 1
     numbered = _number(pings.select(key, ts, seq), key, ts, seq)
     parts = _with_halo(numbered, key, chunk_rows, halo).withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
-    key_type = pings.schema[key].dataType
+    key_type, seq_type = pings.schema[key].dataType, pings.schema[seq].dataType
 
     def transitions(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rn")
@@ -108,58 +138,52 @@ def segment_trigger(pings: DataFrame, p: TriggerParams = TriggerParams(), key: s
         return pd.DataFrame({key: pdf[key].iloc[0], "_chunk": c, "entry": [o[0] for o in out],
                              "exit": [o[1] for o in out]})
 
-    tmap_schema = T.StructType([T.StructField(key, key_type), T.StructField("_chunk", T.LongType()),
-                                T.StructField("entry", T.LongType()), T.StructField("exit", T.LongType())])
-    tmaps = spread_groups(parts.select(key, "rn", "_t", "_chunk"), key, "_chunk").groupBy(key, "_chunk") \
-        .applyInPandas(transitions, tmap_schema)
-
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = {(int(a), int(b)): int(x) for a, b, x in zip(pdf["_chunk"], pdf["entry"], pdf["exit"])}
-        chunks = sorted(set(int(x) for x in pdf["_chunk"]))
-        cur, rows = 0, []
-        for c in chunks:
-            rows.append((c, cur))
-            cur = m.get((c, cur), cur)
-        return pd.DataFrame({key: pdf[key].iloc[0], "_chunk": [r[0] for r in rows], "_entry": [r[1] for r in rows]})
-
-    entry_schema = T.StructType([T.StructField(key, key_type), T.StructField("_chunk", T.LongType()),
-                                 T.StructField("_entry", T.LongType())])
-    entries = spread_groups(tmaps, key).groupBy(key).applyInPandas(compose, entry_schema)
+    several = numbered.where(F.col("rn") >= chunk_rows).limit(1).count() > 0
+    if several:  # one chunk a platform needs no maps: its first segment starts at its first ping
+        tmap_schema = T.StructType([T.StructField(key, key_type), T.StructField("_chunk", T.LongType()),
+                                    T.StructField("entry", T.LongType()), T.StructField("exit", T.LongType())])
+        tmaps = spread_groups(parts.select(key, "rn", "_t", "_chunk"), key, "_chunk").groupBy(key, "_chunk") \
+            .applyInPandas(transitions, tmap_schema)
+        placed = parts.join(_entries(tmaps, key), [key, "_chunk"])
+    else:
+        placed = parts.where("_chunk = 0").withColumn("_entry", F.lit(0).cast("long"))
 
     def label(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rn").reset_index(drop=True)
         rn = pdf["rn"].to_numpy()
         t = pdf["_t"].to_numpy()
-        nxt = _next_start(t, p)
+        nxt = _next_start(t, p).tolist()
         base = int(rn[0])
         n_total = int(pdf["_n"].iloc[0])
         i = int(pdf["_entry"].iloc[0]) - base
-        own = pdf["_own"].to_numpy()
-        start = np.full(len(rn), -1, dtype=np.int64)
-        size = np.zeros(len(rn), dtype=np.int64)
+        starts, lens = [], []
         while 0 <= i < len(rn):
-            j = int(nxt[i])
+            j = nxt[i]
             if j >= 0:                      # closes inside the array
-                start[i:j] = base + i
-                size[i:j] = j - i
+                starts.append(i)
+                lens.append(j - i)
                 i = j
             else:                           # open at the end of the input: flushed iff long enough
-                length = n_total - (base + i)
-                if length >= p.min_pings:
-                    start[i:] = base + i
-                    size[i:] = length
+                if n_total - (base + i) >= p.min_pings:
+                    starts.append(i)
+                    lens.append(n_total - (base + i))
                 break
-        sel = own & (start >= 0)
-        out = pdf.loc[sel, [key, "rn"]].copy()
-        out["segment_rn"] = start[sel]
-        out["n_segment_pings"] = size[sel]
+        first = np.array(starts, dtype=np.int64)
+        seg = np.searchsorted(first, np.arange(len(rn)), side="right") - 1
+        size = np.array(lens, dtype=np.int64)
+        inside = (seg >= 0) & pdf["_own"].to_numpy()
+        if len(first):
+            inside &= np.arange(len(rn)) < (first + size)[seg]
+        sel = np.flatnonzero(inside)
+        out = pdf.loc[sel, [key, ts, seq, "rn"]].copy()
+        at = first[seg[sel]] if len(sel) else first[:0]
+        out["segment_rn"] = base + at
+        out["segment_start"] = pdf[ts].to_numpy()[at]
+        out["n_segment_pings"] = size[seg[sel]] if len(sel) else size[:0]
         return out
 
-    label_schema = T.StructType([T.StructField(key, key_type), T.StructField("rn", T.LongType()),
-                                 T.StructField("segment_rn", T.LongType()), T.StructField("n_segment_pings", T.LongType())])
-    labelled = (spread_groups(parts.join(entries, [key, "_chunk"])
-                              .select(key, "rn", "_t", "_chunk", "_own", "_entry", "_n"), key, "_chunk")
-                .groupBy(key, "_chunk").applyInPandas(label, label_schema))
-    starts = numbered.select(key, F.col("rn").alias("segment_rn"), F.col(ts).alias("segment_start"))
-    return (numbered.join(labelled, [key, "rn"]).join(starts, [key, "segment_rn"])
-            .select(key, ts, seq, "rn", "segment_rn", "segment_start", "n_segment_pings"))
+    label_schema = T.StructType([
+        T.StructField(key, key_type), T.StructField(ts, T.TimestampNTZType()), T.StructField(seq, seq_type), T.StructField("rn", T.LongType()),
+        T.StructField("segment_rn", T.LongType()), T.StructField("segment_start", T.TimestampNTZType()), T.StructField("n_segment_pings", T.LongType())])
+    return spread_groups(placed.select(key, ts, seq, "rn", "_t", "_chunk", "_own", "_entry", "_n"), key, "_chunk") \
+        .groupBy(key, "_chunk").applyInPandas(label, label_schema)

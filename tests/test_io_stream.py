@@ -1,77 +1,230 @@
-"""Sinks, product store round trip, job composition and the streaming fold (plan-level checks)."""
+"""Stores, jobs and streams: what goes in is what is kept."""
 
+import datetime as dt
+import json
 import tempfile
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from acoustispark.operators import jobs
+from acoustispark.operators import config_log, jobs, report, summary
+from acoustispark.operators.pings import to_samples
 from acoustispark.sources import catalog, fixtures as fx, sinks
-from acoustispark.streaming.stream import segment_stream
+from acoustispark.streaming import stream as st
 from acoustispark.streaming.trigger import TriggerParams, segment_trigger
 
 from .conftest import SF
 
-SCHEMA = ("platform string, segment string, channel string, channel_index int, ping bigint, "
-          "ping_time timestamp_ntz, range_sample int, echo_range double, depth double, sv double, "
-          "campaign string, product string, day date")
-
-
-def test_product_dynamic_overwrite_and_scan(spark):
-    root = tempfile.mkdtemp(prefix="acsp-store-")
-    s = fx.samples(spark, SF).withColumn("campaign", F.lit("c")).withColumn("product", F.lit("sv")) \
-        .withColumn("day", F.to_date("ping_time")).drop("lat", "lon")
-    two = s.withColumn("segment", F.when(F.col("ping") % 2 == 0, "a").otherwise("b"))
-    sinks.sink_product(two, root)
-    sinks.sink_product(two.where(F.col("segment") == "a").withColumn("sv", F.lit(-1.0)), root)
-    back = catalog.read_product(spark, root, SCHEMA, product="sv")
-    got = {r["segment"]: r["n"] for r in back.groupBy("segment").agg(F.count("*").alias("n")).collect()}
-    assert got["a"] > 0 and got["b"] > 0
-    assert back.where((F.col("segment") == "a") & (F.col("sv") != -1.0)).count() == 0
-    assert back.where((F.col("segment") == "b") & (F.col("sv") == -1.0)).count() == 0
-    missing = catalog.read_product(spark, root + "/nope", SCHEMA)
+
+def _dir():
+    return tempfile.mkdtemp(prefix="acsp-")
+
+
+def _pings(spark):
+    return fx.pings(spark, SF).drop("angle_along", "angle_athwart")
+
+
+def _product(df, name="sv"):
+    return sinks.with_batch_day(df).withColumn("campaign", F.lit("c")).withColumn("product", F.lit(name))
+
+
+def test_product_replaces_its_segments_only(spark):
+    root = _dir()
+    p = _product(_pings(spark))
+    sinks.sink_product(p, root)
+    sinks.sink_product(p.where("platform = 'p0'").withColumn("lat", F.lit(-1.0)), root)
+    back = catalog.read_product(spark, root, p.schema, product="sv")
+    assert back.count() == p.count() and back.where("platform = 'p0' and lat <> -1").count() == 0 and back.where("platform <> 'p0' and lat = -1").count() == 0
+    missing = catalog.read_product(spark, root + "/nope", p.schema)
     assert missing.count() == 0 and missing.columns == back.columns
 
 
-def test_day_append_is_idempotent(spark):
-    root = tempfile.mkdtemp(prefix="acsp-day-")
-    s = fx.samples(spark, SF).drop("lat", "lon", "depth")
-    sinks.sink_day_append(s, root)
-    sinks.sink_day_append(s, root)
-    assert spark.read.parquet(root).count() == s.count()
-
-
-def test_process_segments_statuses(spark):
-    root = tempfile.mkdtemp(prefix="acsp-job-")
-    cfg = {"denoise_enabled": True, "mvbs_enabled": True, "nasc_enabled": True, "seabed_enabled": True,
-           "seabed_method": "maxsv", "absorption": 0.01}
-    st = {r["stage"]: r["status"] for r in jobs.process_segments(spark, fx.samples(spark, SF), cfg, root).collect()}
-    assert all(v == "ok" for v in st.values()), st
-    prods = {r["product"] for r in spark.read.parquet(f"{root}/products").select("product").distinct().collect()}
-    assert {"sv", "sv_denoised", "sv_seabed", "mvbs", "nasc"} <= prods
-
-
-def test_stream_fold_equals_batch(spark):
-    src = tempfile.mkdtemp(prefix="acsp-src-")
-    ck = tempfile.mkdtemp(prefix="acsp-ck-")
-    ev = spark.read.parquet(f"{SF}/events.parquet").select(
-        F.concat(F.lit("u"), (F.col("user_id") % 3).cast("string")).alias("platform"), "ts", "event_id")
-    # three time-ordered files = three micro-batches
-    bounds = ev.agg(F.min("ts"), F.max("ts")).collect()[0]
-    span = (bounds[1] - bounds[0]) / 3
-    for i in range(3):
-        lo, hi = bounds[0] + span * i, bounds[0] + span * (i + 1)
-        part = ev.where((F.col("ts") >= lo) & ((F.col("ts") < hi) if i < 2 else F.lit(True)))
-        part.coalesce(1).write.mode("overwrite").parquet(f"{src}/b{i}")
-    p = TriggerParams(buffer_pings=20, buffer_seconds=259200.0, min_pings=5)
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true") \
-        .parquet(src)
-    q = (segment_stream(stream, p).writeStream.format("memory").queryName("seg_out").outputMode("append")
-         .option("checkpointLocation", ck).start())
-    q.processAllAvailable()
-    q.stop()
-    got = spark.sql("select * from seg_out").toPandas()
-    batch = segment_trigger(ev, p, chunk_rows=64).toPandas()
-    closed = set(map(tuple, got.loc[got["closes"], ["platform", "segment_start"]].values.tolist()))
-    streamed = {(e, s) for pl, e, s in got[["platform", "event_id", "segment_start"]].values.tolist() if (pl, s) in closed}
-    expect = {(e, s) for pl, e, s in batch[["platform", "event_id", "segment_start"]].values.tolist() if (pl, s) in closed}
-    assert len(streamed) > 0 and streamed == expect
+def test_one_name_on_two_platforms_and_two_days(spark):
+    """Two platforms share a segment name, one of them has it on two days, and one segment crosses midnight."""
+    root = _dir()
+    t = lambda day, h, m: dt.datetime(2024, 1, day, h, m)
+    rows = [("a", "s", t(1, 10, 0)), ("a", "s", t(1, 10, 5)), ("a", "s", t(2, 10, 0)), ("a", "s", t(2, 10, 5)), ("b", "s", t(1, 10, 0)),
+            ("a", "night", t(1, 23, 55)), ("a", "night", t(2, 0, 5))]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, platform string, segment string, ping_time timestamp_ntz")
+    days = {r.id: r.day.day for r in sinks.with_batch_day(df).collect()}
+    assert days == {0: 1, 1: 1, 2: 2, 3: 2, 4: 1, 5: 1, 6: 1}
+    for part in ("platform = 'a' and id < 4", "platform = 'b'", "id >= 5", "id >= 5"):
+        sinks.sink_day_append(df.where(part), root)
+    back = spark.read.parquet(root)
+    assert back.count() == len(rows)
+    assert sorted({(r.day.day, r.platform, r.segment) for r in back.collect()}) == [(1, "a", "night"), (1, "a", "s"), (1, "b", "s"), (2, "a", "s")]
+
+
+def test_converted_groups_keep_the_error(spark):
+    good = _product(_pings(spark)).drop("campaign", "product")
+    out = sinks.sink_converted({"beam": good, "bad": good.withColumn("lat", F.expr("cast('x' as int)"))}, _dir(), ["day", "platform"])
+    assert out["beam"][0] and out["beam"][1] == "" and out["bad"][0] == "" and "CAST_INVALID_INPUT" in out["bad"][1]
+    assert spark.read.parquet(out["beam"][0]).count() == good.count()
+
+
+def test_report_files_hold_the_lines_in_order(spark):
+    s = summary.segment_summary(_pings(spark)).withColumn("processing_time_ms", F.lit(1)).withColumn("products", F.array(F.lit("sv")))
+    lines = report.segment_report(s, {})
+    root = _dir()
+    sinks.sink_reports(lines, root, ["day", "platform", "segment"], ["line_no"])
+    want = [r.text for r in lines.where("platform = 'p0'").orderBy("line_no").collect()]
+    got = spark.read.text(root).where("platform = 'p0'").select("value").collect()
+    assert [r.value for r in got] == want and want[0].startswith("# Segment Report: ")
+
+
+def test_report_pairs_channels_with_their_frequency(spark):
+    freq = F.when(F.col("channel") == "ch0", 38000.0).when(F.col("channel") == "ch1", 70000.0).when(F.col("channel") == "ch2", 120000.0).otherwise(38000.0)
+    s = summary.segment_summary(_pings(spark).withColumn("frequency_nominal", freq)).withColumn("processing_time_ms", F.lit(1)).withColumn("products", F.array(F.lit("sv")))
+    text = [r.text for r in report.segment_report(s, {}).where("platform = 'p1'").collect()]
+    assert [x for x in text if x.startswith("- ch")] == ["- ch0: 38 kHz", "- ch1: 70 kHz", "- ch2: 120 kHz", "- ch4: 38 kHz"]
+
+
+CFG = {"survey_id": "S1", "denoise_enabled": True, "mvbs_enabled": True, "nasc_enabled": True, "seabed_enabled": True,
+       "seabed_method": "maxSv", "mvbs_range_bin": "20", "mvbs_ping_time_bin": "20s", "nasc_dist_bin": "0.05", "absorption": 0.01}
+
+
+def _status(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r.stage, set()).add(r.status)
+    return out
+
+
+@pytest.fixture(scope="module")
+def done(spark):
+    root = _dir()
+    return root, jobs.process_segments(spark, _pings(spark), CFG, root)
+
+
+def test_job_stores_every_product(spark, done):
+    root, status = done
+    st_ = _status(status)
+    assert set(st_) == {"sv", "denoise", "seabed", "mvbs", "nasc", "echograms", "metadata", "report"} and all(v == {"ok"} for v in st_.values()), st_
+    read = lambda p: spark.read.parquet(f"{root}/products/{p}")
+    assert read("sv").count() == read("sv_denoised").count() == read("sv_seabed").count() > 0
+    assert all(read(p).count() for p in ("mvbs", "nasc", "echogram", "echogram_mvbs", "echogram_nasc"))
+    m = spark.read.json(f"{root}/metadata")
+    assert m.count() == 3 and set(m.first().products) == {"sv", "sv_denoised", "sv_seabed", "mvbs", "nasc"} and len(m.first().config) == 12
+    assert spark.read.text(f"{root}/reports").where(F.col("value").startswith("# Segment Report")).count() == 3
+
+
+def test_grids_see_the_masked_data(spark, done):
+    root, _ = done
+    deepest = spark.read.parquet(f"{root}/products/sv_seabed").where("seabed_depth is not null").withColumn(
+        "d", F.array_max(F.zip_with("sv", "depth", lambda s, d: F.when(s.isNotNull(), d))))
+    assert deepest.where("d >= seabed_depth").count() == 0 and deepest.count() > 0
+    masked = to_samples(spark.read.parquet(f"{root}/products/sv_seabed").drop("seabed_depth")).where("sv is not null").count()
+    assert spark.read.parquet(f"{root}/products/mvbs").agg(F.sum("n_samples")).first()[0] == masked
+
+
+def test_reprocess_into_its_own_store(spark, done):
+    root, _ = done
+    sv = spark.read.parquet(f"{root}/products/sv")
+    before = sv.count()
+    schema = _product(_pings(spark)).schema
+    again = jobs.reprocess_day(spark, f"{root}/products/sv", "2024-01-02", ["denoise", "mvbs"], CFG | {"denoise_methods": "impulse"}, root, schema)
+    assert _status(again) == {"sv": {"ok"}, "denoise": {"ok"}, "mvbs": {"ok"}, "metadata": {"ok"}, "report": {"ok"}}
+    assert spark.read.parquet(f"{root}/products/sv").count() == before
+
+
+def test_parameters_come_from_the_configuration():
+    d = jobs.denoise_params({"background_ping_window": "7", "background_snr_threshold": 1, "background_noise_max": -999.0,
+                             "impulse_ping_lags": "1, 2", "transient_n_pings": 3, "attenuation_side_pings": 4})
+    assert (d.ping_window, d.snr_threshold, d.noise_max, d.impulse_ping_lags, d.transient_n_pings, d.attenuation_side_pings) == (7, 1.0, None, [1, 2], 3, 4)
+    assert jobs.denoise_params({"background_noise_max": -120.0}).noise_max == -120.0
+    assert config_log.settings({"nasc_enabled": "true", "realtime_buffer_pings": "7"})["nasc_enabled"] is True
+
+
+def test_a_bad_setting_fails_its_stage_only(spark):
+    out = _status(jobs.process_segments(spark, _pings(spark), CFG | {
+        "mvbs_range_bin": "wide", "seabed_method": "bogus", "denoise_methods": "bogus", "nasc_range_bin": "x", "plot_echogram": False}, _dir()))
+    assert out["sv"] == {"ok"} and out["metadata"] == {"ok"}
+    assert all("error" in s for k in ("denoise", "seabed", "mvbs") for s in out[k]) and next(iter(out["nasc"])).startswith("skipped: ")
+
+
+def test_one_bad_segment_does_not_fail_the_others(spark):
+    p = _pings(spark).where("ping < 75")
+    src = sinks.with_batch_day(p)
+
+    def build(df):
+        return df.withColumn("bad", F.when(F.col("platform") == "p1", F.raise_error(F.lit("broken segment"))).otherwise(F.lit("")))
+
+    root = _dir()
+    found = jobs._guarded(src, build, lambda df: sinks.sink_product(df.withColumn("campaign", F.lit("c")).withColumn("product", F.lit("x")), root))
+    segs = src.select("platform", "day", "segment").distinct()
+    got = {(r.platform): s for which, s in found for r in segs.where(which).collect()}
+    assert got["p0"] == got["p2"] == "ok" and "broken segment" in got["p1"]
+    assert {r.platform for r in spark.read.parquet(root).select("platform").distinct().collect()} == {"p0", "p2"}
+
+
+def test_no_valid_pings(spark):
+    p = _pings(spark).where("ping < 50").withColumn("sv", F.when(F.col("platform") == "p0", F.transform("sv", lambda x: F.lit(None).cast("double"))).otherwise(F.col("sv")))
+    out = jobs.process_segments(spark, p, {"denoise_enabled": False, "mvbs_enabled": False, "plot_echogram": False}, _dir())
+    assert {(r.platform, r.stage, r.status) for r in out.collect()} == {
+        ("p0", "sv", "skipped: no valid pings"), ("p1", "sv", "ok"), ("p1", "metadata", "ok"), ("p1", "report", "ok")}
+
+
+# ---- streams -----------------------------------------------------------------------------------------------------
+
+P = TriggerParams(buffer_pings=20, buffer_seconds=259200.0, min_pings=5)
+
+
+def _events(spark):
+    return spark.read.parquet(f"{SF}/events.parquet").select(
+        F.concat(F.lit("u"), (F.col("user_id") % 3).cast("string")).alias("platform"), "ts", "event_id", F.col("value").alias("depth_m"))
+
+
+def _in_parts(ev, n):
+    """A folder with ``n`` time-ordered files, each a micro-batch."""
+    src = _dir()
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).collect()[0]
+    for i in range(n):
+        a, b = lo + (hi - lo) / n * i, lo + (hi - lo) / n * (i + 1)
+        ev.where((F.col("ts") >= a) & ((F.col("ts") < b) if i < n - 1 else F.lit(True))).coalesce(1).write.parquet(f"{src}/b{i}")
+        time.sleep(0.05)
+    return src
+
+
+def _reader(spark, ev, src):
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_stream_hands_over_whole_segments(spark, parts):
+    """Segments that span micro-batches reach the daily store once and whole, equal to the batch form; a restart from the
+    checkpoint adds nothing."""
+    ev = _events(spark)
+    src, root, ck = _in_parts(ev, parts), _dir(), _dir()
+    for _ in range(2):
+        closed = st.segment_stream(_reader(spark, ev, src), P, payload=["depth_m"])
+        q = st.segment_pipeline(closed, lambda df, epoch: st.day_accumulate(df, root), ck)
+        assert q.awaitTermination(120)
+    stored = spark.read.parquet(root)
+    batch = segment_trigger(ev, P, chunk_rows=64)
+    last = batch.groupBy("platform").agg(F.max("segment_rn").alias("segment_rn"))
+    whole = {r.event_id: (r.platform, r.segment_start, r.n_segment_pings) for r in batch.collect()}
+    got = {r.event_id: (r.platform, r.segment_start, r.n_segment_pings) for r in stored.collect()}
+    assert stored.count() == len(got) and got.items() <= whole.items()
+    tail = {r.event_id for r in batch.join(last, ["platform", "segment_rn"]).collect()}
+    assert set(whole) - set(got) <= tail  # only the last, still open segments are missing
+    depth = {r.event_id: r.depth_m for r in ev.collect()}
+    assert all(json.loads(r.payload)["depth_m"] == depth[r.event_id] for r in stored.limit(50).collect())
+
+
+def test_stream_flush_equals_batch(spark):
+    """After a silence the open pings are flushed if they are enough and dropped otherwise, as at the end of a batch."""
+    ev = _events(spark).where("event_id < 160")
+    src, ck = _in_parts(ev, 2), _dir()
+    closed = st.segment_stream(_reader(spark, ev, src), P, flush_after="3 seconds")
+    q = closed.writeStream.format("memory").queryName("flushed").outputMode("append").option("checkpointLocation", ck).trigger(processingTime="1 second").start()
+    want = {(r.event_id, r.segment_start, r.n_segment_pings) for r in segment_trigger(ev, P).collect()}
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            got = {(r.event_id, r.segment_start, r.n_segment_pings) for r in spark.sql("select * from flushed").collect()}
+            if got == want:
+                break
+    finally:
+        q.stop()
+    assert got == want

@@ -1,15 +1,22 @@
 """Hand-computed and metamorphic checks of single operators."""
 
+import datetime as dt
+import json
 import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from acoustispark.functions import scalars as fn
+from acoustispark.operators import calibrate as cal
 from acoustispark.operators import denoise as dn
 from acoustispark.operators import grid, track
+from acoustispark.operators import seabed as sb
+from acoustispark.operators.pings import to_pings, to_samples
 from acoustispark.sources import fixtures as fx
+from acoustispark.sources import messages as ms
 from acoustispark.streaming.trigger import TriggerParams, segment_trigger
 
 from .conftest import SF
@@ -53,52 +60,135 @@ def test_mvbs_constant_field(spark):
 
 
 def test_denoise_never_raises_values(spark):
-    s = fx.samples(spark, SF)
-    out, status = dn.denoise_chain(s, dn.DEFAULT_METHODS, dn.DenoiseParams(), absorption=0.01)
+    p = fx.pings(spark, SF)
+    out, status = dn.denoise_chain(p, dn.DEFAULT_METHODS, dn.DenoiseParams(), absorption=0.01)
     assert status == "ok"
-    j = out.select("channel", "ping", "range_sample", F.col("sv").alias("d")).join(
-        s.select("channel", "ping", "range_sample", "sv"), ["channel", "ping", "range_sample"])
+    j = to_samples(out).select("channel", "ping", "range_sample", F.col("sv").alias("d")).join(
+        fx.samples(spark, SF).select("channel", "ping", "range_sample", "sv"), ["channel", "ping", "range_sample"])
     assert j.where(F.col("d") > F.col("sv") + 1e-9).count() == 0
     assert j.where(F.col("d").isNull() & F.col("sv").isNotNull()).count() > 0
 
 
 def test_denoise_unknown_method(spark):
-    s = fx.samples(spark, SF)
-    out, status = dn.denoise_chain(s, "background,bogus")
-    assert status.startswith("error") and out is s
+    p = fx.pings(spark, SF)
+    out, status = dn.denoise_chain(p, "background,bogus")
+    assert status.startswith("error") and out is p
 
 
-def _rdp_reference(points, eps):
-    """Plain recursive Ramer-Douglas-Peucker (brute force) used to check the iterative one."""
-    if len(points) < 3:
-        return list(range(len(points)))
+def _strip(spark, columns, depth=(1.0, 3.0, 5.0), missing=()):
+    """Ping rows of one channel from lists of samples; pings numbered in ``missing`` are absent."""
+    rows = [("p", "s", "c", 0, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=2 * i), [float(x) if x is not None else None for x in v], list(depth), list(depth))
+            for i, v in enumerate(columns) if i not in missing]
+    return spark.createDataFrame(rows, "platform string, segment string, channel string, channel_index int, ping_time timestamp_ntz, "
+                                       "sv array<double>, echo_range array<double>, depth array<double>")
 
-    def dist(p, a, b):
+
+def _sv(df):
+    return [r.sv for r in df.orderBy("ping_time").collect()]
+
+
+def test_impulse_looks_at_the_neighbouring_pings_only(spark):
+    quiet, spike, empty = [-70, -70, -70], [-70, -40, -70], [None, None, None]
+    assert _sv(dn.impulse(_strip(spark, [quiet, spike, quiet])))[1] == [-70, None, -70]
+    # the ping before is empty: there is nothing to compare with, and older pings do not stand in for it
+    assert _sv(dn.impulse(_strip(spark, [quiet, empty, spike, quiet])))[2] == [-70, -40, -70]
+
+
+def test_transient_frame_counts_pings(spark):
+    p = dn.DenoiseParams(transient_exclude_above=0.0, transient_depth_bin=2.0, transient_n_pings=1, transient_threshold_db=6.0)
+    quiet, loud, empty = [-70, -70, -70], [-70, -50, -70], [None, None, None]
+    assert _sv(dn.transient(_strip(spark, [quiet, quiet, loud, quiet]), p))[2] == [-70, None, -70]
+    # between two empty pings a ping is its own median
+    assert _sv(dn.transient(_strip(spark, [quiet, empty, loud, empty, quiet]), p))[2] == [-70, -50, -70]
+
+
+def test_background_modes_and_frequency_parameters(spark):
+    strip = _strip(spark, [[-60, -60, -60]] * 3 + [[-90, -60, -60]] * 3)
+    block = _sv(dn.background(strip, dn.DenoiseParams(ping_window=6, range_window=1)))
+    slide = _sv(dn.background(strip, dn.DenoiseParams(mode="sliding", num_side_pings=0, range_window=1)))
+    assert block != slide and len(block) == len(slide) == 6
+    table = spark.createDataFrame([(38000.0, 1000.0)], "frequency_nominal double, snr_threshold double")
+    strict = dn.background(dn.with_frequency_params(strip.withColumn("frequency_nominal", F.lit(38000.0)), table), dn.DenoiseParams())
+    assert all(x is None for v in _sv(strict) for x in v)
+
+
+def test_ping_rows_round_trip_with_gaps(spark):
+    s = spark.createDataFrame([("p", "s", "c", i, float(-i)) for i in (0, 1, 4)], "platform string, segment string, channel string, range_sample int, sv double")
+    p = to_pings(s)
+    assert p.first().sv == [0.0, -1.0, None, None, -4.0]
+    assert [(r.range_sample, r.sv) for r in to_samples(p).orderBy("range_sample").collect()] == [(0, 0.0), (1, -1.0), (2, None), (3, None), (4, -4.0)]
+
+
+def test_depth_axis_takes_the_first_ping(spark):
+    d = _strip(spark, [[1, 1, 1], [1, 1, 1]])
+    first = F.col("ping_time") == F.lit(dt.datetime(2024, 1, 1))
+    gone = F.transform("depth", lambda x: F.when(~first, x))
+    assert [r.axis for r in cal.depth_axis(d.withColumn("depth", gone).withColumn("echo_range", F.transform("echo_range", lambda x: x + 10))).orderBy("range_sample").collect()] == [11, 13, 15]
+
+
+def test_seabed_method_names(spark):
+    d = _strip(spark, [[-70, -30, -20]])
+    assert sb.detect_seabed(d, "maxSv").first().seabed_depth == 5.0
+    assert sb.detect_seabed(d, "deltaSv").first().seabed_depth == 3.0
+    with pytest.raises(ValueError):
+        sb.detect_seabed(d, "bogus")
+    with pytest.raises(ValueError):
+        sb.detect_seabed(d, "blackwell")
+
+
+def test_bad_input_does_not_abort(spark):
+    assert _one(spark, fn.coerce_int(F.lit('"99999999999999999999"'))) == 99999999999999999999
+    assert _one(spark, fn.coerce_int(F.lit("1e60"))) is None
+    assert _one(spark, fn.parse_bin_value(F.lit("wide"))) is None and _one(spark, fn.parse_bin_value(F.lit("1.2.3m"))) is None
+    assert _one(spark, fn.split_int_list(F.lit("1, x, 3"))) == [1, None, 3]
+    assert _one(spark, ms.ping_time(F.lit("2024-01-01T02:00:00+02:00"))) == dt.datetime(2024, 1, 1)
+    assert _one(spark, ms.ping_time(F.lit("soon"))) is None and _one(spark, ms.ping_time(F.lit("2024"))) is None
+
+
+def test_location_message_times(spark):
+    for t, text in ((dt.datetime(2024, 1, 1, 0, 0, 1), "2024-01-01T00:00:01"), (dt.datetime(2024, 1, 1, 0, 0, 1, 5), "2024-01-01T00:00:01.000005")):
+        m = _one(spark, fn.location_message(F.lit(1.0), F.lit(2.0), F.lit(t).cast("timestamp_ntz"), F.lit(3.0)))
+        assert json.loads(m) == {"location": {"lat": 1.0, "lon": 2.0}, "timestamp": text, "speed_knots": 3.0}
+
+
+def test_rdp_properties():
+    """Ends stay; every dropped point is within epsilon of the kept line around it; every kept interior point split an
+    interval in which it was the farthest, beyond epsilon."""
+    def off(p, a, b):
         if np.allclose(a, b):
-            return np.linalg.norm(p - a)
-        v = b - a
-        ln = np.linalg.norm(v)
-        t = np.clip(np.dot(v / ln, (p - a) / ln), 0, 1)
-        return np.linalg.norm(p - (a + t * v))
-
-    def rec(lo, hi):
-        dmax, idx = 0, lo
-        for i in range(lo + 1, hi):
-            d = dist(points[i], points[lo], points[hi])
-            if d > dmax:
-                idx, dmax = i, d
-        if dmax > eps:
-            return rec(lo, idx)[:-1] + rec(idx, hi)
-        return [lo, hi]
-
-    return rec(0, len(points) - 1)
-
-
-def test_rdp_matches_recursive():
+            return float(np.hypot(*(p - a)))
+        t = min(1.0, max(0.0, float((p - a) @ (b - a) / ((b - a) @ (b - a)))))
+        return float(np.hypot(*(p - a - t * (b - a))))
+
     rng = np.random.default_rng(1)
+    eps = 1e-4
     for n in (2, 3, 10, 200):
-        pts = np.cumsum(rng.normal(0, 1e-4, size=(n, 2)), axis=0)
-        assert track._rdp_indices(pts, 1e-4) == _rdp_reference(pts, 1e-4)
+        pts = np.cumsum(rng.normal(0, 1e-3, size=(n, 2)), axis=0)
+        kept = track._rdp_indices(pts, eps)
+        assert kept[0] == 0 and kept[-1] == n - 1 and kept == sorted(set(kept))
+        for a, b in zip(kept, kept[1:]):
+            assert all(off(pts[i], pts[a], pts[b]) <= eps * (1 + 1e-9) for i in range(a + 1, b))
+        stack = [(0, n - 1)]
+        while stack:
+            lo, hi = stack.pop()
+            inside = [k for k in kept if lo < k < hi]
+            if not inside:
+                continue
+            d = [off(pts[i], pts[lo], pts[hi]) for i in range(lo + 1, hi)]
+            k = lo + 1 + int(np.argmax(d))
+            assert max(d) > eps and k in inside
+            stack += [(lo, k), (k, hi)]
+
+
+@pytest.mark.parametrize("batch_rows", [1, 7, 1 << 16])
+def test_simplify_does_not_depend_on_batches(spark, batch_rows):
+    t = track.speed_filter(track.track_speed(track.track_distance(track.gps_valid(fx.nav(spark, SF)))))
+    base = sorted(map(tuple, track.simplify_rdp(t, 1e-4, 0.05).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5" if batch_rows == 7 else "10000")
+    try:
+        assert sorted(map(tuple, track.simplify_rdp(t, 1e-4, 0.05, batch_rows=batch_rows).collect())) == base
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_savgol_weights_rule():
@@ -127,13 +217,15 @@ def _trigger_brute(times, p):
 def test_trigger_matches_sequential_fold(spark):
     rng = np.random.default_rng(7)
     times = np.cumsum(rng.exponential(20.0, size=700)).round(3)
-    p = TriggerParams(buffer_pings=30, buffer_seconds=400.0, min_pings=10)
     pdf = pd.DataFrame({"platform": "a", "ts": pd.to_datetime(times, unit="s"), "event_id": np.arange(700)})
     df = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    for chunk in (30, 64, 1000):
-        got = sorted((r["event_id"], r["segment_rn"], r["n_segment_pings"])
-                     for r in segment_trigger(df, p, chunk_rows=chunk).collect())
-        assert got == _trigger_brute(list(times), p), chunk
+    for p, chunks in ((TriggerParams(buffer_pings=30, buffer_seconds=400.0, min_pings=10), (30, 64, 1000)),
+                      (TriggerParams(buffer_pings=10, buffer_seconds=1e9, min_pings=15), (15, 50)),
+                      (TriggerParams(buffer_pings=10, buffer_seconds=90.0, min_pings=15), (16, 1000))):
+        for chunk in chunks:
+            got = sorted((r["event_id"], r["segment_rn"], r["n_segment_pings"])
+                         for r in segment_trigger(df, p, chunk_rows=chunk).collect())
+            assert got == _trigger_brute(list(times), p), (p, chunk)
 
 
 def test_haversine_known_distance(spark):

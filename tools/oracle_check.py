@@ -72,8 +72,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
         cols = a[1]
         sa = sorted(json.dumps([_norm(r[c]) for c in cols], default=str) for _, r in sdf.iterrows())
         sb = sorted(json.dumps([_norm(r[c]) for c in cols], default=str) for _, r in ddf.iterrows())
-        only_a = [x for x in sa if x not in set(sb)][:3]
-        only_b = [x for x in sb if x not in set(sa)][:3]
+        in_a, in_b = set(sa), set(sb)
+        only_a = [x for x in sa if x not in in_b][:3]
+        only_b = [x for x in sb if x not in in_a][:3]
         res["spark_only"], res["oracle_only"] = only_a, only_b
     return res
 
