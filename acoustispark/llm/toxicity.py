@@ -6,7 +6,8 @@ windows of a text are scored; a small logistic layer over the sorted window scor
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,15 @@ class BiGru:
         f, o = char_features(words, BITS, (3, 4), 6)
         return word_hash(words, BITS), f, o
 
+    def feature_lists(self, words: list[str], chunk: int = 20_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word hashes, character features of all words one after the other, how many each word has)."""
+        parts = []
+        for lo in range(0, len(words), chunk):
+            some = words[lo:lo + chunk]
+            wh, f, o = self.features(some)
+            parts.append((wh.astype(np.int32), f.astype(np.int32), np.bincount(o, minlength=len(some))))
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
     def inputs(self, wh: np.ndarray, f: np.ndarray, o: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word inputs, and the scale of each word's character part."""
         n = np.bincount(o, minlength=len(wh))
@@ -150,19 +160,28 @@ def spans(n: int) -> list[tuple[int, int]]:
     return [(s, min(n, s + WINDOW)) for s in range(0, max(1, n - WINDOW + STRIDE), STRIDE)] if n else []
 
 
-def fit(samples: list[tuple[int, list[str]]], counts_of: dict | None = None, seed: int = 5) -> BiGru:
+def fit(samples: Iterable[tuple[int, list[str]]], counts_of: dict | None = None, seed: int = 5) -> BiGru:
     """Train on (label, words of the whole text); ``counts_of`` has how many rows of each class the sample stands for. Windows take their document's label at first; later epochs keep, of a
     positive document, the half of the windows that score highest. Then the document layer is fitted on all windows."""
     model, rng = BiGru(seed), np.random.default_rng(seed)
-    vocab = sorted({w for _, ws in samples for w in ws})
-    if not vocab or len({y for y, _ in samples}) < 2:
+    number: dict[str, int] = {}
+    docs, keys = [], []
+    for y, ws in samples:  # numbers take the place of the words at once
+        docs.append(np.fromiter((number.setdefault(w, len(number)) for w in ws), dtype=np.int32, count=len(ws)))
+        keys.append((int(y), zlib.crc32(" ".join(ws).encode())))
+    order = sorted(range(len(docs)), key=keys.__getitem__)  # the same whatever order the rows came in
+    docs, labels = [docs[i] for i in order], np.array([keys[i][0] for i in order])
+    if not number or len(set(labels.tolist())) < 2:
         model.doc = np.array([-2.0, 0.0, 0.0, 0.0, 0.0])
         return model
-    number = {w: i for i, w in enumerate(vocab)}
-    wh, f, o = model.features(vocab)
-    counts = np.bincount(o, minlength=len(vocab))
+    wh, f, counts = model.feature_lists(list(number))
     starts = np.cumsum(counts) - counts
-    docs = [np.array([number[w] for w in ws], dtype=np.int64) for _, ws in samples]
+    wins, owner = [], []
+    for i, d in enumerate(docs):
+        s = spans(len(d))
+        for j in range(len(s)) if len(s) <= TRAIN_WINDOWS else [k * len(s) // TRAIN_WINDOWS for k in range(TRAIN_WINDOWS)]:
+            wins.append(d[s[j][0]:s[j][1]])
+            owner.append(i)
     held = {"word": np.zeros(1 << BITS, np.int64), "char": np.zeros(1 << BITS, np.int64)}
     for d in docs:
         mine = np.unique(d)
@@ -172,15 +191,8 @@ def fit(samples: list[tuple[int, list[str]]], counts_of: dict | None = None, see
         held["char"][np.unique(f[at])] += 1
     least = max(3, LEAST_SHARE * len(docs))
     model.keep_known(held["word"] >= least, held["char"] >= least)
-    labels = np.array([y for y, _ in samples])
-    wins, owner = [], []
-    for i, d in enumerate(docs):
-        s = spans(len(d))
-        for j in range(len(s)) if len(s) <= TRAIN_WINDOWS else [k * len(s) // TRAIN_WINDOWS for k in range(TRAIN_WINDOWS)]:
-            wins.append(d[s[j][0]:s[j][1]])
-            owner.append(i)
     owner = np.array(owner)
-    grid = np.full((WINDOW, len(wins)), -1, dtype=np.int64)
+    grid = np.full((WINDOW, len(wins)), -1, dtype=np.int32)
     for j, w in enumerate(wins):
         grid[:len(w), j] = w
     active = np.arange(len(wins))
@@ -269,7 +281,7 @@ def _fit_documents(model: BiGru, docs: list[np.ndarray], labels: np.ndarray, gat
     model.doc = w
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, usable, doc_id: str, text: str, toxic: str) -> tuple[list, dict]:
+def training_sample(docs: DataFrame, labels: DataFrame, usable, doc_id: str, text: str, toxic: str) -> tuple[Iterator, dict]:
     """(label, words) of about ``TRAIN_DOCS`` labelled documents of each class, and the classes' counts; only these
     come to the driver."""
     marks = labels.where(usable & F.col(toxic).isin(0, 1)).groupBy(doc_id).agg(F.max(toxic).alias("y"))
@@ -282,8 +294,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, usable, doc_id: str, tex
             words = [LETTERS.findall((t or "").lower()) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.list_(pa.string()))], names=["y", "words"])
 
-    got = rows.select(F.col("y").cast("int"), text).mapInArrow(cut, "y int, words array<string>").collect()
-    return sorted((r["y"], r["words"]) for r in got), counts
+    got = rows.select(F.col("y").cast("int"), text).mapInArrow(cut, "y int, words array<string>").toLocalIterator()
+    return ((r["y"], r["words"]) for r in got), counts
 
 
 def train(docs: DataFrame, labels: DataFrame, usable, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> BiGru:
