@@ -25,10 +25,10 @@ from acoustispark.llm.bytewords import pack48, runs, unpack48, word_hashes
 from acoustispark.llm.common import components, shuffle_width, staged
 
 BLOCK = "fragment int, batch long, head boolean, ids binary, counts binary, keys binary"
-#: Rounds of comparisons with hubs before all remaining pairs are compared.
-HUB_ROUNDS, HUBS = 3, 2
+#: Rounds before all remaining pairs are compared: hubs of a key's group, and how many of them a member is compared with.
+ROUNDS = ((1, 2), (2, 2), (4, 4), (8, 8), (16, 16), (16, 16))
 #: Fragments of the global order in which overlaps are counted.
-ORDER_FRAGMENTS = 8
+ORDER_FRAGMENTS = 4
 _MASK48 = np.uint64((1 << 48) - 1)
 
 
@@ -111,7 +111,7 @@ def _repeated(t: pa.Table) -> pa.Table:
 
 def _assembler(percent: int):
     """Of one batch: every document with its set size; with its repeated keys, rarest first, if these can reach the
-    threshold; and with a digest if its whole set is repeated."""
+    threshold; with a digest if its whole set is repeated; and with the mean frequency of its repeated keys."""
     def run(t: pa.Table) -> pa.Table:
         rows = t.to_pylist()
         head = next(r for r in rows if r["head"])
@@ -127,13 +127,14 @@ def _assembler(percent: int):
         owner, code = owner[order], code[order]
         have = np.bincount(owner, minlength=len(ids))
         ends = np.cumsum(have)
-        out, sig = [], []
+        out, sig, common = [], [], []
         for n, k, e in zip(sizes, have, ends):
             mine = code[e - k:e]
+            common.append(float((mine >> 48).mean()) if k else 0.0)
             out.append(mine if n and 100 * k >= percent * n else None)
             sig.append(hashlib.blake2b(np.sort(mine & ((1 << 48) - 1)).tobytes(), digest_size=16).digest() if n and k == n else None)
-        return pa.Table.from_arrays([pa.array(ids), pa.array(sizes), pa.array(out, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-                                    names=["doc_id", "n", "codes", "sig"])
+        return pa.Table.from_arrays([pa.array(ids), pa.array(sizes), pa.array(out, pa.list_(pa.int64())), pa.array(sig, pa.binary()), pa.array(common, pa.float64())],
+                                    names=["doc_id", "n", "codes", "sig", "common"])
     return run
 
 
@@ -148,12 +149,15 @@ def _verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
 
 
 def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
-    """Components after more links: (id, c)."""
+    """(id, c) after more links: every component takes the smallest label beside it, and then the label that one took.
+    Nodes of one label are connected; connected labels may stay apart until the exact components are found at the end."""
     ends = links.join(comp.select(F.col("id").alias("a"), F.col("c").alias("ca")), "a").join(
-        comp.select(F.col("id").alias("b"), F.col("c").alias("cb")), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    found = components(ends)
-    return staged(comp.join(found.select(F.col("node").alias("c"), F.col("component").alias("c2")), "c", "left").select(
-        "id", F.coalesce("c2", "c").alias("c")), "components")
+        comp.select(F.col("id").alias("b"), F.col("c").alias("cb")), "b").select("ca", "cb").where("ca != cb")
+    both = ends.unionByName(ends.select(F.col("cb").alias("ca"), F.col("ca").alias("cb")))
+    hook = staged(both.groupBy("ca").agg(F.least(F.min("cb"), F.first("ca")).alias("m")), "hooks")
+    jump = hook.join(hook.select(F.col("ca").alias("m"), F.col("m").alias("m2")), "m", "left").select(
+        F.col("ca").alias("c"), F.least("m", "m2").alias("to"))
+    return staged(comp.join(jump, "c", "left").select("id", F.coalesce("to", "c").alias("c")), "labels")
 
 
 def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -169,12 +173,12 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: s
     blocks = _blocks(docs, doc_id, text, n, parts)
     told = blocks.repartition(parts, "fragment").groupBy("fragment").applyInArrow(
         _repeated, "batch long, head boolean, ids binary, freqs binary, keys binary")
-    sets = staged(told.groupBy("batch").applyInArrow(_assembler(percent), "doc_id long, n long, codes array<long>, sig binary"), "sets")
+    sets = staged(told.groupBy("batch").applyInArrow(_assembler(percent), "doc_id long, n long, codes array<long>, sig binary, common double"), "sets")
 
     equal = staged(sets.where(F.col("sig").isNotNull()).groupBy("sig").agg(F.min("doc_id").alias("rep")), "equal")
     whole = sets.where(F.col("codes").isNotNull())
     near = whole.join(equal, "sig", "left").where(F.col("rep").isNull() | (F.col("rep") == F.col("doc_id")))
-    reps = near.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.struct("n", "codes")).alias("x")).select("id", "x.n", "x.codes")
+    reps = near.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.struct("n", "codes", "common")).alias("x")).select("id", "x.*")
     comp = _near_components(staged(reps, "nodes"), percent)
 
     out = sets.select("doc_id", "n", "sig").join(equal, "sig", "left").withColumn("id", F.coalesce("rep", "doc_id"))
@@ -192,7 +196,7 @@ def _without_id(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
 
 
 def _near_components(nodes: DataFrame, percent: int) -> DataFrame:
-    """(id, c) of nodes (id, n, codes) with different sets."""
+    """(id, c) of the linked nodes among nodes (id, n, codes) with different sets."""
     cuts = nodes.select(F.explode("codes").alias("code")).agg(
         F.percentile_approx("code", [i / ORDER_FRAGMENTS for i in range(1, ORDER_FRAGMENTS)], 1000).alias("c")).first()["c"] or []
     edges = [0, *sorted(set(cuts)), (1 << 63) - 1]
@@ -202,40 +206,48 @@ def _near_components(nodes: DataFrame, percent: int) -> DataFrame:
 
     held = F.size("codes")
     first = held - F.expr(f"ceil({percent} * n / 100)").cast("int") + 1  # the prefix; unrepeated keys come before it
-    prefix = nodes.select("id", "n", held.alias("r"), F.posexplode(F.slice("codes", F.lit(1), first)).alias("pos", "key"))
+    prefix = nodes.select("id", "n", held.alias("r"), "common", F.posexplode(F.slice("codes", F.lit(1), first)).alias("pos", "key"))
     shared = prefix.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     members = staged(prefix.join(shared, "key"), "prefix")
-    comp = staged(nodes.select("id", F.col("id").alias("c")), "components")
-    checked = None
+    comp = staged(nodes.select("id", F.col("id").alias("c")), "labels")
+    checked = every = None
 
     # sizes allow the overlap that two sets need, and so do the places of the shared key in their orders
     need = f"ceil({percent} * (n + n2) / {100 + percent})"
     possible = F.expr(f"100 * least(n, n2) >= {percent} * greatest(n, n2) and "
                       f"least(pos, pos2) + 1 + least(r - pos, r2 - pos2) - 1 >= {need}")
-    for turn in range(HUB_ROUNDS + 1):
+    # a pair comes up at the first key that both prefixes share, and only if what they share there and what the one
+    # whose prefix ends first has left can make up the overlap
+    once = F.expr(f"""try_element_at(array_intersect(head, head2), 1) = key and size(array_intersect(head, head2)) + case
+        when element_at(head, -1) <= element_at(head2, -1) then r - size(head) else r2 - size(head2) end >= {need}""")
+    for turn in range(len(ROUNDS) + 1):
         now = members.join(comp, "id")
-        width = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(
-            F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), F.col("id").alias("id2"), F.col("n").alias("n2"),
-                     F.col("r").alias("r2"), F.col("pos").alias("pos2"), F.col("c").alias("c2"))).alias("hub")).where("lo < hi")
-        if turn < HUB_ROUNDS:
-            near = now.join(width.select("key", "hub.*"), "key").where("c != c2").where(possible)
+        opened = now.join(now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "key", "left_semi")
+        if turn < len(ROUNDS):
+            hubs, partners = ROUNDS[turn]
+            # hubs of the first round: members whose keys are the most frequent, as an unchanged original's are
+            first_of = Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(turn)) if turn else F.desc("common"), "id")
+            hub = opened.withColumn("k", F.row_number().over(first_of)).where(F.col("k") <= hubs)
+            near = opened.join(hub.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "r", "pos", "c")]), "key").where("c != c2").where(possible)
             votes = near.groupBy("id", "id2").agg(F.count("*").alias("votes"))
             best = Window.partitionBy("id").orderBy(F.col("votes").desc(), "id2")
-            near = votes.withColumn("k", F.row_number().over(best)).where(F.col("k") <= HUBS)
+            near = votes.withColumn("k", F.row_number().over(best)).where(F.col("k") <= partners)
         else:
-            opened = now.join(width.select("key"), "key", "left_semi")
-            other = opened.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "r", "pos", "c")])
-            near = opened.join(other, "key").where("id < id2 and c != c2").where(possible)
+            heads = nodes.select("id", F.slice("codes", F.lit(1), first).alias("head"))
+            full = opened.join(heads, "id")
+            other = full.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "r", "pos", "c", "head")])
+            near = full.join(other, "key").where("id < id2 and c != c2").where(possible).where(once)
         pairs = near.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
         if pairs.isEmpty():
-            if turn < HUB_ROUNDS:
-                continue
-            break
+            continue
         links = staged(_verify(pairs, segments, percent), "links")
         checked = pairs if checked is None else checked.unionByName(pairs)
-        if not links.isEmpty():
+        every = links if every is None else every.unionByName(links)
+        if turn < len(ROUNDS) and not links.isEmpty():
             comp = _merge(comp, links)
-    return comp
+    if every is None:
+        return comp
+    return staged(components(every), "components").select(F.col("node").alias("id"), F.col("component").alias("c"))
