@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from acoustispark.operators import grid
 from acoustispark.plans.common import rounded

@@ -138,7 +138,7 @@ def segment_trigger(pings: DataFrame, p: TriggerParams = TriggerParams(), key: s
         return pd.DataFrame({key: pdf[key].iloc[0], "_chunk": c, "entry": [o[0] for o in out],
                              "exit": [o[1] for o in out]})
 
-    several = numbered.where(F.col("rn") >= chunk_rows).limit(1).count() > 0
+    several = not pings.groupBy(key).count().where(F.col("count") > chunk_rows).isEmpty()
     if several:  # one chunk a platform needs no maps: its first segment starts at its first ping
         tmap_schema = T.StructType([T.StructField(key, key_type), T.StructField("_chunk", T.LongType()),
                                     T.StructField("entry", T.LongType()), T.StructField("exit", T.LongType())])
