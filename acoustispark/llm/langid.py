@@ -6,6 +6,7 @@ chain; forward-backward labels the words of code-switched text. A document's lan
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 
@@ -106,10 +107,16 @@ def fit(samples: list[tuple[str, list[list[str]]]], seed: int = 7) -> Crf:
     rng = np.random.default_rng(seed)
     vocab = sorted({w for _, c in data for w in c})
     number = {w: i for i, w in enumerate(vocab)}
-    f, o, known, lex = model.features(vocab)
-    starts = np.searchsorted(o, np.arange(len(vocab) + 1))
     lex_of = np.full(len(vocab), -1, dtype=np.int64)
-    lex_of[known] = lex
+    parts, sizes = [], []
+    for lo in range(0, len(vocab), 20_000):  # in pieces, as the features of all words at once are large
+        some = vocab[lo:lo + 20_000]
+        fs, os_, known, lex = model.features(some)
+        parts.append(fs.astype(np.int32))
+        sizes.append(np.bincount(os_, minlength=len(some)))
+        lex_of[lo + known] = lex
+    f = np.concatenate(parts)
+    starts = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
     g2, gl2, gt2 = np.full_like(model.weights, 1e-4), np.full_like(model.lex_weights, 1e-4), np.full_like(model.trans, 1e-2)
     model.count_pairs = True
     for _ in range(EPOCHS):
@@ -157,8 +164,8 @@ def fit(samples: list[tuple[str, list[list[str]]]], seed: int = 7) -> Crf:
     return model
 
 
-def training_sample(docs: DataFrame, usable, doc_id: str, text: str, lang: str) -> list[tuple[str, list[list[str]]]]:
-    """Evenly spaced chains of about ``TRAIN_DOCS`` documents of each language; only these come to the driver."""
+def training_sample(docs: DataFrame, usable, doc_id: str, text: str, lang: str) -> DataFrame:
+    """(lang, chains): evenly spaced chains of about ``TRAIN_DOCS`` documents of each language."""
     rows = docs.where(usable & F.col(lang).isNotNull() & F.col(text).isNotNull())
     some, _ = sample_per_class(rows.select(doc_id, lang, text), lang, doc_id, TRAIN_DOCS, 11)
 
@@ -172,8 +179,7 @@ def training_sample(docs: DataFrame, usable, doc_id: str, text: str, lang: str)
                 out.append([words[i * CHAIN:(i + 1) * CHAIN] for i in pick])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.list_(pa.string())))], names=["lang", "chains"])
 
-    got = some.select(lang, text).mapInArrow(cut, "lang string, chains array<array<string>>").collect()
-    return sorted((r["lang"], r["chains"]) for r in got)
+    return some.select(lang, text).mapInArrow(cut, "lang string, chains array<array<string>>")
 
 
 def _predictor(model: Crf, spans: bool, group_chars: int = 1 << 21):
@@ -233,8 +239,14 @@ def _predictor(model: Crf, spans: bool, group_chars: int = 1 << 21):
 
 
 def train(docs: DataFrame, usable, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Crf:
-    """Fit on the rows where the column ``usable`` holds; only text and non-null language are read."""
-    return fit(training_sample(docs, usable, doc_id, text, lang))
+    """Fit on the rows where the column ``usable`` holds; only text and non-null language are read. The sample, which is
+    bounded, is gathered in one task that trains; the driver gets the model."""
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(x for b in batches for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], names=["model"])
+
+    got = training_sample(docs, usable, doc_id, text, lang).repartition(1).mapInArrow(learn, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else fit([])
 
 
 def identify(docs: DataFrame, model: Crf, text: str = "text", keep: list[str] | None = None) -> DataFrame:
