@@ -12,13 +12,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acoustispark.llm.bytewords import pack48, runs, unpack48, word_hashes
@@ -179,13 +180,32 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: s
     whole = sets.where(F.col("codes").isNotNull())
     near = whole.join(equal, "sig", "left").where(F.col("rep").isNull() | (F.col("rep") == F.col("doc_id")))
     reps = near.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.struct("n", "codes", "common")).alias("x")).select("id", "x.*")
-    comp = _near_components(staged(reps, "nodes"), percent)
+    with _no_broadcast(spark):
+        comp = _near_components(staged(reps, "nodes"), percent)
 
     out = sets.select("doc_id", "n", "sig").join(equal, "sig", "left").withColumn("id", F.coalesce("rep", "doc_id"))
     out = out.join(comp, "id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "id").alias("component_id"))
     return out.unionByName(_without_id(docs, doc_id, text, n))
 
 
+@contextlib.contextmanager
+def _no_broadcast(spark: SparkSession) -> Iterator[None]:
+    """Joins of the rounds stay on the executors: what they would broadcast grows with the groups of near copies, and
+    passes through the driver."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        yield
+    finally:
+        for n, v in before.items():
+            if v is None:
+                spark.conf.unset(n)
+            else:
+                spark.conf.set(n, v)
+
+
 def _without_id(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
