@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Passages of the benchmark are TF-IDF rows (document frequencies come from the whole corpus); a distributed randomised
-SVD gives their latent space. Every overlapping window of every document is folded in, windows near an item's passage in cosine are
-candidates, and a candidate counts as a leak if the longest common subsequence of words with the item, and the item's
+Passages of the benchmark are TF-IDF rows (document frequencies come from the whole corpus, outside of what repeats an
+item); a distributed randomised SVD gives their latent space. Every overlapping window of every document is folded in.
+Windows near an item's passage in cosine are candidates, and, whatever the weights, windows that repeat its word runs. A candidate counts as a leak if the longest common subsequence of words with the item, and the item's
 answer, are found in the document around it.
 """
 
@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acoustispark.llm.bytewords import word_hashes
+from acoustispark.llm.bytewords import runs, word_hashes
 from acoustispark.llm.common import map_texts
 
 #: Words of a window, and of the step between windows (a third, so that a window is three steps).
 WINDOW, STEP = 48, 16
 RANK, OVERSAMPLE, POWER = 256, 16, 2
+#: Words of a run that a copy of an item repeats.
+RUN = 3
 
 # Punctuation separates words here, and case does not count, so that quotes and sentence ends do not hide a match.
 _NORMAL = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
@@ -33,7 +35,8 @@ _SENTENCE = re.compile(r"[.!?]+\s+")
 class Params:
     """``cosine``: least similarity of a candidate, and ``cover``: least share of the passage's own length in its direction; ``common``: share of the item's words in common that is a leak by
     itself; ``near``: share that is a leak if also ``answer`` of the answer's words are found; ``stop``: terms in a
-    larger share of the documents carry no weight; ``hits``: least weighted terms in a window."""
+    larger share of the documents are common and weigh ``floor``; ``hits``: least other terms in a window, or as many as
+    the item with the fewest has; ``runs``: share of an item's word runs that makes a window a candidate by itself."""
 
     cosine: float = 0.4
     cover: float = 0.45
@@ -42,6 +45,8 @@ class Params:
     answer: float = 0.6
     stop: float = 0.1
     hits: int = 3
+    floor: float = 0.25
+    runs: float = 0.25
 
 
 def normal_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -86,8 +91,44 @@ def best_common(masks: dict[int, int], m: int, words: list[int]) -> tuple[int, i
     return best[0], -best[1]
 
 
-def document_frequency(docs: DataFrame, text: str, terms: np.ndarray) -> tuple[np.ndarray, int]:
-    """(documents that hold each of the sorted term hashes, number of documents), over all documents."""
+class ItemRuns:
+    """All runs of ``RUN`` words of the items; an item of fewer words is one run."""
+
+    def __init__(self, items: list[dict]):
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for j, it in enumerate(items):
+            g = min(RUN, len(it["words"]))
+            keys = np.unique(runs(np.array(it["words"], dtype=np.uint64), g))
+            found.setdefault(g, []).append((keys, np.full(len(keys), j)))
+        for g, parts in found.items():
+            keys, owners = np.concatenate([k for k, _ in parts]), np.concatenate([o for _, o in parts])
+            order = np.lexsort((owners, keys))
+            distinct, first = np.unique(keys[order], return_index=True)
+            self.tables[g] = (distinct, np.append(first, len(keys)), owners[order])
+
+    def find(self, g: int, words: np.ndarray, lens: np.ndarray, is_term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first words, rows of the table of ``g``) of the item runs of ``g`` words inside the texts."""
+        keys = self.tables[g][0]
+        inside = is_term.copy()
+        for i in range(1, g):
+            inside[:-i] &= is_term[i:]
+            inside[-i:] = False
+        ends = np.cumsum(lens)
+        for i in range(1, g):  # runs that leave their text
+            inside[np.maximum(ends - i, 0)[lens >= i]] = False
+        at = np.flatnonzero(inside)
+        if not len(at):
+            return at, at
+        own = runs(words[(at[:, None] + np.arange(g)).ravel()], g)[::g]
+        row = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+        hit = keys[row] == own
+        return at[hit], row[hit]
+
+
+def document_frequency(docs: DataFrame, text: str, terms: np.ndarray, own: ItemRuns | None = None) -> tuple[np.ndarray, int]:
+    """(documents that hold each of the sorted term hashes, number of documents), over all documents. Words in a run of
+    ``own`` do not count, so that leaks do not make an item's words common."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(len(terms) + 1, dtype=np.int64), 0
         for b in batches:
@@ -95,6 +136,9 @@ def document_frequency(docs: DataFrame, text: str, terms: np.ndarray) -> tuple[n
             n += b.num_rows
             at = np.minimum(np.searchsorted(terms, words), max(0, len(terms) - 1))
             hit = terms[at] == words if len(terms) else np.zeros(len(words), dtype=bool)
+            if own is not None and RUN in own.tables:
+                first, _ = own.find(RUN, words, lens, hit)
+                hit[(first[:, None] + np.arange(RUN)).ravel()] = False
             pair = np.repeat(np.arange(len(lens)), lens)[hit] * (len(terms) + 1) + at[hit]
             df += np.bincount(np.unique(pair) % (len(terms) + 1), minlength=len(terms) + 1)
         df[-1] = n
@@ -143,8 +187,9 @@ def randomised_svd(rows: DataFrame, width: int, rank: int, seed: int = 4) -> np.
 class Retriever:
     """Term weights, latent basis and the benchmark items, as the tasks need them."""
 
-    def __init__(self, terms: np.ndarray, idf: np.ndarray, basis: np.ndarray, items: list[dict], params: Params):
-        self.terms, self.params = terms, params
+    def __init__(self, terms: np.ndarray, idf: np.ndarray, basis: np.ndarray, items: list[dict], params: Params,
+                 common: np.ndarray | None = None, own: ItemRuns | None = None):
+        self.terms, self.params, self.runs = terms, params, own or ItemRuns(items)
         self.latent = (idf[:, None] * basis).astype(np.float32)
         rows, self.row_item, norms = [], [], []
         for j, it in enumerate(items):
@@ -158,19 +203,48 @@ class Retriever:
                     self.row_item.append(j)
         self.rows = np.array(rows, dtype=np.float32).reshape(len(rows), basis.shape[1])
         self.row_item, self.norms = np.array(self.row_item, dtype=np.int64), np.array(norms, dtype=np.float32)
-        self.weighted = idf > 0
+        self.weighted = idf > 0 if common is None else ~common
+        told = [int(self.weighted[np.searchsorted(terms, np.unique(np.array(it["words"], dtype=np.uint64)))].sum()) for it in items]
+        self.hits = min([params.hits, *told])
+        self.need = np.array([max(1, int(params.runs * min(len(it["words"]), WINDOW))) for it in items], dtype=np.int64)
         self.items = [(it["item_id"], _masks(it["words"]), len(it["words"]), _masks(it["answer"]), len(it["answer"])) for it in items]
 
+    def repeats(self, words: np.ndarray, lens: np.ndarray, is_term: np.ndarray, owner_step: np.ndarray, text_of: np.ndarray
+                ) -> Iterator[tuple[int, int]]:
+        """(step, item) of the windows that repeat enough runs of an item, whatever their words weigh."""
+        total = len(text_of)
+        for g, (_, first, owners) in self.runs.tables.items():
+            at, row = self.runs.find(g, words, lens, is_term)
+            many, step = first[row + 1] - first[row], owner_step[at]
+            before = np.concatenate([[0], np.cumsum(many)])
+            lo = 0
+            while lo < len(at):  # so many steps at once that their runs' items are a few million
+                hi = max(int(np.searchsorted(before, before[lo] + (1 << 21), side="right")) - 1, lo + 1)
+                end = int(step[hi - 1]) + 1
+                hi = int(np.searchsorted(step, end))
+                a = int(np.searchsorted(step, step[lo] - 2))  # windows that start before are counted again, and whole
+                n = many[a:hi]
+                item = owners[np.repeat(first[row[a:hi]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+                where = np.repeat(step[a:hi], n)
+                key, count = np.unique(where * len(self.need) + item, return_counts=True)
+                where, item = key // len(self.need), key % len(self.need)
+                starts = np.concatenate([where - back for back in range(3)])
+                inside = (starts >= 0) & (text_of[np.maximum(starts, 0)] == np.tile(text_of[where], 3))
+                window, back = np.unique((starts * len(self.need) + np.tile(item, 3))[inside], return_inverse=True)
+                enough = np.bincount(back, np.tile(count, 3)[inside]) >= self.need[window % len(self.need)]
+                yield from zip((window[enough] // len(self.need)).tolist(), (window[enough] % len(self.need)).tolist())
+                lo = hi
+
     def candidates(self, words: np.ndarray, lens: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-        """(text, first word of the window, item, cosine) of all windows near an item's passage."""
+        """(text, first word of the window, item, cosine) of all windows near an item's passage or with its runs."""
         at = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
-        hit = (self.terms[at] == words) & self.weighted[at]
+        hit = self.terms[at] == words
         steps = np.maximum(1, -(-lens // STEP))  # steps of each text; a window is three of them
         first_step = np.cumsum(steps) - steps
         pos = np.arange(len(words)) - np.repeat(np.cumsum(lens) - lens, lens)
         owner_step = np.repeat(first_step, lens) + pos // STEP
         total = int(steps.sum())
-        hits = np.bincount(owner_step[hit], minlength=total + 2)
+        hits = np.bincount(owner_step[hit & self.weighted[at]], minlength=total + 2)
         vec = np.zeros((total + 2, self.latent.shape[1]), dtype=np.float32)
         places = owner_step[hit]
         if len(places):
@@ -182,7 +256,7 @@ class Retriever:
         ok2, ok3 = left > 1, left > 2
         n = hits[:total] + np.where(ok2, hits[1:total + 1], 0) + np.where(ok3, hits[2:total + 2], 0)
         # a text's last, shorter windows lie inside an earlier one unless the text is that short
-        some = np.flatnonzero((n >= self.params.hits) & (ok3 | (in_text == 0)))
+        some = np.flatnonzero((n >= self.hits) & (ok3 | (in_text == 0)))
         for lo in range(0, len(some), 4096):
             s = some[lo:lo + 4096]
             x = vec[s] + np.where(ok2[s][:, None], vec[s + 1], 0) + np.where(ok3[s][:, None], vec[s + 2], 0)
@@ -193,10 +267,17 @@ class Retriever:
                 if c >= self.params.cosine:
                     step = int(s[i])
                     yield int(text_of[step]), int(in_text[step]) * STEP, int(self.row_item[j]), c
+        for step, j in self.repeats(words, lens, hit, owner_step, text_of):
+            if ok3[step] or in_text[step] == 0:
+                x = vec[step] + (vec[step + 1] if ok2[step] else 0) + (vec[step + 2] if ok3[step] else 0)
+                lo, hi = np.searchsorted(self.row_item, [j, j + 1])
+                along = self.rows[lo:hi] @ x
+                cos = float(along.max() / max(np.linalg.norm(x), 1e-9)) if hi > lo else 0.0
+                yield int(text_of[step]), int(in_text[step]) * STEP, j, cos
 
     def leaks(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, float, float, float]]:
         """(text, item, first word, cosine, share in common, answer share), the best place of each text and item."""
-        if not len(self.rows):
+        if not self.items:
             return
         words, lens = normal_words(texts)
         firsts = np.cumsum(lens) - lens
@@ -204,8 +285,8 @@ class Retriever:
         tried: set[tuple[int, int, int]] = set()
         for text, start, item, cos in self.candidates(words, lens):
             _, masks, m, answer, k = self.items[item]
-            if (text, item) in best and best[text, item][0] == 1.0 or (text, item, start - STEP) in tried:
-                continue  # found whole, or the neighbour's stretch covers this one
+            if (text, item) in best and best[text, item][0] == 1.0 or (text, item, start - STEP) in tried or (text, item, start) in tried:
+                continue  # found whole, or the same or the neighbour's stretch covers this one
             tried.add((text, item, start))
             lo, hi = max(0, start - m), min(int(lens[text]), start + WINDOW + STEP + m)
             near = words[firsts[text] + lo:firsts[text] + hi].tolist()
@@ -235,15 +316,17 @@ def train(docs: DataFrame, benchmark: DataFrame, params: Params = Params(), text
     terms = np.unique(np.array([w for it in items for w in it["words"]], dtype=np.uint64))
     if not len(terms):
         return Retriever(terms, np.empty(0), np.empty((0, 1)), [], params)
-    df, n = document_frequency(docs, text, terms)
-    idf = np.where(df > max(params.stop * n, 2), 0.0, np.log((1 + n) / (1 + df)) + 1)
+    own = ItemRuns(items)
+    df, n = document_frequency(docs, text, terms, own)
+    common = df > max(params.stop * n, 2)
+    idf = np.where(common, params.floor, np.log((1 + n) / (1 + df)) + 1)
     rows = []
     for it in items:
         for p in passages(it["words"]):
             at, tf = np.unique(np.searchsorted(terms, np.array(p, dtype=np.uint64)), return_counts=True)
             rows.append((at.tolist(), (tf * idf[at]).tolist()))
     frame = spark.createDataFrame(rows, "at array<int>, value array<double>").repartition(4)
-    return Retriever(terms, idf, randomised_svd(frame, len(terms), min(RANK, len(rows))), items, params)
+    return Retriever(terms, idf, randomised_svd(frame, len(terms), min(RANK, len(rows))), items, params, common, own)
 
 
 def find_leaks(docs: DataFrame, retriever: Retriever, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -81,6 +81,43 @@ def test_paraphrases_and_clean_rows(spark):
     assert decontam.find_leaks(df, empty).count() == 0
 
 
+def _hot(spark, item, share, copies):
+    """sf0.01 documents with ``item`` planted in every ``share``-th, or in as many copies of one document."""
+    rows = spark.read.parquet(f"{MID}/documents.parquet").where("doc_id < 300").select("doc_id", "text").orderBy("doc_id").collect()
+    host = next(r.text for r in rows if 100 < len((r.text or "").split()) < 300).split()
+    out, planted = [], set()
+    for n, r in enumerate(rows):
+        if n % share:
+            out.append((r.doc_id, r.text))
+            continue
+        words = host if copies else (r.text or "").split()
+        at = len(words) // 2 if copies else n * 7 % (len(words) + 1)
+        out.append((r.doc_id, " ".join(words[:at] + item.split() + words[at:])))
+        planted.add(r.doc_id)
+    return spark.createDataFrame(out, "doc_id long, text string"), planted
+
+
+@pytest.mark.parametrize("copies", [True, False])
+def test_an_item_in_a_third_of_the_rows(spark, copies):
+    bench = spark.read.parquet(f"{MID}/benchmark.parquet")
+    hot, *others = [r for r in bench.orderBy("item_id").collect()][3:]
+    df, planted = _hot(spark, hot.text, 3, copies)
+    got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(df, decontam.train(df, bench)).collect()}
+    assert {(i, hot.item_id) for i in planted} <= got
+    want = _leaks([(r.doc_id, r.text) for r in df.collect()], [(r.item_id, r.text) for r in others])
+    assert want <= got
+    assert len({g for g in got if g[1] == hot.item_id}) <= 1.05 * len(planted)
+
+
+def test_items_of_common_words_and_short_items(spark):
+    docs = [(i, f"of the that and in to is {'q%d' % i} it was for on as with his they at be this from") for i in range(60)]
+    docs += [(100, "that is to be in the end as it was from the first of this and that on the way to q7"), (101, "zeta eta q1"), (102, "zeta q2 eta")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "as it was from the first of this and that on the way"), (2, "zeta eta")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(df, decontam.train(df, bench)).collect()}
+    assert {(100, 1), (101, 2)} <= got and not {i for i, _ in got if i < 60}
+
+
 @pytest.fixture(scope="module")
 def table_dir(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("sf"))
