@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -24,8 +25,8 @@ from acoustispark.sources import sinks
 from acoustispark.sources.catalog import read_product
 
 SEGMENT = ["platform", "day", "segment"]
-#: Halvings of the key hashes before segments that fail together are given one status.
-MAX_HALVINGS = 20
+#: Halvings of the key hashes, one a bit; segments that still fail together are then tried by their own keys.
+MAX_HALVINGS = 64
 
 
 def enrich_sv(pings: DataFrame, depth_offset: float | None = None, tilt: float = 0.0, downward: bool = True,
@@ -78,8 +79,12 @@ def _guarded(source: DataFrame, build: Callable[[DataFrame], DataFrame], write:
             return [(which, "ok")]
         except Exception as e:
             keys = source.where(which).select(*SEGMENT).distinct().limit(2).count()
-            if keys < 2 or depth == MAX_HALVINGS:
+            if keys < 2:
                 return [(which, f"{failed}: {e}")] if keys else []
+            if depth == MAX_HALVINGS:  # equal hashes
+                own = source.where(which).select(*SEGMENT).distinct().collect()
+                alone = [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(r[c])) for c in SEGMENT], which) for r in own]
+                return [x for one in alone for x in attempt(one, depth)]
             bit = F.shiftright(bits, depth).bitwiseAND(F.lit(1))
             return [x for side in (0, 1) for x in attempt(which & (bit == side), depth + 1)]
 

@@ -158,6 +158,20 @@ def test_one_bad_segment_does_not_fail_the_others(spark):
     assert {r.platform for r in spark.read.parquet(root).select("platform").distinct().collect()} == {"p0", "p2"}
 
 
+def test_segments_that_no_hash_bit_tells_apart_fail_alone(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "MAX_HALVINGS", 0)
+    src = sinks.with_batch_day(_pings(spark).where("ping < 75"))
+    done = []
+
+    def build(df):
+        return df.withColumn("bad", F.when(F.col("platform") == "p1", F.raise_error(F.lit("broken segment"))).otherwise(F.lit("")))
+
+    found = jobs._guarded(src, build, lambda df: done.append({(r.platform, r.bad) for r in df.collect()}))
+    segs = src.select("platform", "day", "segment").distinct()
+    got = [(r.platform, s) for which, s in found for r in segs.where(which).collect()]
+    assert len(got) == segs.count() and {p for p, s in got if s == "ok"} == {"p0", "p2"} == {p for d in done for p, _ in d}
+
+
 def test_no_valid_pings(spark):
     p = _pings(spark).where("ping < 50").withColumn("sv", F.when(F.col("platform") == "p0", F.transform("sv", lambda x: F.lit(None).cast("double"))).otherwise(F.col("sv")))
     out = jobs.process_segments(spark, p, {"denoise_enabled": False, "mvbs_enabled": False, "plot_echogram": False}, _dir())
