@@ -73,7 +73,7 @@ class VaFile:
 
 
 def as_integers(vecs: DataFrame, vec_id: str, vector: str, scale: float) -> DataFrame:
-    """vec_id, dim, v: floor(``scale`` * x) as packed longs; without null ids, null or non-finite components."""
+    """vec_id, dim, v: floor(``scale`` * x) as packed longs, each vector of an id once; without null ids, null or non-finite components."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, dims, packed = [], [], []
@@ -89,7 +89,7 @@ def as_integers(vecs: DataFrame, vec_id: str, vector: str, scale: float) -> Data
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(packed, pa.binary())],
                                              names=["vec_id", "dim", "v"])
     rows = vecs.select(F.col(vec_id).cast("long"), vector).mapInArrow(run, "vec_id long, dim int, v binary")
-    return rows.groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("x")).select("vec_id", "x.dim", "x.v")
+    return rows.distinct()
 
 
 def exact_topk(vecs: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0, vec_id: str = "vec_id",
@@ -98,16 +98,17 @@ def exact_topk(vecs: DataFrame, k: int = 20, every: int = 20, scale: float = 64.
     ``every``, against all other rows of the same dimension.
 
     Blocks of queries meet blocks of vectors, both of bounded size; every pair of blocks gives its own certain top
-    k, and these are merged. Scores beyond a long are clipped. A repeated id counts once (its smallest vector).
+    k, and these are merged. Scores beyond a long are clipped. Of a repeated id every different vector is found and asks,
+    but not among its own id's; what they find is ranked together. Rows equal in id and integers count once.
     Null or non-finite vectors take no part; fewer than k candidates give fewer rows; no queries give none.
     """
     ints = staged(as_integers(vecs, vec_id, vector, scale), "vectors")
     is_query = F.pmod("vec_id", F.lit(every)) == 0
     n = ints.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
     nb, nq = max(1, -(-n["n"] // block)), max(1, -(-n["q"] // query_block))
-    side = F.xxhash64("vec_id", F.lit(1))
+    side = F.xxhash64("vec_id", "v", F.lit(1))
     cand = ints.withColumn("cb", F.pmod(side, F.lit(nb))).withColumn("qb", F.explode(F.expr(f"sequence(0L, {nq - 1}L)")))
-    quer = ints.where(is_query).withColumn("qb", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(nq))).withColumn(
+    quer = ints.where(is_query).withColumn("qb", F.pmod(F.xxhash64("vec_id", "v", F.lit(2)), F.lit(nq))).withColumn(
         "cb", F.explode(F.expr(f"sequence(0L, {nb - 1}L)")))
 
     def search(qt: pa.Table, ct: pa.Table) -> pa.Table:

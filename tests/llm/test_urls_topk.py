@@ -2,6 +2,7 @@
 
 import re
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -77,6 +78,18 @@ def test_topk_brute_force(spark, block):
     assert topk.exact_topk(df.limit(0)).count() == 0
 
 
+def test_topk_of_repeated_ids_matches_sql(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = [(i // 3 if i < 90 else i, rng.normal(size=6).tolist()) for i in range(200)]  # three vectors under each of 30 ids
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    fn, sql = registry()["op9_exact_topk"]
+    got = sorted(tuple(r) for r in fn(spark, str(tmp_path)).collect())
+    with duckdb.connect() as con:
+        con.execute(f"create view embeddings as select * from read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+        assert got == sorted(con.execute(sql).fetchall())
+    assert len({r[0] for r in got}) == len({i for i, _ in rows if i % 20 == 0})
+
+
 def test_bounds_hold_and_huge_values_do_not_crash():
     rng = np.random.default_rng(2)
     v, q = rng.integers(-900, 900, (200, 5)), rng.integers(-900, 900, (20, 5))
