@@ -167,7 +167,8 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: s
 
     Null and blank texts have no shingles and no links. Equal sets are one node. Rows with a null id have sizes but no
     component. Several texts under one id: each row has its own size; equal sets link by each row, near sets by one of them. Other columns
-    are not read, and an empty table gives an empty result. Keys are 48 bits of a hash beside the fragment's own.
+    are not read, and an empty table gives an empty result. Keys are 48 bits of a hash,
+    which also choose the fragment: two of m shingles are taken for one with a chance of about m * m / 2^49.
     """
     spark = docs.sparkSession
     parts = min(65536, 2 * shuffle_width(spark))
