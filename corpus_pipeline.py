@@ -1,6 +1,7 @@
 """The training-data pipeline: five stages over ``documents``, each written as Parquet and read again.
 
-language    documents in which no language can be told (null texts, texts without a letter) go
+language    documents in which no language can be told (null texts, texts without a letter) go; without a row to learn
+            languages from, every text with a letter counts as one unnamed language
 near        of each group of near copies (5-word shingles, Jaccard 0.8 or more) the document with the smallest id stays
 substrings  words covered by a 20-word passage that starts earlier in the corpus go; wholly repeated documents go
 leaks       documents with a benchmark item in them go
@@ -29,6 +30,7 @@ def _carried(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs.select("doc_id", "text", "lang"), langid.fold("doc_id", 4) != 2)
+    model = model if model.labels else langid.Crf(["unnamed"], set())  # nothing learned: `und` must still mean no letter
     told = langid.identify(_carried(docs), model, keep=["__row"])
     return told.where(F.col("lang_pred") != "und").select("__row.*")
 

@@ -159,6 +159,15 @@ def test_stages_against_plain_versions(spark, table_dir, tmp_path):
     assert after.groupBy("doc_id").sum("length").count() == before.select("doc_id").distinct().count()
 
 
+@pytest.mark.parametrize("labelled", ["null", "held out"])
+def test_language_keeps_letters_when_nothing_was_learned(spark, table_dir, labelled):
+    docs = spark.read.parquet(f"{table_dir}/documents.parquet")
+    lang = "cast(null as string)" if labelled == "null" else "if(pmod(crc32(cast(doc_id as string)), 4) = 2, lang, null)"
+    out = corpus_pipeline.language(spark, docs.selectExpr("doc_id", "text", f"{lang} as lang"), table_dir)
+    want = sorted(r.text for r in docs.collect() if r.text and any(c.isalpha() for c in r.text))
+    assert sorted(r.text for r in out.collect()) == want and len(want) > 100
+
+
 def test_run_gives_the_last_stage(spark, table_dir):
     got = corpus_pipeline.run(spark, table_dir)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and got.count() > 100
