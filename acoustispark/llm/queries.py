@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acoustispark.llm import bpe, decontam, jaccard, langid, order, packing, phrases, topk, toxicity, urls
+from acoustispark.llm import bpe, decontam, jaccard, langid, order, packing, phrases, topk, toxicity, turns, urls, variants
 from acoustispark.llm.common import shared_dir, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -134,6 +134,102 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE)
 
 
+#: crc32 in SQL over a list of bytes; ``crc`` has its table.
+CRC_TABLE = """crc as (select list(v order by i) as t from (select i, list_reduce([i] || range(8), lambda c, k:
+  case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v from (select unnest(range(256)) as i)))"""
+
+
+def _crc(byte_list: str) -> str:
+    return f"xor(list_reduce([4294967295] || {byte_list}, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = turns.damaged(table(spark, sf_dir, "conversations"))
+    return turns.repair(rows).withColumnRenamed("conv", "conv_id")
+
+
+def _moves() -> str:
+    """The actions on one row as SQL values: (state, initial, action, new state, cost, letters, initials put out)."""
+    put = {("0", "s"): "s", ("0", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    out = [f"('{p}', '', true, '{p}', 2, 'D', '')" for p in "0sua"]
+    for p in "0sua":
+        for ins in ("", "u", "a"):
+            mid = put.get((p, ins)) if ins else p
+            for c in "sua":
+                new = put.get((mid, c)) if mid else None
+                if new:
+                    base, i = 5 * len(ins), "I" * len(ins)
+                    out.append(f"('{p}', '{c}', false, '{new}', {base}, '{i}K', '{ins}{c}')")
+                    if c != "s":
+                        out.append(f"('{p}', '', false, '{new}', {base + 1}, '{i}R', '{ins}{c}')")
+    return ", ".join(out)
+
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+SQL12 = f"""
+with recursive {CRC_TABLE},
+ids as (select row_number() over (order by conv_id) as g, conv_id from (select distinct conv_id from conversations)),
+raw as (select g, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+  coalesce(c.conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations c join ids on c.conv_id is not distinct from ids.conv_id),
+kind as (select raw.*, {_crc("list_transform(string_split(k, ''), lambda x: ascii(x)::bigint)")} % 20 as kind from raw, crc),
+dam as (select g, turn, case when kind = 4 then 'user' else role end as role,
+  case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+  from (select *, unnest(case when kind = 3 then [0, 1] else [0] end) as again from kind where kind <> 0)),
+once as (select *, row_number() over (partition by g, role, text order by turn nulls first) > 1 as seen from dam),
+o as (select *, row_number() over (partition by g order by turn nulls first, role, text, seen) as i, left(role, 1) as r,
+  not regexp_matches(text, '[^\\x20\\x09-\\x0D]') as blank, right(rtrim(text, {_BLANKS}), 1) as tail from once),
+f as (select *, not blank and seen as dup, not blank and not seen and tail not in ('.', '!', '?') as cut,
+  lag(r) over (partition by g order by i) as before from o),
+m(p, c, gone, q, cost, letters, put) as (values {_moves()}),
+walk as (
+  select g, 1::bigint as i, '0' as p, '000000000' as best from ids
+  union all
+  select w.g, w.i + 1, m.q, min(lpad((w.best[1:9]::bigint + m.cost + case when f.cut and not m.gone then 5 else 0 end)::varchar, 9, '0')
+    || w.best[10:] || m.letters)
+  from walk w join f on f.g = w.g and f.i = w.i join m on m.p = w.p and (m.c = '' or m.c = f.r) and (m.gone or not (f.blank or f.dup))
+  group by w.g, w.i + 1, m.q),
+n as (select ids.g, count(i) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank,
+  count(*) filter (dup) as duplicate, count(*) filter (cut) as truncated,
+  count(*) filter (before is not null and before || r not in ('su', 'ua', 'au')) as illegal from ids left join f using (g) group by ids.g),
+fin as (select g, min(case p when 'u' then lpad((best[1:9]::bigint + 5)::varchar, 9, '0') || best[10:] || 'I'
+    when 's' then lpad((best[1:9]::bigint + 10)::varchar, 9, '0') || best[10:] || 'II' else best end) as best
+  from walk join n using (g) where i = n + 1 group by g),
+ed as (select g, best[10:] as audit, unnest(range(1, length(best) - 8)) as j from fin),
+ou as (select g, j, audit[j] as letter, count(*) filter (audit[j] <> 'I') over w as i, count(*) filter (audit[j] <> 'D') over w as k
+  from ed window w as (partition by g order by j)),
+li as (select ou.g, ou.j, k, letter, f.role, f.text, max(case when k = 1 and letter = 'K' and f.r = 's' then 1 else 0 end) over (partition by ou.g) as off
+  from ou left join f on f.g = ou.g and f.i = ou.i and letter <> 'I' where letter <> 'D'),
+tx as (select g, string_agg(case when letter = 'K' then role when (k - off) % 2 = 1 then 'user' else 'assistant' end || ':' ||
+  coalesce(text, ''), chr(10) order by j) as said from li group by g)
+select conv_id, gaps::bigint as gaps, blank, duplicate, truncated, illegal, best[1:9]::bigint as cost, best[10:] as audit,
+  sha256(coalesce(said, '')) as repaired_sha256
+from ids join n using (g) join fin using (g) left join tx using (g)"""
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+SQL13 = f"""
+with recursive {CRC_TABLE},
+low as (select coalesce(doc_id::varchar, '') as id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) as run from documents),
+run as (select id, run, count(*) as k from low where length(run) >= 7 group by all),
+h as (select run, k, {_crc("list_transform(string_split(id || ':', ''), lambda x: ascii(x)::bigint) || flatten(list_transform(string_split(run, ''), lambda x: case when unicode(x) < 128 then [unicode(x)::bigint] else [195, unicode(x)::bigint - 64] end))")} as h from run, crc),
+dam as (select case when h % 31 = 0 then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, k from h),
+w as (select word, sum(k)::bigint as n from dam where length(word) >= 7 group by word having sum(k) >= 2),
+del as (select word, n, i, left(word, i - 1) || substr(word, i + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from w)),
+near as (select distinct * from (
+  select a.word, a.n, b.word as other, b.n as m from del a join del b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union all select d.word, d.n, w.word, w.n from del d join w on d.rest = w.word
+  union all select w.word, w.n, d.word, d.n from del d join w on d.rest = w.word)),
+best as (select word, count(*) as n_near, max(m) as m, arg_min(other, (-m, other)) as other from near group by word),
+v as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when m >= 10 * w.n then other end as form, case when m >= 10 * w.n then m end as form_n
+  from w left join best using (word)),
+up as (select word, word as root, form, 0 as d from v union all select up.word, up.form, v.form, d + 1 from up join v on v.word = up.form)
+select v.word, v.n, v.n_near, v.form, v.form_n, r.root from v join (select word, arg_max(root, d) as root from up group by word) r using (word)"""
+
+
 def registry() -> dict:
     return {
         "op1_url_filters": (op1_url_filters, SQL1),
@@ -146,4 +242,6 @@ def registry() -> dict:
         "op8_toxicity": (op8_toxicity, None),
         "op9_exact_topk": (op9_exact_topk, SQL9),
         "op10_token_counts": (op10_token_counts, None),
+        "op12_conversation_repair": (op12_conversation_repair, SQL12),
+        "op13_spelling_variants": (op13_spelling_variants, SQL13),
     }
