@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acoustispark.llm import bpe, decontam, jaccard, langid, order, packing, phrases, topk, toxicity, turns, urls, variants
-from acoustispark.llm.common import shared_dir, table
+from acoustispark.llm import bpe, decontam, jaccard, langid, order, packing, phrases, quality, topk, toxicity, turns, urls, variants
+from acoustispark.llm.common import shared_dir, staged, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -134,6 +134,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE)
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = langid.fold("doc_id", 4) == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "text")
+    feats = staged(quality.with_features(docs.withColumn("usable", ~F.col("held_out"))), "features")
+    model, prior = quality.train(feats, table(spark, sf_dir, "labels").select("doc_id", "quality"), ~held)
+    return quality.score(feats, model, prior, keep=["doc_id", "held_out"])
+
+
 #: crc32 in SQL over a list of bytes; ``crc`` has its table.
 CRC_TABLE = """crc as (select list(v order by i) as t from (select i, list_reduce([i] || range(8), lambda c, k:
   case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v from (select unnest(range(256)) as i)))"""
@@ -242,6 +250,7 @@ def registry() -> dict:
         "op8_toxicity": (op8_toxicity, None),
         "op9_exact_topk": (op9_exact_topk, SQL9),
         "op10_token_counts": (op10_token_counts, None),
+        "op11_quality_classifier": (op11_quality_classifier, None),
         "op12_conversation_repair": (op12_conversation_repair, SQL12),
         "op13_spelling_variants": (op13_spelling_variants, SQL13),
     }
