@@ -1,14 +1,15 @@
 """Text quality by positive-unlabelled learning.
 
-Only documents marked good are trusted; the web text at large is unlabelled. A first network tells trusted from unlabelled
-text; the share of good text among the unlabelled (the class prior) is the least ratio of the two score tails. A second
-network then minimises the non-negative unbiased risk: what the unlabelled part costs as bad text, less what its good share
+Only documents marked good are trusted; the web text at large is unlabelled. First networks, one
+for each half of the sample, tell trusted from unlabelled text; the share of good text among the unlabelled (the class
+prior) is the least ratio of the two score tails, each row scored by the network that has not seen it. A last network minimises the non-negative unbiased risk: what the unlabelled part costs as bad text, less what its good share
 costs as such, is not let below zero. Its log-odds are the document's quality.
 """
 
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -216,18 +217,33 @@ def _train(xp: np.ndarray, xu: np.ndarray, slopes, seed: int) -> Net:
     return net
 
 
-def separate(xp: np.ndarray, xu: np.ndarray, seed: int = 3) -> Net:
-    """The first network: trusted against unlabelled text, by logistic loss."""
-    return _train(xp, xu, lambda zp, zu: (-_sig(-zp) / len(zp), _sig(zu) / len(zu)), seed)
+def separate(cells: tuple[list[bytes], list[bytes]], seed: int = 3) -> tuple[Net, ...]:
+    """For each half of the rows, the network that has learned from the other half to tell trusted from unlabelled text
+    (logistic loss). Equal rows are in one half."""
+    halves = [_halves(c) for c in cells]
+    xs = [_array(c) for c in cells]
+    return tuple(_train(*[x[h != mine] if (h != mine).any() else x for x, h in zip(xs, halves)],
+                        lambda zp, zu: (-_sig(-zp) / len(zp), _sig(zu) / len(zu)), seed) for mine in (0, 1))
+
+
+def _halves(cells: list[bytes]) -> np.ndarray:
+    return np.array([zlib.crc32(c) & 1 for c in cells], dtype=np.int64)
+
+
+def unseen_scores(nets: tuple[Net, ...], cells: list[bytes]) -> np.ndarray:
+    x, h, out = _array(cells), _halves(cells), np.empty(len(cells))
+    for mine, net in enumerate(nets):
+        out[h == mine] = net.scores(x[h == mine])
+    return out
 
 
 def fit(xp: np.ndarray, xu: np.ndarray, prior: float, seed: int = 3) -> Net:
-    """The second network: least non-negative risk under the class prior."""
+    """The last network: least non-negative risk under the class prior."""
     return _train(xp, xu, lambda zp, zu: risk_slopes(zp, zu, prior), seed)
 
 
 def class_prior(trusted: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The share of good text among the unlabelled, from both histograms of the first network's scores: above any score lie at
+    """The share of good text among the unlabelled, from both histograms of the first networks' scores: above any score lie at
     least ``prior`` times as many unlabelled as trusted ones, so the least ratio of the tails is the best bound. The tails are
     taken with their sampling error (one part in a hundred to be wrong), which keeps empty ones out."""
     p, u = trusted[::-1].cumsum() / max(1, trusted.sum()), unlabelled[::-1].cumsum() / max(1, unlabelled.sum())
@@ -244,12 +260,12 @@ def _array(cells: list) -> np.ndarray:
 
 
 def _in_a_task(sample: DataFrame, make) -> object:
-    """What ``make(trusted features, unlabelled features)`` gives for the bounded sample (kind, features), computed in one
+    """What ``make(trusted cells, unlabelled cells)`` gives for the bounded sample (kind, features), computed in one
     task; the driver gets the result alone. Rows are sorted, so their order does not matter."""
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted(x for b in batches for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-        xp, xu = (_array([f for k, f in rows if k == kind]) for kind in (1, 0))
-        made = make(xp, xu) if len(xp) and len(xu) else None
+        trusted, web = ([f for k, f in rows if k == kind] for kind in (1, 0))
+        made = make(trusted, web) if trusted and web else None
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(made)], pa.binary())], names=["model"])
 
     got = sample.repartition(1).mapInArrow(learn, "model binary").collect()
@@ -272,14 +288,14 @@ def train(feats: DataFrame, labels: DataFrame, usable, doc_id: str = "doc_id", q
     share = F.pmod(F.xxhash64("features", F.lit(37)), F.lit(1 << 40)) / float(1 << 40)  # copies together, ids may repeat
     rest = web.where(F.when(F.col("id").isNull(), share).otherwise(hash_share("id", 37)) < min(1.0, UNLABELLED / n_u))
     sample = staged(some.unionByName(rest.select(F.lit(0).alias("kind"), "features")), "sample")
-    first = _in_a_task(sample, separate)
+    first = _in_a_task(sample, lambda p, u: separate((p, u)))
     if first is None:
         return None, 0.5
     shared = feats.sparkSession.sparkContext.broadcast(first)
 
     def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = shared.value.scores(_array(b.column(0).to_pylist()))
+            s = unseen_scores(shared.value, b.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum((s * BINS).astype(np.int32), BINS - 1))], names=["bin"])
 
     def histogram(df: DataFrame) -> np.ndarray:
@@ -289,7 +305,7 @@ def train(feats: DataFrame, labels: DataFrame, usable, doc_id: str = "doc_id", q
         return out
 
     prior = class_prior(histogram(trusted), histogram(web))
-    return _in_a_task(sample, lambda xp, xu: fit(xp, xu, prior)), prior
+    return _in_a_task(sample, lambda p, u: fit(_array(p), _array(u), prior)), prior
 
 
 def score(feats: DataFrame, model: Net | None, prior: float = 0.5, keep: list[str] | None = None, threshold: float = 0.7) -> DataFrame:
