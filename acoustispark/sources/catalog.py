@@ -6,6 +6,8 @@ pruned); store listings work on path strings, so they scale with the number of f
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from acoustispark.functions import scalars as fn
@@ -41,6 +43,8 @@ def new_file_events(events: DataFrame, catalog: DataFrame) -> DataFrame:
     return j.select("event_id", "event", "file_added_path", status.alias("status"), reason.alias("reason"))
 
 
+#: Values that a directory name holds as they are.
+SAFE_VALUE = re.compile(r"[A-Za-z0-9_.-]+")
 DAY_RE = r"(?:^|/)([0-9]{4}-[0-9]{2}-[0-9]{2})(?:/|$)"
 
 
@@ -76,11 +80,18 @@ def list_stores(paths: DataFrame, prefix: str = "", path_col: str = "path") -> D
 
 
 def read_product(spark: SparkSession, root: str, schema: T.StructType | str, **partitions) -> DataFrame:
-    """Scan a product store (Parquet partitioned by campaign/product/day/platform/segment); partition filters prune
-    directories; a missing store yields an empty frame with the schema, not an error; NaN -> NULL."""
+    """Scan a product store (Parquet, a directory per campaign/product/day). Leading partition values go into the path, so
+    only their directories are listed; other filters prune as usual; a missing store yields an empty frame with the schema,
+    not an error; NaN -> NULL."""
+    from acoustispark.sources.sinks import PRODUCT_DIRS
     from acoustispark.sources.tables import nan_to_null
+    path, named = root.rstrip("/"), 0
+    for c in PRODUCT_DIRS:  # the leading directories are named, so the others are never listed
+        if c not in partitions or not SAFE_VALUE.fullmatch(str(partitions[c])):
+            break
+        path, named = f"{path}/{c}={partitions[c]}", named + 1
     try:
-        df = spark.read.schema(schema).parquet(root)
+        df = spark.read.schema(schema).option("basePath", root).parquet(path)
     except Exception as e:  # path does not exist
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise

@@ -1,17 +1,26 @@
 """Sinks: product store, daily store, manifests, messages, reports and converted groups.
 
-A segment is one directory, keyed by campaign, product, day, platform and segment: names of segments repeat between
-platforms and between days. Rows are clustered by that key before the write, so a segment is one file, and partitions are
-overwritten dynamically, so a repeated write replaces exactly the segments it holds. Every writer goes through the
-DataFrame writer, so Spark's commit protocol makes task retries and lost executors safe.
+The Parquet stores have one directory a day (and product). Inside it rows are clustered by platform and segment into files
+of about ``FILE_BYTES``, so files and listings grow with bytes and not with segments; footers' ranges let a scan skip the files
+of other segments. Names of segments repeat between platforms and between days: a segment is known by (day, platform,
+name). New segments are appended; where a write holds segments that are stored already (a retry, a replayed micro-batch, a
+reprocessing), their days are written anew with the other segments kept, and replaced as Spark commits them. Every writer
+goes through the DataFrame writer, so Spark's commit protocol makes task retries and lost executors safe.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import math
 
-PRODUCT_PARTITIONS = ["campaign", "product", "day", "platform", "segment"]
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from acoustispark.operators.util import staged
+
+#: Directories of a product store, of the daily store, and what tells segments apart inside a directory.
+PRODUCT_DIRS, DAY_DIRS, SEGMENT_KEYS = ["campaign", "product", "day"], ["day"], ["platform", "segment"]
+#: The documents of a segment (manifests, reports) keep a directory each.
 DAY_PARTITIONS = ["day", "platform", "segment"]
+FILE_BYTES = 128 << 20
 #: Pings of one name further apart than this belong to different segments.
 MAX_GAP_HOURS = 12
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
@@ -26,10 +35,72 @@ def _write(df: DataFrame, root: str, partitions: list[str], fmt: str = "parquet"
     w.format(fmt).save(root)
 
 
-def sink_product(df: DataFrame, root: str, partitions: list[str] | None = None) -> None:
-    """Replace the written segments of a product (``save_product``/``save_zarr(mode='w')``); partitions not in ``df``
-    survive."""
-    _write(df, root, partitions or PRODUCT_PARTITIONS)
+def stored(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
+    """The store as a frame; None where nothing was written yet."""
+    try:
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(root)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
+def _matching(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``rows`` that have (``left_semi``) or have not (``left_anti``) their match in ``keys``; nulls match."""
+    other = keys.select(*[F.col(c).alias(f"_k_{c}") for c in keys.columns])
+    same = F.lit(True)
+    for c in keys.columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    return rows.join(other, same, how)
+
+
+def _cluster(table: DataFrame, root: str, dirs: list[str], keys: list[str], replace: bool) -> None:
+    """Write a staged table into the store: as many files as its bytes ask for, each with a range of segments. A long segment
+    goes over several files by its time."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    order = [*dirs, *keys, *[c for c in ("ping_time",) if c in table.columns]]
+    rows = table.repartitionByRange(max(1, math.ceil(size / FILE_BYTES)), *order).sortWithinPartitions(*order)
+    w = rows.write.partitionBy(*dirs)
+    (w.mode("overwrite").option("partitionOverwriteMode", "dynamic") if replace else w.mode("append")).parquet(root)
+
+
+def replace_segments(df: DataFrame, root: str, dirs: list[str], keys: list[str] | None = None) -> None:
+    """Put the segments of ``df`` into the store; segments of the same key that it holds already are replaced, the others
+    of their day survive."""
+    keys = SEGMENT_KEYS if keys is None else keys
+    new = staged(df, "store-in")
+    old = stored(df.sparkSession, root, new.schema)
+    if old is None:
+        return _cluster(new, root, dirs, keys, False)
+    mine = new.select(*dirs, *keys).distinct()
+    known = staged(_matching(old.select(*dirs, *keys), mine, "left_semi").select(*dirs).distinct(), "store-days")
+    if known.isEmpty():
+        return _cluster(new, root, dirs, keys, False)
+    kept = _matching(_matching(old, known, "left_semi"), mine, "left_anti").select(*new.columns)
+    again = _matching(new, known, "left_semi")
+    _cluster(staged(kept.unionByName(again), "store-days"), root, dirs, keys, True)
+    first = staged(_matching(new, known, "left_anti"), "store-in")
+    if not first.isEmpty():
+        _cluster(first, root, dirs, keys, False)
+
+
+def compact(spark: SparkSession, root: str, dirs: list[str], keys: list[str] | None = None) -> int:
+    """Write the days anew that hold more than twice the files their bytes ask for (many small appends); returns how many."""
+    df = stored(spark, root)
+    if df is None:
+        return 0
+    files = df.select(*dirs, F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_size").alias("_b")).distinct()
+    per = files.groupBy(*dirs).agg(F.count("*").alias("_n"), F.sum("_b").alias("_b"))
+    many = staged(per.where(F.col("_n") > 2 * F.ceil(F.col("_b") / F.lit(FILE_BYTES))).select(*dirs), "store-days")
+    n = many.count()
+    if n:
+        _cluster(staged(_matching(df, many, "left_semi"), "store-days"), root, dirs, SEGMENT_KEYS if keys is None else keys, True)
+    return n
+
+
+def sink_product(df: DataFrame, root: str) -> None:
+    """Replace the written segments of a product (``save_product``/``save_zarr(mode='w')``); segments not in ``df`` survive."""
+    replace_segments(df, root, PRODUCT_DIRS)
 
 
 def with_batch_day(df: DataFrame, ts: str = "ping_time") -> DataFrame:
@@ -55,7 +126,7 @@ def with_batch_day(df: DataFrame, ts: str = "ping_time") -> DataFrame:
 def sink_day_append(df: DataFrame, root: str, ts: str = "ping_time") -> None:
     """Daily store: every segment lands in the day of its first ping, by (day, platform, segment). Re-running a batch (a
     retried micro-batch) replaces its segments instead of duplicating them; other segments of the day stay."""
-    _write(with_batch_day(df, ts), root, DAY_PARTITIONS)
+    replace_segments(with_batch_day(df, ts), root, DAY_DIRS)
 
 
 def manifest(summary: DataFrame, cfg: dict) -> DataFrame:
@@ -86,14 +157,23 @@ def sink_metadata_json(manifests: DataFrame, root: str) -> None:
     _write(rows, root, [f"_{c}" for c in DAY_PARTITIONS], "json", **JSON_OPTIONS)
 
 
-def message_rows(df: DataFrame, output: str) -> DataFrame:
-    """Payload rows for a named output (``output1``, ``outputml``): ``output, message_id, body`` (JSON)."""
-    return df.select(F.lit(output).alias("output"), F.expr("uuid()").alias("message_id"),
+def message_rows(df: DataFrame, output: str, key: list[str] | None = None, epoch: int = 0) -> DataFrame:
+    """Payload rows for a named output (``output1``, ``outputml``): ``output, message_id, body`` (JSON). The id follows from
+    the output, the epoch and the row's ``key`` columns (all, if none are named), so a replayed epoch has the same ids."""
+    own = F.to_json(F.struct(*(key or df.columns)), JSON_OPTIONS)
+    return df.select(F.lit(output).alias("output"), F.sha2(F.concat_ws("|", F.lit(output), F.lit(epoch), own), 256).alias("message_id"),
                      F.to_json(F.struct(*df.columns), JSON_OPTIONS).alias("body"))
 
 
-def sink_messages(df: DataFrame, output: str, path: str, fmt: str = "json") -> None:
-    message_rows(df, output).write.mode("append").format(fmt).save(path)
+def sink_messages(df: DataFrame, outputs: dict[str, Column | None], path: str, key: list[str] | None = None, epoch: int = 0, fmt: str = "json") -> None:
+    """One pass of ``df`` to several named outputs: ``outputs`` maps a name to the condition of its rows (None: all). An epoch
+    is a directory of its own below its output and is replaced when it is written again: a replayed micro-batch adds
+    no message."""
+    named = F.array_compact(F.array(*[F.when(F.lit(True) if c is None else c, F.lit(o)) for o, c in outputs.items()]))
+    own = F.to_json(F.struct(*(key or df.columns)), JSON_OPTIONS)
+    rows = df.select(F.explode(named).alias("output"), F.lit(epoch).cast("long").alias("epoch"), own.alias("_own"), F.to_json(F.struct(*df.columns), JSON_OPTIONS).alias("body"))
+    rows = rows.select("output", "epoch", F.sha2(F.concat_ws("|", "output", "epoch", "_own"), 256).alias("message_id"), "body")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("output", "epoch").format(fmt).save(path)
 
 
 def sink_reports(lines: DataFrame, root: str, keys: list[str], order: list[str]) -> None:
