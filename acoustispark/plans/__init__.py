@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["grids", "calibration", "tracks", "cleaning", "summaries", "scalars", "control", "streams", "io", "stores"]
+MODULES = ["grids", "calibration", "tracks", "cleaning", "summaries", "scalars", "control", "streams", "io", "stores", "live"]
 
 
 def registry() -> dict:

@@ -37,11 +37,12 @@ def _end(t: np.ndarray, i: int, p: TriggerParams) -> int:
 
 
 def segment_stream(pings: DataFrame, p: TriggerParams = TriggerParams(), key: str = "platform", ts: str = "ts",
-                   seq: str = "event_id", payload: list[str] | None = None, flush_after: str | None = None) -> DataFrame:
+                   seq: str = "event_id", payload: list[str] | None = None, flush_after: str | None = None, ends: str | None = None) -> DataFrame:
     """Streaming dual trigger. Emits the pings of a segment when it closes, each with the segment's start and size and
     the named ``payload`` columns as JSON text. Within a micro-batch pings are taken in (time, seq) order; a ping older than
     the open segment joins it [def]. With ``flush_after`` (a duration such as ``10 minutes``), a platform that sends nothing
-    for so long is flushed: its open pings are emitted if there are at least ``min_pings``, else dropped."""
+    for so long is flushed: its open pings are emitted if there are at least ``min_pings``, else dropped. ``ends`` names a
+    boolean column: a row where it is true is no ping but the end of the platform's session, which flushes it the same way."""
     wait = int(pd.Timedelta(flush_after).total_seconds() * 1000) if flush_after else None
 
     def rows(k, t: np.ndarray, s: np.ndarray, load: list) -> pd.DataFrame:
@@ -57,21 +58,28 @@ def segment_stream(pings: DataFrame, p: TriggerParams = TriggerParams(), key: st
             if len(t) >= p.min_pings:
                 yield rows(k, t, s, load)
             return
-        new = pd.concat(list(pdfs)).sort_values(["ts", "event_id"], kind="mergesort")
-        t = np.concatenate([t, new["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)])
-        s = np.concatenate([s, new["event_id"].to_numpy(dtype=np.int64)])
-        load += new["payload"].tolist()
-        i = 0
-        while i < len(t) and (end := _end(t, i, p)) >= 0:
-            yield rows(k, t[i:end + 1], s[i:end + 1], load[i:end + 1])
-            i = end + 1
-        state.update((t[i:].tolist(), s[i:].tolist(), load[i:]))
+        new = pd.concat(list(pdfs)).sort_values(["ts", "ends", "event_id"], kind="mergesort")
+        stops = np.flatnonzero(new["ends"].to_numpy(dtype=bool))
+        for part in np.split(np.arange(len(new)), stops + 1):
+            last = len(part) > 0 and bool(new["ends"].iloc[part[-1]])
+            some = new.iloc[part[:-1] if last else part]
+            t = np.concatenate([t, some["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)])
+            s = np.concatenate([s, some["event_id"].to_numpy(dtype=np.int64)])
+            load += some["payload"].tolist()
+            i = 0
+            while i < len(t) and (end := _end(t, i, p)) >= 0:
+                yield rows(k, t[i:end + 1], s[i:end + 1], load[i:end + 1])
+                i = end + 1
+            if last and len(t) - i >= p.min_pings:
+                yield rows(k, t[i:], s[i:], load[i:])
+            t, s, load = (t[:0], s[:0], []) if last else (t[i:], s[i:], load[i:])
+        state.update((t.tolist(), s.tolist(), load))
         if wait is not None:
             state.setTimeoutDuration(wait)
 
     carried = F.to_json(F.struct(*payload)) if payload else F.lit(None).cast("string")
     src = pings.select(F.col(key).cast("string").alias("platform"), F.col(ts).alias("ts"), F.col(seq).cast("long").alias("event_id"),
-                       carried.alias("payload"))
+                       carried.alias("payload"), F.coalesce(F.col(ends), F.lit(False)).alias("ends") if ends else F.lit(False).alias("ends"))
     timeout = GroupStateTimeout.ProcessingTimeTimeout if flush_after else GroupStateTimeout.NoTimeout
     return src.groupBy("platform").applyInPandasWithState(fold, OUT_SCHEMA, STATE_SCHEMA, "append", timeout)
 
