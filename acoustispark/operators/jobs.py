@@ -1,16 +1,21 @@
 """Job compositions: Sv enrichment, the per-segment and per-file processing chain, and the reprocessing of a day.
 
-All segments of a job go through the same Spark jobs. A stage is built and written inside a guard; what it wrote is read
-back for the next one, so nothing is computed twice. If a stage fails, its segments are tried again in halves of their
-key hashes until the failing ones stand alone: one bad segment does not fail the others.
+All segments of a job go through the same Spark jobs. What is wrong with a ping is a value of its row, not an exception: the
+source is read once, every row with its fault, and a segment with a fault is left out of the stages with the fault as its
+status, however many there are. A stage is built and written inside a guard; what it wrote is read back for the next one,
+so nothing is computed twice. Should an expression fail on data all the same, the stage's segments are tried again in halves of
+their key hashes until the failing ones stand alone. Only errors that the data cause become statuses: a lost executor, a full
+disk or a broken worker stops the job, which can be run again.
 """
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException, PythonException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from acoustispark.functions import scalars as fn
@@ -21,6 +26,7 @@ from acoustispark.operators import report as rp
 from acoustispark.operators import seabed as sb
 from acoustispark.operators import summary as sm
 from acoustispark.operators.pings import to_samples
+from acoustispark.operators.util import staged
 from acoustispark.sources import sinks
 from acoustispark.sources.catalog import read_product
 
@@ -64,6 +70,32 @@ def denoise_params(cfg: dict) -> dn.DenoiseParams:
                             mode=cfg.get("background_mode", "block"))
 
 
+#: Error states of data (values that cannot be converted, divided, indexed) and of errors raised by an expression.
+DATA_STATES = re.compile(r"SQLSTATE: (2[12]|38|39|P0)\w{3}\b")
+
+
+def caused_by_data(e: Exception) -> bool:
+    """Whether the data of a segment can be at fault: an error state of data, or an exception of a function on rows."""
+    return isinstance(e, PythonException) or (isinstance(e, PySparkException) and DATA_STATES.search(str(e)) is not None)
+
+
+def row_fault(pings: DataFrame) -> Column:
+    """What is wrong with a ping row, as text; NULL for a sound one. Checked without anything that can raise."""
+    arrays = [c for c in ("echo_range", "depth") if c in pings.columns]
+    endless = lambda c: F.exists(c, lambda x: F.abs(x) >= F.lit(1e12))
+    checks = [(F.col("ping_time").isNull(), F.lit("ping without a time")), (F.col("channel").isNull(), F.lit("ping without a channel")),
+              (F.col("sv").isNull(), F.lit("ping without samples"))]
+    for c in arrays:
+        checks += [(F.col(c).isNull(), F.lit(f"ping without {c}")),
+                   (F.size("sv") != F.size(c), F.concat(F.size("sv").cast("string"), F.lit(" samples against "), F.size(c).cast("string"), F.lit(f" of {c}"))),
+                   (endless(c), F.lit(f"infinite {c}"))]
+    checks.append((endless("sv"), F.lit("infinite sv")))
+    out = F.lit(None).cast("string")
+    for wrong, text in reversed(checks):
+        out = F.when(wrong, text).otherwise(out)
+    return out
+
+
 def _guarded(source: DataFrame, build: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], None],
              failed: str = "error") -> list[tuple[Column, str]]:
     """[(which segments, status)] of building from ``source`` and writing, isolating the segments that fail."""
@@ -78,6 +110,8 @@ def _guarded(source: DataFrame, build: Callable[[DataFrame], DataFrame], write:
             write(build(source.where(which)))
             return [(which, "ok")]
         except Exception as e:
+            if not caused_by_data(e):
+                raise
             keys = source.where(which).select(*SEGMENT).distinct().limit(2).count()
             if keys < 2:
                 return [(which, f"{failed}: {e}")] if keys else []
@@ -128,26 +162,27 @@ class _Job:
 def process_segments(spark: SparkSession, pings: DataFrame, cfg: dict, out_root: str, save_sv: bool = True,
                      freq_params: DataFrame | None = None) -> DataFrame:
     """Sv -> denoise -> seabed -> MVBS -> NASC -> rasters -> manifest -> report for *all* segments in ``pings`` (ping rows
-    with ``platform``, ``segment``, ``channel``, ``channel_index``) at once, as the configuration says.
+    with ``platform``, ``segment``, ``channel``, ``channel_index``) at once, as the configuration says. Manifests and reports
+    are documents, one each a segment; ``reports_enabled`` false leaves them out.
 
     Every product is stored by (campaign, product, day, platform, segment); a re-run replaces exactly its segments. Denoised
     and masked data feed the grids; where a stage failed for a segment, its data go on as they were. Returns one row per
     segment and stage: ``platform, day, segment, stage, status``; a segment without a valid ping has the one row
-    ``sv`` / ``skipped: no valid pings``.
+    ``sv`` / ``skipped: no valid pings``, one with a faulty ping ``sv`` / ``error: `` and its first fault.
     """
     began = time.time()
     dated = pings if "day" in pings.columns else sinks.with_batch_day(pings)
-    live = cal.drop_empty_pings(dated)
-    job = _Job(spark, dated.select(*SEGMENT).distinct(), cfg, out_root)
-    everything = job.segments
+    intake = staged(dated.withColumns({"_fault": row_fault(dated), "_valid": F.exists("sv", lambda x: x.isNotNull())}), "intake")
+    first = F.min_by("_fault", F.when(F.col("_fault").isNotNull(), F.struct(F.col("ping_time").isNotNull(), "ping_time", "channel")))
+    told = staged(intake.groupBy(*SEGMENT).agg(first.alias("fault"), F.max(F.coalesce("_valid", F.lit(False))).alias("valid")), "intake")
+    status = F.when(F.col("fault").isNotNull(), F.concat(F.lit("error: "), F.col("fault"))).when(~F.col("valid"), F.lit("skipped: no valid pings")).otherwise(F.lit("ok"))
+    told = told.select(*SEGMENT, F.lit("sv").alias("stage"), status.alias("status"))
+    job = _Job(spark, told.where("status = 'ok'").select(*SEGMENT), cfg, out_root)
+    job.statuses.append(told)
+    live = cal.drop_empty_pings(intake.drop("_fault", "_valid").join(job.segments, SEGMENT, "left_semi"))
     if save_sv:
         job.save(live, "sv")
-    job.segments = live.select(*SEGMENT).distinct()
     sv = job.load(live, "sv") if save_sv else live
-    job.segments = sv.select(*SEGMENT).distinct()
-    job.note("sv", [(F.lit(True), "ok")])
-    empty = everything.join(job.segments, SEGMENT, "left_anti")
-    job.statuses.append(empty.select(*SEGMENT, F.lit("sv").alias("stage"), F.lit("skipped: no valid pings").alias("status")))
 
     def onwards(before: DataFrame, after: DataFrame | None) -> DataFrame:
         """``after`` where a segment has it, else ``before``."""
@@ -190,6 +225,8 @@ def process_segments(spark: SparkSession, pings: DataFrame, cfg: dict, out_root:
             job.run("echograms", "echogram_nasc", strata, lambda df: sm.nasc_raster(df, SEGMENT))
             rasters.append("echogram_nasc")
 
+    if not cfg.get("reports_enabled", True):
+        return job.table()
     made = {"denoise": "sv_denoised", "seabed": "sv_seabed"}
     wide = job.table().groupBy(*SEGMENT).pivot("stage", ["sv", "denoise", "seabed", "mvbs", "nasc", "echograms"]).agg(F.min("status"))
     stages = ["sv", "denoise", "seabed", "mvbs", "nasc"]
@@ -229,12 +266,15 @@ def process_files(spark: SparkSession, catalog: DataFrame, pings: DataFrame, cfg
     rows = pings.withColumn("segment", stem).withColumn("file_stem", stem)
     status = process_segments(spark, rows.drop("source_file"), cfg, out_root)
     per = status.groupBy(*SEGMENT).agg(F.map_from_entries(F.collect_set(F.struct("stage", "status"))).alias("stage_status"))
-    times = cal.drop_empty_pings(rows.drop("day")).groupBy("segment").agg(F.count_distinct("ping_time").alias("n_pings"))
-    done = per.join(times, "segment", "left")
+    found = sinks.stored(spark, f"{out_root.rstrip('/')}/products/sv")
+    times = spark.createDataFrame([], "segment string, n_pings bigint") if found is None else found.join(per, SEGMENT, "left_semi").groupBy("segment").agg(
+        F.count_distinct("ping_time").alias("n_pings"))
+    done = per.withColumn("_sv", F.col("stage_status")["sv"]).join(times, "segment", "left").withColumn("n_pings", F.when(F.col("_sv") == "ok", F.col("n_pings")))
     bad = failures.groupBy("source_file").agg(F.min("error").alias("error")) if failures is not None else spark.createDataFrame([], "source_file string, error string")
     files = catalog.select("source_file").distinct().withColumn("segment", stem)
     j = files.join(bad, "source_file", "left").join(done, "segment", "left")
     ok = F.col("n_pings").isNotNull()
+    j = j.withColumn("error", F.coalesce("error", F.regexp_extract("_sv", "^error: (.*)$", 1))).withColumn("error", F.nullif("error", F.lit("")))
     return j.select(
         "source_file", F.when(F.col("error").isNotNull(), "error").when(ok, "ok").otherwise("skipped").alias("status"), "error",
         F.when(F.col("error").isNull() & ~ok, F.lit("no valid pings")).alias("reason"), F.when(ok, F.col("day")).alias("day"), "segment",

@@ -19,6 +19,13 @@ select 'p' || (vec_id // 100 % 3)::varchar as platform, 's' || (vec_id // 600)::
        (40.0)::double + (vec_id // 4) * 5e-4 as lat, (-70.0)::double + (vec_id // 4) * 3e-4 as lon,
        floor(x::double * 60) as angle_along, floor(x::double * 40 - (pos - 1)) as angle_athwart
 from (select vec_id, unnest(embedding) as x, generate_subscripts(embedding, 1) as pos from embeddings)""",
+    "samples_events": """
+select 'v' || (event_id // 2 % 5)::varchar as platform, 'b' || (event_id // 400)::varchar as segment, event_id // 400 as block, event_id,
+       'ch' || (event_id % 2)::varchar as channel, event_id // 2 as ping, timestamp '2024-01-01 00:00:00' + to_seconds((event_id // 2) * 120) as ping_time,
+       i::int as range_sample, (i * 5.0)::double as echo_range,
+       case when (event_id // 2 % 5 = 1 and event_id // 400 % 11 = 5) or (event_id + i) % 13 = 0 then null
+            else (-60.0)::double - value % 30.0::double + i * 0.5::double end as sv
+from events, range(12) r(i)""",
     "ping_fixes": """
 select 'p' || (user_id % 3)::varchar as platform, event_id, timestamp '2024-01-01 23:59:30' + to_milliseconds(event_id * 50) as ts,
        40.0::double + value / 1e3 as lat, -70.0::double - value / 2e3 as lon from events""",

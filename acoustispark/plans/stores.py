@@ -147,7 +147,67 @@ select 'f' || d.f || '.raw' as source_file, case when d.f % 7 = 3 then 'error' w
        case when n is not null then 'ok' end as denoise, case when n is not null then 'ok' end as mvbs
 from d left join live using (f)""")
 
+MANY_CFG = {"survey_id": "HB1907", "denoise_enabled": False, "mvbs_range_bin": "20", "mvbs_ping_time_bin": "600s", "plot_echogram": False}
+
+
+def _cells_of(df):
+    return df.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day"), "platform", "segment").agg(
+        F.count("*").alias("n_mvbs_cells"), F.sum("n_samples").alias("n_mvbs_samples"), F.sum("sv").alias("mvbs_sum"))
+
+
+def q_job_process_many(spark, sf_dir):
+    """Many segments at once, some with a faulty ping and some without a valid one, each with its statuses and products."""
+    root = scratch_path(spark, "many")
+    status = jobs.process_segments(spark, fx.pings_events(spark, sf_dir), MANY_CFG, root)
+    wide = status.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day"), "platform", "segment").pivot("stage", ["sv", "mvbs", "metadata", "report"]).agg(F.max("status"))
+    sv = spark.read.parquet(f"{root}/products/sv").groupBy("platform", "segment").agg(F.count("*").alias("n_sv_rows"))
+    out = wide.join(sv, ["platform", "segment"], "left").join(_cells_of(spark.read.parquet(f"{root}/products/mvbs")), ["day", "platform", "segment"], "left")
+    return rounded(out, 4)
+
+
+MANY_CTE = """
+seg as (select platform, segment, strftime(min(ping_time), '%Y-%m-%d') as day,
+  platform = 'v2' and any_value(block) % 7 = 3 and bool_or(event_id % 100 = 44) as short,
+  platform = 'v3' and any_value(block) % 9 = 4 and bool_or(event_id % 100 = 47 and range_sample = 3 and (event_id + 3) % 13 <> 0) as endless,
+  bool_or(sv is not null) as valid from samples_events group by platform, segment),
+sta as (select *, case when short then 'error: 12 samples against 11 of echo_range' when endless then 'error: infinite sv'
+  when not valid then 'skipped: no valid pings' else 'ok' end as sv from seg),
+live as (select s.* exclude (block), a.day from samples_events s join sta a using (platform, segment) where a.sv = 'ok'
+  and exists (select 1 from samples_events t where t.sv is not null and t.platform = s.platform and t.segment = s.segment and t.ping_time = s.ping_time))"""
+
+JOB_PROCESS_MANY_SQL = with_views(["samples_events"], f"""
+with {MANY_CTE},
+cells as (select platform, segment, channel, time_bucket(interval '600 seconds', ping_time) as t, floor(echo_range / 20.0) as r,
+  10 * log10(avg(pow(10, sv / 10))) as v, count(sv) as n from live where sv is not null group by all),
+c as (select platform, segment, count(*) as n_mvbs_cells, sum(n)::bigint as n_mvbs_samples, round(sum(v), 4) as mvbs_sum from cells group by all),
+n as (select platform, segment, count(distinct (ping, channel)) as n_sv_rows from live group by all)
+select day, platform, segment, sv, case when sv = 'ok' then 'ok' end as mvbs, case when sv = 'ok' then 'ok' end as metadata,
+  case when sv = 'ok' then 'ok' end as report, n_sv_rows, n_mvbs_cells, n_mvbs_samples, mvbs_sum
+from sta left join n using (platform, segment) left join c using (platform, segment)""")
+
+AGAIN_DAY = "2024-01-01"
+
+
+def q_job_reprocess_day(spark, sf_dir):
+    """Process all days, then one day again from the store, with coarser cells: that day's MVBS is replaced, the others stay."""
+    root = scratch_path(spark, "again")
+    p = sinks.with_batch_day(fx.pings_events(spark, sf_dir))
+    jobs.process_segments(spark, p, MANY_CFG, root)
+    schema = p.withColumn("product", F.lit("sv")).withColumn("campaign", F.lit("HB1907")).schema
+    jobs.reprocess_day(spark, f"{root}/products/sv", AGAIN_DAY, ["mvbs"], MANY_CFG | {"mvbs_range_bin": "40"}, root, schema)
+    return rounded(_cells_of(spark.read.parquet(f"{root}/products/mvbs")), 4)
+
+
+JOB_REPROCESS_DAY_SQL = with_views(["samples_events"], f"""
+with {MANY_CTE},
+cells as (select day, platform, segment, channel, time_bucket(interval '600 seconds', ping_time) as t,
+  floor(echo_range / case when day = '{AGAIN_DAY}' then 40.0 else 20.0 end) as r,
+  10 * log10(avg(pow(10, sv / 10))) as v, count(sv) as n from live where sv is not null group by all)
+select day, platform, segment, count(*) as n_mvbs_cells, sum(n)::bigint as n_mvbs_samples, round(sum(v), 4) as mvbs_sum from cells group by all""")
+
 REGISTRY = {
+    "job_process_many": (q_job_process_many, JOB_PROCESS_MANY_SQL),
+    "job_reprocess_day": (q_job_reprocess_day, JOB_REPROCESS_DAY_SQL),
     "scan_samples": (q_scan_samples, SCAN_SAMPLES_SQL),
     "sink_day_append": (q_sink_day_append, SINK_DAY_APPEND_SQL),
     "sink_metadata_json": (q_sink_metadata_json, SINK_METADATA_JSON_SQL),

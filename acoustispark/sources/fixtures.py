@@ -79,6 +79,30 @@ def ping_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(40.0) + F.col("value") / F.lit(1e3)).alias("lat"), (F.lit(-70.0) - F.col("value") / F.lit(2e3)).alias("lon"))
 
 
+def pings_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ping rows of many short segments, from ``events``: two channels, five platforms, up to 40 pings a segment. In one block
+    of seven a ping of platform ``v2`` has a range too few, in one of nine a sample of ``v3`` is infinite; in one block of
+    eleven platform ``v1`` hears nothing."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "value")
+    eid, block, ping = F.col("event_id"), _div("event_id", 400), _div("event_id", 2)
+    of = ping % 5
+    steps = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: i * F.lit(5.0))
+    odd = eid % 100 == 44
+    silent = (of == 1) & (block % 11 == 5)
+
+    def sv(i: Column) -> Column:
+        plain = F.lit(-60.0) - F.col("value") % F.lit(30.0) + i * F.lit(0.5)
+        return F.when(silent | ((eid + i) % 13 == 0), F.lit(None)).when((of == 3) & (block % 9 == 4) & (eid % 100 == 47) & (i == 3), F.lit(float("inf"))).otherwise(plain)
+
+    return ev.select(
+        F.concat(F.lit("v"), of.cast("string")).alias("platform"), F.concat(F.lit("b"), block.cast("string")).alias("segment"),
+        F.concat(F.lit("ch"), (eid % 2).cast("string")).alias("channel"), (eid % 2).cast("int").alias("channel_index"), ping.alias("ping"),
+        (_ts_ntz(EPOCH_2024) + F.make_dt_interval(secs=(ping * 120).cast("decimal(18,6)"))).alias("ping_time"),
+        (F.lit(40.0) + ping * F.lit(1e-4)).alias("lat"), (F.lit(-70.0) + ping * F.lit(1e-4)).alias("lon"),
+        F.transform(F.sequence(F.lit(0), F.lit(11)), sv).alias("sv"),
+        F.when((of == 2) & (block % 7 == 3) & odd, F.slice(steps, 1, 11)).otherwise(steps).alias("echo_range"), steps.alias("depth"))
+
+
 def frequency_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-frequency thresholds, from ``supplier``: the largest of each frequency's rows; some say nothing."""
     s = read_table(spark, sf_dir, "supplier")

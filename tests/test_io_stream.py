@@ -172,6 +172,63 @@ def test_segments_that_no_hash_bit_tells_apart_fail_alone(spark, monkeypatch):
     assert len(got) == segs.count() and {p for p, s in got if s == "ok"} == {"p0", "p2"} == {p for d in done for p, _ in d}
 
 
+def test_faulty_segments_cost_one_read_of_the_source(spark):
+    """A thousand of ten thousand segments have a faulty ping: the source is read twice at most, the others are stored."""
+    folder = _dir()
+
+    def watched(batches):
+        import os
+        import uuid
+        n = 0
+        for b in batches:
+            n += b.num_rows
+            yield b
+        with open(os.path.join(folder, f"{n}-{uuid.uuid4().hex}"), "w"):
+            pass
+
+    n = 10_000
+    ids = spark.range(n, numPartitions=4)
+    arr = F.array(F.lit(-60.0), F.lit(-50.0))
+    src = ids.select(F.lit("p").alias("platform"), F.concat(F.lit("s"), F.col("id")).alias("segment"), F.lit("ch0").alias("channel"), F.lit(0).alias("channel_index"),
+                     F.col("id").alias("ping"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ping_time"), F.to_date(F.lit("2024-01-01")).alias("day"),
+                     F.when(F.col("id") % 10 == 3, F.array(F.lit(-60.0))).otherwise(arr).alias("sv"), F.array(F.lit(0.0), F.lit(5.0)).alias("echo_range"),
+                     F.array(F.lit(0.0), F.lit(5.0)).alias("depth"))
+    src = src.mapInArrow(watched, src.schema)
+    root = _dir()
+    cfg = {"denoise_enabled": False, "mvbs_enabled": False, "plot_echogram": False, "reports_enabled": False}
+    out = jobs.process_segments(spark, src, cfg, root)
+    import os
+    read = sum(int(f.split("-")[0]) for f in os.listdir(folder))
+    assert read <= 2 * n, read
+    told = {(r.stage, r.status): r["count"] for r in out.groupBy("stage", "status").count().collect()}
+    assert told == {("sv", "ok"): 9000, ("sv", "error: 1 samples against 2 of echo_range"): 1000}
+    assert spark.read.parquet(f"{root}/products/sv").count() == 9000
+
+
+def test_a_broken_worker_is_no_error_of_a_segment(spark):
+    src = sinks.with_batch_day(_pings(spark).where("ping < 75"))
+
+    def dies(batches):
+        import os
+        for b in batches:
+            os._exit(1)
+            yield b
+
+    with pytest.raises(Exception) as e:
+        jobs._guarded(src, lambda df: df.mapInArrow(dies, df.schema), lambda df: df.write.format("noop").mode("overwrite").save())
+    assert not jobs.caused_by_data(e.value)
+
+
+def test_faults_of_a_ping(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(0, t, "c", [1.0], [0.0], [0.0]), (1, None, "c", [1.0], [0.0], [0.0]), (2, t, None, [1.0], [0.0], [0.0]), (3, t, "c", None, [0.0], [0.0]),
+            (4, t, "c", [1.0, None], [0.0, 1.0], [0.0]), (5, t, "c", [float("inf")], [0.0], [0.0]), (6, t, "c", [1.0], [float("inf")], [0.0]), (7, t, "c", [], [], []), (8, t, "c", [None], [None], [None])]
+    df = spark.createDataFrame(rows, "id int, ping_time timestamp_ntz, channel string, sv array<double>, echo_range array<double>, depth array<double>")
+    got = {r.id: r.f for r in df.select("id", jobs.row_fault(df).alias("f")).collect()}
+    assert got == {0: None, 1: "ping without a time", 2: "ping without a channel", 3: "ping without samples", 4: "2 samples against 1 of depth",
+                   5: "infinite sv", 6: "infinite echo_range", 7: None, 8: None}
+
+
 def test_no_valid_pings(spark):
     p = _pings(spark).where("ping < 50").withColumn("sv", F.when(F.col("platform") == "p0", F.transform("sv", lambda x: F.lit(None).cast("double"))).otherwise(F.col("sv")))
     out = jobs.process_segments(spark, p, {"denoise_enabled": False, "mvbs_enabled": False, "plot_echogram": False}, _dir())
