@@ -155,13 +155,17 @@ def unwrap_value(j) -> Column:
     return F.when(has, F.to_json(F.variant_get(F.try_parse_json(j), "$.value", "variant"))).otherwise(j)
 
 
-def parse_bool(j, default: bool = True) -> Column:
+def json_parts(j) -> tuple[Column, Column, Column]:
+    """(kind, variant, decoded string) of a JSON text, as the functions below take them. Where several are used on one text,
+    compute these as columns first: inlined, they are parsed again at every mention."""
+    return json_kind(j), F.try_parse_json(_c(j)), json_string_value(j)
+
+
+def parse_bool(j, default: bool = True, parts: tuple[Column, Column, Column] | None = None) -> Column:
     """Python-truthiness of a JSON value: null -> default; bool as is; number != 0; string false iff its
     lower-case form is one of FALSE_STRINGS (no trimming); objects/arrays -> default."""
     j = _c(j)
-    k = json_kind(j)
-    v = F.try_parse_json(j)
-    s = json_string_value(j)
+    k, v, s = parts or json_parts(j)
     return (F.when(k.isNull() | (k == "null"), F.lit(default))
             .when(k == "boolean", F.try_variant_get(v, "$", "boolean"))
             .when(k == "number", F.try_variant_get(v, "$", "double") != 0)
@@ -169,13 +173,11 @@ def parse_bool(j, default: bool = True) -> Column:
             .otherwise(F.lit(default)))
 
 
-def coerce_int(j) -> Column:
+def coerce_int(j, parts: tuple[Column, Column, Column] | None = None) -> Column:
     """``int(value)`` as DECIMAL(38,0): integer strings parse, ``"3.7"`` does not, 3.7 truncates to 3, booleans are 0/1;
     NULL = the conversion fails or has more than 38 digits (the caller keeps the old value)."""
     j = _c(j)
-    k = json_kind(j)
-    v = F.try_parse_json(j)
-    s = json_string_value(j)
+    k, v, s = parts or json_parts(j)
     d = F.try_variant_get(v, "$", "double")
     whole = r"^\s*[+-]?[0-9]+\s*$"
     return (F.when((k == "number") & j.rlike(whole), F.trim(j).try_cast("decimal(38,0)"))
@@ -184,23 +186,21 @@ def coerce_int(j) -> Column:
             .when((k == "string") & s.rlike(whole), F.trim(s).try_cast("decimal(38,0)")))
 
 
-def coerce_float(j) -> Column:
+def coerce_float(j, parts: tuple[Column, Column, Column] | None = None) -> Column:
     """``float(value)``; NULL = the conversion fails."""
     j = _c(j)
-    k = json_kind(j)
-    v = F.try_parse_json(j)
-    s = json_string_value(j)
+    k, v, s = parts or json_parts(j)
     num = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|inf|infinity|nan)\s*$"
     return (F.when(k == "number", F.try_variant_get(v, "$", "double"))
             .when(k == "boolean", F.try_variant_get(v, "$", "boolean").cast("double"))
             .when((k == "string") & F.lower(s).rlike(num), F.trim(s).try_cast("double")))
 
 
-def coerce_str(j) -> Column:
+def coerce_str(j, parts: tuple[Column, Column, Column] | None = None) -> Column:
     """``str(value)`` for non-string fields: strings as they are, other JSON values as their text."""
     j = _c(j)
-    k = json_kind(j)
-    return F.when(k == "string", json_string_value(j)) \
+    k, _, s = parts or json_parts(j)
+    return F.when(k == "string", s) \
         .when(k == "boolean", F.when(F.lower(j) == "true", "True").otherwise("False")) \
         .when(k == "null", F.lit("None")).otherwise(j)
 

@@ -9,10 +9,10 @@ value (defaults before the first write). A failed int/float conversion is "no ch
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from acoustispark.functions import scalars as fn
-from acoustispark.operators.util import fill_forward_many
+from acoustispark.operators.util import spread_groups, staged
 
 # Fixed values that must equal the reference's behaviour ------------------------------------------------------------
 # (field, type, default) of the processing configuration, in declaration order
@@ -63,25 +63,57 @@ def _field_name(key: Column) -> Column:
     return expr
 
 
-def typed_value(field: Column, j: Column) -> Column:
+def typed_value(field: Column, j: Column, parts: tuple[Column, Column, Column] | None = None) -> Column:
     """Coerced value as text by the field's type; NULL = the write does not change the field."""
     by_type = {t: [n for n, tt, _ in CONFIG_FIELDS if tt == t] for t in ("bool", "int", "float", "str")}
-    return (F.when(field.isin(by_type["bool"]), fn.parse_bool(j, True).cast("string"))
-            .when(field.isin(by_type["int"]), fn.coerce_int(j).cast("string"))
-            .when(field.isin(by_type["float"]), fn.coerce_float(j).cast("string"))
-            .when(field.isin(by_type["str"]), fn.coerce_str(j)))
-
-
-def _wide_writes(patches: DataFrame, fields: list[str]) -> DataFrame:
-    """One row per (device, ts, event_id) with one column per field: what the event writes, else NULL."""
-    field = _field_name(F.col("key"))
-    j = fn.unwrap_value("raw_json")
-    typed = patches.select("device", "ts", "event_id", field.alias("_field"), typed_value(field, j).alias("_value"))
-    return typed.groupBy("device", "ts", "event_id").agg(*[F.max(F.when(F.col("_field") == f, F.col("_value"))).alias(f) for f in fields])
-
-
-def _with_defaults(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
-    return df.select(*keys, *[F.coalesce(F.col(f), F.lit(FIELD_DEFAULTS[f])).alias(f) for f in fields])
+    return (F.when(field.isin(by_type["bool"]), fn.parse_bool(j, True, parts).cast("string"))
+            .when(field.isin(by_type["int"]), fn.coerce_int(j, parts).cast("string"))
+            .when(field.isin(by_type["float"]), fn.coerce_float(j, parts).cast("string"))
+            .when(field.isin(by_type["str"]), fn.coerce_str(j, parts)))
+
+
+def typed_writes(patches: DataFrame) -> DataFrame:
+    """``device, ts, event_id, _field, _value`` of every patch. The value is unwrapped, parsed and typed step by step, each a
+    column that the next one mentions: in one expression the parsing is inlined so often that it does not compile."""
+    rows = patches.select("device", "ts", "event_id", "key", fn.unwrap_value("raw_json").alias("_j"))
+    rows = rows.withColumn("_v", F.try_parse_json("_j")).withColumn("_t", F.schema_of_variant("_v"))
+    kind = (F.when(F.col("_v").isNull(), F.lit(None)).when(F.col("_t") == "VOID", "null").when(F.col("_t") == "BOOLEAN", "boolean")
+            .when(F.col("_t") == "STRING", "string").when(F.col("_t").startswith("OBJECT"), "object").when(F.col("_t").startswith("ARRAY"), "array").otherwise("number"))
+    rows = rows.withColumns({"_k": kind, "_s": F.try_variant_get("_v", "$", "string"), "_field": _field_name(F.col("key"))})
+    return rows.select("device", "ts", "event_id", "_field", typed_value(F.col("_field"), F.col("_j"), (F.col("_k"), F.col("_v"), F.col("_s"))).alias("_value"))
+
+
+def _events(patches: DataFrame, fields: list[str]) -> DataFrame:
+    """One row per (device, ts, event_id) with the map of what it writes; written, as it is read twice."""
+    typed = typed_writes(spread_groups(patches, "device", "ts", "event_id"))
+    one = F.when(F.col("_field").isin(fields) & F.col("_value").isNotNull(), F.struct("_field", "_value"))
+    # an event that writes a field twice keeps the largest text, as before
+    writes = F.map_from_entries(F.sort_array(F.collect_set(one)))
+    return staged(typed.groupBy("device", "ts", "event_id").agg(writes.alias("_w")), "config-events")
+
+
+def _before(events: DataFrame, order: list[str], fields: list[str]) -> DataFrame:
+    """(device, _day, a column a field): what the days before have left. Rows are (device, day, field) - a day's last write, then
+    the last one of the days before - so no value is carried through a column a field."""
+    last = events.select("device", "_day", *order, F.explode_outer("_w").alias("_field", "_value")).groupBy("device", "_day", "_field").agg(
+        F.max_by("_value", F.struct(*order)).alias("_value"))
+    each = F.explode(F.array(*[F.lit(f) for f in fields])).alias("_field")
+    grid = last.select("device", "_day").distinct().select("device", "_day", each)
+    w = Window.partitionBy("device", "_field").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = grid.join(last, ["device", "_day", "_field"], "left").withColumn("_left", F.last("_value", ignorenulls=True).over(w))
+    left = carried.groupBy("device", "_day").agg(F.map_from_entries(F.collect_list(F.when(F.col("_left").isNotNull(), F.struct("_field", "_left")))).alias("_c"))
+    return left.select("device", "_day", *[F.col("_c")[f].alias(f"_c_{f}") for f in fields])
+
+
+def _folded(events: DataFrame, order: list[str], fields: list[str]) -> DataFrame:
+    """Every field's value at each event: the last write of its day up to it, else what the days before have left, else the
+    default."""
+    d = events.withColumn("_day", F.to_date(order[0]))
+    w = Window.partitionBy("device", "_day").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rest = [c for c in d.columns if c != "_w"]
+    run = spread_groups(d, "device", "_day").select(*rest, *[F.last(F.col("_w")[f], ignorenulls=True).over(w).alias(f) for f in fields])
+    out = run.join(_before(d, order, fields), ["device", "_day"], "left")
+    return out.select(*[c for c in rest if c != "_day"], *[F.coalesce(F.col(f), F.col(f"_c_{f}"), F.lit(FIELD_DEFAULTS[f])).alias(f) for f in fields])
 
 
 def config_fold(patches: DataFrame, fields: list[str] | None = None) -> DataFrame:
@@ -91,19 +123,17 @@ def config_fold(patches: DataFrame, fields: list[str] | None = None) -> DataFram
     one over the days.
     """
     fields = fields or [n for n, _, _ in CONFIG_FIELDS]
-    g = _wide_writes(patches, fields).withColumn("_day", F.to_date("ts"))
-    return _with_defaults(fill_forward_many(g, ("device",), "_day", ("ts", "event_id"), fields), ["device", "ts", "event_id"], fields)
+    return _folded(_events(patches, fields), ["ts", "event_id"], fields)
 
 
 def config_as_of(batches: DataFrame, patches: DataFrame, fields: list[str] | None = None, ts: str = "ts") -> DataFrame:
     """The configuration each batch ran under: one snapshot per batch, the state after the last patch at or
     before the batch start (defaults when there is none). ``batches``: ``device, ts, event_id``."""
     fields = fields or [n for n, _, _ in CONFIG_FIELDS]
-    w = _wide_writes(patches, fields).withColumnRenamed("ts", ts).withColumn("_side", F.lit(0))
+    w = _events(patches, fields).withColumnRenamed("ts", ts).withColumn("_side", F.lit(0))
     b = batches.select("device", ts, "event_id", F.lit(1).alias("_side"))
-    u = w.unionByName(b, allowMissingColumns=True).withColumn("_day", F.to_date(ts))
-    u = fill_forward_many(u, ("device",), "_day", (ts, "_side", "event_id"), fields)
-    return _with_defaults(u.where(F.col("_side") == 1), ["device", ts, "event_id"], fields)
+    u = _folded(w.unionByName(b, allowMissingColumns=True), [ts, "_side", "event_id"], fields)
+    return u.where(F.col("_side") == 1).select("device", ts, "event_id", *fields)
 
 
 def settings(row) -> dict:

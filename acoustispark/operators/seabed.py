@@ -3,14 +3,16 @@
 Detection adds ``seabed_depth`` to every ping (NULL without a line). The maxSv / deltaSv / composite rules and the
 morphological variant are our definitions [def] (the methods are named, not specified, by the processing configuration);
 the split-beam variant follows Blackwell et al. 2019 in a simplified form. Work along the range happens inside a row,
-work along time in a window over the pings of one channel of a segment, the mask inside a row: nothing is joined.
+work along time in a window over the pings of one channel of a segment, the mask inside a row: nothing is joined. With
+``regions`` the two mask methods keep connected regions only (``operators.regions``), which joins rows of runs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from acoustispark.operators.pings import median, segment_keys
+from acoustispark.operators import regions as rg
+from acoustispark.operators.pings import median, segment_keys, with_ping_index
 
 
 def _valid(max_range: float, depth_col: str) -> Column:
@@ -50,10 +52,11 @@ def deltasv(pings: DataFrame, max_range: float = 1000.0, delta: float = 20.0, de
 
 
 def ariza(pings: DataFrame, threshold: float = -60.0, erode_samples: int = 1, dilate_pings: int = 1,
-          max_range: float = 1000.0, depth_col: str = "depth") -> DataFrame:
+          max_range: float = 1000.0, depth_col: str = "depth", regions: bool = False) -> DataFrame:
     """Morphological variant: mask ``sv > threshold``; erosion along range (minimum of the mask over
     +-``erode_samples``), then dilation across pings (maximum over +-``dilate_pings`` at the same range sample);
-    the line is the shallowest masked sample of each ping."""
+    the line is the shallowest masked sample of each ping. With ``regions`` it is the shallowest sample of the channel's largest
+    connected region (most pings): fish and bubbles above the bottom are smaller regions of their own [def]."""
     in_range = F.filter(F.zip_with("sv", depth_col, lambda s, d: F.struct(s.alias("sv"), d.alias("d"))), lambda x: x["d"] <= F.lit(max_range))
     s = pings.withColumn("_z", in_range).withColumn("_m", F.transform("_z", lambda x: F.coalesce(x["sv"] > F.lit(threshold), F.lit(False))))
 
@@ -66,6 +69,11 @@ def ariza(pings: DataFrame, threshold: float = -60.0, erode_samples: int = 1, di
     s = s.withColumn("_e", F.transform("_m", eroded))
     s = s.withColumn("_w", F.collect_list("_e").over(_pings_around(s, dilate_pings)))
     grown = F.transform("_e", lambda e, i: F.exists("_w", lambda x: F.coalesce(F.get(x, i), F.lit(False))))
+    if regions:
+        s = with_ping_index(s).withColumn("_g", grown)
+        s = s.withColumn("_r", F.transform(rg.runs(F.col("_g")), lambda r: F.struct(r["a"].alias("a"), r["b"].alias("b"), F.get("_z", r["a"])["d"].alias("d"))))
+        keys = [*segment_keys(s), "channel"]
+        return rg.with_line(pings, rg.largest(rg.label_regions(s, "_r", ["d"]), keys), "d")
     line = F.array_min(F.zip_with(grown, "_z", lambda m, x: F.when(m, x["d"])))
     return s.withColumn("seabed_depth", line).drop("_z", "_m", "_e", "_w")
 
@@ -77,11 +85,12 @@ def composite(pings: DataFrame, max_range: float = 1000.0, threshold: float = -4
 
 
 def blackwell(pings: DataFrame, angle_threshold: float = 2.0, half_pings: int = 2, half_samples: int = 2,
-              max_range: float = 1000.0, depth_col: str = "depth") -> DataFrame:
+              max_range: float = 1000.0, depth_col: str = "depth", regions: bool = False) -> DataFrame:
     """Split-beam variant [lit: Blackwell et al. 2019, simplified]: a sample is a candidate when the mean squared
     along+athwart angle over a (2*half_pings+1) x (2*half_samples+1) frame exceeds ``angle_threshold`` squared and
     its Sv exceeds the median Sv of all candidates of the same ping; the line is the shallowest candidate.
-    Needs ``angle_alongship``/``angle_athwartship``: without them it is an error, which a job records as a status."""
+    With ``regions``, connected regions of Sv above that median count where an angle candidate lies in them, and the line
+    is their shallowest sample. Needs ``angle_alongship``/``angle_athwartship``: without them it is an error, which a job records as a status."""
     if not {"angle_alongship", "angle_athwartship"} <= set(pings.columns):
         raise ValueError("seabed method blackwell needs split-beam angles")
     z = F.filter(F.arrays_zip(F.col("sv"), F.col(depth_col).alias("d"), F.col("angle_alongship").alias("al"), F.col("angle_athwartship").alias("at")),
@@ -99,6 +108,12 @@ def blackwell(pings: DataFrame, angle_threshold: float = 2.0, half_pings: int =
     s = s.withColumn("_f", F.transform("_r", lambda r, i: mean(F.transform("_w", lambda x: F.get(x, i))) > F.lit(angle_threshold ** 2)))
     s = s.withColumn("_k", F.zip_with("_f", "_z", lambda f, x: F.when(f, x)))
     s = s.withColumn("_med", median(F.transform("_k", lambda x: x["sv"])))
+    if regions:
+        s = with_ping_index(s).withColumn("_g", F.transform("_z", lambda x: F.coalesce(x["sv"] > F.col("_med"), F.lit(False))))
+        s = s.withColumn("_q", F.transform(rg.runs(F.col("_g")), lambda r: F.struct(
+            r["a"].alias("a"), r["b"].alias("b"), F.get("_z", r["a"])["d"].alias("d"),
+            F.exists(F.slice("_f", r["a"] + 1, r["b"] - r["a"] + 1), lambda f: F.coalesce(f, F.lit(False))).alias("hit"))))
+        return rg.with_line(pings, rg.touched(rg.label_regions(s, "_q", ["d", "hit"]), "hit"), "d")
     line = F.array_min(F.transform("_k", lambda x: F.when(x["sv"] > F.col("_med"), x["d"])))
     return s.withColumn("seabed_depth", line).drop("_z", "_a2", "_r", "_w", "_f", "_k", "_med")
 

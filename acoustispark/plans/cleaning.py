@@ -324,3 +324,54 @@ REGISTRY.update({
     "seabed_composite": (q_seabed_composite, SEABED_COMPOSITE_SQL),
     "seabed_mask": (q_seabed_mask, SEABED_MASK_SQL),
 })
+
+
+# ---- connected regions -----------------------------------------------------------------------------------------
+
+def _regions_sql(mask: str, keep: str) -> str:
+    """Runs of a 0/1 column ``m`` of ``mask`` (with ``hit``), linked over neighbouring pings; ``keep`` chooses the regions."""
+    return f"""ix as (select platform, segment, ping_time, row_number() over (partition by platform, segment order by ping_time) as pi
+  from (select distinct platform, segment, ping_time from samples)),
+cellr as (select *, range_sample - row_number() over (partition by {PINGK} order by range_sample) as grp from {mask} where m = 1),
+runr as (select {PINGK}, grp, min(range_sample) as a, max(range_sample) as b, min(depth) as d, bool_or(hit) as hit from cellr group by all),
+node as (select r.*, pi, row_number() over () as id from runr r join ix using (platform, segment, ping_time)),
+link as (select x.id as u, y.id as v from node x join node y on x.platform = y.platform and x.segment = y.segment and x.channel = y.channel
+  and abs(x.pi - y.pi) = 1 and x.a <= y.b and y.a <= x.b),
+reach as (select id as u, id as v from node union select r.u, l.v from reach r join link l on l.u = r.v),
+root as (select u as id, min(v) as region from reach group by u),
+lab as (select node.*, region from node join root using (id)),
+size as (select platform, segment, channel, region, count(distinct pi) as p, sum(b - a + 1) as n, min((pi, a)) as first, bool_or(hit) as hit from lab group by all),
+kept as ({keep})
+select {PINGK}, round(min(d), 6) as seabed_depth from lab join kept using (region) group by all"""
+
+
+REGION_TH = -72.0
+
+
+def q_seabed_ariza_regions(spark, sf_dir):
+    return _line(sb.ariza(_pings(spark, sf_dir), threshold=REGION_TH, regions=True))
+
+
+SEABED_ARIZA_REGIONS_SQL = with_views(["samples"], f"""
+with recursive s as (select *, coalesce((sv > {REGION_TH!r})::int, 0) as t from samples where depth <= 1000.0),
+e as (select *, min(t) over (partition by {PINGK} order by range_sample rows between 1 preceding and 1 following) as e from s),
+mk as (select * exclude (e), max(e) over (partition by platform, segment, channel, range_sample order by ping_time
+  rows between 1 preceding and 1 following) as m, false as hit from e),
+{_regions_sql("mk", "select region from size qualify row_number() over (partition by platform, segment, channel order by p desc, n desc, first) = 1")}""")
+
+
+def q_seabed_blackwell_regions(spark, sf_dir):
+    pings = cal.add_splitbeam_angle(fx.pings(spark, sf_dir), fx.angle_cal(spark, sf_dir))
+    return _line(sb.blackwell(pings, angle_threshold=ANGLE_TH, regions=True))
+
+
+_CANDIDATES = SEABED_BLACKWELL_SQL[SEABED_BLACKWELL_SQL.index("a as (select s.*"):SEABED_BLACKWELL_SQL.index("\nselect platform, segment, channel, ping_time, round(min(depth)")]
+SEABED_BLACKWELL_REGIONS_SQL = with_views(["samples", "angle_cal"], f"""
+with recursive {_CANDIDATES},
+mk as (select f.*, coalesce((f.sv > m.med)::int, 0) as m, coalesce(f.f > {ANGLE_TH * ANGLE_TH!r}, false) as hit from f left join m using ({PINGK})),
+{_regions_sql("mk", "select region from size where hit")}""")
+
+REGISTRY.update({
+    "seabed_ariza_regions": (q_seabed_ariza_regions, SEABED_ARIZA_REGIONS_SQL),
+    "seabed_blackwell_regions": (q_seabed_blackwell_regions, SEABED_BLACKWELL_REGIONS_SQL),
+})

@@ -63,8 +63,7 @@ def config_as_of_stream(batches: DataFrame, patches: DataFrame, delay: str, fiel
     and batches are interleaved on arrival. The end of a session is a mark: a patch with a null ``key`` and a late time.
     """
     fields = fields or [n for n, _, _ in cl.CONFIG_FIELDS]
-    field = cl._field_name(F.col("key"))
-    p = patches.select("device", "ts", "event_id", F.lit(0).alias("side"), field.alias("field"), cl.typed_value(field, fn.unwrap_value("raw_json")).alias("value"))
+    p = cl.typed_writes(patches).select("device", "ts", "event_id", F.lit(0).alias("side"), F.col("_field").alias("field"), F.col("_value").alias("value"))
     b = batches.select("device", "ts", "event_id", F.lit(1).alias("side"), F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("value"))
     rows = p.unionByName(b).withColumn("at", _event_time("ts")).withWatermark("at", delay).withColumn("us", F.unix_micros("at"))
     kind = batches.schema["device"].dataType.simpleString()
