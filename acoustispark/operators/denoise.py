@@ -45,21 +45,38 @@ class DenoiseParams:
     attenuation_side_pings: int = 15
 
 
-#: Thresholds that a frequency table may set; window sizes are the same for all frequencies.
+#: What a frequency table may set: thresholds, and how many pings a window reaches to either side.
 FREQUENCY_PARAMS = ("snr_threshold", "noise_max", "transient_threshold_db", "impulse_threshold_db", "attenuation_threshold")
+FREQUENCY_WINDOWS = ("num_side_pings", "transient_n_pings", "attenuation_side_pings")
 
 
 def with_frequency_params(pings: DataFrame, table: DataFrame, pulse_length: str | None = None) -> DataFrame:
     """Attach the parameter set of each ping's ``frequency_nominal`` (and of ``pulse_length``, if the table has that
-    column): columns ``param_<name>``, NULL where the table says nothing, so the common value holds."""
+    column): columns ``param_<name>``, NULL where the table says nothing, so the common value holds. A window's column says
+    in its metadata how wide it gets, as a frame's bounds must be known to the plan (one small read of the table)."""
     t = table
     if "pulse_length" in t.columns:
         t = t.where(F.col("pulse_length").eqNullSafe(F.lit(pulse_length))).drop("pulse_length")
     names = [c for c in FREQUENCY_PARAMS if c in t.columns]
-    t = t.groupBy("frequency_nominal").agg(*[F.max(c).alias(f"param_{c}") for c in names])
+    wide = [c for c in FREQUENCY_WINDOWS if c in t.columns]
+    most = t.agg(F.lit(0).alias("_"), *[F.max(c).alias(c) for c in wide]).first() if wide else {}
+    t = t.groupBy("frequency_nominal").agg(*[F.max(c).alias(f"param_{c}") for c in names], *[
+        F.max(c).cast("int").alias(f"param_{c}", metadata={"most": int(most[c] or 0)}) for c in wide])
     return pings.join(t, "frequency_nominal", "left")
 
 
+def _side_by_side(pings: DataFrame, name: str, side: int, value: str) -> Column:
+    """``value`` of the pings numbered within the window of ``name`` on either side: a frame as wide as any frequency's, of which
+    a ping takes its own frequency's part. Without a column of that name the window is ``side`` pings for all."""
+    col = f"param_{name}"
+    if col not in pings.columns:
+        return F.collect_list(value).over(around(pings, side, side))
+    most = max(side, pings.schema[col].metadata.get("most", 0))
+    near = F.collect_list(F.struct(F.col("ping_index").alias("i"), F.col(value).alias("v"))).over(around(pings, most, most))
+    own = F.coalesce(F.col(col), F.lit(side))
+    return F.transform(F.filter(near, lambda x: F.abs(x["i"] - F.col("ping_index")) <= own), lambda x: x["v"])
+
+
 def _param(pings: DataFrame, name: str, value) -> Column:
     common = F.lit(None).cast("double") if value is None else F.lit(float(value))
     return F.coalesce(F.col(f"param_{name}"), common) if f"param_{name}" in pings.columns else common
@@ -88,13 +105,12 @@ def background(pings: DataFrame, p: DenoiseParams = DenoiseParams(), absorption=
         F.floor(i / F.lit(p.range_window)).alias("b"), fn.db_to_linear(z["sv"] - tvg(z["echo_range"], a)).alias("v")))
     s = s.withColumn("_c", bin_sums(block))
     if p.mode == "sliding":
-        w = around(s, p.num_side_pings, p.num_side_pings)
+        s = s.withColumn("_w", _side_by_side(s, "num_side_pings", p.num_side_pings, "_c"))
     elif p.mode == "block":
         s = s.withColumn("_pb", F.floor(F.col("ping_index") / F.lit(p.ping_window)))
-        w = Window.partitionBy(*segment_keys(s), "channel", "_pb")
+        s = s.withColumn("_w", F.collect_list("_c").over(Window.partitionBy(*segment_keys(s), "channel", "_pb")))
     else:
         raise ValueError(f"unknown background mode: {p.mode}")
-    s = s.withColumn("_w", F.collect_list("_c").over(w))
     size = F.array_max(F.transform("_w", lambda x: F.size(x)))
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("bigint").alias("n"))
 
@@ -142,7 +158,7 @@ def transient(pings: DataFrame, p: DenoiseParams = DenoiseParams(), depth_col: s
     size = p.transient_depth_bin
     first = int(-(-p.transient_exclude_above // size))
     s = s.withColumn("_c", _cells(size, first, depth_col))
-    s = s.withColumn("_w", F.collect_list("_c").over(around(s, p.transient_n_pings, p.transient_n_pings)))
+    s = s.withColumn("_w", _side_by_side(s, "transient_n_pings", p.transient_n_pings, "_c"))
     limit = _param(s, "transient_threshold_db", p.transient_threshold_db)
     s = s.withColumn("_f", F.transform("_c", lambda m, j: m - median(F.transform("_w", lambda x: F.get(x, j))) > limit))
     return s.withColumn("sv", _clear("_f", size, first, depth_col)).drop("_c", "_w", "_f")
@@ -179,7 +195,10 @@ def attenuation(pings: DataFrame, p: DenoiseParams = DenoiseParams(), depth_col:
     s = with_ping_index(pings)
     layer = F.zip_with("sv", depth_col, lambda x, d: F.when(d.between(p.attenuation_upper_limit, p.attenuation_lower_limit), x))
     s = s.withColumn("_pm", median(layer))
-    s = s.withColumn("_bm", F.percentile("_pm", F.lit(0.5)).over(around(s, p.attenuation_side_pings, p.attenuation_side_pings)))
+    if "param_attenuation_side_pings" in s.columns:
+        s = s.withColumn("_bm", median(_side_by_side(s, "attenuation_side_pings", p.attenuation_side_pings, "_pm")))
+    else:
+        s = s.withColumn("_bm", F.percentile("_pm", F.lit(0.5)).over(around(s, p.attenuation_side_pings, p.attenuation_side_pings)))
     bad = F.coalesce(F.col("_bm") - F.col("_pm") > _param(s, "attenuation_threshold", p.attenuation_threshold), F.lit(False))
     return s.withColumn("sv", F.when(bad, F.transform("sv", lambda x: F.lit(None).cast("double"))).otherwise(F.col("sv"))).drop("_pm", "_bm")
 

@@ -212,7 +212,46 @@ with {indexed_sql('samples', 'si0')},
 select {OUT_COLS} from att""")
 
 
+def q_denoise_freq_windows(spark, sf_dir):
+    """Window sizes of each channel's frequency: the sliding noise window, the transient and the attenuation medians."""
+    pings = _pings(spark, sf_dir).join(_frequencies(spark, sf_dir), "channel")
+    pings = dn.with_frequency_params(pings, fx.frequency_windows(spark, sf_dir))
+    return _out(dn.denoise(pings, "background,transient,attenuation", WINDOWS_P, absorption=ALPHA))
+
+
+WINDOWS_P = replace(P, mode="sliding", transient_exclude_above=100.0, transient_threshold_db=3.0)
+
+
+def _own_windows(sql: str) -> str:
+    """The oracle of one width, with a channel's own width instead: windows become joins on ping numbers."""
+    side = f"{P.num_side_pings}"
+    own = lambda c, alias: f"(select {c} from width where width.channel = {alias}.channel)"
+    sql = sql.replace(f"p.ping_index - {side} and p.ping_index + {side}", f"p.ping_index - {own('num_side', 'p')} and p.ping_index + {own('num_side', 'p')}")
+    tr = f"(select *, quantile_cont(m, 0.5) over (partition by {SEGC}, bn order by ping_index\n             range between {P.transient_n_pings} preceding and {P.transient_n_pings} following) as med from tr_c)"
+    assert tr in sql
+    sql = sql.replace(tr, f"""(select c.*, (select quantile_cont(x.m, 0.5) from tr_c x where x.platform = c.platform and x.segment = c.segment
+      and x.channel = c.channel and x.bn = c.bn and abs(x.ping_index - c.ping_index) <= w.tr_side) as med from tr_c c join width w using (channel))""")
+    at = f"(select *, quantile_cont(pm, 0.5) over (partition by {SEGC} order by ping_index\n             range between {P.attenuation_side_pings} preceding and {P.attenuation_side_pings} following) as bm\n             from att_p)"
+    assert at in sql
+    return sql.replace(at, """(select c.*, (select quantile_cont(x.pm, 0.5) from att_p x where x.platform = c.platform and x.segment = c.segment
+      and x.channel = c.channel and abs(x.ping_index - c.ping_index) <= w.at_side) as bm from att_p c join width w using (channel))""")
+
+
+DENOISE_FREQ_WINDOWS_SQL = with_views(["samples", "channel_cal_raw", "frequency_windows"], f"""
+with {indexed_sql('samples', 'si')},
+width as (select c.channel, coalesce(num_side_pings, {P.num_side_pings}) as num_side, coalesce(transient_n_pings, {P.transient_n_pings}) as tr_side,
+  coalesce(attenuation_side_pings, {P.attenuation_side_pings}) as at_side
+  from (select channel_id as channel, coalesce(nullif(frequency, 0), 200000.0::double) as fr from channel_cal_raw) c
+  left join frequency_windows f on f.frequency_nominal = c.fr),
+known as (select s.* from si s where channel in (select channel from width)),
+""" + _own_windows(f"""{sliding_background_sql('known', 'bg')},
+{transient_sql('bg', 'tr').replace(f'>= {P.transient_exclude_above!r}', '>= 100.0').replace(f'> {P.transient_threshold_db!r}', '> 3.0')},
+{attenuation_sql('tr', 'att')}
+select {OUT_COLS} from att"""))
+
+
 REGISTRY = {
+    "denoise_freq_windows": (q_denoise_freq_windows, DENOISE_FREQ_WINDOWS_SQL),
     "denoise_background": (q_denoise_background, DENOISE_BACKGROUND_SQL),
     "denoise_transient": (q_denoise_transient, DENOISE_TRANSIENT_SQL),
     "denoise_impulse": (q_denoise_impulse, DENOISE_IMPULSE_SQL),

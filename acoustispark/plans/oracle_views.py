@@ -34,6 +34,11 @@ select case s_suppkey % 4 when 0 then 38000.0 when 1 then 70000.0 else 28000.0 e
        max(case when s_suppkey % 4 <> 3 then s_suppkey % 4 + 1.0 end)::double as snr_threshold,
        max(case when s_suppkey % 4 = 1 then 4.0 end)::double as impulse_threshold_db,
        max((s_suppkey % 4) * 0.25 + 0.5)::double as attenuation_threshold
+from supplier where s_suppkey % 4 <> 2 group by all""",
+    "frequency_windows": """
+select case s_suppkey % 4 when 0 then 38000.0 when 1 then 70000.0 else 28000.0 end::double as frequency_nominal,
+       max(s_suppkey % 4 * 4 + 3) as num_side_pings, max(s_suppkey % 4 * 2 + 3) as transient_n_pings,
+       max(case when s_suppkey % 4 <> 3 then s_suppkey % 4 * 5 + 2 end) as attenuation_side_pings
 from supplier where s_suppkey % 4 <> 2 group by all""",
     "angle_cal": """
 select 'ch' || s_suppkey::varchar as channel_id, 20.0::double + s_suppkey % 4 as angle_sensitivity_alongship,

@@ -24,6 +24,11 @@ def q_segment_trigger(spark, sf_dir):
     return _trigger(spark, sf_dir).select("platform", "event_id", "segment_start", "n_segment_pings")
 
 
+def q_segment_trigger_chunks(spark, sf_dir):
+    """The same with chunks not much longer than a segment, so that platforms span several and their maps are composed."""
+    return segment_trigger(_pings(spark, sf_dir), P, chunk_rows=P.longest + 8).select("platform", "event_id", "segment_start", "n_segment_pings")
+
+
 WALK_SQL = f"""
 with recursive p as (
   select 'u' || user_id::varchar as platform, ts, event_id,
@@ -62,5 +67,6 @@ from total left join kept using (platform)"""
 
 REGISTRY = {
     "segment_trigger": (q_segment_trigger, SEGMENT_TRIGGER_SQL),
+    "segment_trigger_chunks": (q_segment_trigger_chunks, SEGMENT_TRIGGER_SQL),
     "segment_flush": (q_segment_flush, SEGMENT_FLUSH_SQL),
 }

@@ -220,10 +220,6 @@ select platform, segment, event_id, {MESSAGE_SQL} as message from t
 where c <= 5 or (i % greatest(c // 5, 1) = 0 and i // greatest(c // 5, 1) < 5)""")
 
 
-def q_location_messages(spark, sf_dir):
-    return tr.location_messages(rounded(tr.extract_track(_nav(spark, sf_dir))), 5)
-
-
 def q_add_location(spark, sf_dir):
     return rounded(tr.add_location(fx.targets(spark, sf_dir), fx.fixes(spark, sf_dir)))
 

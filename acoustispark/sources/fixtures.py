@@ -112,6 +112,15 @@ def frequency_params(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.when(k == 1, 4.0)).alias("impulse_threshold_db"), F.max(k * 0.25 + 0.5).cast("double").alias("attenuation_threshold"))
 
 
+def frequency_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-frequency window sizes, from ``supplier``; 120 kHz has none of its own and 28 kHz lacks one."""
+    s = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey") % 4
+    return s.where(k != 2).groupBy(F.when(k == 0, 38000.0).when(k == 1, 70000.0).otherwise(28000.0).alias("frequency_nominal")).agg(
+        F.max(k * 4 + 3).cast("int").alias("num_side_pings"), F.max(k * 2 + 3).cast("int").alias("transient_n_pings"),
+        F.max(F.when(k != 3, k * 5 + 2)).cast("int").alias("attenuation_side_pings"))
+
+
 def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compact ping messages: int16 power counts per (channel, ping), same vectors as ``samples``."""
     e = read_table(spark, sf_dir, "embeddings")

@@ -104,7 +104,7 @@ def segment_trigger(pings: DataFrame, p: TriggerParams = TriggerParams(), key: s
     if chunk_rows < p.longest:
         raise ValueError("chunk_rows must be at least the longest segment")
     halo = p.longest - 1
-    numbered = _number(pings.select(key, ts, seq), key, ts, seq)
+    numbered = staged(_number(pings.select(key, ts, seq), key, ts, seq), "numbered")  # maps and labels both read it
     parts = _with_halo(numbered, key, chunk_rows, halo).withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
     key_type, seq_type = pings.schema[key].dataType, pings.schema[seq].dataType
 
@@ -138,15 +138,14 @@ def segment_trigger(pings: DataFrame, p: TriggerParams = TriggerParams(), key: s
         return pd.DataFrame({key: pdf[key].iloc[0], "_chunk": c, "entry": [o[0] for o in out],
                              "exit": [o[1] for o in out]})
 
-    several = not pings.groupBy(key).count().where(F.col("count") > chunk_rows).isEmpty()
-    if several:  # one chunk a platform needs no maps: its first segment starts at its first ping
-        tmap_schema = T.StructType([T.StructField(key, key_type), T.StructField("_chunk", T.LongType()),
-                                    T.StructField("entry", T.LongType()), T.StructField("exit", T.LongType())])
-        tmaps = spread_groups(parts.select(key, "rn", "_t", "_chunk"), key, "_chunk").groupBy(key, "_chunk") \
-            .applyInPandas(transitions, tmap_schema)
-        placed = parts.join(_entries(tmaps, key), [key, "_chunk"])
-    else:
-        placed = parts.where("_chunk = 0").withColumn("_entry", F.lit(0).cast("long"))
+    tmap_schema = T.StructType([T.StructField(key, key_type), T.StructField("_chunk", T.LongType()),
+                                T.StructField("entry", T.LongType()), T.StructField("exit", T.LongType())])
+    # a map leads into the next chunk, so a platform's last chunk has none; its first one is entered at its first ping
+    leading = parts.where((F.col("_chunk") + 1) * chunk_rows < F.col("_n")).select(key, "rn", "_t", "_chunk")
+    tmaps = spread_groups(leading, key, "_chunk").groupBy(key, "_chunk").applyInPandas(transitions, tmap_schema)
+    entered = _entries(tmaps, key).where("_chunk > 0")
+    placed = parts.join(entered, [key, "_chunk"], "left").withColumn("_entry", F.when(F.col("_chunk") == 0, F.lit(0).cast("long")).otherwise(F.col("_entry")))
+    placed = placed.where(F.col("_entry").isNotNull())
 
     def label(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rn").reset_index(drop=True)
