@@ -2,8 +2,10 @@
 
 Passages of the benchmark are TF-IDF rows (document frequencies come from the whole corpus, outside of what repeats an
 item); a distributed randomised SVD gives their latent space. Every overlapping window of every document is folded in.
-Windows near an item's passage in cosine are candidates, and, whatever the weights, windows that repeat its word runs. A candidate counts as a leak if the longest common subsequence of words with the item, and the item's
-answer, are found in the document around it.
+Windows near an item's passage in cosine are candidates, and, whatever the weights, windows that repeat its word runs; the
+result says which of the two found a row. Windows whose words cannot reach a passage are known by a sum of one number a
+word and are not folded in. A candidate counts as a leak if the longest common subsequence of words with the item, and the
+item's answer, are found in the document around it.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ WINDOW, STEP = 48, 16
 RANK, OVERSAMPLE, POWER = 256, 16, 2
 #: Words of a run that a copy of an item repeats.
 RUN = 3
+#: Bytes of latent vectors that travel with the tasks, at most; a larger benchmark is judged in parts.
+MOST_BYTES = 1 << 30
 
 # Punctuation separates words here, and case does not count, so that quotes and sentence ends do not hide a match.
 _NORMAL = bytes(32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
@@ -204,11 +208,38 @@ class Retriever:
         self.rows = np.array(rows, dtype=np.float32).reshape(len(rows), basis.shape[1])
         self.row_item, self.norms = np.array(self.row_item, dtype=np.int64), np.array(norms, dtype=np.float32)
         self.weighted = idf > 0 if common is None else ~common
+        self.most = self._most()
         told = [int(self.weighted[np.searchsorted(terms, np.unique(np.array(it["words"], dtype=np.uint64)))].sum()) for it in items]
         self.hits = min([params.hits, *told])
         self.need = np.array([max(1, int(params.runs * min(len(it["words"]), WINDOW))) for it in items], dtype=np.int64)
         self.items = [(it["item_id"], _masks(it["words"]), len(it["words"]), _masks(it["answer"]), len(it["answer"])) for it in items]
 
+    def _most(self) -> np.ndarray:
+        """For every term the most that one occurrence adds to a window's share of a passage's own length. Their sum over
+        a window bounds what it can reach, without a product in the latent space."""
+        out = np.zeros(len(self.terms))
+        if len(self.rows):
+            unit = self.rows / self.norms[:, None]
+            for lo in range(0, len(out), 4096):
+                out[lo:lo + 4096] = np.maximum((self.latent[lo:lo + 4096] @ unit.T).max(axis=1), 0)
+        return out
+
+    def _fold(self, starts: np.ndarray, steps: int, ok2: np.ndarray, ok3: np.ndarray, places: np.ndarray, terms: np.ndarray):
+        """A function that gives the latent vectors of windows out of ``starts``; only their steps' words are read."""
+        need = np.zeros(steps + 2, dtype=bool)
+        for back, ok in ((0, None), (1, ok2), (2, ok3)):
+            need[(starts if ok is None else starts[ok[starts]]) + back] = True
+        row = np.where(need, np.cumsum(need) - 1, need.sum())  # the last row stays zero
+        vec = np.zeros((int(need.sum()) + 1, self.latent.shape[1]), dtype=np.float32)
+        inside = need[places]
+        places, terms = row[places[inside]], terms[inside]
+        edge = np.flatnonzero(np.diff(places, prepend=-1))
+        for lo in range(0, len(edge), 4096):
+            a, e = edge[lo], edge[lo + 4096] if lo + 4096 < len(edge) else len(places)
+            vec[places[edge[lo:lo + 4096]]] = np.add.reduceat(self.latent[terms[a:e]], edge[lo:lo + 4096] - a, axis=0)
+        zero = len(vec) - 1
+        return lambda s: vec[row[s]] + vec[np.where(ok2[s], row[s + 1], zero)] + vec[np.where(ok3[s], row[s + 2], zero)]
+
     def repeats(self, words: np.ndarray, lens: np.ndarray, is_term: np.ndarray, owner_step: np.ndarray, text_of: np.ndarray
                 ) -> Iterator[tuple[int, int]]:
         """(step, item) of the windows that repeat enough runs of an item, whatever their words weigh."""
@@ -235,8 +266,9 @@ class Retriever:
                 yield from zip((window[enough] // len(self.need)).tolist(), (window[enough] % len(self.need)).tolist())
                 lo = hi
 
-    def candidates(self, words: np.ndarray, lens: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-        """(text, first word of the window, item, cosine) of all windows near an item's passage or with its runs."""
+    def candidates(self, words: np.ndarray, lens: np.ndarray) -> Iterator[tuple[int, int, int, float, bool]]:
+        """(text, first word of the window, item, cosine, by the latent space) of all windows near an item's passage, and
+        then of those with its runs."""
         at = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
         hit = self.terms[at] == words
         steps = np.maximum(1, -(-lens // STEP))  # steps of each text; a window is three of them
@@ -244,46 +276,50 @@ class Retriever:
         pos = np.arange(len(words)) - np.repeat(np.cumsum(lens) - lens, lens)
         owner_step = np.repeat(first_step, lens) + pos // STEP
         total = int(steps.sum())
-        hits = np.bincount(owner_step[hit & self.weighted[at]], minlength=total + 2)
-        vec = np.zeros((total + 2, self.latent.shape[1]), dtype=np.float32)
-        places = owner_step[hit]
-        if len(places):
-            edge = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
-            vec[places[edge]] = np.add.reduceat(self.latent[at[hit]], edge, axis=0)
         text_of = np.repeat(np.arange(len(lens)), steps)
         in_text = np.arange(total) - first_step[text_of]
         left = steps[text_of] - in_text
         ok2, ok3 = left > 1, left > 2
-        n = hits[:total] + np.where(ok2, hits[1:total + 1], 0) + np.where(ok3, hits[2:total + 2], 0)
         # a text's last, shorter windows lie inside an earlier one unless the text is that short
-        some = np.flatnonzero((n >= self.hits) & (ok3 | (in_text == 0)))
+        whole = ok3 | (in_text == 0)
+        places, terms = owner_step[hit], at[hit]
+
+        def over_window(x: np.ndarray) -> np.ndarray:
+            return x[:total] + np.where(ok2, x[1:total + 1], 0) + np.where(ok3, x[2:total + 2], 0)
+
+        hits = over_window(np.bincount(places[self.weighted[terms]], minlength=total + 2))
+        reach = over_window(np.bincount(places, self.most[terms], minlength=total + 2))  # 0.1% for rounding
+        some = np.flatnonzero(whole & (hits >= self.hits) & (reach >= 0.999 * self.params.cover))
+        again = [(step, j) for step, j in self.repeats(words, lens, hit, owner_step, text_of) if whole[step]]
+        starts = np.concatenate([some, np.array([step for step, _ in again], dtype=np.int64)])
+        window = self._fold(starts, total, ok2, ok3, places, terms)
         for lo in range(0, len(some), 4096):
             s = some[lo:lo + 4096]
-            x = vec[s] + np.where(ok2[s][:, None], vec[s + 1], 0) + np.where(ok3[s][:, None], vec[s + 2], 0)
+            x = window(s)
             along = x @ self.rows.T
             w, r = np.nonzero(along >= self.params.cover * self.norms)
             cos = along[w, r] / np.maximum(np.linalg.norm(x, axis=1)[w], 1e-9)
             for i, j, c in zip(w.tolist(), r.tolist(), cos.tolist()):
                 if c >= self.params.cosine:
                     step = int(s[i])
-                    yield int(text_of[step]), int(in_text[step]) * STEP, int(self.row_item[j]), c
-        for step, j in self.repeats(words, lens, hit, owner_step, text_of):
-            if ok3[step] or in_text[step] == 0:
-                x = vec[step] + (vec[step + 1] if ok2[step] else 0) + (vec[step + 2] if ok3[step] else 0)
-                lo, hi = np.searchsorted(self.row_item, [j, j + 1])
-                along = self.rows[lo:hi] @ x
-                cos = float(along.max() / max(np.linalg.norm(x), 1e-9)) if hi > lo else 0.0
-                yield int(text_of[step]), int(in_text[step]) * STEP, j, cos
-
-    def leaks(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, float, float, float]]:
-        """(text, item, first word, cosine, share in common, answer share), the best place of each text and item."""
+                    yield int(text_of[step]), int(in_text[step]) * STEP, int(self.row_item[j]), c, True
+        for step, j in again:
+            x = window(np.array([step]))[0]
+            lo, hi = np.searchsorted(self.row_item, [j, j + 1])
+            cos = float((self.rows[lo:hi] @ x).max() / max(np.linalg.norm(x), 1e-9)) if hi > lo else 0.0
+            yield int(text_of[step]), int(in_text[step]) * STEP, j, cos, False
+
+    def leaks(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, float, float, float, str]]:
+        """(text, item, first word, cosine, share in common, answer share, path), the best place of each text and item;
+        ``path`` is ``latent`` if a window that the latent space found shows the leak, ``runs`` if only word runs did."""
         if not self.items:
             return
         words, lens = normal_words(texts)
         firsts = np.cumsum(lens) - lens
         best: dict[tuple[int, int], tuple] = {}
         tried: set[tuple[int, int, int]] = set()
-        for text, start, item, cos in self.candidates(words, lens):
+        path: dict[tuple[int, int], str] = {}
+        for text, start, item, cos, latent in self.candidates(words, lens):
             _, masks, m, answer, k = self.items[item]
             if (text, item) in best and best[text, item][0] == 1.0 or (text, item, start - STEP) in tried or (text, item, start) in tried:
                 continue  # found whole, or the same or the neighbour's stretch covers this one
@@ -297,8 +333,9 @@ class Retriever:
             p = self.params
             if share >= p.common or (share >= p.near and told >= p.answer):
                 best[text, item] = max(best.get((text, item), (0.0,)), (share, told, cos, lo + at))
+                path.setdefault((text, item), "latent" if latent else "runs")
         for (text, item), (share, told, cos, at) in best.items():
-            yield text, self.items[item][0], at, cos, share, told
+            yield text, self.items[item][0], at, cos, share, told, path[text, item]
 
 
 def train(docs: DataFrame, benchmark: DataFrame, params: Params = Params(), text: str = "text", item_id: str = "item_id",
@@ -329,13 +366,20 @@ def train(docs: DataFrame, benchmark: DataFrame, params: Params = Params(), text
     return Retriever(terms, idf, randomised_svd(frame, len(terms), min(RANK, len(rows))), items, params, common, own)
 
 
+def _broadcast(docs: DataFrame, retriever: Retriever):
+    size = retriever.latent.nbytes + retriever.rows.nbytes
+    if size > MOST_BYTES:
+        raise ValueError(f"the benchmark's latent space takes {size} bytes, more than {MOST_BYTES}: judge it in parts, one retriever each")
+    return docs.sparkSession.sparkContext.broadcast(retriever)
+
+
 def find_leaks(docs: DataFrame, retriever: Retriever, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, item_id, first_word, cosine, common, answer: one row for every document and item that leaks into it.
+    """doc_id, item_id, first_word, cosine, common, answer, path: one row for every document and item that leaks into it.
 
     Null and empty texts leak nothing; rows are judged one by one, so repeated rows repeat their leaks and a null id
     stays null; other columns are not read; an empty table, or an empty benchmark, gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(retriever)
+    shared = _broadcast(docs, retriever)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -348,19 +392,19 @@ def find_leaks(docs: DataFrame, retriever: Retriever, doc_id: str = "doc_id", te
                 if size >= 1 << 20 or i == len(texts) - 1:
                     found += [(ids[first + x[0]], *x[1:]) for x in own.leaks(held)]
                     held, size, first = [], 0, i + 1
-            cols = list(zip(*found)) or [()] * 6
-            kinds = [pa.int64()] * 3 + [pa.float64()] * 3
+            cols = list(zip(*found)) or [()] * 7
+            kinds = [pa.int64()] * 3 + [pa.float64()] * 3 + [pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=["doc_id", "item_id", "first_word", "cosine", "common", "answer"])
+                                             names=["doc_id", "item_id", "first_word", "cosine", "common", "answer", "path"])
 
     return docs.select(F.col(doc_id).cast("long"), text).mapInArrow(
-        run, "doc_id long, item_id long, first_word long, cosine double, common double, answer double")
+        run, "doc_id long, item_id long, first_word long, cosine double, common double, answer double, path string")
 
 
 def count_leaks(docs: DataFrame, retriever: Retriever, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` (default: all columns but the text and the new one) and n_leaks, the number of items found, of every row."""
     keep = keep if keep is not None else [c for c in docs.columns if c not in (text, "n_leaks")]
-    shared = docs.sparkSession.sparkContext.broadcast(retriever)
+    shared = _broadcast(docs, retriever)
 
     def work(texts: list) -> list:
         out = np.zeros(len(texts), dtype=np.int64)
