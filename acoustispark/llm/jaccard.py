@@ -27,7 +27,7 @@ from acoustispark.llm.common import components, shuffle_width, staged
 
 BLOCK = "fragment int, batch long, head boolean, ids binary, counts binary, keys binary"
 #: Rounds before all remaining pairs are compared: hubs of a key's group, and how many of them a member is compared with.
-ROUNDS = ((1, 2), (2, 2), (4, 4), (8, 8), (16, 16), (16, 16))
+ROUNDS = ((1, 2), (4, 4), (16, 16), (16, 16))
 #: Fragments of the global order in which overlaps are counted.
 ORDER_FRAGMENTS = 4
 _MASK48 = np.uint64((1 << 48) - 1)
@@ -149,16 +149,27 @@ def _verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     return total.where(F.expr(f"100 * overlap >= {percent} * (na + nb - overlap)")).select("a", "b")
 
 
-def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, c) after more links: every component takes the smallest label beside it, and then the label that one took.
-    Nodes of one label are connected; connected labels may stay apart until the exact components are found at the end."""
-    ends = links.join(comp.select(F.col("id").alias("a"), F.col("c").alias("ca")), "a").join(
-        comp.select(F.col("id").alias("b"), F.col("c").alias("cb")), "b").select("ca", "cb").where("ca != cb")
-    both = ends.unionByName(ends.select(F.col("cb").alias("ca"), F.col("ca").alias("cb")))
+def _merge(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(id, c) after more links, of the nodes whose label ``c`` is not their own id: every component takes the smallest
+    label beside it, and then the label that one took. Nodes of one label are connected; connected labels may stay apart
+    until the exact components are found at the end."""
+    if comp is None:
+        ends = links.select(F.col("a").alias("ca"), F.col("b").alias("cb"))
+    else:
+        ends = links.join(comp.select(F.col("id").alias("a"), F.col("c").alias("ca")), "a", "left").join(
+            comp.select(F.col("id").alias("b"), F.col("c").alias("cb")), "b", "left").select(
+            F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca != cb")
+    both = ends.select(F.explode(F.array(F.struct("ca", "cb"), F.struct(F.col("cb").alias("ca"), F.col("ca").alias("cb")))).alias("e")).select("e.*")
     hook = staged(both.groupBy("ca").agg(F.least(F.min("cb"), F.first("ca")).alias("m")), "hooks")
     jump = hook.join(hook.select(F.col("ca").alias("m"), F.col("m").alias("m2")), "m", "left").select(
-        F.col("ca").alias("c"), F.least("m", "m2").alias("to"))
-    return staged(comp.join(jump, "c", "left").select("id", F.coalesce("to", "c").alias("c")), "labels")
+        F.col("ca").alias("c"), F.least("m", "m2").alias("to")).where("c != to")
+    own = jump.select(F.col("c").alias("id"), F.col("to").alias("c"))
+    if comp is None:
+        return staged(own, "labels")
+    # the node that a moving label is named by moves too; if it has another label already, that one decides
+    own = own.join(comp.select("id"), "id", "left_anti")
+    moved = comp.join(jump, "c", "left").select("id", F.coalesce("to", "c").alias("c"))
+    return staged(moved.unionByName(own), "labels")
 
 
 def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -166,13 +177,71 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: s
     where 100 * intersection >= ``percent`` * union; a component is named by its smallest id.
 
     Null and blank texts have no shingles and no links. Equal sets are one node. Rows with a null id have sizes but no
-    component. Several texts under one id: each row has its own size; equal sets link by each row, near sets by one of them. Other columns
-    are not read, and an empty table gives an empty result. Keys are 48 bits of a hash,
-    which also choose the fragment: two of m shingles are taken for one with a chance of about m * m / 2^49.
+    component. Several texts under one id: each row has its own set and size, what one of them links to is linked to the
+    id, and all rows of the id have one component. Other columns are not read, and an empty table gives an empty result.
+    Keys are 48 bits of a hash, which also choose the fragment: two of m shingles are taken for one with a chance of about
+    m * m / 2^49.
     """
-    spark = docs.sparkSession
+    named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = _own_keys(named)
+    if rows is None:
+        out = _row_components(named, n, percent)
+    else:
+        found = staged(_row_components(rows.select(F.col("key").alias("doc_id"), "text"), n, percent), "rows")
+        found = rows.join(found.withColumnRenamed("doc_id", "key"), "key")
+        links = found.select(F.col("key").alias("a"), F.col("component_id").alias("b")).unionByName(
+            found.select(F.col("key").alias("a"), F.col("doc_id").alias("b"))).where("a != b")
+        comp = components(links).withColumnRenamed("node", "doc_id")
+        sizes = found.select("doc_id", "text", "n_shingles").join(comp, "doc_id", "left").select(
+            "doc_id", "text", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        out = named.alias("d").join(sizes.alias("s"), (F.col("d.doc_id") == F.col("s.doc_id")) & F.col("d.text").eqNullSafe(F.col("s.text"))).select(
+            "d.doc_id", "n_shingles", "component_id")
+    return out.unionByName(_without_id(docs, doc_id, text, n))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of every group of linked rows the one with the smallest id stays.
+
+    Rows with a null id all stay and are no one's copies. Rows equal in id and text are one row, the least by the JSON of
+    all columns. Of several texts under one id the least comes first, and the others count as larger than every id: they
+    stay if no row with an id of its own is their copy.
+    """
+    none = docs.where(F.col(doc_id).isNull())
+    rows = _own_keys(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")))
+    if rows is None:
+        found = _row_components(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), n, percent)
+        stay = staged(found.where("doc_id = component_id").select(F.col("doc_id").alias("__stays")), "near")
+        return docs.join(stay, F.col(doc_id) == F.col("__stays"), "left_semi").unionByName(none)
+    found = _row_components(rows.select(F.col("key").alias("doc_id"), "text"), n, percent)
+    stay = staged(found.where("doc_id = component_id").select(F.col("doc_id").alias("key")).join(rows, "key").select(
+        F.col("doc_id").alias("i"), F.col("text").alias("t")), "near")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("i"), F.col(text).alias("t"), whole.alias("x")).groupBy("i", "t").agg(
+        F.min_by("x", F.to_json("x")).alias("x"))
+    kept = once.alias("o").join(stay.alias("s"), (F.col("o.i") == F.col("s.i")) & F.col("o.t").eqNullSafe(F.col("s.t")), "left_semi")
+    return kept.select("x.*").unionByName(none)
+
+
+def _own_keys(named: DataFrame) -> DataFrame | None:
+    """(key, doc_id, text) of the different rows (doc_id, text) with an id, where some id stands more than once: the least
+    text of an id has the id as its key, the others have keys of their own beyond all ids. None where ids are unique."""
+    named = named.where(F.col("doc_id").isNotNull())
+    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return None
+    rows = staged(named.distinct(), "distinct")
+    first = rows.groupBy("doc_id").agg(F.min(F.struct("text")).alias("least"))
+    rows = rows.join(first, "doc_id").withColumn("is_first", F.col("text").eqNullSafe(F.col("least.text"))).drop("least")
+    most = rows.agg(F.max("doc_id").alias("m")).first()["m"]
+    later = staged(rows.where("not is_first").orderBy("doc_id", "text").select("doc_id", "text", F.monotonically_increasing_id().alias("nth")), "later")
+    return staged(rows.where("is_first").select(F.col("doc_id").alias("key"), "doc_id", "text").unionByName(
+        later.select((F.col("nth") + F.lit(most + 1)).alias("key"), "doc_id", "text")), "keyed")
+
+
+def _row_components(named: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, component_id of the rows with an id; ids must be unique."""
+    spark = named.sparkSession
     parts = min(65536, 2 * shuffle_width(spark))
-    blocks = _blocks(docs, doc_id, text, n, parts)
+    blocks = _blocks(named, "doc_id", "text", n, parts)
     told = blocks.repartition(parts, "fragment").groupBy("fragment").applyInArrow(
         _repeated, "batch long, head boolean, ids binary, freqs binary, keys binary")
     sets = staged(told.groupBy("batch").applyInArrow(_assembler(percent), "doc_id long, n long, codes array<long>, sig binary, common double"), "sets")
@@ -180,13 +249,11 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: s
     equal = staged(sets.where(F.col("sig").isNotNull()).groupBy("sig").agg(F.min("doc_id").alias("rep")), "equal")
     whole = sets.where(F.col("codes").isNotNull())
     near = whole.join(equal, "sig", "left").where(F.col("rep").isNull() | (F.col("rep") == F.col("doc_id")))
-    reps = near.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.struct("n", "codes", "common")).alias("x")).select("id", "x.*")
     with _no_broadcast(spark):
-        comp = _near_components(staged(reps, "nodes"), percent)
+        comp = _near_components(staged(near.select(F.col("doc_id").alias("id"), "n", "codes", "common"), "nodes"), percent)
 
     out = sets.select("doc_id", "n", "sig").join(equal, "sig", "left").withColumn("id", F.coalesce("rep", "doc_id"))
-    out = out.join(comp, "id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "id").alias("component_id"))
-    return out.unionByName(_without_id(docs, doc_id, text, n))
+    return out.join(comp, "id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "id").alias("component_id"))
 
 
 @contextlib.contextmanager
@@ -230,8 +297,8 @@ def _near_components(nodes: DataFrame, percent: int) -> DataFrame:
     prefix = nodes.select("id", "n", held.alias("r"), "common", F.posexplode(F.slice("codes", F.lit(1), first)).alias("pos", "key"))
     shared = prefix.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     members = staged(prefix.join(shared, "key"), "prefix")
-    comp = staged(nodes.select("id", F.col("id").alias("c")), "labels")
-    checked = every = None
+    comp = None  # (id, c) of the nodes that have another label than their own id
+    every = None
 
     # sizes allow the overlap that two sets need, and so do the places of the shared key in their orders
     need = f"ceil({percent} * (n + n2) / {100 + percent})"
@@ -242,7 +309,7 @@ def _near_components(nodes: DataFrame, percent: int) -> DataFrame:
     once = F.expr(f"""try_element_at(array_intersect(head, head2), 1) = key and size(array_intersect(head, head2)) + case
         when element_at(head, -1) <= element_at(head2, -1) then r - size(head) else r2 - size(head2) end >= {need}""")
     for turn in range(len(ROUNDS) + 1):
-        now = members.join(comp, "id")
+        now = members.withColumn("c", F.col("id")) if comp is None else members.join(comp, "id", "left").withColumn("c", F.coalesce("c", "id"))
         opened = now.join(now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "key", "left_semi")
         if turn < len(ROUNDS):
             hubs, partners = ROUNDS[turn]
@@ -259,16 +326,12 @@ def _near_components(nodes: DataFrame, percent: int) -> DataFrame:
             other = full.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "r", "pos", "c", "head")])
             near = full.join(other, "key").where("id < id2 and c != c2").where(possible).where(once)
         pairs = near.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
         links = staged(_verify(pairs, segments, percent), "links")
-        checked = pairs if checked is None else checked.unionByName(pairs)
+        if links.isEmpty():
+            continue
         every = links if every is None else every.unionByName(links)
-        if turn < len(ROUNDS) and not links.isEmpty():
+        if turn < len(ROUNDS):
             comp = _merge(comp, links)
     if every is None:
-        return comp
-    return staged(components(every), "components").select(F.col("node").alias("id"), F.col("component").alias("c"))
+        return nodes.select("id", F.col("id").alias("c")).limit(0)
+    return components(every).select(F.col("node").alias("id"), F.col("component").alias("c"))

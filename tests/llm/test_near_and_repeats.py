@@ -85,6 +85,34 @@ def test_jaccard_edge_rows(spark):
     assert jaccard.similar_components(df.limit(0)).count() == 0
 
 
+def _text(seed, change=None):
+    words = [f"v{seed}x{i}" for i in range(60)]
+    if change is not None:
+        words[change] = "changed"
+    return " ".join(words)
+
+
+def test_jaccard_of_several_texts_under_one_id(spark):
+    a, b, c = _text(1), _text(2), _text(3)
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, _text(3, 20)), (5, c), (5, "short text"), (6, None), (6, ""), (None, a), (7, "x y z"), (7, "x y z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, jaccard.similar_components(df).collect()), key=str)
+    want = [(1, 56, 1), (2, 56, 1), (2, 56, 1), (3, 56, 1), (4, 56, 4), (5, 56, 4), (5, 1, 4), (6, 0, 6), (6, 0, 6), (None, 56, None), (7, 1, 7), (7, 1, 7)]
+    assert got == sorted(want, key=str)
+
+
+def test_one_of_each_group(spark):
+    a, b = _text(1), _text(2)
+    rows = [(1, a, "p", 1), (2, a, "q", 1), (2, b, "r", 1), (9, _text(2, 30), "s", 1), (9, _text(4), "u", 1), (None, a, "t", 1), (None, a, "t", 1), (6, None, "n", 1), (7, "x", "z", 1), (7, "x", "y", 1)]
+    names = "doc_id long, text string, key string, `a.b` int"
+    got = jaccard.one_of_each(spark.createDataFrame(rows, names).repartition(3))
+    assert got.columns == ["doc_id", "text", "key", "a.b"]
+    assert sorted(r.key for r in got.collect()) == ["n", "p", "s", "t", "t", "u", "y"]
+    unique = spark.createDataFrame([r for r in rows if r[0] in (None, 1, 6, 9) and r[2] != "u"] + [(12, a, "w", 1)], names)
+    assert sorted(r.key for r in jaccard.one_of_each(unique).collect()) == ["n", "p", "s", "t", "t"]
+    assert jaccard.one_of_each(unique.limit(0)).count() == 0
+
+
 def test_components(spark):
     links = [(9, 4), (4, 7), (7, 2), (11, 10), (20, 20), (13, 12), (12, 11)] + [(100 + i, 101 + i) for i in range(60)] + [(500, i) for i in range(600, 700)]
     got = dict(map(tuple, common.components(spark.createDataFrame(links, "a long, b long")).collect()))
