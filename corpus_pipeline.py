@@ -2,7 +2,8 @@
 
 language    documents in which no language can be told (null texts, texts without a letter) go; without a row to learn
             languages from, every text with a letter counts as one unnamed language
-near        of each group of near copies (5-word shingles, Jaccard 0.8 or more) the document with the smallest id stays
+near        of each group of near copies (5-word shingles, Jaccard 0.8 or more) the document with the smallest id stays;
+            what happens to repeated ids is said at ``jaccard.one_of_each``
 substrings  words covered by a 20-word passage that starts earlier in the corpus go; wholly repeated documents go
 leaks       documents with a benchmark item in them go
 packing     the rest is tokenised and packed into sequences of 1024 tokens
@@ -36,12 +37,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = staged(jaccard.similar_components(docs.select("doc_id", "text")), "near")
-    stay = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi")
-    if not found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "text"])  # repeated rows
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    return jaccard.one_of_each(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
