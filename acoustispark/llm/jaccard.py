@@ -27,7 +27,7 @@ from acoustispark.llm.common import components, shuffle_width, staged
 
 BLOCK = "fragment int, batch long, head boolean, ids binary, counts binary, keys binary"
 #: Rounds before all remaining pairs are compared: hubs of a key's group, and how many of them a member is compared with.
-ROUNDS = ((1, 2), (4, 4), (16, 16), (16, 16))
+ROUNDS = ((1, 2), (2, 2), (4, 2), (8, 4), (16, 4))
 #: Fragments of the global order in which overlaps are counted.
 ORDER_FRAGMENTS = 4
 _MASK48 = np.uint64((1 << 48) - 1)
