@@ -16,6 +16,8 @@ from acoustispark.llm.common import shuffle_width, staged
 from acoustispark.llm.packing import PIECES, pieces
 
 ROUNDS = 6
+#: Text bytes of a task that numbers sequences, on average.
+TASK_BYTES = 128 << 20
 SHARD = ("shard_id long, first_slot long, n_sequences int, stride int, payload binary, doc_ids array<long>, "
          "starts array<long>, lengths array<int>")
 
@@ -51,9 +53,16 @@ def permute(index: np.ndarray, n: int, key: int, back: bool = False) -> np.ndarr
 
 
 def sequences(docs: DataFrame, path: str, seq_len: int, doc_id: str, text: str) -> DataFrame:
-    """The pieces with their ids as 16-bit payload, numbered inside the task that made them; written once, so the
-    numbers stay the same whatever is lost later."""
-    cut = pieces(docs, path, seq_len, doc_id, text, payload=True)
+    """The pieces with their ids as 16-bit payload, numbered by (doc_id, hash of the text, start): documents are ranged by
+    id and hash before they are tokenised, so the numbers follow from the rows and not from how the input was split.
+    Only rows equal in id and text are told apart by their place in the input, which changes nothing as their sequences
+    are equal; it lets many of them spread over tasks. Written once, so nothing is numbered twice."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+    by = ["doc_id", "mark", "copy"]
+    rows = rows.withColumn("mark", F.xxhash64("text")).withColumn("copy", F.monotonically_increasing_id())
+    ranged = rows.repartitionByRange(max(shuffle_width(docs.sparkSession), size // TASK_BYTES), *by).sortWithinPartitions(*by)
+    cut = pieces(ranged, path, seq_len, "doc_id", "text", payload=True)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
@@ -74,7 +83,8 @@ def shards(docs: DataFrame, path: str, key: int = 20260, seq_len: int = 1024, sh
     with the doc ids, starts and lengths of its sequences. Vocabularies must have at most 65,536 ids.
 
     Null and empty texts are one sequence (the end id alone); repeated rows get a slot each; other columns are not
-    read; an empty table has no shards. Slot = permutation of (rows of the tasks before + row in the task).
+    read; an empty table has no shards. Slot = permutation of the
+    sequence's number in the order of (doc_id, hash of the text, start).
     """
     spark = docs.sparkSession
     seqs = sequences(docs, path, seq_len, doc_id, text)
@@ -124,8 +134,8 @@ def write_shards(docs: DataFrame, path: str, out: str, **options) -> DataFrame:
 
 
 def read_slots(written: DataFrame, first: int, last: int) -> DataFrame:
-    """slot, doc_id, start, length, ids (unpadded payload) of the slots ``first`` <= slot < ``last``, in slot order: a
-    reader resumes anywhere, as shard and byte offset follow from the slot."""
+    """slot, doc_id, start, length, ids (unpadded payload) of the slots ``first`` <= slot < ``last``, in ascending order: a
+    reader resumes anywhere, as shard and byte offset follow from the slot. Only the shards that hold these slots are read and put in order."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
@@ -135,7 +145,7 @@ def read_slots(written: DataFrame, first: int, last: int) -> DataFrame:
                 cols = list(zip(*rows)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.binary()])],
                                                  names=["slot", "doc_id", "start", "length", "ids"])
-    near = written.where((F.col("first_slot") < last) & (F.col("first_slot") + F.col("n_sequences") > first))
+    near = written.where((F.col("first_slot") < last) & (F.col("first_slot") + F.col("n_sequences") > first)).orderBy("first_slot")
     return near.mapInArrow(cut, "slot long, doc_id long, start long, length long, ids binary")
 
 

@@ -129,6 +129,30 @@ def test_shards_round_trip_and_resume(spark, library, tmp_path):
     assert order.write_shards(df.limit(0), BYTE_BPE, str(tmp_path / "b")).count() == 0
 
 
+def test_slots_follow_from_the_rows(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(300)
+    odd = spark.createDataFrame([(None, f"text {i}") for i in range(40)] + [(4, "twice"), (4, "twice"), (4, None), (4, "")], "doc_id long, text string")
+    rows = spark.createDataFrame(docs.unionByName(odd).collect(), "doc_id long, text string")
+    seen = []
+    for n in (3, 11):
+        kept = order.write_shards(rows.repartition(n), BYTE_BPE, str(tmp_path / str(n)), seq_len=64, shard_sequences=8)
+        total = kept.selectExpr("sum(n_sequences) n").first().n
+        got = [(r.slot, r.doc_id, r.start, bytes(r.ids)) for r in order.read_slots(kept, 0, total).toLocalIterator()]
+        assert [g[0] for g in got] == list(range(total))
+        part = [r.slot for r in order.read_slots(kept, 21, 203).collect()]
+        assert part == list(range(21, 203))
+        seen.append(got)
+    assert seen[0] == seen[1]
+
+
+def test_order_ignores_clashing_columns(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"some text {i}", 1, 2, 3, "x") for i in range(20)],
+                                 "doc_id long, text string, mark int, copy int, part int, ids string")
+    kept = order.write_shards(rows, BYTE_BPE, str(tmp_path / "c"), seq_len=32, shard_sequences=16)
+    plain = order.write_shards(rows.select("doc_id", "text"), BYTE_BPE, str(tmp_path / "d"), seq_len=32, shard_sequences=16)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_order_query(spark, library):
     got = op2_training_order(spark, SF).collect()
     assert sorted(r.slot for r in got) == list(range(len(got)))
