@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 
 from acoustispark.llm import common, jaccard, phrases
@@ -164,3 +165,21 @@ def test_hash_of_kept_words(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = {r.doc_id: r.kept_sha256 for r in registry()["op6_substring_dedup"][0](spark, SF).collect()}
     assert got == {i: hashlib.sha256(k.encode()).hexdigest() for i, _, _, k in _kept(sorted(docs), 20)}
+
+
+def test_repeats_come_from_the_automaton(spark):
+    df = spark.createDataFrame([(i, t) for i, t in _corpus()], "doc_id long, text string").repartition(7)
+    none = phrases.remove_repeats(df, find=lambda words, wanted: np.empty(0, dtype=np.int64))
+    assert none.selectExpr("sum(n_removed)").first()[0] == 0
+    half = phrases.remove_repeats(df, find=lambda words, wanted: phrases.occurrences(words, wanted[::2]))
+    some, whole = (d.selectExpr("sum(n_removed)").first()[0] for d in (half, phrases.remove_repeats(df)))
+    assert 0 < some < whole
+
+
+def test_occurrences_brute_force():
+    rng = np.random.default_rng(3)
+    words = rng.integers(5, size=4000).astype(np.uint64) * np.uint64(1 << 60)
+    wanted = np.unique(np.array([words[p:p + 4] for p in rng.integers(3900, size=60)] + [[9, 9, 9, 9]], dtype=np.uint64), axis=0)
+    got = sorted(phrases.occurrences(words, wanted).tolist())
+    rows = {tuple(r) for r in wanted.tolist()}
+    assert got == [e for e in range(3, 4000) if tuple(words[e - 3:e + 1].tolist()) in rows]
