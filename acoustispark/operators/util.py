@@ -9,22 +9,18 @@ def _fill(df: DataFrame, keys, day: str, order, col: str, out: str, forward: boo
     """Nearest non-NULL ``col`` at-or-before (forward) / at-or-after (backward) each row within ``keys``.
 
     Window partitions are (keys, day), so none holds more than one day of one key; what a day cannot answer
-    comes from a per-(key, day) summary carried across days by a window over the small day table.
+    comes from a per-(key, day) summary carried across days by a window over the small day table. Backward is
+    forward in the reversed order: a frame that ends at the last row would be read again for every row.
     """
     from pyspark.sql import Window
 
     order_s = F.struct(*[F.col(o) for o in order])
-    w = Window.partitionBy(*keys, day).orderBy(*order)
-    if forward:
-        in_day = F.last(col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        summary = F.max_by(F.col(col), F.when(F.col(col).isNotNull(), order_s))
-        wd = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-        carry = F.last("_d", ignorenulls=True).over(wd)
-    else:
-        in_day = F.first(col, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-        summary = F.min_by(F.col(col), F.when(F.col(col).isNotNull(), order_s))
-        wd = Window.partitionBy(*keys).orderBy(day).rowsBetween(1, Window.unboundedFollowing)
-        carry = F.first("_d", ignorenulls=True).over(wd)
+    to = (lambda c: F.col(c).asc()) if forward else (lambda c: F.col(c).desc())
+    w = Window.partitionBy(*keys, day).orderBy(*[to(o) for o in order])
+    in_day = F.last(col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    summary = (F.max_by if forward else F.min_by)(F.col(col), F.when(F.col(col).isNotNull(), order_s))
+    wd = Window.partitionBy(*keys).orderBy(to(day)).rowsBetween(Window.unboundedPreceding, -1)
+    carry = F.last("_d", ignorenulls=True).over(wd)
     days = df.groupBy(*keys, day).agg(summary.alias("_d"))
     carried = days.select(*keys, day, carry.alias("_carry"))
     return (df.withColumn("_in", in_day).join(carried, [*keys, day], "left")

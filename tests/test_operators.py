@@ -231,3 +231,15 @@ def test_trigger_matches_sequential_fold(spark):
 def test_haversine_known_distance(spark):
     d = _one(spark, fn.haversine_nmi(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(0.0)))
     assert abs(d - 2 * 6371.0088 / 1.852 * math.asin(math.sin(math.radians(0.5)))) < 1e-9
+
+
+def test_backward_fill_reads_no_frame_again_for_every_row(spark):
+    from acoustispark.operators.util import fill_backward
+    rows = [("a", 1, 1, None), ("a", 1, 2, 5), ("a", 1, 3, None), ("a", 2, 1, None), ("a", 3, 1, None), ("a", 3, 2, 7), ("b", 1, 1, None), (None, 1, 1, 4), ("a", None, 1, 9)]
+    df = spark.createDataFrame(rows, "k string, day int, t int, x int")
+    out = fill_backward(df, ("k",), "day", ("t",), "x", "next")
+    got = {(r.k, r.day, r.t): r.next for r in out.collect()}
+    assert got[("a", 1, 1)] == got[("a", 1, 2)] == 5 and got[("a", 1, 3)] == got[("a", 2, 1)] == got[("a", 3, 1)] == got[("a", 3, 2)] == 7
+    assert got[("b", 1, 1)] is None
+    plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan  # such a frame is read to its end at each row
