@@ -12,9 +12,10 @@ from __future__ import annotations
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from acoustispark.operators.util import staged
+from acoustispark.operators.util import spread_groups, staged
 
 #: Directories of a product store, of the daily store, and what tells segments apart inside a directory.
 PRODUCT_DIRS, DAY_DIRS, SEGMENT_KEYS = ["campaign", "product", "day"], ["day"], ["platform", "segment"]
@@ -35,6 +36,29 @@ def _write(df: DataFrame, root: str, partitions: list[str], fmt: str = "parquet"
     w.format(fmt).save(root)
 
 
+def _write_documents(df: DataFrame, root: str, partitions: list[str], order: list[str], fmt: str, **options) -> None:
+    """A directory a document, replaced where it is there already. Documents are small and many, and most of their time goes
+    into making files: so they are dealt to a fixed number of tasks, not to as few as their bytes ask for, and tasks put
+    their files in place themselves. Only a store that holds documents already has the driver replace them, one by one."""
+    rows = spread_groups(df, *partitions).sortWithinPartitions(*partitions, *order)
+    rows = rows.drop(*[o for o in order if o not in partitions])
+    w = rows.write.partitionBy(*partitions).format(fmt).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    for k, v in options.items():
+        w = w.option(k, v)
+    if _is_new(df.sparkSession, root):
+        return w.mode("append").save(root)
+    w.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(root)
+
+
+def _is_new(spark: SparkSession, root: str) -> bool:
+    """Whether nothing was written to ``root`` yet, not even in part."""
+    try:
+        spark.read.schema("value string").option("recursiveFileLookup", "true").text(root)
+    except AnalysisException as e:
+        return "PATH_NOT_FOUND" in str(e)
+    return False
+
+
 def stored(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
     """The store as a frame; None where nothing was written yet."""
     try:
@@ -154,7 +178,7 @@ def manifest(summary: DataFrame, cfg: dict) -> DataFrame:
 def sink_metadata_json(manifests: DataFrame, root: str) -> None:
     """One JSON manifest per segment, by day, platform and segment (also readable as a table)."""
     rows = manifests.withColumns({f"_{c}": F.col(c).cast("string") for c in DAY_PARTITIONS})
-    _write(rows, root, [f"_{c}" for c in DAY_PARTITIONS], "json", **JSON_OPTIONS)
+    _write_documents(rows, root, [f"_{c}" for c in DAY_PARTITIONS], [], "json", **JSON_OPTIONS)
 
 
 def message_rows(df: DataFrame, output: str, key: list[str] | None = None, epoch: int = 0) -> DataFrame:
@@ -180,9 +204,7 @@ def sink_reports(lines: DataFrame, root: str, keys: list[str], order: list[str])
     """Markdown lines -> text files by ``keys`` (a segment's, or a run's), one line a row, in ``order``: the lines are
     clustered by key and sorted, never gathered into one value."""
     kept = lines.select(*[F.col(k).cast("string").alias(k) for k in keys], *[o for o in order if o not in keys], "text")
-    kept = kept.repartition(*keys).sortWithinPartitions(*keys, *order)
-    kept.select(*keys, F.col("text").alias("value")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy(*keys).text(root)
+    _write_documents(kept.withColumnRenamed("text", "value"), root, keys, order, "text")
 
 
 def sink_converted(groups: dict[str, DataFrame], root: str, partitions: list[str]) -> dict[str, tuple[str, str]]:

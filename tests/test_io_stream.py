@@ -299,3 +299,19 @@ def test_stream_flush_equals_batch(spark):
     finally:
         q.stop()
     assert got == want
+
+
+def test_documents_are_written_by_many_tasks_and_replaced(spark):
+    lines = spark.range(40).select(F.lit("2024-01-01").alias("day"), F.concat(F.lit("p"), F.col("id") % 4).alias("platform"),
+                                   F.concat(F.lit("s"), F.col("id")).alias("segment"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("line_no"))
+    lines = lines.withColumn("text", F.concat_ws(" ", "segment", "line_no"))
+    root = _dir()
+    keys = ["day", "platform", "segment"]
+    sinks.sink_reports(lines, root, keys, ["line_no"])
+    files = spark.read.text(root).select(*keys, F.input_file_name().alias("f")).distinct().collect()
+    assert len(files) == 40  # a file a document
+    assert len({r.f.rsplit("/", 1)[1].split("-")[1] for r in files}) > 4  # and not all by one task
+    sinks.sink_reports(lines.where("segment < 's2'").withColumn("text", F.concat(F.lit("new "), "text")), root, keys, ["line_no"])
+    back = spark.read.text(root)
+    assert back.count() == 160 and back.where("value like 'new %'").count() == back.where("segment < 's2'").count() == 48
+    assert [r.value for r in back.where("segment = 's3'").collect()] == [f"s3 {i}" for i in range(4)]
