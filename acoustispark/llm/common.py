@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
@@ -34,11 +35,25 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside are removed as each run ends and not when the driver next collects garbage: a
+    table that is written is read from then on, so its shuffles have no further use."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as a Parquet table in the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with freed_shuffles(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

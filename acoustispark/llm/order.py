@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acoustispark.llm.common import shuffle_width, staged
+from acoustispark.llm.common import freed_shuffles, shuffle_width, staged
 from acoustispark.llm.packing import PIECES, pieces
 
 ROUNDS = 6
@@ -129,7 +129,8 @@ def shards(docs: DataFrame, path: str, key: int = 20260, seq_len: int = 1024, sh
 def write_shards(docs: DataFrame, path: str, out: str, **options) -> DataFrame:
     """Write the shards as Parquet in slot order under ``out`` and return the written table."""
     made = shards(docs, path, **options)
-    made.write.option("compression", "zstd").parquet(out)
+    with freed_shuffles(docs.sparkSession):
+        made.write.option("compression", "zstd").parquet(out)
     return docs.sparkSession.read.schema(made.schema).parquet(out)
 
 

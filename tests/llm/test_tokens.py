@@ -159,3 +159,18 @@ def test_order_query(spark, library):
     docs = {r.doc_id: np.array(library(r.text) + [0], dtype="<u4") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     assert len(got) == sum(-(-len(x) // 1024) for x in docs.values())
     assert all(r.ids_crc32 == zlib.crc32(docs[r.doc_id][r.start:r.start + 1024].tobytes()) for r in got)
+
+
+def test_a_staged_table_keeps_no_shuffle_files(spark):
+    from acoustispark.llm.common import staged
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def told(batches):
+        from pyspark import TaskContext
+        for b in batches:
+            b["freed"] = TaskContext.get().getLocalProperty(name)
+            yield b
+
+    before = spark.conf.get(name)
+    out = staged(spark.range(100).repartition(4, "id").mapInPandas(told, "id long, freed string"), "freed")
+    assert {r.freed for r in out.collect()} == {"true"} and out.count() == 100 and spark.conf.get(name) == before
