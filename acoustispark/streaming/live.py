@@ -13,7 +13,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from acoustispark.functions import scalars as fn
@@ -22,6 +22,9 @@ from acoustispark.operators.grid import SEGMENT_KEYS, _meters, _seconds
 from acoustispark.sources.catalog import new_file_events
 from acoustispark.sources.sinks import sink_messages
 
+#: Rows of results that a device's task holds at once.
+OUT_ROWS = 4096
+
 
 def _event_time(ts: str) -> Column:
     return F.col(ts).cast("timestamp")
@@ -78,13 +81,17 @@ def config_as_of_stream(batches: DataFrame, patches: DataFrame, delay: str, fiel
         passed = state.getCurrentWatermarkMs() * 1000
         wait.sort(key=lambda x: x[:3])
         n = next((i for i, x in enumerate(wait) if x[0] >= passed), len(wait))
-        out = []
+        out, text = [], json.dumps(config)  # the configuration's text changes with a patch, not with a batch
         for us, side, event, f, v in wait[:n]:
             if side:
-                out.append((k[0], us, event, json.dumps(config)))
-            elif f in wanted and v is not None:
+                out.append((k[0], us, event, text))
+                if len(out) == OUT_ROWS:
+                    yield pd.DataFrame(out, columns=["device", "us", "event_id", "config"])
+                    out = []
+            elif f in wanted and v is not None and config.get(f) != v:
                 config[f] = v
-        state.update((json.dumps(config), json.dumps(wait[n:])))
+                text = json.dumps(config)
+        state.update((text, json.dumps(wait[n:])))
         if n < len(wait):
             state.setTimeoutTimestamp(max(wait[n][0] // 1000, state.getCurrentWatermarkMs()) + 1)
         if out:
@@ -92,7 +99,7 @@ def config_as_of_stream(batches: DataFrame, patches: DataFrame, delay: str, fiel
 
     told = rows.groupBy("device").applyInPandasWithState(fold, f"device {kind}, us bigint, event_id bigint, config string", "config string, wait string",
                                                          "append", GroupStateTimeout.EventTimeTimeout)
-    found = F.from_json("config", "map<string,string>")
+    found = F.from_json("config", T.StructType([T.StructField(f, T.StringType()) for f in fields]))
     told = told.select("device", F.timestamp_micros("us").cast("timestamp_ntz").alias("ts"), "event_id", found.alias("_c"))
     return told.select("device", "ts", "event_id", *[F.coalesce(F.col("_c")[f], F.lit(cl.FIELD_DEFAULTS[f])).alias(f) for f in fields])
 

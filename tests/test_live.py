@@ -163,3 +163,33 @@ def test_named_directories_are_the_only_ones_read(spark):
     one = ct.read_product(spark, root, p.schema, campaign="c", product="sv", day="2024-01-02")
     assert {r.segment for r in one.collect()} == {"b"} and len(one.inputFiles()) == 1 and one.columns == p.columns
     assert ct.read_product(spark, root, p.schema, campaign="c", product="sv", day="2024-02-02").count() == 0
+
+
+def test_results_of_a_device_leave_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(live, "OUT_ROWS", 3)
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    schema = "device string, ts timestamp_ntz, event_id bigint, key string, raw_json string, side int"
+    rows = [("d", t(3 * i), i, "survey_id", f'"{i // 2}"', 0) for i in range(5)] + [("d", t(2 * i), 100 + i, None, None, 1) for i in range(8)]
+
+    def build(s):
+        out = live.config_as_of_stream(s.where("side = 1").select("device", "ts", "event_id"), s.where("side = 0").drop("side"), "60 seconds", ["survey_id", "mvbs_enabled"])
+        assert "MapType" not in out._jdf.queryExecution().analyzed().toString()  # a map is searched once a field and row
+        return out
+
+    got = {r.event_id: (r.survey_id, r.mvbs_enabled) for r in _run(spark, [rows, [("d", t(9000), None, None, None, 0)]], schema, build, 1).collect()}
+    assert got == {100 + i: (str(2 * i // 3 // 2), "true") for i in range(8)}
+
+
+def test_messages_are_written_without_a_sort_by_output(spark):
+    def told(batches):
+        from pyspark import TaskContext
+        for b in batches:
+            b["status"] = TaskContext.get().getLocalProperty("spark.sql.maxConcurrentOutputFileWriters")
+            yield b
+
+    path = _dir()
+    df = spark.createDataFrame([(1, "ok"), (2, "error")], "file_id bigint, status string").mapInPandas(told, "file_id bigint, status string")
+    sinks.sink_messages(df, {"output1": None, "outputml": F.col("file_id") == 1}, path, ["file_id"], 0)
+    got = spark.read.schema("output string, epoch bigint, body string").json(path).collect()
+    assert sorted((r.output, r.body) for r in got) == [("output1", '{"file_id":1,"status":"2"}'), ("output1", '{"file_id":2,"status":"2"}'), ("outputml", '{"file_id":1,"status":"2"}')]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
