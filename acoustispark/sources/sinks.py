@@ -197,7 +197,14 @@ def sink_messages(df: DataFrame, outputs: dict[str, Column | None], path: str, k
     own = F.to_json(F.struct(*(key or df.columns)), JSON_OPTIONS)
     rows = df.select(F.explode(named).alias("output"), F.lit(epoch).cast("long").alias("epoch"), own.alias("_own"), F.to_json(F.struct(*df.columns), JSON_OPTIONS).alias("body"))
     rows = rows.select("output", "epoch", F.sha2(F.concat_ws("|", "output", "epoch", "_own"), 256).alias("message_id"), "body")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("output", "epoch").format(fmt).save(path)
+    # a task has one file open for each output: its rows need no sort by output
+    spark, name = df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(len(outputs)))
+    try:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("output", "epoch").format(fmt).save(path)
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
 
 
 def sink_reports(lines: DataFrame, root: str, keys: list[str], order: list[str]) -> None:
