@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from acoustispark.operators import regions as rg
-from acoustispark.operators.pings import median, segment_keys, with_ping_index
+from acoustispark.operators.pings import let, median, segment_keys, with_ping_index
 
 
 def _valid(max_range: float, depth_col: str) -> Column:
@@ -114,7 +114,8 @@ def blackwell(pings: DataFrame, angle_threshold: float = 2.0, half_pings: int =
             r["a"].alias("a"), r["b"].alias("b"), F.get("_z", r["a"])["d"].alias("d"),
             F.exists(F.slice("_f", r["a"] + 1, r["b"] - r["a"] + 1), lambda f: F.coalesce(f, F.lit(False))).alias("hit"))))
         return rg.with_line(pings, rg.touched(rg.label_regions(s, "_q", ["d", "hit"]), "hit"), "d")
-    line = F.array_min(F.transform("_k", lambda x: F.when(x["sv"] > F.col("_med"), x["d"])))
+    # the optimiser puts the median where its name stands: inside the lambda it would be found anew for every sample
+    line = let(F.col("_med"), lambda med: F.array_min(F.transform("_k", lambda x: F.when(x["sv"] > med, x["d"]))))
     return s.withColumn("seabed_depth", line).drop("_z", "_a2", "_r", "_w", "_f", "_k", "_med")
 
 

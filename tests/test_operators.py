@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -243,3 +244,21 @@ def test_backward_fill_reads_no_frame_again_for_every_row(spark):
     assert got[("b", 1, 1)] is None
     plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
     assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan  # such a frame is read to its end at each row
+
+
+def test_blackwell_finds_a_pings_median_once(spark):
+    """A median of all samples inside the pass over the samples made the time grow with the square of their number."""
+    from acoustispark.operators import seabed as sb
+    n = 40
+    rows = [("p", "s", "c", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=k), [float(-90 + i + k) if i % 7 else None for i in range(n)],
+             [float(i) for i in range(n)], [3.0 if 20 <= i < 32 else 0.0 for i in range(n)], [0.0] * n) for k in range(4)]
+    df = spark.createDataFrame(rows, "platform string, segment string, channel string, ping_time timestamp_ntz, sv array<double>, depth array<double>, "
+                                     "angle_alongship array<double>, angle_athwartship array<double>")
+    out = sb.blackwell(df, angle_threshold=2.0)
+    # samples 20 to 31 and one to each side are candidates (their mean square is over 4), 21 and 28 have no Sv: the median is that of 19..32
+    assert [r.seabed_depth for r in out.orderBy("ping_time").collect()] == [26.0] * 4
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    lines = [x for x in plan.splitlines() if "AS seabed_depth" in x]
+    assert len(lines) == 1
+    inside = re.sub(r".*?(array_min\(.*) AS seabed_depth.*", r"\1", lines[0])
+    assert "array_sort" not in inside
