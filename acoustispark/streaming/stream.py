@@ -1,7 +1,7 @@
 """Structured Streaming forms: stateful segmentation, and the per-micro-batch segment pipeline.
 
-The open pings of a platform are the state (at most ``longest`` of them, with their payload): they leave it together when
-the trigger closes their segment, or by a timeout when the stream falls silent. So a sink only ever sees complete segments,
+The open pings of a platform are the state (at most ``longest`` of them, with their payload; platforms share one of
+``GROUPS`` groups): they leave it together when the trigger closes their segment, or by a timeout when the stream falls silent. So a sink only ever sees complete segments,
 however the pings are spread over micro-batches, and a restart goes on from the checkpointed state.
 """
 
@@ -20,7 +20,12 @@ from acoustispark.streaming.trigger import TriggerParams
 
 OUT_SCHEMA = ("platform string, ts timestamp_ntz, event_id bigint, segment_start timestamp_ntz, "
               "n_segment_pings bigint, payload string")
-STATE_SCHEMA = "t array<bigint>, seq array<bigint>, payload array<string>"
+STATE_SCHEMA = "platform array<string>, n array<int>, t array<bigint>, seq array<bigint>, payload array<string>"
+#: Groups that platforms are dealt to by their hash: calling Python for a group costs far more than a platform's fold. A
+#: checkpoint holds the state of so many groups, so the number must not change under it.
+GROUPS = 1024
+#: Pings of closed segments that a platform's task hands over at once.
+OUT_ROWS = 4096
 _COLUMNS = ["platform", "ts", "event_id", "segment_start", "n_segment_pings", "payload"]
 
 
@@ -45,43 +50,66 @@ def segment_stream(pings: DataFrame, p: TriggerParams = TriggerParams(), key: st
     boolean column: a row where it is true is no ping but the end of the platform's session, which flushes it the same way."""
     wait = int(pd.Timedelta(flush_after).total_seconds() * 1000) if flush_after else None
 
-    def rows(k, t: np.ndarray, s: np.ndarray, load: list) -> pd.DataFrame:
-        times = pd.to_datetime(t, unit="us")
-        return pd.DataFrame({"platform": k[0], "ts": times, "event_id": s, "segment_start": times[0] if len(t) else None,
-                             "n_segment_pings": len(t), "payload": load}, columns=_COLUMNS)
+    def rows(closed: list) -> pd.DataFrame:
+        """Segments (platform, times, numbers, payloads) as one frame: a frame a segment costs more than its pings do."""
+        sizes = [len(x[1]) for x in closed]
+        return pd.DataFrame({"platform": np.repeat(np.array([x[0] for x in closed], dtype=object), sizes),
+                             "ts": np.concatenate([x[1] for x in closed]).view("datetime64[us]"), "event_id": np.concatenate([x[2] for x in closed]),
+                             "segment_start": np.repeat(np.array([x[1][0] for x in closed], dtype=np.int64), sizes).view("datetime64[us]"),
+                             "n_segment_pings": np.repeat(sizes, sizes), "payload": [y for x in closed for y in x[3]]}, columns=_COLUMNS)
 
     def fold(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = state.get if state.exists else ([], [], [])
-        t, s, load = np.array(held[0], dtype=np.int64), np.array(held[1], dtype=np.int64), list(held[2])
+        names, sizes, t, s, load = state.get if state.exists else ([], [], [], [], [])
+        t, s, at = np.array(t, dtype=np.int64), np.array(s, dtype=np.int64), np.cumsum([0, *sizes]).tolist()
+        held = {name: (t[a:b], s[a:b], load[a:b]) for name, a, b in zip(names, at, at[1:])}
         if state.hasTimedOut:
             state.remove()
-            if len(t) >= p.min_pings:
-                yield rows(k, t, s, load)
+            flushed = [(name, *x) for name, x in held.items() if len(x[0]) >= p.min_pings]
+            if flushed:
+                yield rows(flushed)
             return
-        new = pd.concat(list(pdfs)).sort_values(["ts", "ends", "event_id"], kind="mergesort")
-        stops = np.flatnonzero(new["ends"].to_numpy(dtype=bool))
-        for part in np.split(np.arange(len(new)), stops + 1):
-            last = len(part) > 0 and bool(new["ends"].iloc[part[-1]])
-            some = new.iloc[part[:-1] if last else part]
-            t = np.concatenate([t, some["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)])
-            s = np.concatenate([s, some["event_id"].to_numpy(dtype=np.int64)])
-            load += some["payload"].tolist()
-            i = 0
-            while i < len(t) and (end := _end(t, i, p)) >= 0:
-                yield rows(k, t[i:end + 1], s[i:end + 1], load[i:end + 1])
-                i = end + 1
-            if last and len(t) - i >= p.min_pings:
-                yield rows(k, t[i:], s[i:], load[i:])
-            t, s, load = (t[:0], s[:0], []) if last else (t[i:], s[i:], load[i:])
-        state.update((t.tolist(), s.tolist(), load))
+        parts = list(pdfs)
+        joined = lambda c: parts[0][c].to_numpy() if len(parts) == 1 else np.concatenate([x[c].to_numpy() for x in parts])
+        code, names = pd.factorize(joined("platform"), use_na_sentinel=False)
+        when, ids, is_end, text = joined("ts").astype("datetime64[us]"), joined("event_id"), joined("ends").astype(bool), joined("payload")
+        order = np.lexsort((ids, is_end, when, code))
+        us, ids, is_end, text = when[order].astype(np.int64), ids[order], is_end[order], text[order]
+        edges = np.searchsorted(code[order], np.arange(len(names) + 1)).tolist()
+        closed, n = [], 0
+        for name, at, to in zip(names, edges, edges[1:]):
+            name = name if isinstance(name, str) else None
+            t, s, load = held.pop(name, (us[:0], us[:0], []))
+            for stop in [*(at + np.flatnonzero(is_end[at:to])).tolist(), to]:
+                last = stop < to
+                t, s, load = np.concatenate([t, us[at:stop]]), np.concatenate([s, ids[at:stop].astype(np.int64)]), load + text[at:stop].tolist()
+                at, i = stop + 1, 0
+                while i < len(t) and (end := _end(t, i, p)) >= 0:
+                    closed.append((name, t[i:end + 1], s[i:end + 1], load[i:end + 1]))
+                    n += end + 1 - i
+                    i = end + 1
+                    if n >= OUT_ROWS:
+                        yield rows(closed)
+                        closed, n = [], 0
+                if last and len(t) - i >= max(1, p.min_pings):
+                    closed.append((name, t[i:], s[i:], load[i:]))
+                t, s, load = (t[:0], s[:0], []) if last else (t[i:], s[i:], load[i:])
+            if len(t):
+                held[name] = t, s, load
+        lists = list(held.values())
+        state.update((list(held), [len(x[0]) for x in lists], [y for x in lists for y in x[0].tolist()], [y for x in lists for y in x[1].tolist()],
+                      [y for x in lists for y in x[2]]))
         if wait is not None:
             state.setTimeoutDuration(wait)
+        if closed:
+            yield rows(closed)
 
     carried = F.to_json(F.struct(*payload)) if payload else F.lit(None).cast("string")
     src = pings.select(F.col(key).cast("string").alias("platform"), F.col(ts).alias("ts"), F.col(seq).cast("long").alias("event_id"),
                        carried.alias("payload"), F.coalesce(F.col(ends), F.lit(False)).alias("ends") if ends else F.lit(False).alias("ends"))
     timeout = GroupStateTimeout.ProcessingTimeTimeout if flush_after else GroupStateTimeout.NoTimeout
-    return src.groupBy("platform").applyInPandasWithState(fold, OUT_SCHEMA, STATE_SCHEMA, "append", timeout)
+    # silence is a platform's own, so with a timeout each has a group of its own
+    group = F.col("platform") if flush_after else F.pmod(F.xxhash64("platform"), F.lit(GROUPS))
+    return src.withColumn("group", group).groupBy("group").applyInPandasWithState(fold, OUT_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
 def named_segments(closed: DataFrame) -> DataFrame:

@@ -193,3 +193,20 @@ def test_messages_are_written_without_a_sort_by_output(spark):
     got = spark.read.schema("output string, epoch bigint, body string").json(path).collect()
     assert sorted((r.output, r.body) for r in got) == [("output1", '{"file_id":1,"status":"2"}'), ("output1", '{"file_id":2,"status":"2"}'), ("outputml", '{"file_id":1,"status":"2"}')]
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_platforms_share_groups_and_segments_share_frames(spark):
+    """A call of Python, and a frame of results, for each platform or segment made the time follow their number: 300 platforms of
+    two segments each come in no more batches of results than there are partitions and micro-batches."""
+    from acoustispark.streaming import stream
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    names = [f"v{i}" for i in range(300)] + [None]
+    rows = [[(n, t(i), i, False) for n in names for i in range(0, 6)], [(n, t(i), i, False) for n in names for i in range(6, 9)] + [(n, t(9), None, True) for n in names]]
+    schema = "platform string, ts timestamp_ntz, event_id bigint, ends boolean"
+    got = _run(spark, rows, schema, lambda s: st.segment_stream(s, TriggerParams(4, 1e9, 2), ends="ends"), 1).collect()
+    want = {(n, i, 0 if i < 4 else 4, 4) for n in names for i in range(8)}
+    assert len(got) == len(want) and {(r.platform, r.event_id, r.segment_start.second, r.n_segment_pings) for r in got} == want
+    empty = spark.createDataFrame([], schema)
+    plan = st.segment_stream(empty, TriggerParams(4, 1e9, 2), ends="ends")._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(platform" in plan and f", {stream.GROUPS})" in plan
+    assert "xxhash64" not in st.segment_stream(empty, TriggerParams(4, 1e9, 2), flush_after="3 seconds")._jdf.queryExecution().optimizedPlan().toString()
