@@ -22,6 +22,12 @@ def runs(mask: Column) -> Column:
     return F.zip_with(first, last, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
 
+def _apart(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is not broadcast: that passes through the driver, and a small file of links or runs may be
+    large when it is unpacked."""
+    return df.hint("merge")
+
+
 def _nearest(links: DataFrame) -> DataFrame:
     """Each node's smallest neighbour, or itself where that is smaller."""
     return links.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -34,12 +40,12 @@ def components(links: DataFrame) -> DataFrame:
     cur = staged(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "links")
     while True:
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.where("v > u").join(_nearest(both), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        pulled = large.join(_nearest(large), "u")
+        large = both.where("v > u").join(_apart(_nearest(both)), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        pulled = large.join(_apart(_nearest(large)), "u")
         small = pulled.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(pulled.select("u", F.col("m").alias("v")))
         nxt = staged(small.where("u != v").distinct(), "links")
         ends = nxt.select(F.col("v").alias("u")).distinct()
-        done = nxt.join(ends, "u", "left_semi").isEmpty() and nxt.groupBy("u").count().where("count > 1").isEmpty()
+        done = nxt.join(_apart(ends), "u", "left_semi").isEmpty() and nxt.groupBy("u").count().where("count > 1").isEmpty()
         cur = nxt
         if done:
             break
@@ -55,24 +61,24 @@ def label_regions(pings: DataFrame, found: str, keep: list[str]) -> DataFrame:
     flat = pings.select(*keys, "ping_index", "ping_time", F.explode(found).alias("_r")).select(*keys, "ping_index", "ping_time", *[F.col("_r")[c].alias(c) for c in ("a", "b", *keep)])
     flat = staged(flat.withColumn("node", F.struct(*keys, "ping_index", "a")), "runs")
     left = flat.select(*keys, (F.col("ping_index") + 1).alias("ping_index"), F.col("node").alias("v"), F.col("a").alias("la"), F.col("b").alias("lb"))
-    links = flat.join(left, [*keys, "ping_index"]).where((F.col("a") <= F.col("lb")) & (F.col("la") <= F.col("b"))).select(F.col("node").alias("u"), "v")
+    links = flat.join(_apart(left), [*keys, "ping_index"]).where((F.col("a") <= F.col("lb")) & (F.col("la") <= F.col("b"))).select(F.col("node").alias("u"), "v")
     roots = components(links)
-    return flat.join(roots, "node", "left").withColumn("region", F.coalesce("root", "node")).drop("root", "node")
+    return flat.join(_apart(roots), "node", "left").withColumn("region", F.coalesce("root", "node")).drop("root", "node")
 
 
 def largest(labelled: DataFrame, keys: list[str]) -> DataFrame:
     """The runs of each channel's largest region: most pings, then most samples, then the first one [def]."""
     size = labelled.groupBy(*keys, "region").agg(F.count_distinct("ping_index").alias("p"), F.sum(F.col("b") - F.col("a") + 1).alias("n"))
     best = size.groupBy(*keys).agg(F.min(F.struct((-F.col("p")).alias("p"), (-F.col("n")).alias("n"), "region")).alias("_best"))
-    return labelled.join(best.select(F.col("_best.region").alias("region")), "region", "left_semi")
+    return labelled.join(_apart(best.select(F.col("_best.region").alias("region"))), "region", "left_semi")
 
 
 def touched(labelled: DataFrame, flag: str) -> DataFrame:
     """The runs of all regions with a flagged run."""
-    return labelled.join(labelled.where(F.col(flag)).select("region").distinct(), "region", "left_semi")
+    return labelled.join(_apart(labelled.where(F.col(flag)).select("region").distinct()), "region", "left_semi")
 
 
 def with_line(pings: DataFrame, kept: DataFrame, depth: str) -> DataFrame:
     """``seabed_depth`` of every ping: the shallowest of ``depth`` over its kept runs; NULL without one."""
     keys = [*segment_keys(pings), "channel", "ping_time"]
-    return pings.join(kept.groupBy(*keys).agg(F.min(depth).alias("seabed_depth")), keys, "left")
+    return pings.join(_apart(kept.groupBy(*keys).agg(F.min(depth).alias("seabed_depth"))), keys, "left")

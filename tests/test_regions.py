@@ -67,3 +67,18 @@ def test_a_school_above_the_bottom_is_not_the_bottom(spark, fish):
     plain = [r.seabed_depth for r in sb.ariza(df).orderBy("ping_time").collect()]
     kept = [r.seabed_depth for r in sb.ariza(df, regions=True).orderBy("ping_time").collect()]
     assert kept == [21.0] * 12 and (min(plain) < 20) == fish
+
+
+def test_regions_send_no_runs_through_the_driver(spark, monkeypatch):
+    """No join broadcasts, neither of the rounds nor of what is returned, however small the sides are."""
+    plans, write = [], rg.staged
+    monkeypatch.setattr(rg, "staged", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, name))[1])
+    masks = [[[(p + i + k) % 3 != 0 for i in range(12)] for p in range(10)] for k in range(2)]
+    df = _frame(spark, masks).withColumn("r", rg.runs(F.col("m"))).withColumn("hit", F.lit(True))
+    found = rg.label_regions(df, "r", [])
+    keys = ["platform", "segment", "channel"]
+    kept = rg.touched(rg.largest(found, keys).withColumn("hit", F.lit(True)), "hit").withColumn("d", F.col("a").cast("double"))
+    line = rg.with_line(df, kept, "d")
+    plans.append(line._jdf.queryExecution().executedPlan().toString())
+    assert line.count() == 20 and sum("Join" in x for x in plans) >= 3
+    assert not [x for x in plans if "Broadcast" in x]
