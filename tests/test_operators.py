@@ -262,3 +262,28 @@ def test_blackwell_finds_a_pings_median_once(spark):
     assert len(lines) == 1
     inside = re.sub(r".*?(array_min\(.*) AS seabed_depth.*", r"\1", lines[0])
     assert "array_sort" not in inside
+
+
+def test_trigger_walks_many_chunks_at_once(spark):
+    """Short chunks of many platforms, in no Python call for each of them; segments as by the sequential fold."""
+    rng = np.random.default_rng(3)
+    p = TriggerParams(buffer_pings=9, buffer_seconds=60.0, min_pings=4)
+    times = {f"u{k}": np.sort(np.cumsum(rng.exponential(8.0, size=n)).round(0)) for k, n in enumerate([1, 3, 4, 9, 10, 11, 20, *rng.integers(2, 150, 30)])}
+    pdf = pd.concat([pd.DataFrame({"platform": k, "ts": pd.to_datetime(t, unit="s"), "event_id": np.arange(len(t))}) for k, t in times.items()])
+    df = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    want = sorted((k, *x) for k, t in times.items() for x in _trigger_brute(list(t), p))
+    for chunk in (9, 10, 17, 1000):
+        out = segment_trigger(df, p, chunk_rows=chunk)
+        assert "FlatMapGroups" not in out._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted((r["platform"], r["event_id"], r["segment_rn"], r["n_segment_pings"]) for r in out.collect()) == want, chunk
+
+
+def test_batches_are_cut_between_chunks(monkeypatch):
+    from acoustispark.streaming import trigger
+    rows = pd.DataFrame([("a", c, i) for c, n in enumerate((1, 7, 2, 30, 1)) for i in range(n)] + [("b", 4, i) for i in range(3)], columns=["k", "_chunk", "rn"])
+    for step in (1, 4, 100):
+        for enough in (1, 5, 1000):
+            monkeypatch.setattr(trigger, "BATCH_ROWS", enough)
+            got = list(trigger._whole_chunks(iter([rows.iloc[i:i + step] for i in range(0, len(rows), step)]), "k"))
+            assert pd.concat(got, ignore_index=True).equals(rows)
+            assert sum(len(trigger._first_rows(x, "k")) for x in got) == 6  # no chunk in two frames
