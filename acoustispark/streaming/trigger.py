@@ -155,10 +155,13 @@ def segment_trigger(pings: DataFrame, p: TriggerParams = TriggerParams(), key: s
             while (at[at] != at).any():
                 at = at[at]
             exits = np.where((nxt[at] >= 0) & (follow[at] == hi), hi, rn[at]) - (hi - halo)
-            # entries are the halo before the chunk and its first ping; chunk 0 has its first ping only
-            chunk = pdf["_chunk"].to_numpy()[first]
-            maps = [exits[f:f + halo + 1] if c else np.full(halo + 1, exits[f]) for f, c in zip(first.tolist(), chunk.tolist())]
-            yield pd.DataFrame({key: pdf[key].to_numpy()[first], "_chunk": chunk, "exits": maps})
+            # entries are the halo before the chunk and its first ping; chunk 0 has ping 0 only (pings without a time are
+            # counted but not there: a platform that has some has no ping 0, and no segments)
+            chunk = pdf["_chunk"].to_numpy()
+            first = first[(chunk[first] > 0) | (rn[first] == 0)]
+            maps = [exits[f:f + halo + 1] if c else np.full(halo + 1, exits[f]) for f, c in zip(first.tolist(), chunk[first].tolist())]
+            if maps:
+                yield pd.DataFrame({key: pdf[key].to_numpy()[first], "_chunk": chunk[first], "exits": maps})
 
     tmap_schema = T.StructType([T.StructField(key, key_type), T.StructField("_chunk", T.LongType()),
                                 T.StructField("exits", T.ArrayType(T.IntegerType()))])

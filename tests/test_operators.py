@@ -278,6 +278,17 @@ def test_trigger_walks_many_chunks_at_once(spark):
         assert sorted((r["platform"], r["event_id"], r["segment_rn"], r["n_segment_pings"]) for r in out.collect()) == want, chunk
 
 
+def test_a_platform_with_a_ping_without_time_has_the_same_segments_in_any_chunks(spark):
+    """Numbers begin after the pings without a time, so ping 0 is missing: no chunk of the platform is entered."""
+    t = lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)
+    rows = [(k, t(i), i) for k in "ab" for i in range(60)] + [("a", None, 60), ("a", None, 61)]
+    df = spark.createDataFrame(rows, "platform string, ts timestamp_ntz, event_id bigint")
+    p = TriggerParams(buffer_pings=9, buffer_seconds=1e9, min_pings=4)
+    for chunk in (9, 12, 1000):
+        got = segment_trigger(df, p, chunk_rows=chunk).collect()
+        assert {r["platform"] for r in got} == {"b"} and len(got) == 60, chunk
+
+
 def test_batches_are_cut_between_chunks(monkeypatch):
     from acoustispark.streaming import trigger
     rows = pd.DataFrame([("a", c, i) for c, n in enumerate((1, 7, 2, 30, 1)) for i in range(n)] + [("b", 4, i) for i in range(3)], columns=["k", "_chunk", "rn"])
