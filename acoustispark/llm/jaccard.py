@@ -139,14 +139,15 @@ def _assembler(percent: int):
     return run
 
 
-def _verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose overlaps, counted fragment by fragment and summed, reach the threshold."""
-    left = segments.select(F.col("id").alias("a"), "part", F.col("seg").alias("sa"), F.col("n").alias("na"))
-    right = segments.select(F.col("id").alias("b"), "part", F.col("seg").alias("sb"), F.col("n").alias("nb"))
-    both = pairs.select("a", "b").join(left, "a").join(right, ["b", "part"])
-    total = both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("part_overlap")).groupBy("a", "b").agg(
-        F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("part_overlap").alias("overlap"))
-    return total.where(F.expr(f"100 * overlap >= {percent} * (na + nb - overlap)")).select("a", "b")
+def _verify(pairs: DataFrame, segments: DataFrame, percent: int, parts: int) -> DataFrame:
+    """The pairs (a, b) whose overlaps, counted fragment by fragment and summed, reach the threshold. A pair is one row
+    through all of it, not one a fragment."""
+    left = segments.select(F.col("id").alias("a"), F.col("segs").alias("sa"), F.col("n").alias("na"))
+    right = segments.select(F.col("id").alias("b"), F.col("segs").alias("sb"), F.col("n").alias("nb"))
+    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    counted = [F.size(F.array_intersect(F.col("sa")[i], F.col("sb")[i])) for i in range(parts)]
+    overlap = sum(counted[1:], counted[0]).cast("long")  # named once: 100 * overlap >= percent * (na + nb - overlap)
+    return both.where(overlap * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b")
 
 
 def _merge(comp: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -288,9 +289,8 @@ def _near_components(nodes: DataFrame, percent: int) -> DataFrame:
     cuts = nodes.select(F.explode("codes").alias("code")).agg(
         F.percentile_approx("code", [i / ORDER_FRAGMENTS for i in range(1, ORDER_FRAGMENTS)], 1000).alias("c")).first()["c"] or []
     edges = [0, *sorted(set(cuts)), (1 << 63) - 1]
-    seg = F.array(*[F.struct(F.lit(i).alias("part"), F.expr(f"filter(codes, x -> x >= {a}L and x < {b}L)").alias("seg"))
-                    for i, (a, b) in enumerate(zip(edges, edges[1:]))])
-    segments = nodes.select("id", "n", F.explode(seg).alias("s")).select("id", "n", "s.part", "s.seg").where(F.size("seg") > 0)
+    segs = F.array(*[F.expr(f"filter(codes, x -> x >= {a}L and x < {b}L)") for a, b in zip(edges, edges[1:])])
+    segments = nodes.select("id", "n", segs.alias("segs"))
 
     held = F.size("codes")
     first = held - F.expr(f"ceil({percent} * n / 100)").cast("int") + 1  # the prefix; unrepeated keys come before it
@@ -326,7 +326,7 @@ def _near_components(nodes: DataFrame, percent: int) -> DataFrame:
             other = full.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "r", "pos", "c", "head")])
             near = full.join(other, "key").where("id < id2 and c != c2").where(possible).where(once)
         pairs = near.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
-        links = staged(_verify(pairs, segments, percent), "links")
+        links = staged(_verify(pairs, segments, percent, len(edges) - 1), "links")
         if links.isEmpty():
             continue
         every = links if every is None else every.unionByName(links)
