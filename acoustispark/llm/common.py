@@ -123,11 +123,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             small.select("u", F.col("m").alias("v"))).where("u != v").distinct()
         nxt = staged(small, "links")
         # a fixed point is a set of stars: nobody is both a leaf and a centre, and every leaf has one centre
-        stats = nxt.groupBy("u").count().agg(F.max("count").alias("most")).first()
-        if stats["most"] is None:
-            break
-        chained = nxt.join(nxt.select(F.col("v").alias("u")).distinct(), "u", "left_semi").limit(1).count()
-        if stats["most"] == 1 and not chained:
+        roles = nxt.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("leaf")),
+                                             F.struct(F.col("v").alias("node"), F.lit(0).alias("leaf")))).alias("e")).select("e.*")
+        roles = roles.groupBy("node").agg(F.sum("leaf").alias("centres"), F.min("leaf").alias("own"))
+        if roles.where("centres > 1 or centres = 1 and own = 0").isEmpty():
             break
         cur = nxt
     return nxt.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

@@ -7,7 +7,8 @@
    (the prefix). Candidates come from there, and their overlap is counted separately in each fragment of the order and
    summed per pair.
 3. Within a key's group candidates are first only the members with one hub; members already connected need no more
-   comparisons. After some rounds all pairs that are still in different components are compared, so no link is lost.
+   comparisons. After some rounds, or one without a link, all pairs that are still in different components are compared, so
+   no link is lost.
 """
 
 from __future__ import annotations
@@ -140,37 +141,26 @@ def _assembler(percent: int):
 
 
 def _verify(pairs: DataFrame, segments: DataFrame, percent: int, parts: int) -> DataFrame:
-    """The pairs (a, b) whose overlaps, counted fragment by fragment and summed, reach the threshold. A pair is one row
-    through all of it, not one a fragment."""
-    left = segments.select(F.col("id").alias("a"), F.col("segs").alias("sa"), F.col("n").alias("na"))
-    right = segments.select(F.col("id").alias("b"), F.col("segs").alias("sb"), F.col("n").alias("nb"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    """The pairs (id, id2) with labels c and c2 whose overlaps, counted fragment by fragment and summed, reach the threshold:
+    a, b and their labels ca, cb. A pair is one row through all of it, not one a fragment. Pairs that lie by ``id`` stay so."""
+    left = segments.select("id", F.col("segs").alias("sa"), F.col("n").alias("na"))
+    right = segments.select(F.col("id").alias("id2"), F.col("segs").alias("sb"), F.col("n").alias("nb"))
+    both = pairs.select("id", "id2", "c", "c2").join(left, "id").join(right, "id2")
     counted = [F.size(F.array_intersect(F.col("sa")[i], F.col("sb")[i])) for i in range(parts)]
     overlap = sum(counted[1:], counted[0]).cast("long")  # named once: 100 * overlap >= percent * (na + nb - overlap)
-    return both.where(overlap * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b")
+    return both.where(overlap * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select(
+        F.col("id").alias("a"), F.col("id2").alias("b"), F.col("c").alias("ca"), F.col("c2").alias("cb"))
 
 
-def _merge(comp: DataFrame | None, links: DataFrame) -> DataFrame:
-    """(id, c) after more links, of the nodes whose label ``c`` is not their own id: every component takes the smallest
-    label beside it, and then the label that one took. Nodes of one label are connected; connected labels may stay apart
-    until the exact components are found at the end."""
-    if comp is None:
-        ends = links.select(F.col("a").alias("ca"), F.col("b").alias("cb"))
-    else:
-        ends = links.join(comp.select(F.col("id").alias("a"), F.col("c").alias("ca")), "a", "left").join(
-            comp.select(F.col("id").alias("b"), F.col("c").alias("cb")), "b", "left").select(
-            F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca != cb")
-    both = ends.select(F.explode(F.array(F.struct("ca", "cb"), F.struct(F.col("cb").alias("ca"), F.col("ca").alias("cb")))).alias("e")).select("e.*")
-    hook = staged(both.groupBy("ca").agg(F.least(F.min("cb"), F.first("ca")).alias("m")), "hooks")
+def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, c) of all nodes after links between the labels ``ca`` and ``cb``: every component takes the smallest label beside
+    it, and then the label that one took. Nodes of one label are connected; connected labels may stay apart until the exact
+    components are found at the end."""
+    both = links.select(F.explode(F.array(F.struct("ca", "cb"), F.struct(F.col("cb").alias("ca"), F.col("ca").alias("cb")))).alias("e")).select("e.*")
+    hook = both.groupBy("ca").agg(F.least(F.min("cb"), F.first("ca")).alias("m"))
     jump = hook.join(hook.select(F.col("ca").alias("m"), F.col("m").alias("m2")), "m", "left").select(
         F.col("ca").alias("c"), F.least("m", "m2").alias("to")).where("c != to")
-    own = jump.select(F.col("c").alias("id"), F.col("to").alias("c"))
-    if comp is None:
-        return staged(own, "labels")
-    # the node that a moving label is named by moves too; if it has another label already, that one decides
-    own = own.join(comp.select("id"), "id", "left_anti")
-    moved = comp.join(jump, "c", "left").select("id", F.coalesce("to", "c").alias("c"))
-    return staged(moved.unionByName(own), "labels")
+    return staged(labels.join(jump, "c", "left").select("id", F.coalesce("to", "c").alias("c")), "labels")
 
 
 def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -297,7 +287,7 @@ def _near_components(nodes: DataFrame, percent: int) -> DataFrame:
     prefix = nodes.select("id", "n", held.alias("r"), "common", F.posexplode(F.slice("codes", F.lit(1), first)).alias("pos", "key"))
     shared = prefix.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     members = staged(prefix.join(shared, "key"), "prefix")
-    comp = None  # (id, c) of the nodes that have another label than their own id
+    labels = None  # (id, c) of all nodes, once some are linked; until then every node is its own label
     every = None
 
     # sizes allow the overlap that two sets need, and so do the places of the shared key in their orders
@@ -308,30 +298,33 @@ def _near_components(nodes: DataFrame, percent: int) -> DataFrame:
     # whose prefix ends first has left can make up the overlap
     once = F.expr(f"""try_element_at(array_intersect(head, head2), 1) = key and size(array_intersect(head, head2)) + case
         when element_at(head, -1) <= element_at(head2, -1) then r - size(head) else r2 - size(head2) end >= {need}""")
-    for turn in range(len(ROUNDS) + 1):
-        now = members.withColumn("c", F.col("id")) if comp is None else members.join(comp, "id", "left").withColumn("c", F.coalesce("c", "id"))
-        opened = now.join(now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "key", "left_semi")
+    turn = 0
+    while turn <= len(ROUNDS):
+        now = members.withColumn("c", F.col("id")) if labels is None else members.join(labels, "id")
         if turn < len(ROUNDS):
             hubs, partners = ROUNDS[turn]
             # hubs of the first round: members whose keys are the most frequent, as an unchanged original's are
             first_of = Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(turn)) if turn else F.desc("common"), "id")
-            hub = opened.withColumn("k", F.row_number().over(first_of)).where(F.col("k") <= hubs)
-            near = opened.join(hub.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "r", "pos", "c")]), "key").where("c != c2").where(possible)
-            votes = near.groupBy("id", "id2").agg(F.count("*").alias("votes"))
+            hub = now.withColumn("k", F.row_number().over(first_of)).where(F.col("k") <= hubs)
+            near = now.join(hub.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "r", "pos", "c")]), "key").where("c != c2").where(possible)
+            # dealt by the member once: its votes, its best hubs and its set meet there
+            votes = near.select("id", "id2", "c", "c2").repartition("id").groupBy("id", "id2", "c", "c2").agg(F.count("*").alias("votes"))
             best = Window.partitionBy("id").orderBy(F.col("votes").desc(), "id2")
-            near = votes.withColumn("k", F.row_number().over(best)).where(F.col("k") <= partners)
+            pairs = votes.withColumn("k", F.row_number().over(best)).where(F.col("k") <= partners)
         else:
+            opened = now.join(now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"), "key", "left_semi")
             heads = nodes.select("id", F.slice("codes", F.lit(1), first).alias("head"))
             full = opened.join(heads, "id")
             other = full.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "r", "pos", "c", "head")])
-            near = full.join(other, "key").where("id < id2 and c != c2").where(possible).where(once)
-        pairs = near.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+            pairs = full.join(other, "key").where("id < id2 and c != c2").where(possible).where(once)
         links = staged(_verify(pairs, segments, percent, len(edges) - 1), "links")
-        if links.isEmpty():
-            continue
-        every = links if every is None else every.unionByName(links)
-        if turn < len(ROUNDS):
-            comp = _merge(comp, links)
+        if not links.isEmpty():
+            every = links if every is None else every.unionByName(links)
+            if turn < len(ROUNDS):
+                labels = _merge(nodes.select("id", F.col("id").alias("c")) if labels is None else labels, links)
+            turn += 1
+        else:  # hubs that nothing links to save no comparisons: on to all that are left
+            turn = len(ROUNDS) if turn < len(ROUNDS) else turn + 1
     if every is None:
         return nodes.select("id", F.col("id").alias("c")).limit(0)
     return components(every).select(F.col("node").alias("id"), F.col("component").alias("c"))

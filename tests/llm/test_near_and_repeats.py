@@ -122,6 +122,32 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_near_copies_need_few_jobs(spark):
+    """Every plan and its stages are held and planned by the driver, whatever the size of the input."""
+    rows = [(i, _text(i // 10, i % 10 or None)) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.sparkContext.setJobGroup("near-copies", "near copies")
+    try:
+        kept = jaccard.one_of_each(docs).collect()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("near-copies")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(r.doc_id for r in kept) == list(range(0, 80, 10))
+    assert len(jobs) <= 125, len(jobs)
+
+
+def test_hubs_without_a_link_lose_none(spark, monkeypatch):
+    """Members that link to one another but not to the first round's hub are found by the comparison of all that is left."""
+    words = [f"u{i}" for i in range(100)]
+    texts = [words[:12] + [f"z{d}x{i}" for i in range(88)] for d in range(3)]
+    docs = [(d, " ".join(t)) for d, t in enumerate(texts + [words, [*words[:60], "other", *words[61:]], [*words[:61], "else", *words[62:]]])]
+    want = _brute(docs, 5, 80)
+    for rounds in ((), ((1, 1),), jaccard.ROUNDS):
+        monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+        got = jaccard.similar_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(2))
+        assert sorted(map(tuple, got.collect())) == want
+
+
 def _kept(docs, window):
     first, out = {}, []
     for i, t in docs:
