@@ -4,15 +4,20 @@ The Parquet stores have one directory a day (and product). Inside it rows are cl
 of about ``FILE_BYTES``, so files and listings grow with bytes and not with segments; footers' ranges let a scan skip the files
 of other segments. Names of segments repeat between platforms and between days: a segment is known by (day, platform,
 name). New segments are appended; where a write holds segments that are stored already (a retry, a replayed micro-batch, a
-reprocessing), their days are written anew with the other segments kept, and replaced as Spark commits them. Every writer
-goes through the DataFrame writer, so Spark's commit protocol makes task retries and lost executors safe.
+reprocessing), their days are written anew with the other segments kept, and replaced as Spark commits them. Writers go
+through the DataFrame writer, so Spark's commit protocol makes task retries and lost executors safe; only new documents on a
+file system that is mounted are put in place by the tasks themselves, under names that a retried task uses again.
 """
 
 from __future__ import annotations
 
 import math
+import os
+import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.errors import AnalysisException
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from acoustispark.operators.util import spread_groups, staged
@@ -36,27 +41,72 @@ def _write(df: DataFrame, root: str, partitions: list[str], fmt: str = "parquet"
     w.format(fmt).save(root)
 
 
+#: What Spark's writers escape in the name of a directory, and the name that stands for no value.
+ESCAPED = {c: f"%{ord(c):02X}" for c in [*map(chr, range(1, 32)), *"\"#%'*/:=?\\\x7f{[]^"]}
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _write_documents(df: DataFrame, root: str, partitions: list[str], order: list[str], fmt: str, **options) -> None:
-    """A directory a document, replaced where it is there already. Documents are small and many, and most of their time goes
-    into making files: so they are dealt to a fixed number of tasks, not to as few as their bytes ask for, and tasks put
-    their files in place themselves. Only a store that holds documents already has the driver replace them, one by one."""
-    rows = spread_groups(df, *partitions).sortWithinPartitions(*partitions, *order)
+    """A directory a document (text: a line of ``value`` a row; json: a row a line), replaced where it is there already. Documents
+    are small and many, and most of their time goes into making files: so they are dealt to a fixed number of tasks, not to as
+    few as their bytes ask for, and tasks put their files in place themselves - without Hadoop's local file system, which
+    starts a process for every file and directory that it makes. Only a store that holds documents already has the driver
+    replace them, one by one."""
+    spark = df.sparkSession
+    rows = spread_groups(df.withColumns({c: F.nullif(c, F.lit("")) for c in partitions}), *partitions).sortWithinPartitions(*partitions, *order)
     rows = rows.drop(*[o for o in order if o not in partitions])
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    is_new = not fs.exists(path)  # not even in part
+    if is_new and fs.getUri().getScheme() == "file":
+        body = F.col("value") if fmt == "text" else F.to_json(F.struct(*[c for c in rows.columns if c not in partitions]), options)
+        put = _put_documents(fs.makeQualified(path).toUri().getPath(), partitions, "txt" if fmt == "text" else fmt)
+        failed = rows.select(*partitions, body.alias("value")).mapInArrow(put, "error string").collect()
+        if failed:
+            raise OSError(failed[0].error)
+        return fs.create(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"), True).close()
     w = rows.write.partitionBy(*partitions).format(fmt).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     for k, v in options.items():
         w = w.option(k, v)
-    if _is_new(df.sparkSession, root):
+    if is_new:
         return w.mode("append").save(root)
     w.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(root)
 
 
-def _is_new(spark: SparkSession, root: str) -> bool:
-    """Whether nothing was written to ``root`` yet, not even in part."""
-    try:
-        spark.read.schema("value string").option("recursiveFileLookup", "true").text(root)
-    except AnalysisException as e:
-        return "PATH_NOT_FOUND" in str(e)
-    return False
+def _put_documents(root: str, partitions: list[str], suffix: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function over sorted rows (``partitions``, ``value``) that writes each document under a hidden name and then gives it its
+    own, the same in every attempt of a task. What the file system says is told as a row: it is no fault of the data."""
+    job = uuid.uuid4().hex
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        name = f"part-{task.partitionId():05d}-{job}.c000.{suffix}"
+        at, folder, out, errors = None, "", None, []
+        hidden = f".{name}.{task.taskAttemptId()}"
+
+        def finish() -> None:
+            out.close()
+            os.replace(f"{folder}/{hidden}", f"{folder}/{name}")
+
+        try:
+            for batch in batches:
+                *keys, values = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+                for key, value in zip(zip(*keys), values):
+                    if key != at:
+                        if out is not None:
+                            finish()
+                        at = key
+                        folder = "/".join([root, *[f"{c}={NO_VALUE if v is None else ''.join(ESCAPED.get(x, x) for x in v)}" for c, v in zip(partitions, key)]])
+                        os.makedirs(folder, exist_ok=True)
+                        out = open(f"{folder}/{hidden}", "w", encoding="utf-8", newline="\n")
+                    out.write(f"{'' if value is None else value}\n")
+            if out is not None:
+                finish()
+        except OSError as e:
+            errors.append(f"{type(e).__name__}: {e}")
+        yield pa.RecordBatch.from_pydict({"error": pa.array(errors, pa.string())})
+
+    return put
 
 
 def stored(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
@@ -80,10 +130,17 @@ def _matching(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
 
 def _cluster(table: DataFrame, root: str, dirs: list[str], keys: list[str], replace: bool) -> None:
     """Write a staged table into the store: as many files as its bytes ask for, each with a range of segments. A long segment
-    goes over several files by its time."""
+    goes over several files by its time. Directories are one file at least: where there are more of them than the bytes ask
+    for, they are dealt to all tasks that run at once."""
     size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     order = [*dirs, *keys, *[c for c in ("ping_time",) if c in table.columns]]
-    rows = table.repartitionByRange(max(1, math.ceil(size / FILE_BYTES)), *order).sortWithinPartitions(*order)
+    files, tasks = max(1, math.ceil(size / FILE_BYTES)), table.sparkSession.sparkContext.defaultParallelism
+    many = table.select(*dirs).distinct().limit(tasks).count() if files < tasks else 0
+    if many > files:
+        dealt = table.repartitionByRange(many, *(dirs if files == 1 else order))  # one file's worth: no directory is cut
+    else:
+        dealt = table.repartitionByRange(files, *order)
+    rows = dealt.sortWithinPartitions(*order)
     w = rows.write.partitionBy(*dirs)
     (w.mode("overwrite").option("partitionOverwriteMode", "dynamic") if replace else w.mode("append")).parquet(root)
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import tempfile
 import time
 
@@ -315,3 +316,46 @@ def test_documents_are_written_by_many_tasks_and_replaced(spark):
     back = spark.read.text(root)
     assert back.count() == 160 and back.where("value like 'new %'").count() == back.where("segment < 's2'").count() == 48
     assert [r.value for r in back.where("segment = 's3'").collect()] == [f"s3 {i}" for i in range(4)]
+
+
+def test_documents_are_as_sparks_writer_makes_them(spark):
+    """Hadoop's local file system starts a process for each file, its checksum and each directory: there are no checksums here."""
+    rows = [("2024-01-01", "a b/c", "s", 0, "first"), ("2024-01-01", "a b/c", "s", 1, None), ("2024-01-01", "", "s{%}", 0, 'ü "x"'), (None, None, "s", 0, ""), ("2024-01-02", "p=1", "", 0, "x")]
+    df = spark.createDataFrame(rows, "day string, platform string, segment string, line_no int, text string")
+    keys, root, plain = ["day", "platform", "segment"], _dir(), _dir()
+
+    def held(top):
+        out = {}
+        for at, _, names in os.walk(top):
+            for n in names:
+                if n.startswith("part-"):
+                    with open(f"{at}/{n}", encoding="utf-8") as f:
+                        out[os.path.relpath(at, top)] = f.read()
+        return out
+
+    sinks.sink_reports(df, f"{root}/r", keys, ["line_no"])
+    one = df.repartition(3, *keys).sortWithinPartitions(*keys, "line_no").select(*keys, "text")
+    one.write.partitionBy(*keys).text(f"{plain}/r")
+    assert held(f"{root}/r") == held(f"{plain}/r") and len(held(f"{root}/r")) == 4
+    m = df.where("line_no = 0").select(F.col("day").alias("_day"), F.col("segment").alias("_s"), "*", F.to_timestamp_ntz(F.lit("2024-01-01 00:00:01")).alias("t"), F.lit(1.5).alias("x"))
+    sinks._write_documents(m, f"{root}/m", ["_day", "_s"], [], "json", **sinks.JSON_OPTIONS)
+    m.repartition(3, "_day", "_s").write.partitionBy("_day", "_s").options(**sinks.JSON_OPTIONS).json(f"{plain}/m")
+    assert held(f"{root}/m") == held(f"{plain}/m") and len(held(f"{root}/m")) == 4
+    assert not [n for at, _, names in os.walk(root) for n in names if n.startswith(".part-")]
+
+
+def test_a_document_that_cannot_be_written_is_no_fault_of_the_data(spark):
+    df = spark.createDataFrame([("d", "p", "s" * 300, 0, "x")], "day string, platform string, segment string, line_no int, text string")
+    with pytest.raises(OSError) as e:
+        sinks.sink_reports(df, f"{_dir()}/r", ["day", "platform", "segment"], ["line_no"])
+    from acoustispark.operators import jobs
+    assert "too long" in str(e.value) and not jobs.caused_by_data(e.value)
+
+
+def test_days_are_written_by_many_tasks(spark):
+    rows = spark.range(400).select(F.lit("p").alias("platform"), F.concat(F.lit("s"), F.col("id")).alias("segment"),
+                                   F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") % 40 * 86_400).cast("timestamp_ntz").alias("ping_time"))
+    root = _dir()
+    sinks.sink_day_append(rows, root)
+    files = spark.read.parquet(root).select(F.input_file_name().alias("f")).distinct().collect()
+    assert len(files) == 40 and len({r.f.rsplit("/", 1)[1].split("-")[1] for r in files}) > 2 and spark.read.parquet(root).count() == 400
