@@ -239,6 +239,11 @@ def process_segments(spark: SparkSession, pings: DataFrame, cfg: dict, out_root:
         "processing_time_ms": F.lit(int((time.time() - began) * 1000))})
     if "file_stem" in sv.columns:
         summary = summary.withColumn("file_stem", F.col("segment")).withColumn("segment_name", F.col("segment"))
+    try:  # written, as it is read twice
+        summary = staged(summary, "summary")
+    except Exception as e:
+        if not caused_by_data(e):
+            raise  # else the failing segments are found as the documents are made
     job.note("metadata", _guarded(summary, lambda df: sinks.manifest(df, cfg), lambda df: sinks.sink_metadata_json(df, f"{job.root}/metadata")))
     job.note("report", _guarded(summary, lambda df: rp.segment_report(df, cfg),
                                 lambda df: sinks.sink_reports(df, f"{job.root}/reports", SEGMENT, ["line_no"])))

@@ -7,13 +7,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job of this package relies on: UTC timestamps, AQE, dynamic partition overwrite.
+# Settings every job of this package relies on: UTC timestamps, AQE, dynamic partition overwrite, and a store's directories
+# listed by some tasks and not by one each.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "128",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.python.unix.domain.socket.enabled": "true",
 }
