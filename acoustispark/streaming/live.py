@@ -12,18 +12,23 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from acoustispark.functions import scalars as fn
 from acoustispark.operators import config_log as cl
 from acoustispark.operators.grid import SEGMENT_KEYS, _meters, _seconds
+from acoustispark.operators.util import spread_groups
 from acoustispark.sources.catalog import new_file_events
 from acoustispark.sources.sinks import sink_messages
 
-#: Rows of results that a device's task holds at once.
+#: Events of a device that are one block of results.
 OUT_ROWS = 4096
+#: Bytes that a landing file holds for one reading task.
+LANDING_BYTES = 4 << 20
 
 
 def _event_time(ts: str) -> Column:
@@ -58,50 +63,90 @@ def mvbs_stream(samples: DataFrame, delay: str, range_bin: str = "0.5m", ping_ti
                                      fn.linear_to_db(F.col("_sum") / F.col("n_samples")).alias("sv"), "n_samples")
 
 
+#: A row's ``slot`` is the number of the field that it writes, or one of these.
+BATCH, NO_WRITE = -1, -2
+
+
 def config_as_of_stream(batches: DataFrame, patches: DataFrame, delay: str, fields: list[str] | None = None) -> DataFrame:
     """``config_as_of`` over two streams: ``batches`` (device, ts, event_id) with the configuration each one ran under.
 
-    A device's state is its folded configuration and the events that are not behind the watermark yet. These are taken in
+    A device's state is its folded configuration and, as Arrow bytes, the events that are not behind the watermark yet. These are taken in
     event-time order - patches before batches of one time, then by event_id - as the watermark passes them, however patches
     and batches are interleaved on arrival. The end of a session is a mark: a patch with a null ``key`` and a late time.
+
+    Few devices may send many events. So a device's task only sorts: what it gives out are blocks of ``OUT_ROWS`` events with the
+    configuration before them, and these are dealt to all tasks, which write out the fields of each batch.
     """
     fields = fields or [n for n, _, _ in cl.CONFIG_FIELDS]
-    p = cl.typed_writes(patches).select("device", "ts", "event_id", F.lit(0).alias("side"), F.col("_field").alias("field"), F.col("_value").alias("value"))
-    b = batches.select("device", "ts", "event_id", F.lit(1).alias("side"), F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("value"))
-    rows = p.unionByName(b).withColumn("at", _event_time("ts")).withWatermark("at", delay).withColumn("us", F.unix_micros("at"))
-    kind = batches.schema["device"].dataType.simpleString()
-    wanted = set(fields)
+    slot = F.when(F.col("_value").isNull(), F.lit(NO_WRITE)).otherwise(F.coalesce(F.array_position(F.lit(fields), F.col("_field")).cast("int") - 1, F.lit(-1)))
+    p = cl.typed_writes(spread_groups(patches, "device", "ts", "event_id")).select("device", "ts", "event_id", F.when(slot >= 0, slot).otherwise(F.lit(NO_WRITE)).alias("slot"), F.col("_value").alias("value"))
+    b = batches.select("device", "ts", "event_id", F.lit(BATCH).alias("slot"), F.lit(None).cast("string").alias("value"))
+    rows = p.unionByName(b).withColumn("at", _event_time("ts")).withWatermark("at", delay)
+    rows = rows.select("device", "at", F.unix_micros("at").alias("us"), F.coalesce("event_id", F.lit(0)).cast("long").alias("event_id"), "slot", "value")
+    device = T.StructField("device", batches.schema["device"].dataType)
+    count = len(fields)
 
     def fold(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        config, wait = json.loads(state.get[0]) if state.exists else {}, json.loads(state.get[1]) if state.exists else []
+        config, waiting = (json.loads(state.get[0]), [_rows_of(state.get[1])]) if state.exists else ([None] * count, [])
         if not state.hasTimedOut:
             for pdf in pdfs:
-                wait += [[int(u), int(s), 0 if pd.isna(e) else int(e), None if pd.isna(f) else f, None if pd.isna(v) else v]
-                         for u, s, e, f, v in zip(pdf["us"], pdf["side"], pdf["event_id"], pdf["field"], pdf["value"])]
-        passed = state.getCurrentWatermarkMs() * 1000
-        wait.sort(key=lambda x: x[:3])
-        n = next((i for i, x in enumerate(wait) if x[0] >= passed), len(wait))
-        out, text = [], json.dumps(config)  # the configuration's text changes with a patch, not with a batch
-        for us, side, event, f, v in wait[:n]:
-            if side:
-                out.append((k[0], us, event, text))
-                if len(out) == OUT_ROWS:
-                    yield pd.DataFrame(out, columns=["device", "us", "event_id", "config"])
-                    out = []
-            elif f in wanted and v is not None and config.get(f) != v:
-                config[f] = v
-                text = json.dumps(config)
-        state.update((text, json.dumps(wait[n:])))
-        if n < len(wait):
-            state.setTimeoutTimestamp(max(wait[n][0] // 1000, state.getCurrentWatermarkMs()) + 1)
-        if out:
-            yield pd.DataFrame(out, columns=["device", "us", "event_id", "config"])
-
-    told = rows.groupBy("device").applyInPandasWithState(fold, f"device {kind}, us bigint, event_id bigint, config string", "config string, wait string",
-                                                         "append", GroupStateTimeout.EventTimeTimeout)
-    found = F.from_json("config", T.StructType([T.StructField(f, T.StringType()) for f in fields]))
-    told = told.select("device", F.timestamp_micros("us").cast("timestamp_ntz").alias("ts"), "event_id", found.alias("_c"))
-    return told.select("device", "ts", "event_id", *[F.coalesce(F.col("_c")[f], F.lit(cl.FIELD_DEFAULTS[f])).alias(f) for f in fields])
+                some = pdf.astype({"us": "int64"})[pdf["slot"] != NO_WRITE]  # an event without a time is an error
+                waiting.append(pa.table({"us": some["us"].to_numpy(), "event_id": some["event_id"].to_numpy(), "slot": some["slot"].to_numpy().astype("int32"),
+                                         "value": pa.array(some["value"], pa.string(), from_pandas=True)}))
+        wait = pa.concat_tables(waiting).combine_chunks() if waiting else None
+        if wait is None or not wait.num_rows:
+            if not state.exists:
+                return
+            return state.update((state.get[0], state.get[1]))
+        us, event, at = (wait.column(c).to_numpy() for c in ("us", "event_id", "slot"))
+        order = np.lexsort((event, at == BATCH, us))
+        wait = wait.take(pa.array(order))
+        n = int(np.searchsorted(us[order], state.getCurrentWatermarkMs() * 1000))
+        for i in range(0, n, OUT_ROWS):
+            block = wait.slice(i, min(OUT_ROWS, n - i))
+            slots = block.column("slot").to_numpy()
+            if (slots == BATCH).any():
+                yield pd.DataFrame([(k[0], i // OUT_ROWS, json.dumps(config), _bytes_of(block))], columns=["device", "block", "config", "events"])
+            for s, v in zip(slots.tolist(), block.column("value").to_pylist()):
+                if s != BATCH:
+                    config[s] = v
+        rest = wait.slice(n)
+        state.update((json.dumps(config), _bytes_of(rest)))
+        if rest.num_rows:
+            state.setTimeoutTimestamp(max(rest.column("us")[0].as_py() // 1000, state.getCurrentWatermarkMs()) + 1)
+
+    def told(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for i in range(part.num_rows):
+                config, block = json.loads(part.column(2)[i].as_py()), _rows_of(part.column(3)[i].as_py())
+                slots, values = block.column("slot").to_numpy(), block.column("value").combine_chunks()
+                batch = np.flatnonzero(slots == BATCH)
+                columns = [pa.repeat(part.column(0)[i], len(batch)), *[block.column(c).combine_chunks().take(pa.array(batch)) for c in ("us", "event_id")]]
+                for f, name in enumerate(fields):
+                    writes = np.flatnonzero(slots == f)
+                    before = cl.FIELD_DEFAULTS[name] if config[f] is None else config[f]
+                    known = pa.concat_arrays([pa.array([before], pa.string()), values.take(pa.array(writes))])
+                    columns.append(known.take(pa.array(np.searchsorted(writes, batch))))
+                yield pa.RecordBatch.from_arrays(columns, names=["device", "us", "event_id", *fields])
+
+    out = [T.StructField("block", T.LongType()), T.StructField("config", T.StringType()), T.StructField("events", T.BinaryType())]
+    blocks = rows.groupBy("device").applyInPandasWithState(fold, T.StructType([device, *out]), "config string, wait binary", "append", GroupStateTimeout.EventTimeTimeout)
+    each = [T.StructField("us", T.LongType()), T.StructField("event_id", T.LongType()), *[T.StructField(f, T.StringType()) for f in fields]]
+    # the column is computed, as rows of Arrow batches cannot be dealt out as they are
+    blocks = blocks.select("device", F.xxhash64("device", "block").alias("block"), "config", "events")
+    found = spread_groups(blocks, "block").mapInArrow(told, T.StructType([device, *each]))
+    return found.select("device", F.timestamp_micros("us").cast("timestamp_ntz").alias("ts"), "event_id", *fields)
+
+
+def _bytes_of(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as w:
+        w.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _rows_of(stored: bytes) -> pa.Table:
+    return pa.ipc.open_stream(pa.py_buffer(bytes(stored))).read_all()
 
 
 def file_event_batches(read_catalog: Callable[[SparkSession], DataFrame], write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
@@ -131,9 +176,15 @@ def run_available(stream: DataFrame, checkpoint: str, path: str | None = None, e
 
 def land(arrivals: DataFrame, folder: str, slices: int, at: str = "slice") -> Iterator[int]:
     """Put the rows of slice 0, 1, ... into ``folder``, a file each, in this order; yields after each so that a stream can run
-    in between. ``at`` numbers the slices and is not stored."""
+    in between. ``at`` numbers the slices and is not stored. The rows are made once, by all tasks, and a file's row groups are
+    small, so that many tasks can read it."""
+    from acoustispark.session import scratch_path
+    path = scratch_path(arrivals.sparkSession, "arrivals")
+    arrivals.write.partitionBy(at).parquet(path)
+    made = arrivals.sparkSession.read.schema(arrivals.schema).parquet(path)
     for i in range(slices):
-        arrivals.where(F.col(at) == i).drop(at).coalesce(1).write.mode("append").parquet(folder)
+        made.where(F.col(at) == i).select(*[c for c in arrivals.columns if c != at]).coalesce(1).write.mode("append").option(
+            "parquet.block.size", str(LANDING_BYTES)).parquet(folder)
         yield i
 
 

@@ -210,3 +210,44 @@ def test_platforms_share_groups_and_segments_share_frames(spark):
     plan = st.segment_stream(empty, TriggerParams(4, 1e9, 2), ends="ends")._jdf.queryExecution().optimizedPlan().toString()
     assert "xxhash64(platform" in plan and f", {stream.GROUPS})" in plan
     assert "xxhash64" not in st.segment_stream(empty, TriggerParams(4, 1e9, 2), flush_after="3 seconds")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_fields_are_written_out_by_more_tasks_than_there_are_devices(spark):
+    """One device: its task sorts, and the blocks that it gives out are dealt to others, with every kind of write in a block."""
+    import random
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    rnd, schema = random.Random(3), "device string, ts timestamp_ntz, event_id bigint, key string, raw_json string, side int"
+    keys = [("survey_id", lambda: f'"{rnd.randrange(9)}"'), ("impulse_num_lags", lambda: rnd.choice(['"abc"', '"7"', '{"value":"12"}'])), ("use_gpu", lambda: rnd.choice(["null", '"off"'])),
+            ("Log_Level", lambda: '"DEBUG"'), ("$version", lambda: "3")]
+    n = 3 * live.OUT_ROWS
+    rows = [("d", t(i // 3), i, *(lambda k: (k[0], k[1]()))(rnd.choice(keys)), 0) if rnd.random() < 0.4 else ("d", t(i // 3), i, None, None, 1) for i in range(n)]
+    rnd.shuffle(rows)
+    fields = ["survey_id", "impulse_num_lags", "use_gpu", "log_level", "seabed_method"]
+
+    def build(s):
+        out = live.config_as_of_stream(s.where("side = 1").select("device", "ts", "event_id"), s.where("side = 0").drop("side"), "100 days", fields)
+        return out.withColumn("task", F.spark_partition_id())
+
+    got = _run(spark, [rows[:n // 2], rows[n // 2:], [("d", t(10**8), None, None, None, 0)]], schema, build, 1)
+    assert got.select("task").distinct().count() > 1
+    p = spark.createDataFrame([r[:5] for r in rows if r[5] == 0], "device string, ts timestamp_ntz, event_id bigint, key string, raw_json string")
+    b = spark.createDataFrame([r[:3] for r in rows if r[5] == 1], "device string, ts timestamp_ntz, event_id bigint")
+    want = cl.config_as_of(b, p, fields).collect()
+    assert sorted(tuple(r)[:-1] for r in got.collect()) == sorted(map(tuple, want)) and len(want) > n // 2
+
+
+def test_rows_that_arrive_are_made_once(spark):
+    """Each slice came from a run of its own over the whole source, in one task."""
+    made = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    rows = spark.range(100, numPartitions=4).selectExpr("id", "cast(nullif(id % 5, 4) as int) as slice").mapInPandas(told, "id bigint, slice int")
+    folder, seen = _dir(), []
+    for i in live.land(rows, folder, 3):
+        back = spark.read.parquet(folder)
+        seen.append((i, back.count(), _files(spark, folder), back.columns))
+    assert seen == [(0, 20, 1, ["id"]), (1, 40, 2, ["id"]), (2, 60, 3, ["id"])] and made.value == 100
