@@ -154,7 +154,7 @@ def q_config_as_of_live(spark, sf_dir):
         if i in (1, SLICES):
             rows = live.arriving(spark, folder, both.schema)
             told = live.config_as_of_stream(rows.where("side = 1").select("device", "ts", "event_id"), rows.where("side = 0").drop("side"), f"{CONFIG_DELAY_S} seconds")
-            live.run_available(told, checkpoint, out)
+            live.run_available(told, checkpoint, out, rows=live.IN_ROWS)
     return spark.read.parquet(out).select("device", "ts", "event_id", *[n for n, _, _ in CONFIG_FIELDS])
 
 

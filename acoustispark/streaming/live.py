@@ -27,6 +27,8 @@ from acoustispark.sources.sinks import sink_messages
 
 #: Events of a device that are one block of results.
 OUT_ROWS = 4096
+#: Events of a device that go to Python at once, each time with the device's state.
+IN_ROWS = 1 << 20
 #: Bytes that a landing file holds for one reading task.
 LANDING_BYTES = 4 << 20
 
@@ -75,7 +77,8 @@ def config_as_of_stream(batches: DataFrame, patches: DataFrame, delay: str, fiel
     and batches are interleaved on arrival. The end of a session is a mark: a patch with a null ``key`` and a late time.
 
     Few devices may send many events. So a device's task only sorts: what it gives out are blocks of ``OUT_ROWS`` events with the
-    configuration before them, and these are dealt to all tasks, which write out the fields of each batch.
+    configuration before them, and these are dealt to all tasks, which write out the fields of each batch. ``run_available`` is
+    best told ``IN_ROWS``.
     """
     fields = fields or [n for n, _, _ in cl.CONFIG_FIELDS]
     slot = F.when(F.col("_value").isNull(), F.lit(NO_WRITE)).otherwise(F.coalesce(F.array_position(F.lit(fields), F.col("_field")).cast("int") - 1, F.lit(-1)))
@@ -166,12 +169,21 @@ def message_batches(outputs: dict[str, Column | None], path: str, key: list[str]
     return process
 
 
-def run_available(stream: DataFrame, checkpoint: str, path: str | None = None, each: Callable[[DataFrame, int], None] | None = None) -> None:
+def run_available(stream: DataFrame, checkpoint: str, path: str | None = None, each: Callable[[DataFrame, int], None] | None = None,
+                  rows: int | None = None) -> None:
     """Work off what has arrived, from the checkpoint on, and stop: into a Parquet table (written exactly once), or through
-    ``each`` for every micro-batch."""
+    ``each`` for every micro-batch. ``rows`` of a group go to Python at once: Spark sends the group's state along each time."""
     w = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     w = w.foreachBatch(each) if each is not None else w.format("parquet").option("path", path).outputMode("append")
-    w.start().awaitTermination()
+    conf, name = stream.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    if rows is not None:
+        conf.set(name, str(rows))
+    try:
+        query = w.start()  # with the settings of this moment
+    finally:
+        conf.set(name, before)
+    query.awaitTermination()
 
 
 def land(arrivals: DataFrame, folder: str, slices: int, at: str = "slice") -> Iterator[int]:

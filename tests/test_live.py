@@ -251,3 +251,23 @@ def test_rows_that_arrive_are_made_once(spark):
         back = spark.read.parquet(folder)
         seen.append((i, back.count(), _files(spark, folder), back.columns))
     assert seen == [(0, 20, 1, ["id"]), (1, 40, 2, ["id"]), (2, 60, 3, ["id"])] and made.value == 100
+
+
+def test_a_devices_state_is_sent_once_with_many_events(spark):
+    """Spark sends the whole state with each batch of a group's rows: 25,000 rows came in three, each with it."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+    import pandas as pd
+
+    def fold(k, pdfs, state):
+        yield pd.DataFrame([(k[0], sum(1 for _ in pdfs))], columns=["device", "frames"])
+
+    folder = _dir()
+    spark.range(25_000).selectExpr("'d' as device", "id").coalesce(1).write.mode("append").parquet(folder)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = []
+    for rows in (None, live.IN_ROWS):
+        out = _dir()
+        s = live.arriving(spark, folder, "device string, id bigint").groupBy("device").applyInPandasWithState(fold, "device string, frames int", "x int", "append", GroupStateTimeout.NoTimeout)
+        live.run_available(s.select("*"), _dir(), out, rows=rows)
+        found += [r.frames for r in spark.read.parquet(out).collect()]
+    assert found == [3, 1] and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
